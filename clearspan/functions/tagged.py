@@ -1,0 +1,22 @@
+"""Small per-value helpers that run inside Arrow tasks."""
+
+from __future__ import annotations
+
+import re
+
+_ITEM_HEAD = re.compile(r"([0-9]{4})([0-9]{3})")
+
+
+def parse_tagged(blob: str | None) -> dict[str, str]:
+    """Values by 4-digit tag; text that is no complete item is skipped one character at a time."""
+    found: dict[str, str] = {}
+    head = _ITEM_HEAD.search(blob) if blob else None
+    while head:
+        end = head.end() + int(head.group(2))
+        if end <= len(blob):
+            found[head.group(1)] = blob[head.end() : end]
+            resume = end
+        else:
+            resume = head.start() + 1
+        head = _ITEM_HEAD.search(blob, resume)
+    return found
