@@ -133,19 +133,14 @@ def consecutive_fields(c: Column, widths: dict[str, int]) -> list[Column]:
 
 
 @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def tagged_values(blob: pd.Series) -> pd.Series:
-    """Tag -> value of a run of tag(4) length(3) value items."""
-    return blob.map(parse_tagged)
+def tagged_values(containers: pd.Series) -> pd.Series:
+    """Tag -> value over a row's containers; where a tag repeats, the later container wins."""
+    return containers.map(lambda blobs: {k: v for blob in blobs for k, v in parse_tagged(blob).items()})
 
 
 def tagged_from_containers(*containers: Column) -> Column:
-    """Tags of several containers; where a tag repeats, the later container wins."""
-    maps = [tagged_values(F.coalesce(c, F.lit(""))) for c in containers]
-    merged = maps[0]
-    for later in maps[1:]:
-        kept = F.map_filter(merged, lambda k, _v, later=later: ~F.map_contains_key(later, k))
-        merged = F.map_concat(kept, later)
-    return merged
+    """Values of tag(4) length(3) value runs in several containers, by tag."""
+    return tagged_values(F.array(*containers))
 
 
 def overpunch_amount(c: Column, decimals: int, signed: bool = False) -> Column:
@@ -182,7 +177,7 @@ def expand_code_family(c: Column) -> Column:
     families = F.create_map(
         *[x for k, codes in CODE_FAMILIES.items() for x in (F.lit(k), F.array(*map(F.lit, codes)))]
     )
-    codes = F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    codes = F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
     expanded = F.transform(
         codes,
         lambda x: F.when(

@@ -173,4 +173,4 @@ def client_config(clients: DataFrame, client: str, default_currency: str = "USD"
 
 def split_list(c: Column) -> Column:
     """Comma text as array without blanks."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
