@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _full_year(two_digits: Column) -> Column:
+def full_year(two_digits: Column) -> Column:
     """Two-digit year with the usual pivot: 69-99 are 19xx, 00-68 are 20xx."""
     century = F.when(two_digits >= "69", F.lit("19")).otherwise(F.lit("20"))
     return F.concat(century, two_digits)
@@ -19,7 +19,7 @@ def _year_day(year: Column, day: Column) -> Column:
 
 def parse_yyddd(c: Column) -> Column:
     """Five-digit YYDDD; anything else is null."""
-    return F.when(c.rlike("^[0-9]{5}$"), _year_day(_full_year(F.substring(c, 1, 2)), F.substring(c, 3, 3)))
+    return F.when(c.rlike("^[0-9]{5}$"), _year_day(full_year(F.substring(c, 1, 2)), F.substring(c, 3, 3)))
 
 
 def parse_mmdd(c: Column, file_date: Column) -> Column:
@@ -38,7 +38,7 @@ def parse_yddd(c: Column, file_date: Column, not_after_file: bool = False) -> Co
     With ``not_after_file`` a date later than the file moves one year back.
     """
     text = F.trim(c)
-    year = _full_year(F.concat(F.substring(F.year(file_date).cast("string"), 3, 1), F.substring(text, 1, 1)))
+    year = full_year(F.concat(F.substring(F.year(file_date).cast("string"), 3, 1), F.substring(text, 1, 1)))
     parsed = F.when(text.rlike("^[0-9]{4}$"), _year_day(year, F.substring(text, 2, 3)))
     if not_after_file:
         parsed = F.when(parsed > file_date, F.add_months(parsed, -12)).otherwise(parsed)

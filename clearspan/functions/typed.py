@@ -80,9 +80,12 @@ def message_columns(
         if kind in ("int64", "int32"):
             value = F.trim(c.cast("string")).try_cast("decimal(24,4)").try_cast("bigint" if kind == "int64" else "int")
         elif kind == "date":
-            value = dates.parse_file_date(F.lpad(digits, 6, "0"))
+            padded = F.lpad(digits, 6, "0")
+            stamp = F.concat(dates.full_year(F.substring(padded, 1, 2)), F.substring(padded, 3, 4))
+            value = F.when(stamp.rlike("^[0-9]{8}$"), F.try_to_date(stamp, "yyyyMMdd"))
         elif kind == "timestamp":
-            stamp = F.concat(F.lit("20"), F.lpad(digits, 12, "0"))
+            padded = F.lpad(digits, 12, "0")
+            stamp = F.concat(dates.full_year(F.substring(padded, 1, 2)), F.substring(padded, 3, 10))
             value = F.when(stamp.rlike("^[0-9]{14}$"), F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")))
         elif kind == "time":
             padded = F.lpad(digits, 6, "0")

@@ -51,7 +51,7 @@ def in_list(df: DataFrame, listed: DataFrame, keys: dict[str, str] | list[str],
     if fail_if_empty and listed.isEmpty():
         raise InputError("the list of files is empty; check the file ledger for these dates")
     names = list(keys.values()) if isinstance(keys, dict) else keys
-    return lookup_join(df, listed.select(*names).distinct(), keys, {}, how="left_semi")
+    return lookup_join(df, listed.select(*names).distinct(), keys, {}, how="left_semi", derived=True)
 
 
 _IN_CONDITION = re.compile(r"(\w+)\s+in\s+\(([^)]+)\)", re.IGNORECASE)

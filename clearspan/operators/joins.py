@@ -18,7 +18,7 @@ def join_rate(
 ) -> DataFrame:
     """Rate by date and currencies, one row per key; ``missing`` fills absent rates."""
     one_each = rates.groupBy(*keys.values()).agg(F.max(rate).alias(rate))
-    joined = lookup_join(facts, one_each, keys, {rate: name})
+    joined = lookup_join(facts, one_each, keys, {rate: name}, derived=True)
     return joined if missing is None else joined.withColumn(name, F.coalesce(F.col(name), missing))
 
 
@@ -102,7 +102,7 @@ def join_bucket(
     group = list(dict.fromkeys([*keys, *by]))
     narrowest = Window.partitionBy(*group).orderBy(F.col("__high") - F.col("__low"), "__id")
     best = pairs.withColumn("__n", F.row_number().over(narrowest)).where("__n = 1")
-    joined = lookup_join(facts, best, {g: g for g in group}, {"__id": name}, null_safe=True)
+    joined = lookup_join(facts, best, {g: g for g in group}, {"__id": name}, null_safe=True, derived=True)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)).cast("int"))
 
 
@@ -134,7 +134,7 @@ def flag_hierarchy(df: DataFrame, parent: str, node: str, name: str) -> DataFram
     if parent not in df.columns or node not in df.columns:
         return df.withColumn(name, F.lit(0).cast("bigint"))
     parents = df.where(F.col(parent) != F.col(node)).select(F.col(parent).alias("__p")).distinct()
-    joined = lookup_join(df.withColumn("__n", F.col(node)), parents.withColumn("__is", F.lit(1)), {"__n": "__p"}, ["__is"])
+    joined = lookup_join(df.withColumn("__n", F.col(node)), parents.withColumn("__is", F.lit(1)), {"__n": "__p"}, ["__is"], derived=True)
     level = F.when(F.col(parent) == F.col(node), 10).when(F.col("__is").isNotNull(), 1).otherwise(0)
     return joined.withColumn(name, level.cast("bigint")).drop("__n", "__is")
 
@@ -142,14 +142,14 @@ def flag_hierarchy(df: DataFrame, parent: str, node: str, name: str) -> DataFram
 def flag_listed(df: DataFrame, listed: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
     """1 where the row's keys are listed, else 0."""
     distinct = listed.select(*keys.values()).distinct().withColumn("__is", F.lit(1))
-    joined = lookup_join(df, distinct, keys, ["__is"])
+    joined = lookup_join(df, distinct, keys, ["__is"], derived=True)
     return joined.withColumn(name, F.coalesce("__is", F.lit(0)).cast("bigint")).drop("__is")
 
 
 def overlay(base: DataFrame, delta: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
     """New value where the delta has one, else the old (base column -> delta column)."""
     take = {d: f"__new_{b}" for b, d in columns.items()}
-    joined = lookup_join(base, delta, keys, take)
+    joined = lookup_join(base, delta, keys, take, derived=True)
     for b in columns:
         joined = joined.withColumn(b, F.coalesce(F.col(f"__new_{b}"), F.col(b)))
     return joined.drop(*take.values())
@@ -160,16 +160,16 @@ def classify_names(files: DataFrame, patterns: DataFrame, client: str, name: str
     names = files.select(client, name).distinct()
     keyed = names.withColumn("__client", F.explode(F.array_distinct(F.array(F.col(client), F.lit(everyone)))))
     active = patterns.where("is_active = 1")
-    hits = keyed.join(active, (F.col("__client") == F.col("customer_code")) & F.col(name).rlike(F.concat(F.lit("(?i)"), F.col("file_format"))))
+    hits = keyed.join(active, (F.col("__client") == F.col("customer_code")) & F.rlike(F.col(name), F.concat(F.lit("(?i)"), F.col("file_format"))))
     order = Window.partitionBy(client, name).orderBy("priority", "pattern_id")
     best = hits.withColumn("__n", F.row_number().over(order)).where("__n = 1")
-    return lookup_join(files, best, [client, name], take)
+    return lookup_join(files, best, [client, name], take, derived=True)
 
 
 def file_status(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
     """new, duplicate or new version, by file id and content hash."""
     known = ledger.groupBy("file_id").agg(F.max_by("content_hash", "registered_at").alias("known_hash"))
-    joined = lookup_join(incoming, known, ["file_id"], ["known_hash"])
+    joined = lookup_join(incoming, known, ["file_id"], ["known_hash"], derived=True)
     status = F.when(F.col("known_hash").isNull(), "new").when(F.col("known_hash") == F.col("content_hash"), "duplicate").otherwise("new version")
     return joined.withColumn("status", status).drop("known_hash")
 

@@ -10,10 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clearspan.session import shared_dir
+
 BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, so a size check does not compute it twice."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than needed to tell."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -27,13 +35,15 @@ def lookup_join(
     *,
     how: str = "left",
     null_safe: bool = False,
+    derived: bool = False,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``dim`` to ``facts`` on equality of ``keys`` (fact column -> dim column).
 
     ``take`` names the dim columns to add (dim column -> output column). With ``how``
-    "left_semi" or "left_anti" nothing is added.
+    "left_semi" or "left_anti" nothing is added. ``derived`` says that ``dim`` is costly to
+    compute (it comes from the facts); it is then computed once before its size is checked.
     """
     keys = {k: k for k in keys} if isinstance(keys, list) else keys
     take = {c: c for c in take} if isinstance(take, list) else take
@@ -41,6 +51,8 @@ def lookup_join(
         *[F.col(d).alias(f"__k{i}") for i, d in enumerate(keys.values())],
         *[F.col(c).alias(f"__v_{name}") for c, name in take.items()],
     )
+    if derived:
+        side = materialised(side)
     cond = F.lit(True)
     for i, fact_key in enumerate(keys):
         left, right = F.col(fact_key), F.col(f"__k{i}")

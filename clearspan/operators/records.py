@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from clearspan.operators.chunked import CHUNK, last_before
+from clearspan.operators.chunked import CHUNK, last_before, with_chunk
 from clearspan.operators.lookup import lookup_join
 
 # Line families of a text file: transaction codes and line sequence letters.
@@ -50,13 +51,31 @@ def sequence_ordinal(key: Column) -> Column:
 def record_starts(lines: DataFrame, group: list[str], order: str, ordinal: Column, size: int = CHUNK) -> DataFrame:
     """Add ``record_start``: the order value of the first line of each line's logical record.
 
-    A record ends when the sequence number does not rise.
+    A record ends when the sequence number does not rise. Inside a chunk every line but the
+    first can be told from the line before; one row per chunk settles the first lines and
+    carries the open record into the next chunk. The lines are shuffled once.
     """
-    placed = lines.withColumn("__seq", ordinal)
-    placed = last_before(placed, group, order, F.col("__seq"), "__before", size)
-    starts = F.col("__before").isNull() | (F.col("__seq") <= F.col("__before"))
-    placed = last_before(placed, group, order, F.when(starts, F.col(order)), "record_start", size, inclusive=True)
-    return placed.drop("__seq", "__before")
+    chunk = Window.partitionBy(*group, "__chunk").orderBy(order)
+    placed = with_chunk(lines.withColumn("__seq", ordinal), order, size)
+    placed = placed.withColumn("__previous", F.lag("__seq").over(chunk))
+    own_start = F.when(F.col("__seq") <= F.col("__previous"), F.col(order))
+    placed = placed.withColumn("__start", F.last(own_start, ignorenulls=True).over(chunk))
+
+    per_chunk = placed.groupBy(*group, "__chunk").agg(
+        F.min(order).alias("__first"),
+        F.min_by("__seq", order).alias("__first_seq"),
+        F.max_by("__seq", order).alias("__last_seq"),
+        F.max("__start").alias("__last_start"),
+    )
+    chunks = Window.partitionBy(*group).orderBy("__chunk")
+    before = F.lag("__last_seq").over(chunks)
+    opens = before.isNull() | (F.col("__first_seq") <= before)
+    per_chunk = per_chunk.withColumn("__open_start", F.when(opens, F.col("__first")))
+    newest = F.coalesce("__last_start", "__open_start")
+    carried = F.last(newest, ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
+    entry = per_chunk.select(*group, "__chunk", F.coalesce("__open_start", carried).alias("__entry"))
+    joined = placed.join(entry, [*group, "__chunk"])
+    return joined.withColumn("record_start", F.coalesce("__start", "__entry")).select(*lines.columns, "record_start")
 
 
 def assemble_records(lines: DataFrame, group: list[str], order: str, key: str, keys: list[str], line: str = "line", size: int = CHUNK) -> DataFrame:
@@ -92,5 +111,5 @@ def with_block(messages: DataFrame, group: list[str], order: str, code: str, car
         *[F.min_by(c, trailer).alias(f"__c{i}") for i, c in enumerate(carried)],
     ).where("block_end IS NOT NULL")
     take = {"block_end": "block_end"} | {f"__c{i}": name for i, name in enumerate(carried.values())}
-    joined = lookup_join(inside, blocks, [*group, "block_start"], take)
+    joined = lookup_join(inside, blocks, [*group, "block_start"], take, derived=True)
     return joined.where(F.col(order) <= F.col("block_end"))

@@ -28,6 +28,7 @@ BLANK_MATTERS = [
 ]
 _NUMBER = r"(-?[0-9]+(?:\.[0-9]+)?)"
 BOUND = "decimal(24,6)"
+MAX_UNROLLED = 8
 
 
 def is_blank(c: Column) -> Column:
@@ -48,7 +49,7 @@ def token_condition(c: Column, space_word: bool = False) -> Column:
     tokens = F.split(listed, ",")
 
     def bound(t: Column, i: int) -> Column:
-        return F.get(F.split(t, "-"), F.lit(i)).try_cast(BOUND)
+        return F.get(F.split(t, "-"), F.lit(i)).try_cast("double")
 
     is_range = lambda t: t.rlike("^[^-]+-")
     spans = F.transform(
@@ -60,13 +61,31 @@ def token_condition(c: Column, space_word: bool = False) -> Column:
     return F.when(~is_blank(c), parsed)
 
 
-def token_match(condition: Column, value: Column) -> Column:
-    """Whether a value meets a parsed token condition; ranges compare numerically."""
-    number = value.try_cast(BOUND)
-    hit = F.array_contains(condition["values"], value) | F.exists(
-        condition["spans"], lambda s: F.coalesce(number.between(s["lo"], s["hi"]), F.lit(False))
-    )
-    return condition.isNull() | (F.coalesce(hit, F.lit(False)) != condition["negate"])
+def most_spans(rules: DataFrame, conditions: list[str]) -> int:
+    """Largest number of ranges in any of the parsed conditions."""
+    sizes = [F.coalesce(F.size(F.col(c)["spans"]), F.lit(0)) for c in conditions]
+    found = rules.agg(F.max(F.greatest(*sizes, F.lit(0), F.lit(0)))).first()[0]
+    return found or 0
+
+
+def token_match(condition: Column, value: Column, number: Column | None = None, spans: int | None = None) -> Column:
+    """Whether a value meets a parsed token condition; ranges compare numerically.
+
+    ``number`` is the value as double, if the caller has it. With ``spans``, the most ranges
+    a condition has, the ranges are compared one by one: unlike a lambda over the array this
+    compiles, which counts in a join condition.
+    """
+    number = value.try_cast("double") if number is None else number
+    hit = F.coalesce(F.array_contains(condition["values"], value), F.lit(False))
+    if spans is None or spans > MAX_UNROLLED:
+        hit = hit | F.exists(
+            condition["spans"], lambda s: F.coalesce(number.between(s["lo"], s["hi"]), F.lit(False))
+        )
+    else:
+        for i in range(spans):
+            span = F.get(condition["spans"], F.lit(i))
+            hit = hit | F.coalesce((number >= span["lo"]) & (number <= span["hi"]), F.lit(False))
+    return condition.isNull() | (hit != condition["negate"])
 
 
 def number_condition(c: Column, bare_equal: bool = True) -> Column:
@@ -120,7 +139,7 @@ def converted_amounts(rows: DataFrame, rates: DataFrame, currency: str, by: list
     keys = [*by, "from_ccy"]
     one_each = rates.groupBy(*keys, "to_ccy").agg(F.max("rate").alias("rate"))
     maps = one_each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("to_ccy", "rate"))).alias("rates_to"))
-    return lookup_join(rows, maps, {**{k: k for k in by}, currency: "from_ccy"}, ["rates_to"])
+    return lookup_join(rows, maps, {**{k: k for k in by}, currency: "from_ccy"}, ["rates_to"], derived=True)
 
 
 def amount_in(amount: Column, own: Column, target: Column, rates_to: Column) -> Column:
@@ -176,5 +195,5 @@ def first_rule(
     distinct = facts.select(*profile).distinct()
     pairs = rule_pairs(distinct, rules, keys, day, conditions, valid_from, valid_until)
     winners = pairs.groupBy(*profile).agg(F.min(ordinal).alias("__ordinal"))
-    matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True)
+    matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True, derived=True)
     return lookup_join(matched, rules, {"__ordinal": ordinal}, take).drop("__ordinal")

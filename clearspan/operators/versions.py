@@ -18,11 +18,11 @@ def close_versions(df: DataFrame, keys: list[str], start: str, name: str, unit:
     """
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
     starts = df.select(*keys, start).where(F.col(start).isNotNull()).distinct()
-    linked = next_after(starts, keys, F.col(start), start, "__next", F.year(start).cast("bigint"))
+    linked = next_after(starts, keys, start, "__next", F.year(start).cast("bigint"))
     ends = linked.where("__next IS NOT NULL").withColumn(name, F.col("__next") - step)
     if unit == "day":
         ends = ends.withColumn(name, F.date_sub("__next", 1))
-    return lookup_join(df, ends, [*keys, start], [name], null_safe=True)
+    return lookup_join(df, ends, [*keys, start], [name], null_safe=True, derived=True)
 
 
 def keep_last_version(df: DataFrame, keys: list[str], best_first: list[Column]) -> DataFrame:
@@ -46,6 +46,6 @@ def merge_versions(master: DataFrame, incoming: DataFrame, keys: list[str], effe
     fresh = unseen_lines(incoming, master, line).withColumn(until, F.lit(None).cast("date"))
     both = master.unionByName(fresh, allowMissingColumns=True)
     starts = both.select(*keys, effective).where(F.col(effective).isNotNull()).distinct()
-    linked = next_after(starts, keys, F.col(effective), effective, "__next", F.year(effective).cast("bigint"))
-    joined = lookup_join(both, linked, [*keys, effective], ["__next"], null_safe=True)
+    linked = next_after(starts, keys, effective, "__next", F.year(effective).cast("bigint"))
+    joined = lookup_join(both, linked, [*keys, effective], ["__next"], null_safe=True, derived=True)
     return joined.withColumn(until, F.least(F.col(until), F.date_sub("__next", 1))).drop("__next")

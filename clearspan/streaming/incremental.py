@@ -56,8 +56,8 @@ def register_arrivals(arrivals: DataFrame, ledger: DataFrame) -> DataFrame:
     )
     known = ledger.select("file_id", "content_hash").distinct().withColumn("__known", F.lit(1))
     versions = ledger.groupBy("file_id").agg(F.count_if(F.col("status") != "duplicate").alias("__versions"))
-    marked = lookup_join(contents, known, ["file_id", "content_hash"], ["__known"])
-    marked = lookup_join(marked, versions, ["file_id"], ["__versions"])
+    marked = lookup_join(contents, known, ["file_id", "content_hash"], ["__known"], derived=True)
+    marked = lookup_join(marked, versions, ["file_id"], ["__versions"], derived=True)
     fresh = F.when(F.col("__known").isNull(), 1).otherwise(0)
     order = Window.partitionBy("file_id").orderBy("registered_at", "content_hash").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum(fresh).over(order), F.lit(0)) + F.coalesce("__versions", F.lit(0))
