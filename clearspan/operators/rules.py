@@ -197,3 +197,33 @@ def first_rule(
     winners = pairs.groupBy(*profile).agg(F.min(ordinal).alias("__ordinal"))
     matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True, derived=True)
     return lookup_join(matched, rules, {"__ordinal": ordinal}, take).drop("__ordinal")
+
+
+def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] = (), yes_no: dict[str, str] = (), space_word: bool = False, bare_equal: bool = True):
+    """Rules with parsed conditions (all columns prefixed ``r_``) and the condition that joins them.
+
+    ``tokens``, ``numbers`` and ``yes_no`` map rule columns to the value columns they test.
+    """
+    parsed = rules.select(*[F.col(f"`{c}`").alias(f"r_{c}") for c in rules.columns])
+    for c in tokens:
+        parsed = parsed.withColumn(f"r_parsed_{c}", token_condition(F.col(f"r_{c}"), space_word))
+    for c in dict(numbers):
+        parsed = parsed.withColumn(f"r_parsed_{c}", number_condition(F.col(f"r_{c}").cast("string"), bare_equal))
+    spans = most_spans(parsed, [f"r_parsed_{c}" for c in tokens])
+    condition = F.lit(True)
+    for c, value in tokens.items():
+        condition = condition & token_match(F.col(f"r_parsed_{c}"), F.col(value), spans=spans)
+    for c, value in dict(numbers).items():
+        condition = condition & number_match(F.col(f"r_parsed_{c}"), F.col(value))
+    for c, value in dict(yes_no).items():
+        condition = condition & yes_no_match(F.col(f"r_{c}"), F.col(value))
+    return parsed, condition
+
+
+def rule_currencies(rules: DataFrame, amount: str, currency: str, most: int = 200) -> list[str]:
+    """Currencies of rules with an amount condition; a configuration list."""
+    found = rules.where(~is_blank(F.col(amount)) & ~is_blank(F.col(currency)))
+    names = [r[0] for r in found.select(F.upper(F.trim(currency)).alias("c")).distinct().orderBy("c").take(most + 1)]
+    if len(names) > most:
+        raise ValueError(f"more than {most} rule currencies")
+    return names

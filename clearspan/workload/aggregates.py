@@ -301,8 +301,10 @@ def _sorted(spark, sf_dir):
     ("rules",),
 )
 def _rule_priority(spark, sf_dir):
-    order = Window.partitionBy("nation").orderBy(C("var_bp").desc(), "rule_id")
-    return fixtures.rules(spark, sf_dir).select("rule_id", "nation", F.row_number().over(order).cast("bigint").alias("position"))
+    ordered = sinks.numbered(fixtures.rules(spark, sf_dir).select("rule_id", "nation", "var_bp"), ["nation", C("var_bp").desc(), "rule_id"], "overall")
+    first = ordered.groupBy("nation").agg(F.min("overall").alias("first"))
+    placed = lookup_join(ordered, first, ["nation"], ["first"])
+    return placed.select("rule_id", "nation", (C("overall") - C("first") + 1).alias("position"))
 
 
 @query("limit_one_lookup", "SELECT t.record, n.n_regionkey AS home_region FROM txn t, (SELECT min(n_regionkey) AS n_regionkey FROM nation WHERE n_name = 'NATION_7') n", ("txn",))

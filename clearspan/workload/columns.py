@@ -105,11 +105,11 @@ def _effective(spark, sf_dir):
 
 @query(
     "filter_in_list",
-    "SELECT record FROM txn WHERE file_no IN (SELECT CAST(user_id % 8 AS INT) FROM events WHERE event_type = 'purchase' AND value > 400)",
+    "SELECT record FROM txn WHERE file_no IN (SELECT CAST(user_id % 8 AS INT) FROM events WHERE event_type = 'purchase' AND value > 300)",
     ("txn",),
 )
 def _in_list(spark, sf_dir):
-    files = fixtures.table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 400")
+    files = fixtures.table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 300")
     listed = files.selectExpr("CAST(user_id % 8 AS INT) AS file_no")
     return filters.in_list(fixtures.txn(spark, sf_dir), listed, ["file_no"]).select("record")
 
