@@ -106,7 +106,7 @@ def fee_components(df: DataFrame, dims: list[str], count: str, amount: str) -> D
 def fee_totals(df: DataFrame, interchange: str = "TXN_IRF") -> DataFrame:
     families = sum((F.col(f"{f}_AMT") for f in FEE_FAMILIES[1:]), F.col(f"{FEE_FAMILIES[0]}_AMT"))
     return df.withColumn("TOT_PLUS_1_AMT", families.cast("decimal(28,8)")).withColumn(
-        "TOT_AMT", (F.col("TOT_PLUS_1_AMT") + F.col(interchange)).cast("decimal(28,8)")
+        "TOT_AMT", (F.col("TOT_PLUS_1_AMT") + F.col(interchange).cast("decimal(26,8)")).cast("decimal(28,8)")
     )
 
 

@@ -282,36 +282,32 @@ def _mc_fee(spark, sf_dir):
     FIRST_RULE_SQL,
 )
 def _first_match(spark, sf_dir):
-    """Rule loop in Arrow batches, a second way to the first rule that checks the compiled one.
+    """Rule text read in Arrow batches, a second way to the first rule that checks the compiled one.
 
-    The rules travel as one sorted array per nation; the loop sees one row and its rules.
+    Only candidates of equal nation inside the rule's validity reach the function; it reads
+    each distinct pair of condition and code of a batch once.
     """
-    table = fixtures.rules(spark, sf_dir)
-    per_nation = table.groupBy("nation").agg(F.sort_array(F.collect_list(F.struct("rule_id", "code_cond", "amount_min_cents", "valid_from", "valid_until"))).alias("rules"))
-    from clearspan.operators.lookup import lookup_join
-
-    rows = lookup_join(fixtures.txn(spark, sf_dir), per_nation, {"merchant_nation": "nation"}, ["rules"], derived=True)
-
-    def fits(rule, code, cents, day) -> bool:
-        condition = rule["code_cond"]
-        if condition == "NOT:07":
-            token = code != "07"
-        elif condition == "06-20":
-            token = code.isdigit() and 6 <= int(code) <= 20
-        else:
-            token = not condition or code in condition.split(",")
-        floor, until = rule["amount_min_cents"], rule["valid_until"]
-        return token and (floor is None or cents >= floor) and rule["valid_from"] <= day and (until is None or day <= until)
-
-    def match(batches):
-        for batch in batches:
-            found = [
-                next((r["rule_id"] for r in listed if fits(r, code, cents, day)), -1)
-                for listed, code, cents, day in zip(batch["rules"], batch["code"], batch["amount_cents"], batch["purchase_date"])
-            ]
-            yield pd.DataFrame({"record": batch["record"], "rule_id": found})
-
-    return rows.select("record", "rules", "code", "amount_cents", "purchase_date").mapInPandas(match, "record bigint, rule_id bigint")
+
+    def one(condition: str, code: str) -> bool:
+        wanted, negate = condition.removeprefix("NOT:"), condition.startswith("NOT:")
+        hits = [
+            code.isdigit() and int(t.split("-")[0]) <= int(code) <= int(t.split("-")[1]) if "-" in t else t == code
+            for t in wanted.split(",")
+        ]
+        return not condition or any(hits) != negate
+
+    @F.pandas_udf("boolean")
+    def token_fits(conditions: pd.Series, codes: pd.Series) -> pd.Series:
+        pairs = pd.DataFrame({"condition": conditions, "code": codes})
+        distinct = pairs.drop_duplicates()
+        distinct = distinct.assign(fits=[one(a, b) for a, b in zip(distinct["condition"], distinct["code"])])
+        return pairs.merge(distinct, on=["condition", "code"], how="left")["fits"]
+
+    rows = fixtures.txn(spark, sf_dir)
+    floor = C("amount_min_cents").isNull() | (C("amount_cents") >= C("amount_min_cents"))
+    pairs = rules.rule_pairs(rows, fixtures.rules(spark, sf_dir), {"merchant_nation": "nation"}, "purchase_date", floor)
+    firsts = pairs.where(token_fits("code_cond", "code")).groupBy("record").agg(F.min("rule_id").alias("rule_id"))
+    return rows.select("record").join(firsts, "record", "left").select("record", F.coalesce("rule_id", F.lit(-1)).alias("rule_id"))
 
 
 # Elements 3, 4, 24, 48 and 49 present; every other message ends inside element 48.
