@@ -15,7 +15,8 @@ from clearspan.workload.registry import query
 C = F.col
 
 # A point's best range: newest effective date, then the higher end, then the id.
-BEST_RANGE = [C("effective_date").desc(), C("high_key").desc(), C("range_id")]
+def best_first():
+    return [C("effective_date").desc(), C("high_key").desc(), C("range_id")]
 
 
 def fx_rates(spark, sf_dir):
@@ -41,7 +42,7 @@ RATE_SQL = "CAST(rate_ppm * CAST('0.000001' AS DECIMAL(7,6)) AS DECIMAL(18,10))"
 def jurisdiction_summary(spark, sf_dir):
     rows = ranges.best_range(
         fixtures.txn(spark, sf_dir), fixtures.acct_range(spark, sf_dir), ["acct9", "purchase_date"], C("acct9"), "low_key", "high_key",
-        BEST_RANGE, {"range_nation": "range_nation"}, also=C("effective_date") <= C("purchase_date"),
+        best_first(), {"range_nation": "range_nation"}, also=C("effective_date") <= C("purchase_date"),
     )
     nation = fixtures.table(spark, sf_dir, "nation")
     rows = lookup_join(rows, nation, {"range_nation": "n_nationkey"}, {"n_regionkey": "range_region"})
@@ -89,7 +90,7 @@ def _overlap(spark, sf_dir):
     # Twelve-digit ranges against the interval an account of nine digits can stand for.
     spread = fixtures.acct_range(spark, sf_dir).withColumns({"low12": C("low_key") * 1000, "high12": C("high_key") * 1000 + 999})
     out = ranges.best_range(
-        fixtures.txn(spark, sf_dir), spread, ["acct9"], C("acct9") * 1000, "low12", "high12", BEST_RANGE, {"range_id": "range_id"},
+        fixtures.txn(spark, sf_dir), spread, ["acct9"], C("acct9") * 1000, "low12", "high12", best_first(), {"range_id": "range_id"},
         point_end=C("acct9") * 1000 + 49_999_999, levels=(8, 9, 12),
     )
     return out.select("record", "range_id")

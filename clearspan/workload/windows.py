@@ -8,7 +8,7 @@ from clearspan import fixtures
 from clearspan.functions.dates import timestamp_text
 from clearspan.operators import ranges, records, rules, versions
 from clearspan.sources.sinks import numbered
-from clearspan.workload.joins import BEST_RANGE, RULE_MATCH, parsed_rules, rule_conditions
+from clearspan.workload.joins import RULE_MATCH, best_first, parsed_rules, rule_conditions
 from clearspan.workload.registry import query
 
 C = F.col
@@ -36,7 +36,7 @@ def _latest(spark, sf_dir):
 def _best(spark, sf_dir):
     rows = ranges.best_range(
         fixtures.txn(spark, sf_dir), fixtures.acct_range(spark, sf_dir), ["acct9", "purchase_date"], C("acct9"), "low_key", "high_key",
-        BEST_RANGE, {"range_id": "range_id", "product": "product"}, also=C("effective_date") <= C("purchase_date"),
+        best_first(), {"range_id": "range_id", "product": "product"}, also=C("effective_date") <= C("purchase_date"),
     )
     return rows.select("record", "range_id", "product")
 
