@@ -22,6 +22,14 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows over all shuffle partitions: few and small rows that each cause much work.
+
+    Adaptive execution would merge them into few tasks by their size alone.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than needed to tell."""
     return df.limit(max_rows + 1).count() <= max_rows

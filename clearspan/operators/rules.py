@@ -3,7 +3,7 @@
 Rule text is parsed on the rule table (small) into arrays and bounds. Matching then needs
 only comparisons, so Catalyst compiles it: an equi-join on the rule's key columns with the
 date range and the parsed conditions as join condition, and the lowest ordinal per distinct
-set of compared values. Rows that agree on all compared columns share one match.
+set of compared values. Rows that cannot be told apart by any rule share one match.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearspan.functions.text import rule_text
-from clearspan.operators.lookup import BROADCAST_ROWS, fits, lookup_join
+from clearspan.operators.lookup import BROADCAST_ROWS, fits, lookup_join, materialised, spread
 
 # Spellings of "no condition".
 NO_CONDITION = ["", "none", "nan", "null"]
@@ -181,26 +181,78 @@ def rule_pairs(
     return facts.join(side, cond)
 
 
+MAX_THRESHOLDS = 400
+
+
+def _segment(value: Column, thresholds: list) -> Column:
+    """Number of sorted thresholds a value has reached, found by halving; missing values give -1."""
+
+    def part(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        middle = (lo + hi) // 2
+        bound, strict = thresholds[middle]
+        reached = value > F.lit(bound) if strict else value >= F.lit(bound)
+        return F.when(reached, part(middle + 1, hi)).otherwise(part(lo, middle))
+
+    return F.when(value.isNull(), F.lit(-1)).otherwise(part(0, len(thresholds)))
+
+
+def _thresholds(rules: DataFrame, conditions: list[str]) -> list | None:
+    """Sorted (bound, strict) points where a comparison with any rule changes; None when there are too many."""
+    points = []
+    for c in conditions:
+        points.append(F.struct(F.col(c)["lo"].alias("bound"), (~F.col(c)["lo_in"]).alias("strict")))
+        points.append(F.struct(F.col(c)["hi"].alias("bound"), F.col(c)["hi_in"].alias("strict")))
+    found = rules.select(F.explode(F.array(*points)).alias("p")).where("p.bound IS NOT NULL").select("p.*").distinct()
+    rows = found.take(MAX_THRESHOLDS + 1)
+    return None if len(rows) > MAX_THRESHOLDS else sorted((r["bound"], r["strict"]) for r in rows)
+
+
 def first_rule(
     facts: DataFrame, rules: DataFrame, keys: dict[str, str], day: str, compared: list[str], ordinal: str,
-    take: dict[str, str], conditions: Column | None = None, valid_from="valid_from", valid_until="valid_until",
+    take: dict[str, str], conditions: Column | None = None, condition_columns: list[str] = (), numbers: dict[str, str] = (),
+    valid_from="valid_from", valid_until="valid_until",
 ) -> DataFrame:
     """Attach the matching rule with the lowest ordinal; rows without a match get nulls.
 
-    ``compared`` are the fact columns the conditions read besides the keys and the day.
-    Matching runs on their distinct combinations, and the winner's ordinal is looked up
-    back, so repeated combinations and rows of one busy key cost one match.
+    ``compared`` are the fact columns the conditions compare by value, ``numbers`` maps parsed
+    bounds of rules to the fact columns inside them, and ``condition_columns`` are all rule
+    columns the conditions read. Three exact reductions keep the matching small:
+
+    - rules that agree on every condition count once, with their lowest ordinal;
+    - a number matters only by the segment between rule bounds it falls into, so the facts
+      shrink to distinct (keys, day, compared values, segments) before any rule is tried: their
+      count follows the rules and the calendar, not the facts;
+    - the winners are looked up back by these few columns.
     """
-    profile = list(dict.fromkeys([*keys, day, *compared]))
-    distinct = facts.select(*profile).distinct()
-    pairs = rule_pairs(distinct, rules, keys, day, conditions, valid_from, valid_until)
-    winners = pairs.groupBy(*profile).agg(F.min(ordinal).alias("__ordinal"))
+    numbers = dict(numbers)
+    alike = [*keys.values(), valid_from, valid_until, *condition_columns]
+    table = materialised(rules.groupBy(*dict.fromkeys(alike)).agg(F.min(ordinal).alias("__ordinal")))
+
+    profile, segmented, tested = list(dict.fromkeys([*keys, day, *compared])), {}, {}
+    for bounds, value in numbers.items():
+        tested.setdefault(value, []).append(bounds)
+    for value, bounds in tested.items():
+        thresholds = _thresholds(table, bounds)
+        if thresholds is None:
+            profile.append(value)
+        else:
+            segmented[value] = f"__seg_{len(segmented)}"
+            facts = facts.withColumn(segmented[value], _segment(F.col(value), thresholds))
+    profile = list(dict.fromkeys([*profile, *segmented.values()]))
+    examples = [F.min(v).alias(v) for v in segmented]
+    distinct = facts.groupBy(*profile).agg(*examples) if examples else facts.select(*profile).distinct()
+    pairs = rule_pairs(spread(distinct, profile), table, keys, day, conditions, valid_from, valid_until)
+    winners = pairs.groupBy(*profile).agg(F.min("__ordinal").alias("__ordinal"))
     matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True, derived=True)
-    return lookup_join(matched, rules, {"__ordinal": ordinal}, take).drop("__ordinal")
+    found = lookup_join(matched, rules, {"__ordinal": ordinal}, take)
+    return found.drop("__ordinal", *segmented.values())
 
 
 def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] = (), yes_no: dict[str, str] = (), space_word: bool = False, bare_equal: bool = True):
-    """Rules with parsed conditions (all columns prefixed ``r_``) and the condition that joins them.
+    """Rules with parsed conditions (all columns prefixed ``r_``), the condition that joins them, the rule
+    columns it reads, and which parsed bounds test which value column.
 
     ``tokens``, ``numbers`` and ``yes_no`` map rule columns to the value columns they test.
     """
@@ -217,7 +269,8 @@ def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] =
         condition = condition & number_match(F.col(f"r_parsed_{c}"), F.col(value))
     for c, value in dict(yes_no).items():
         condition = condition & yes_no_match(F.col(f"r_{c}"), F.col(value))
-    return parsed, condition
+    read = [f"r_parsed_{c}" for c in [*tokens, *dict(numbers)]] + [f"r_{c}" for c in dict(yes_no)]
+    return parsed, condition, read, {f"r_parsed_{c}": value for c, value in dict(numbers).items()}
 
 
 def rule_currencies(rules: DataFrame, amount: str, currency: str, most: int = 200) -> list[str]:

@@ -67,13 +67,12 @@ def _product(rows: DataFrame, products: DataFrame, brand: str, key: str) -> Data
 
 
 def _switch(rows: DataFrame, local_files: DataFrame, switches: DataFrame, client: Client, brand: str) -> DataFrame:
-    """Switch of the client for rows of local files; a configuration lookup on a literal key."""
+    """Switch code of rows of local files: the client's one configured number, else 0."""
+    mine = switches.where((C("customer_code") == client.code) & (C("brand_code") == brand))
+    switch = mine.agg(F.min("switch_id").alias("id")).first()["id"] or 0
     listed = local_files.select("content_hash").distinct().withColumn("__local", F.lit(1))
     rows = lookup_join(rows, listed, ["content_hash"], ["__local"], derived=True)
-    config = switches.groupBy("customer_code", "brand_code").agg(F.min("switch_id").alias("switch_id"))
-    rows = rows.withColumns({"__c": F.lit(client.code), "__b": F.lit(brand)})
-    rows = lookup_join(rows, config, {"__c": "customer_code", "__b": "brand_code"}, ["switch_id"])
-    return rows.withColumn("switch_code", classify.switch_code(C("__local").isNotNull(), C("switch_id")).cast("int")).drop("__local", "__c", "__b", "switch_id")
+    return rows.withColumn("switch_code", classify.switch_code(C("__local").isNotNull(), F.lit(switch)).cast("int")).drop("__local")
 
 
 def _detail(rows: DataFrame, values: dict, client: Client, is_own, copy_label: str) -> DataFrame:

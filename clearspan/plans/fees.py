@@ -89,14 +89,29 @@ def _amounts_by_currency(rows: DataFrame, rates: DataFrame, amount: str, currenc
     return rows.withColumns(new).drop("rates_to")
 
 
-def _amount_match(condition, currency, targets: list[str], own=None):
-    """Amount condition in the rule's currency; without a known one ``own`` is compared, or nothing."""
-    value = F
+def _split_amounts(parsed: DataFrame, amount: str, currency: str, targets: list[str], own: str | None = None, bare_equal: bool = True):
+    """Amount condition as one column of bounds per rule currency, and which value each one tests.
+
+    Conditions without a known currency test the column ``own``, or nothing.
+    """
+    condition = rules.number_condition(C(f"r_{amount}").cast("string"), bare_equal)
+    code = F.upper(F.trim(f"r_{currency}"))
+    bounds = {}
+    for t in targets:
+        parsed = parsed.withColumn(f"r_bounds_{t.lower()}", F.when(code == t, condition))
+        bounds[f"r_bounds_{t.lower()}"] = f"amount_in_{t.lower()}"
+    if own:
+        other = code.isNull() | ~code.isin(targets) if targets else F.lit(True)
+        parsed = parsed.withColumn("r_bounds_own", F.when(other, condition))
+        bounds["r_bounds_own"] = own
+    return parsed, bounds
+
+
+def _amount_match(targets: list[str], own: str | None = None):
+    match = F.lit(True)
     for t in targets:
-        value = value.when(F.upper(F.trim(currency)) == t, C(f"amount_in_{t.lower()}"))
-    if own is None:
-        return rules.is_blank(currency) | rules.number_match(condition, value.otherwise(F.lit(None)) if targets else F.lit(None).cast(rules.BOUND))
-    return rules.number_match(condition, value.otherwise(own) if targets else own)
+        match = match & rules.number_match(C(f"r_bounds_{t.lower()}"), C(f"amount_in_{t.lower()}"))
+    return match & rules.number_match(C("r_bounds_own"), C(own)) if own else match
 
 
 def _one_rate(rates: DataFrame, keys: list[str]) -> DataFrame:
@@ -125,18 +140,18 @@ def assign_text_rules(rows: DataFrame, rule_table: DataFrame, rates: DataFrame,
     has_amount = {RULE_AMOUNT, RULE_AMOUNT_CURRENCY} <= set(table.columns)
     targets = rules.rule_currencies(table, RULE_AMOUNT, RULE_AMOUNT_CURRENCY) if has_amount else []
     facts = _amounts_by_currency(rows, by_date, RULE_AMOUNT, RULE_AMOUNT_CURRENCY, targets, [day]).withColumns(values)
-    parsed, condition = rules.matcher(
+    parsed, condition, read, bounds = rules.matcher(
         table, {c: f"v_{c}" for c in texts}, {c: f"v_{c}" for c in tested if c in NUMBER_CONDITIONS},
         {c: f"v_{c}" for c in tested if c in YES_NO_CONDITIONS}, space_word=True,
     )
-    compared = list(values)
+    compared = [v for v in values if v not in bounds.values()]
     if has_amount:
-        parsed = parsed.withColumn("r_amount_parsed", rules.number_condition(C(f"r_{RULE_AMOUNT}").cast("string")))
-        condition = condition & _amount_match(C("r_amount_parsed"), C(f"r_{RULE_AMOUNT_CURRENCY}"), targets)
-        compared += [f"amount_in_{t.lower()}" for t in targets]
+        parsed, more = _split_amounts(parsed, RULE_AMOUNT, RULE_AMOUNT_CURRENCY, targets)
+        condition = condition & _amount_match(targets)
+        read, bounds = [*read, *more], {**bounds, **more}
     take = {f"r_{c}": f"interchange_{c}" for c in ("rule_id", "fee_descriptor", "fee_currency", "fee_variable", "fee_fixed", "fee_min", "fee_cap")}
     matched = rules.first_rule(
-        facts, parsed, {"jurisdiction_assigned": "r_region_country_code"}, day, compared, "r_ordinal", take, condition, "r_valid_from", "r_valid_until"
+        facts, parsed, {"jurisdiction_assigned": "r_region_country_code"}, day, compared, "r_ordinal", take, condition, read, bounds, "r_valid_from", "r_valid_until",
     )
     unmatched = C("interchange_rule_id").isNull()
     zero = F.lit(0).cast("decimal(14,8)")
@@ -210,15 +225,16 @@ def assign_message_rules(rows: DataFrame, rule_table: DataFrame, rates: DataFram
     facts = _amounts_by_currency(
         rows, rates.withColumnRenamed("rate_date", "txn_date"), "amount_transaction", "amount_transaction_currency", targets, ["txn_date"]
     ).withColumns({**values, "region_key": F.upper(F.trim("jurisdiction")), "ird_key": F.upper(F.trim("ird"))})
-    parsed, condition = rules.matcher(table, tokens, bare_equal=False)
-    compared = [*values, "amount_transaction", *[f"amount_in_{t.lower()}" for t in targets]]
+    parsed, condition, read, bounds = rules.matcher(table, tokens, bare_equal=False)
     if has_amount:
-        parsed = parsed.withColumn("r_amount_parsed", rules.number_condition(C("r_amount_transaction").cast("string"), bare_equal=False))
-        condition = condition & _amount_match(C("r_amount_parsed"), C("r_amount_transaction_currency"), targets, own=C("amount_transaction"))
+        facts = facts.withColumn("own_amount", C("amount_transaction").cast(rules.BOUND))
+        parsed, more = _split_amounts(parsed, "amount_transaction", "amount_transaction_currency", targets, "own_amount", bare_equal=False)
+        condition = condition & _amount_match(targets, "own_amount")
+        read, bounds = [*read, *more], {**bounds, **more}
     take = {f"r_{c}": c for c in ("region_country_code", "rule_id", "rate_currency", "rate_variable", "rate_fixed", "rate_min", "rate_cap", "valid_from", "valid_until")}
     take["r_ordinal"] = "rule"
     matched = rules.first_rule(
-        facts, parsed, {"region_key": "r_region_key", "ird_key": "r_ird_key"}, "txn_date", compared, "r_ordinal", take, condition, "r_valid_from", "r_valid_until"
+        facts, parsed, {"region_key": "r_region_key", "ird_key": "r_ird_key"}, "txn_date", list(values), "r_ordinal", take, condition, read, bounds, "r_valid_from", "r_valid_until",
     )
     return matched.withColumn("rule", F.coalesce("rule", F.lit(0))).select(*rows.columns, *take.values())
 

@@ -14,7 +14,7 @@ from clearspan.plans.visa_calculate import Client, _listed
 C = F.col
 KEYS = ["file_id", "file_idn", "ref_id"]
 # Ranges have 18 digits; an account's first nine digits stand for an interval as wide as 10^9.
-LEVELS = (9, 11, 13, 18)
+LEVELS = tuple(range(9, 19))
 OUTPUT = [
     "file_id", "ref_id", "file_idn", "client_id", "file_dt", "type_mti", "business_mode", "jurisdiction",
     "jurisdiction_country", "jurisdiction_region", "funding_source", "gcms_product_identifier", "card_program_identifier",

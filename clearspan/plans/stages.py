@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from clearspan.functions import text, typed
 from clearspan.functions.message import decode_messages
 from clearspan.operators import joins, records
-from clearspan.operators.lookup import lookup_join
 from clearspan.sources import sinks
 
 C = F.col
@@ -23,6 +22,7 @@ TAGS_BY_FUNCTION = {
     "691": [5, 6, 25, 138, 165, 280],
 }
 FILE_ID_TAG = "0105"
+MOST_CURRENCIES = 1000
 
 
 def text_records(lines: DataFrame, family: str, group: list[str], order: str, size: int) -> DataFrame:
@@ -74,10 +74,12 @@ def message_values(messages: DataFrame, message_class: str, subfields: dict[str,
 def typed_messages(values: DataFrame, names: dict[str, str], catalog: list[dict], currency: DataFrame, keep: list[str]) -> DataFrame:
     """Business names and declared types; decimals of an amount come from its currency."""
     renamed = values.withColumnsRenamed(names)
-    pairs = currency.groupBy(F.lpad(F.trim(C("currency_numeric_code").cast("string")), 3, "0").alias("k")).agg(F.max("decimals").alias("v"))
-    one = pairs.agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("decimals_of"))
-    # One row of at most a few hundred currencies, on a constant key.
-    rows = lookup_join(renamed.withColumn("__one", F.lit(1)), one.withColumn("one", F.lit(1)), {"__one": "one"}, ["decimals_of"], derived=True)
+    code = F.lpad(F.trim(C("currency_numeric_code").cast("string")), 3, "0")
+    pairs = currency.groupBy(code.alias("k")).agg(F.max("decimals").alias("v")).where("k IS NOT NULL").take(MOST_CURRENCIES + 1)
+    if len(pairs) > MOST_CURRENCIES:
+        raise ValueError("the currency table has more codes than three digits allow")
+    cells = [F.lit(x).cast(t) for r in pairs for x, t in ((r["k"], "string"), (r["v"], "int"))]
+    rows = renamed.withColumn("decimals_of", F.create_map(*cells))
     return rows.select(*keep, *typed.message_columns(rows, catalog))
 
 

@@ -206,7 +206,7 @@ MC_MESSAGES = {
     "type_mti": "CASE WHEN file_no = 0 THEN '1442' WHEN file_no = 1 THEN '1740' ELSE '1240' END", "pan_de_2": "CASE WHEN file_no = 5 THEN 'X' ELSE '' END || CAST(acct9 AS STRING) || '0000000'", "acquirer_reference_data_de_31": "'2' || lpad(CAST(file_no AS STRING), 6, '0')",
     "card_acceptor_country_code_de_43_6": "'NN' || CAST(merchant_nation AS STRING)", "settlement_indicator_1_pds_165_1": "CASE WHEN file_no = 4 THEN 'c' END",
     "amount_transaction_de_4": "CAST(amount_cents * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(18,4))", "amount_reconciliation_de_5": "CAST(amount_cents * CAST('0.02' AS DECIMAL(3,2)) AS DECIMAL(18,4))",
-    "currency_code_transaction_de_49": NUMERIC, "currency_code_reconciliation_de_50": "'826'", "message_number_de_71": "CAST(record % 100 AS STRING)", "content_hash": "md5(CAST(file_no AS STRING))",
+    "currency_code_transaction_de_49": NUMERIC, "currency_code_reconciliation_de_50": "CASE WHEN file_no < 99 THEN '826' ELSE '978' END", "message_number_de_71": "CAST(record % 100 AS STRING)", "content_hash": "md5(CAST(file_no AS STRING))",
 }
 
 
@@ -305,7 +305,9 @@ def _first_match(spark, sf_dir):
 
     rows = fixtures.txn(spark, sf_dir)
     floor = C("amount_min_cents").isNull() | (C("amount_cents") >= C("amount_min_cents"))
-    pairs = rules.rule_pairs(rows, fixtures.rules(spark, sf_dir), {"merchant_nation": "nation"}, "purchase_date", floor)
+    alike = ["nation", "code_cond", "amount_min_cents", "valid_from", "valid_until"]
+    table = fixtures.rules(spark, sf_dir).groupBy(*alike).agg(F.min("rule_id").alias("rule_id"))
+    pairs = rules.rule_pairs(rows, table, {"merchant_nation": "nation"}, "purchase_date", floor)
     firsts = pairs.where(token_fits("code_cond", "code")).groupBy("record").agg(F.min("rule_id").alias("rule_id"))
     return rows.select("record").join(firsts, "record", "left").select("record", F.coalesce("rule_id", F.lit(-1)).alias("rule_id"))
 

@@ -91,7 +91,7 @@ def _overlap(spark, sf_dir):
     spread = fixtures.acct_range(spark, sf_dir).withColumns({"low12": C("low_key") * 1000, "high12": C("high_key") * 1000 + 999})
     out = ranges.best_range(
         fixtures.txn(spark, sf_dir), spread, ["acct9"], C("acct9") * 1000, "low12", "high12", best_first(), {"range_id": "range_id"},
-        point_end=C("acct9") * 1000 + 49_999_999, levels=(8, 9, 12),
+        point_end=C("acct9") * 1000 + 49_999_999, levels=tuple(range(8, 13)),
     )
     return out.select("record", "range_id")
 
@@ -108,8 +108,12 @@ def parsed_rules(spark, sf_dir):
     return parsed.withColumn("amount_parsed", rules.number_condition(floor))
 
 
+RULE_CONDITIONS = ["nation", "valid_from", "valid_until", "code_parsed", "amount_parsed"]
+
+
 def rule_conditions(spans: int):
-    return rules.token_match(C("code_parsed"), C("code"), spans=spans) & rules.number_match(C("amount_parsed"), C("amount_cents"))
+    """Conditions on ``code`` and on ``cents``, the amount in the type of rule bounds."""
+    return rules.number_match(C("amount_parsed"), C("cents")) & rules.token_match(C("code_parsed"), C("code"), spans=spans)
 
 
 @query(
@@ -118,10 +122,12 @@ def rule_conditions(spans: int):
     ("txn", "rules"),
 )
 def _rule_join(spark, sf_dir):
-    parsed = parsed_rules(spark, sf_dir)
-    spans = rules.most_spans(parsed, ["code_parsed"])
-    pairs = rules.rule_pairs(fixtures.txn(spark, sf_dir), parsed, {"merchant_nation": "nation"}, "purchase_date", rule_conditions(spans))
-    return pairs.groupBy("merchant_nation", "code").agg(F.count("*").alias("pairs"), F.sum("rule_id").alias("id_sum"))
+    # Rules that agree on all conditions match the same rows, so they are joined as one.
+    alike = parsed_rules(spark, sf_dir).groupBy(*RULE_CONDITIONS).agg(F.count("*").alias("n"), F.sum("rule_id").alias("ids"))
+    spans = rules.most_spans(alike, ["code_parsed"])
+    rows = fixtures.txn(spark, sf_dir).withColumn("cents", C("amount_cents").cast(rules.BOUND))
+    pairs = rules.rule_pairs(rows, alike, {"merchant_nation": "nation"}, "purchase_date", rule_conditions(spans))
+    return pairs.groupBy("merchant_nation", "code").agg(F.sum("n").alias("pairs"), F.sum("ids").alias("id_sum"))
 
 
 @query(

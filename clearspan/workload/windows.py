@@ -44,9 +44,10 @@ def _best(spark, sf_dir):
 def matched_rules(spark, sf_dir):
     parsed = parsed_rules(spark, sf_dir)
     conditions = rule_conditions(rules.most_spans(parsed, ["code_parsed"]))
+    rows = fixtures.txn(spark, sf_dir).withColumn("cents", C("amount_cents").cast(rules.BOUND))
     return rules.first_rule(
-        fixtures.txn(spark, sf_dir), parsed, {"merchant_nation": "nation"}, "purchase_date", ["code", "amount_cents"], "rule_id",
-        {c: c for c in ("rule_id", "var_bp", "fix_cents", "min_cents", "cap_cents")}, conditions,
+        rows, parsed, {"merchant_nation": "nation"}, "purchase_date", ["code"], "rule_id", {c: c for c in ("rule_id", "var_bp", "fix_cents", "min_cents", "cap_cents")},
+        conditions, ["code_parsed", "amount_parsed"], {"amount_parsed": "cents"},
     )
 
 
