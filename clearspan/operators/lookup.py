@@ -27,7 +27,9 @@ def spread(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Adaptive execution would merge them into few tasks by their size alone.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
