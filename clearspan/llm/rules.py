@@ -23,17 +23,19 @@ GOOD, BAD, ABSTAIN = 1, -1, 0
 
 #: A vote is a comparison of two integer expressions of the base values: (rule, bad if, good if).
 #: The same text is valid in Spark and in the SQL the query is checked against.
+#: A rule that finds no fault abstains, unless having none of it speaks for a document.
 RULES = {
-    "symbols": ("n_symbols * 4 > n_words", "n_symbols * 20 <= n_words"),
-    "repetition": ("n_repeat_words * 100 > 30 * n_words", "n_repeat_words * 100 <= 10 * n_words"),
-    "dup_lines": ("n_dup_lines >= 3", "n_dup_lines = 0"),
-    "word_length": ("word_chars > 14 * n_words OR word_chars < 2 * n_words", "word_chars BETWEEN 3 * n_words AND 9 * n_words"),
+    "symbols_per_word": ("n_symbols * 4 > n_words", "n_symbols * 20 <= n_words"),
+    "symbols_per_char": ("n_symbols * 20 > word_chars", "n_symbols * 100 <= word_chars"),
+    "repetition": ("n_repeat_words * 100 > 30 * n_words", "n_repeat_words * 100 <= 5 * n_words"),
+    "dup_lines": ("n_dup_lines >= 3 AND n_dup_lines * 200 > n_words", "FALSE"),
+    "word_length": ("word_chars > 14 * n_words OR word_chars < 2 * n_words", "FALSE"),
     "length": ("n_words < 60 AND n_symbols * 2 > n_words", "n_words >= 100"),
 }
 
 #: Beliefs before any vote: share of good documents, how a rule votes on each class, and their weight in documents.
 PRIOR_GOOD = 0.9
-PRIOR_VOTES = {"good": {GOOD: 0.80, BAD: 0.02, ABSTAIN: 0.18}, "bad": {GOOD: 0.30, BAD: 0.50, ABSTAIN: 0.20}}
+PRIOR_VOTES = {"good": {GOOD: 0.60, BAD: 0.02, ABSTAIN: 0.38}, "bad": {GOOD: 0.25, BAD: 0.40, ABSTAIN: 0.35}}
 PRIOR_WEIGHT = 0.2
 ROUNDS = 25
 THRESHOLD = 0.5
