@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspan.llm import mixing, rules, sharding, sql, urls
+from clearspan.llm import bpe, classifier, mixing, ppm, rules, sharding, sql, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,13 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 SHARD_WEIGHTS = [1.0] * 8
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -33,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classifier.score_documents(docs, classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge_documents(table(spark, sf_dir, "documents"))
@@ -55,3 +68,24 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.rules_table(spark, URL_RULES))
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path()
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = ppm.trained(docs.where(~ppm.held_out(F.col("doc_id"))))
+    scored = ppm.score_texts(docs, counts)
+    return scored.select("doc_id", ppm.held_out(F.col("doc_id")).alias("held_out"), *scored.columns[1:])
