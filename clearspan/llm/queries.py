@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspan.llm import bpe, classifier, minhash, mixing, ppm, rules, sharding, sql, urls
+from clearspan.llm import bpe, classifier, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ppm.trained(docs.where(~ppm.held_out(F.col("doc_id"))))
     scored = ppm.score_texts(docs, counts)
     return scored.select("doc_id", ppm.held_out(F.col("doc_id")).alias("held_out"), *scored.columns[1:])
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
