@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspan.llm import bpe, classifier, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
+from clearspan.llm import bpe, classifier, extraction, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("quality")
 
 
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = extraction.extract_pages(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
