@@ -223,3 +223,13 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
     scored = docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores at least ``threshold``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in chunks(batches):
+            yield rows.filter(pa.array(model.score(features(texts)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

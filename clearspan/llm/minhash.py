@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from clearspan.llm.batches import Words, chunks, lowered, mixed, windows
 from clearspan.llm.common import kept_once
@@ -240,6 +241,14 @@ def signed_texts(docs: DataFrame) -> DataFrame:
     return keyed.select(_unnumbered().alias("node"), "text").distinct()
 
 
+def grouped_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``signed`` with ``found``: the smallest node that links lead to; null without number and shingles."""
+    rows, links = linked(docs)
+    grouped = components(links).withColumnRenamed("node", "__node")
+    joined = rows.join(grouped, F.col("node") == F.col("__node"), "left")
+    return joined.select("doc_id", "set_key", "n_shingles", F.coalesce("component", "node", F.col("doc_id").cast("bigint")).alias("found"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -250,10 +259,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     holds if ``doc_id`` and ``component_id`` are the same, null included. Other columns are neither
     read nor returned.
     """
-    rows, links = linked(docs)
-    grouped = components(links).withColumnRenamed("node", "__node")
-    joined = rows.join(grouped, F.col("node") == F.col("__node"), "left")
-    found = F.coalesce("component", "node", F.col("doc_id").cast("bigint"))
-    component = F.when(found < UNNUMBERED, found).cast(docs.schema["doc_id"].dataType)
-    result = joined.select("doc_id", "n_shingles", component.alias("component_id"))
+    rows = grouped_rows(docs)
+    component = F.when(F.col("found") < UNNUMBERED, F.col("found")).cast(docs.schema["doc_id"].dataType)
+    result = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: that of the smallest ``doc_id``.
+
+    Rows with the same ``doc_id`` are one document. Of rows alike in ``doc_id`` the one with the smallest text by its
+    digest stays. Rows without ``doc_id`` give way to numbered ones; of a group of them the one with the smallest
+    digest stays, and those without words all stay.
+    """
+    rows = kept_once(grouped_rows(docs))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    packed = docs.select(whole, F.col("doc_id").cast("bigint").alias("__id"), F.md5(F.encode(F.col("text").cast("string"), "UTF-8")).alias("__digest"))
+    ids = rows.where("doc_id = found").select(F.col("doc_id").cast("bigint").alias("__kept")).distinct()
+    first = Window.partitionBy("__id").orderBy("__digest")
+    chosen = packed.join(ids, F.col("__id") == F.col("__kept")).withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    chosen = chosen.select("__row.*")
+    if not rows.where("doc_id IS NULL").limit(1).count():
+        return chosen
+    # Only rows without an id need their set again, to find the group that they are in.
+    lone = packed.where("__id IS NULL").withColumn("text", F.col("__row.text").cast("string"))
+    keyed = with_set_keys(lone)
+    heads = rows.where("doc_id IS NULL AND n_shingles > 0").groupBy("found").agg(F.min("set_key").alias("__head")).where(F.col("found") >= UNNUMBERED)
+    best = Window.partitionBy("set_key").orderBy("__digest")
+    found = keyed.where("n_shingles > 0").join(heads, F.col("set_key") == F.col("__head")).withColumn("__n", F.row_number().over(best)).where("__n = 1")
+    return chosen.union(found.select("__row.*")).union(keyed.where("n_shingles = 0").select("__row.*"))
+
+
+def with_set_keys(df: DataFrame) -> DataFrame:
+    """Columns ``__row, __digest, set_key, n_shingles`` for rows with a ``text``."""
+    schema = T.StructType([df.schema["__row"], df.schema["__digest"], *T._parse_datatype_string("set_key binary, n_shingles long").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in chunks(batches):
+            sets = shingle_sets(lowered(texts))
+            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            sizes = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([rows.column("__row"), rows.column("__digest"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], ["__row", "__digest", "set_key", "n_shingles"])
+
+    return df.select("__row", "__digest", "text").mapInArrow(run, schema)

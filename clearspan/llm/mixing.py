@@ -66,8 +66,8 @@ def time_of(share: Column, schedule: tuple[float, ...]) -> Column:
     return found.otherwise(F.lit(1.0))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedules=SCHEDULES) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken, rank, passes``.
+def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedules=SCHEDULES, keep: tuple[Column, ...] = ()) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, taken, rank, passes`` and the columns ``keep``.
 
     ``size`` is the number of words (null text: 0). ``passes`` lists the document's occurrences in the mix as
     ``(words, position)``, position being the training time from 0 to 1; ``taken`` is the sum of their words.
@@ -76,7 +76,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedu
     ``source`` is a source; empty texts have an empty list. Other columns are neither read nor returned.
     """
     # Kept: words are counted once, and every later step works on three narrow columns.
-    sized = kept_once(docs.select("doc_id", F.col("source"), word_count(text_of()).alias("size")))
+    sized = kept_once(docs.select("doc_id", F.col("source"), word_count(text_of()).alias("size"), *keep))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     targets = source_targets(sizes, weights, max_repeats).withColumnRenamed("source", "__source")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -102,7 +102,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedu
     listed = placed.withColumn("passes", F.filter(every, lambda o: o["words"] > 0))
     taken = F.aggregate("passes", F.lit(0).cast("bigint"), lambda total, o: total + o["words"])
     return listed.select(
-        "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"), "target", taken.alias("taken"), "rank", "passes"
+        "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"), "target", taken.alias("taken"), "rank", "passes",
+        *sized.columns[3:],
     )
 
 
@@ -112,3 +113,27 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
         *[c for c in mixed.columns if c != "passes"], "pass", F.col("__o.words").alias("words"), F.col("__o.position").alias("position")
     )
     return single.repartitionByRange("position", "doc_id", "pass").sortWithinPartitions("position", "doc_id", "pass")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the mix takes them, in training order.
+
+    An occurrence counts if at least half of the document's words are taken, and is then whole. Rows of equal
+    ``doc_id``, ``source`` and text take the places of their kind in any order.
+    """
+    digest = F.md5(F.encode(text_of(), "UTF-8"))
+    keys = ["__id", "__source", "__digest"]
+    alike = Window.partitionBy(*keys).orderBy("__id")
+    mixed = mix(docs, keep=(digest.alias("__digest"),), **options)
+    taken = F.filter("passes", lambda o: o["words"] * 2 >= F.col("size"))
+    wanted = mixed.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__digest", taken.alias("__passes"))
+    wanted = wanted.withColumn("__n", F.row_number().over(alike)).where(F.size("__passes") > 0)
+    wanted = wanted.select(*[F.col(k).alias(f"{k}_") for k in [*keys, "__n"]], "__passes")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
+        digest.alias("__digest"),
+    ).withColumn("__n", F.row_number().over(alike))
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in [*keys, "__n"]]
+    joined = rows.join(wanted, same).select("__row", "__id", F.explode("__passes").alias("__o"))
+    ordered = joined.withColumn("__at", F.col("__o.position")).repartitionByRange("__at", "__id").sortWithinPartitions("__at", "__id")
+    return ordered.select("__row.*")

@@ -41,13 +41,13 @@ ROUNDS = 25
 THRESHOLD = 0.5
 
 
-def base_values(docs: DataFrame) -> DataFrame:
-    """Per row ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of the whole text."""
+def base_values(docs: DataFrame, keep: list[Column]) -> DataFrame:
+    """Columns ``keep``, then ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of the whole text."""
     text = text_of()
-    split = docs.select("doc_id", text.alias("__text"), words_of(text).alias("__words"))
+    split = docs.select(*keep, text.alias("__text"), words_of(text).alias("__words"))
     lines = F.filter(F.split("__text", "\n"), lambda line: line.rlike(f"[^{SPACE}]"))
     return split.select(
-        "doc_id",
+        *split.columns[: len(keep)],
         F.size("__words").cast("bigint").alias("n_words"),
         F.length(F.regexp_replace("__text", f"[{SPACE}]+", "")).cast("bigint").alias("word_chars"),
         (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
@@ -137,6 +137,18 @@ def posterior(pattern: tuple[int, ...], good: float, chances: list[dict[str, dic
     return 1 / (1 + math.exp(-(start + sum(s[v] for s, v in zip(steps, pattern, strict=True)))))
 
 
+def quality_of(judged: DataFrame) -> Column:
+    """Posterior probability of a good document as a column over the votes, estimated from all rows of ``judged``."""
+    names = [f"vote_{rule}" for rule in RULES]
+    counted = judged.where("NOT base_failed").groupBy(*names).count().collect()  # at most 3^rules rows
+    good, chances = estimate(sorted((tuple(r[n] for n in names), r["count"]) for r in counted))
+    start, steps = log_odds(good, chances)
+    odds = F.lit(start)
+    for name, step in zip(names, steps, strict=True):
+        odds = odds + F.when(F.col(name) == GOOD, step[GOOD]).when(F.col(name) == BAD, step[BAD]).otherwise(step[ABSTAIN])
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+
+
 def judge_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id``, the base values, ``base_failed``, ``quality`` (posterior) and ``kept``.
 
@@ -145,15 +157,15 @@ def judge_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     table gives none.
     """
     # Kept, as the texts would be split once for the counts and once for the result.
-    judged = votes(kept_once(base_values(docs)))
-    names = [f"vote_{rule}" for rule in RULES]
-    counted = judged.where("NOT base_failed").groupBy(*names).count().collect()  # at most 3^rules rows
-    good, chances = estimate(sorted((tuple(r[n] for n in names), r["count"]) for r in counted))
-    start, steps = log_odds(good, chances)
-    odds = F.lit(start)
-    for name, step in zip(names, steps, strict=True):
-        odds = odds + F.when(F.col(name) == GOOD, step[GOOD]).when(F.col(name) == BAD, step[BAD]).otherwise(step[ABSTAIN])
-    quality = (F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))).alias("quality")
-    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    scored = judged.select(*base, quality)
+    base = kept_once(base_values(docs, [F.col("doc_id")]))
+    judged = votes(base)
+    scored = judged.select(*base.columns, "base_failed", quality_of(judged).alias("quality"))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
+
+
+def accepted(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``judge_documents`` keeps."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    judged = votes(base_values(docs, [whole]))
+    quality = quality_of(judged)
+    return judged.where(~F.col("base_failed") & (quality >= threshold)).select("__row.*")
