@@ -27,14 +27,14 @@ def host_wrappers(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame
 
     def infer(group: pd.DataFrame) -> pd.DataFrame:
         sample = group.sort_values("__n")["html"]
-        return pd.DataFrame({"host": group["host"].iloc[:1], "wrapper": [wrappers.dump(wrappers.infer(list(sample)))]})
+        return pd.DataFrame({"host": group["host"].iloc[:1], "wrapper": [wrappers.Wrapper.of(list(sample)).dump()]})
 
     return chosen.groupBy("host").applyInPandas(infer, "host string, wrapper string")
 
 
 @lru_cache(maxsize=256)
 def _wrapper(text: str) -> wrappers.Wrapper:
-    return wrappers.Wrapper(wrappers.load(text))
+    return wrappers.Wrapper.load(text)
 
 
 def extract_pages(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from difflib import SequenceMatcher
 
 TEXT = "#"
@@ -24,6 +26,7 @@ INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
     "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br",
 }
+UNCLOSED = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot", "h1", "h2", "h3", "h4", "h5", "h6"}
 ASIDE = {"head", "title", "nav", "header", "footer", "aside", "form", "menu", "button", "select", "option", "dialog", "fieldset", "input"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
 ASIDE_WORDS = {
@@ -164,14 +167,39 @@ def align(wrapper: list, page: list) -> list:
     page = _absorb(page, known + [g for g in _groups(wrapper) if g[0] == OPTIONAL])
     wrapper = _absorb(wrapper, [g for g in _groups(page) if g[0] == REPEATED])
     merged: list = []
-    for kind, a, b, c, d in SequenceMatcher(None, wrapper, page, autojunk=False).get_opcodes():
-        if kind == "equal":
-            merged += wrapper[a:b]
-        else:
-            merged += _optional(wrapper[a:b]) + _optional(page[c:d])
+    a = c = 0
+    for b, d in [*_anchors(wrapper, page), (len(wrapper), len(page))]:
+        for kind, i, j, k, m in SequenceMatcher(None, wrapper[a:b], page[c:d], autojunk=False).get_opcodes():
+            if kind == "equal":
+                merged += wrapper[a + i : a + j]
+            else:
+                merged += _optional(wrapper[a + i : a + j]) + _optional(page[c + k : c + m])
+        merged += wrapper[b : b + 1]
+        a, c = b + 1, d + 1
     return merged
 
 
+def _anchors(x: list, y: list) -> list[tuple[int, int]]:
+    """Places of nodes that each side has once, as many as come in the same order on both: the frame of the pages."""
+    once = [{n: i for i, n in enumerate(nodes) if count[n] == 1} for nodes, count in ((x, Counter(x)), (y, Counter(y)))]
+    pairs = [(i, once[1][n]) for n, i in once[0].items() if n in once[1]]
+    ends: list[int] = []
+    back: list[tuple[int, int, object]] = []
+    for i, j in pairs:
+        k = bisect_left(ends, j)
+        chain = (i, j, back[k - 1] if k else None)
+        if k == len(ends):
+            ends.append(j)
+            back.append(chain)
+        else:
+            ends[k], back[k] = j, chain
+    found, chain = [], back[-1] if back else None
+    while chain:
+        found.append(chain[:2])
+        chain = chain[2]
+    return found[::-1]
+
+
 def infer(pages: list[str]) -> list:
     """The wrapper of some pages of a host, in their order."""
     wrapper: list | None = None
@@ -181,38 +209,43 @@ def infer(pages: list[str]) -> list:
     return wrapper or []
 
 
-def labels(wrapper: list) -> dict[int, tuple[bool, bool, bool]]:
-    """For each node, told by its place in reading order: whether it lies in an article, in a main part, aside of both.
+def contexts(stream: list[str]) -> list[tuple[bool, bool, bool]]:
+    """For each token of a page: whether it lies in an article, in a main part, aside of both.
 
     An element lies aside if its name, role or a word of its class or id says so. An end tag closes the
     elements that were opened since its start tag.
     """
-    found: dict[int, tuple[bool, bool, bool]] = {}
+    found: list[tuple[bool, bool, bool]] = []
     stack: list[tuple[str, bool]] = []
-    place = 0
-
-    def walk(nodes) -> None:
-        nonlocal place
-        for node in nodes:
-            if isinstance(node, tuple):
-                walk(node[1])
-                continue
-            if node.startswith("/"):
+    now = (False, False, False)
+    for token in stream:
+        if token != TEXT:
+            if token.startswith("/"):
                 names = [n for n, _ in stack]
-                if node[1:] in names:
-                    del stack[len(names) - 1 - names[::-1].index(node[1:]) :]
-            elif node != TEXT:
-                name, _, marks = node.partition(" ")
-                if name not in VOID:
+                if token[1:] in names:
+                    del stack[len(names) - 1 - names[::-1].index(token[1:]) :]
+            else:
+                name, _, marks = token.partition(" ")
+                # Elements that neither part a page nor hold parts would only make the stack deep where they are not closed.
+                if name not in VOID and name not in INLINE and name not in UNCLOSED:
                     stack.append((name, _lies_aside(name, marks)))
             names = {n for n, _ in stack}
-            found[place] = ("article" in names, "main" in names, any(aside for _, aside in stack))
-            place += 1
-
-    walk(wrapper)
+            now = ("article" in names, "main" in names, any(aside for _, aside in stack))
+        found.append(now)
     return found
 
 
+def learned_labels(wrapper: list, pages: list[str]) -> dict[int, tuple[bool, bool, bool]]:
+    """Where the nodes of a wrapper lie, by place: what the pages that reach a node agree on, if they are two or more."""
+    seen: dict[int, Counter] = {}
+    for page in pages:
+        stream = tokens(page)[0]
+        places = match(wrapper, stream)
+        for place, context in set(zip(places or (), contexts(stream), strict=False)):
+            seen.setdefault(place, Counter())[context] += 1
+    return {place: next(iter(kinds)) for place, kinds in seen.items() if len(kinds) == 1 and kinds.total() > 1}
+
+
 def _lies_aside(name: str, marks: str) -> bool:
     if name in ASIDE or name in RAW:
         return True
@@ -221,7 +254,7 @@ def _lies_aside(name: str, marks: str) -> bool:
         if key == "role" and value.lower() in ASIDE_ROLES:
             return True
         if key != "role" and any(w.lower() in ASIDE_WORDS for w in _WORD.findall(value)):
-            return name not in ("html", "body", "article", "main") or False
+            return name not in ("html", "body", "article", "main")
     return False
 
 
@@ -256,45 +289,46 @@ def match(wrapper: list, stream: list[str]) -> list[int] | None:
     return places if run(wrapper, 0, 0) == len(stream) else None
 
 
-def dump(wrapper: list) -> str:
-    return json.dumps(wrapper, ensure_ascii=False)
-
+class Wrapper:
+    """A wrapper with what its sample pages say of where its nodes lie."""
 
-def load(text: str) -> list:
-    def read(nodes):
-        return [(n[0], tuple(read(n[1]))) if isinstance(n, list) else n for n in nodes]
+    def __init__(self, nodes: list, labels: dict[int, tuple[bool, bool, bool]]):
+        self.nodes, self.labels = nodes, labels
 
-    return read(json.loads(text))
+    @classmethod
+    def of(cls, pages: list[str]) -> Wrapper:
+        nodes = infer(pages)
+        return cls(nodes, learned_labels(nodes, pages))
 
+    def dump(self) -> str:
+        return json.dumps([self.nodes, list(self.labels.items())], ensure_ascii=False)
 
-class Wrapper:
-    """A wrapper with the labels of its nodes."""
+    @classmethod
+    def load(cls, text: str) -> Wrapper:
+        def read(nodes):
+            return [(n[0], tuple(read(n[1]))) if isinstance(n, list) else n for n in nodes]
 
-    def __init__(self, nodes: list):
-        self.nodes, self.labels = nodes, labels(nodes)
+        nodes, labels = json.loads(text)
+        return cls(read(nodes), {place: tuple(context) for place, context in labels})
 
     def extract(self, page: str) -> str:
         """The main text of a page, one line per block.
 
-        A page that the wrapper does not hold for is aligned with it as one more page; if even that
-        wrapper, whose choices are made without going back, does not hold, the page is its own.
+        A text lies where its node in the wrapper lies, which also holds if the page itself is broken. Where the
+        sample does not tell, or the wrapper does not hold for the page, the tags of the page tell.
         """
         stream, texts = tokens(page)
-        fitting, places = self, match(self.nodes, stream)
-        if places is None:
-            fitting = Wrapper(align(self.nodes, fold(stream)))
-            places = match(fitting.nodes, stream)
-        if places is None:
-            fitting, places = Wrapper(stream), list(range(len(stream)))
-        told = [fitting.labels[p] for p in places]
+        told = contexts(stream)
+        places = match(self.nodes, stream)
+        if places is not None:
+            told = [self.labels.get(p, own) for p, own in zip(places, told, strict=True)]
         slots = [i for i, token in enumerate(stream) if token == TEXT]
         # The narrowest part that the page has: article, main part, or all.
         part = next((k for k in (0, 1) if any(told[i][k] and not told[i][2] for i in slots)), None)
         blocks, held = [], []
         for i, token in enumerate(stream):
             if token == TEXT:
-                article_main, aside = (True if part is None else told[i][part]), told[i][2]
-                if article_main and not aside:
+                if not told[i][2] and (part is None or told[i][part]):
                     held.append(texts[i])
             elif token == "br":
                 held.append(" ")
