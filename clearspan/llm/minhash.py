@@ -4,7 +4,7 @@ Each permutation of the shingles gives two signature values, the least and the g
 permutations make 128 values. Bands of four values put similar documents into common buckets. Documents with the
 same shingles are one class. In every bucket each class is compared with one centre; only where the links
 found leave a bucket in several components are further pairs compared, and of those only the ones that their distances
-to the centre allow. All links are confirmed on the full sets.
+to the centre and their parity sketches allow. All links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ PER_CENT = 75
 #: Of the 128 values, compared by 4 bits each, so many may differ before a pair is taken as unlike unread. A pair of
 #: similarity 0.75 differs in 30 on average with a deviation of 5, so this is over five deviations off.
 SKETCH_DIFFERENT = 56
+#: Bits of a parity sketch: each shingle flips one.
+PARITY_BITS = 2048
 
 #: Nodes from here on are classes of rows without ids.
 UNNUMBERED = 1 << 62
@@ -96,6 +98,25 @@ def sketches(values: np.ndarray) -> np.ndarray:
     return (bits.reshape(len(values), -1, 16) << places).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A parity sketch of each set, 64 bits to a number. Two sketches differ in no more bits than the sets in shingles."""
+    bits = np.zeros((len(sets), PARITY_BITS), dtype=np.uint8)
+    for row, found in zip(bits, sets, strict=True):
+        row[:] = np.bincount((found % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+
+
+def with_parities(texts: DataFrame) -> DataFrame:
+    """``node, parity`` of texts (``node, text``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, held in chunks(batches):
+            found = parities(shingle_sets(lowered(held)))
+            yield pa.RecordBatch.from_arrays([rows.column(0), _lists(found, np.ones(len(found), dtype=bool))], ["node", "parity"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, parity array<long>").distinct()
+
+
 def _lists(values: np.ndarray, present: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(present * values.shape[1])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
@@ -159,6 +180,13 @@ def _different(x: str, y: str) -> Column:
     return total
 
 
+def _parity_differs(x: str, y: str) -> Column:
+    total = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        total = total + F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k))))
+    return total
+
+
 def _unnumbered() -> Column:
     """The node of a class whose rows all lack an id, told by its set; after all numbers."""
     return F.shiftrightunsigned(F.xxhash64("set_key"), 2) + F.lit(UNNUMBERED)
@@ -214,14 +242,19 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The centre has met everyone in the bucket already.
     open_ = told.join(split, F.col("bucket") == F.col("__bucket"), "left_semi").where("node <> centre")
     open_ = open_.join(classes.select(F.col("node").alias("__node"), "n", "sketch"), F.col("node") == F.col("__node")).drop("__node", "centre")
+    ends = open_.select(F.col("node").alias("__node")).distinct()
+    parity = with_parities(texts.join(ends, F.col("node") == F.col("__node"), "left_semi")).withColumnRenamed("node", "__node")
+    open_ = kept_once(open_.join(parity, F.col("node") == F.col("__node")).drop("__node"))
     x, y = (open_.select(*[F.col(c).alias(f"{c}_{side}") for c in open_.columns]) for side in "xy")
     # Distance 1 - likeness is a metric: the distances of a link's ends to any third text differ by 0.25 at most.
+    # A link's sets differ in at most a seventh of their shingles, and their parity sketches in no more bits.
     may_link = (
         (F.col("bucket_x") == F.col("bucket_y"))
         & (F.col("component_x") < F.col("component_y"))
         & (F.abs(F.col("likeness_x") - F.col("likeness_y")) <= 1 - PER_CENT / 100 + 1e-9)
         & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * PER_CENT)
         & (_different("sketch_x", "sketch_y") <= SKETCH_DIFFERENT)
+        & ((100 + PER_CENT) * _parity_differs("parity_x", "parity_y") <= (100 - PER_CENT) * (F.col("n_x") + F.col("n_y")))
     )
     more = x.join(y, may_link).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
     found = kept_once(compared(more, texts).where(_is_link()).select("a", "b"))
