@@ -74,7 +74,7 @@ def prefix_sums(df: DataFrame, group: list[str], bucket: str, order: list[Column
     )
 
 
-def buckets_for(rows: Column, rows_per_bucket: int = 20_000) -> Column:
+def buckets_for(rows: Column, rows_per_bucket: int = 2_000) -> Column:
     """How many buckets a group of so many rows is dealt into."""
     return F.greatest(F.ceil(rows / F.lit(rows_per_bucket)), F.lit(1)).cast("bigint")
 
