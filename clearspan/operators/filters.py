@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clearspan.operators.lookup import lookup_join
 
@@ -51,7 +52,7 @@ def in_list(df: DataFrame, listed: DataFrame, keys: dict[str, str] | list[str],
     if fail_if_empty and listed.isEmpty():
         raise InputError("the list of files is empty; check the file ledger for these dates")
     names = list(keys.values()) if isinstance(keys, dict) else keys
-    return lookup_join(df, listed.select(*names).distinct(), keys, {}, how="left_semi", derived=True)
+    return lookup_join(df, listed.select(*names).distinct(), keys, {}, how="left_semi")
 
 
 _IN_CONDITION = re.compile(r"(\w+)\s+in\s+\(([^)]+)\)", re.IGNORECASE)
@@ -73,7 +74,7 @@ def client_conditions(conditions: DataFrame, **where: str) -> list[str]:
     """Condition texts of one client; a configuration lookup, so its rows come to the driver."""
     for name, value in where.items():
         conditions = conditions.where(F.col(name).cast("string") == value)
-    return [r[0] for r in conditions.select("condition").distinct().orderBy("condition").take(1000)]
+    return sorted(r[0] for r in conditions.where("condition IS NOT NULL").select("condition").distinct().collect())
 
 
 def by_condition_table(df: DataFrame, conditions: DataFrame, **where: str) -> DataFrame:
@@ -124,33 +125,35 @@ def ledger_files(
     )
 
 
+EXAMPLES = 5
+
+
 def column_problems(df: DataFrame, required: Iterable[str], numeric: Iterable[str], numeric_rows: Column | None = None) -> DataFrame:
-    """Nulls in required columns and text that is no number, with up to five examples each, in one pass."""
+    """Nulls in required columns and text that is no number, with the five smallest examples each.
+
+    Only bad values leave the scan, summed up by value.
+    """
     required, numeric = list(required), [c for c in numeric if c in df.columns]
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise InputError(f"required columns are absent: {missing}")
     applies = F.lit(True) if numeric_rows is None else numeric_rows
-    tests = {(c, "null"): F.col(c).isNull() for c in required}
+    tests = [(c, "null", F.col(c).isNull()) for c in required]
     for c in numeric:
         filled = F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
-        tests[(c, "not a number")] = applies & filled & F.col(c).cast("string").try_cast("double").isNull()
-    aggregates = []
-    for i, ((c, _kind), bad) in enumerate(tests.items()):
-        value = F.when(bad, F.coalesce(F.col(c).cast("string"), F.lit("")))
-        aggregates += [F.count(value).alias(f"n{i}")]
-        aggregates += [F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
-    row = df.agg(*aggregates)
+        tests.append((c, "not a number", applies & filled & F.col(c).cast("string").try_cast("double").isNull()))
     cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(kind).alias("problem"),
-            F.col(f"n{i}").alias("rows"),
-            F.array_distinct(F.array(f"lo{i}", f"hi{i}")).alias("examples"),
-        )
-        for i, (c, kind) in enumerate(tests)
+        F.when(bad, F.struct(F.lit(c).alias("column"), F.lit(kind).alias("problem"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")))
+        for c, kind, bad in tests
     ]
-    return row.select(F.explode(F.array(*cells)).alias("p")).select("p.*").where("rows > 0")
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column string, problem string, rows long, examples array<string>")
+    found = df.select(F.explode(F.array_compact(F.array(*cells))).alias("p")).select("p.*")
+    counts = found.groupBy("column", "problem", "value").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("column", "problem").orderBy("value"))
+    first = counts.withColumn("place", place).where(F.col("place") <= EXAMPLES)
+    examples = first.groupBy("column", "problem").agg(F.sort_array(F.collect_list("value")).alias("examples"))
+    return counts.groupBy("column", "problem").agg(F.sum("n").alias("rows")).join(examples, ["column", "problem"])
 
 
 def require(df: DataFrame, required: Iterable[str], numeric: Iterable[str] = (), numeric_rows: Column | None = None) -> None:

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clearspan.operators.filters import InputError
-from clearspan.operators.lookup import fits, lookup_join
+from clearspan.operators.lookup import lookup_join
 
 WILDCARD = 255
-MAX_MASKS = 64
 
 
 def join_rate(
@@ -18,7 +17,7 @@ def join_rate(
 ) -> DataFrame:
     """Rate by date and currencies, one row per key; ``missing`` fills absent rates."""
     one_each = rates.groupBy(*keys.values()).agg(F.max(rate).alias(rate))
-    joined = lookup_join(facts, one_each, keys, {rate: name}, derived=True)
+    joined = lookup_join(facts, one_each, keys, {rate: name})
     return joined if missing is None else joined.withColumn(name, F.coalesce(F.col(name), missing))
 
 
@@ -46,10 +45,7 @@ def join_wildcard(facts: DataFrame, template: DataFrame, dims: dict[str, str], e
     its other values, so there is no comparison of every row with every template row.
     """
     masked = [F.when(F.col(t) == WILDCARD, 1).otherwise(0).alias(t) for t in dims.values()]
-    masks = template.select(*masked).distinct()
-    if not fits(masks, MAX_MASKS):
-        return _join_wildcard_residual(facts, template, dims, exact, take)
-    combos = [tuple(r) for r in masks.collect()]
+    combos = sorted(tuple(r) for r in template.select(*masked).distinct().collect())
     options = []
     for combo in combos:
         cells = [
@@ -67,19 +63,10 @@ def join_wildcard(facts: DataFrame, template: DataFrame, dims: dict[str, str], e
         cond = cond & (F.col(f) == F.col(t))
     for i, t in enumerate(dims.values()):
         cond = cond & (F.col(f"__probe.__d{i}") == F.col(t))
-    matched = probes.join(F.broadcast(side) if fits(side) else side, cond)
+    matched = probes.join(side, cond)
     return matched.select(*facts.columns, *take)
 
 
-def _join_wildcard_residual(facts, template, dims, exact, take):
-    cond = F.lit(True)
-    for f, t in exact.items():
-        cond = cond & (F.col(f) == F.col(t))
-    for f, t in dims.items():
-        cond = cond & ((F.col(f) == F.col(t)) | (F.col(t) == WILDCARD))
-    return facts.join(F.broadcast(template) if fits(template) else template, cond).select(*facts.columns, *take)
-
-
 def join_bucket(
     facts: DataFrame, buckets: DataFrame, keys: dict[str, str], amount: Column, low: str, high: str, bucket_id: str,
     name: str, default: int, *, half_open: bool, by: list[str],
@@ -98,11 +85,11 @@ def join_bucket(
     )
     for i, f in enumerate(keys):
         cond = cond & (F.col(f) == F.col(f"__b{i}"))
-    pairs = probes.join(F.broadcast(side) if fits(side) else side, cond)
+    pairs = probes.join(side, cond)
     group = list(dict.fromkeys([*keys, *by]))
     narrowest = Window.partitionBy(*group).orderBy(F.col("__high") - F.col("__low"), "__id")
     best = pairs.withColumn("__n", F.row_number().over(narrowest)).where("__n = 1")
-    joined = lookup_join(facts, best, {g: g for g in group}, {"__id": name}, null_safe=True, derived=True)
+    joined = lookup_join(facts, best, {g: g for g in group}, {"__id": name}, null_safe=True)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)).cast("int"))
 
 
@@ -134,7 +121,7 @@ def flag_hierarchy(df: DataFrame, parent: str, node: str, name: str) -> DataFram
     if parent not in df.columns or node not in df.columns:
         return df.withColumn(name, F.lit(0).cast("bigint"))
     parents = df.where(F.col(parent) != F.col(node)).select(F.col(parent).alias("__p")).distinct()
-    joined = lookup_join(df.withColumn("__n", F.col(node)), parents.withColumn("__is", F.lit(1)), {"__n": "__p"}, ["__is"], derived=True)
+    joined = lookup_join(df.withColumn("__n", F.col(node)), parents.withColumn("__is", F.lit(1)), {"__n": "__p"}, ["__is"])
     level = F.when(F.col(parent) == F.col(node), 10).when(F.col("__is").isNotNull(), 1).otherwise(0)
     return joined.withColumn(name, level.cast("bigint")).drop("__n", "__is")
 
@@ -142,14 +129,14 @@ def flag_hierarchy(df: DataFrame, parent: str, node: str, name: str) -> DataFram
 def flag_listed(df: DataFrame, listed: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
     """1 where the row's keys are listed, else 0."""
     distinct = listed.select(*keys.values()).distinct().withColumn("__is", F.lit(1))
-    joined = lookup_join(df, distinct, keys, ["__is"], derived=True)
+    joined = lookup_join(df, distinct, keys, ["__is"])
     return joined.withColumn(name, F.coalesce("__is", F.lit(0)).cast("bigint")).drop("__is")
 
 
 def overlay(base: DataFrame, delta: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
     """New value where the delta has one, else the old (base column -> delta column)."""
     take = {d: f"__new_{b}" for b, d in columns.items()}
-    joined = lookup_join(base, delta, keys, take, derived=True)
+    joined = lookup_join(base, delta, keys, take)
     for b in columns:
         joined = joined.withColumn(b, F.coalesce(F.col(f"__new_{b}"), F.col(b)))
     return joined.drop(*take.values())
@@ -163,13 +150,13 @@ def classify_names(files: DataFrame, patterns: DataFrame, client: str, name: str
     hits = keyed.join(active, (F.col("__client") == F.col("customer_code")) & F.rlike(F.col(name), F.concat(F.lit("(?i)"), F.col("file_format"))))
     order = Window.partitionBy(client, name).orderBy("priority", "pattern_id")
     best = hits.withColumn("__n", F.row_number().over(order)).where("__n = 1")
-    return lookup_join(files, best, [client, name], take, derived=True)
+    return lookup_join(files, best, [client, name], take)
 
 
 def file_status(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
     """new, duplicate or new version, by file id and content hash."""
     known = ledger.groupBy("file_id").agg(F.max_by("content_hash", "registered_at").alias("known_hash"))
-    joined = lookup_join(incoming, known, ["file_id"], ["known_hash"], derived=True)
+    joined = lookup_join(incoming, known, ["file_id"], ["known_hash"])
     status = F.when(F.col("known_hash").isNull(), "new").when(F.col("known_hash") == F.col("content_hash"), "duplicate").otherwise("new version")
     return joined.withColumn("status", status).drop("known_hash")
 

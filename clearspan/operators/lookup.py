@@ -1,8 +1,8 @@
-"""Left lookups that stay safe for any size of the looked-up side and any key skew.
+"""Left lookups for any size of the looked-up side and any key skew.
 
-A side is broadcast only after its row count was checked. A larger side is joined by
-shuffle with the big side's keys salted, so one key holding a third of the rows is
-spread over ``salts`` tasks; the looked-up rows are repeated once per salt.
+The join is left to Spark: a side is broadcast if it is small in bytes, by the statistics of its files or by
+what its shuffle turned out to hold; otherwise both sides are shuffled, and a key with a third of the rows is
+split over many tasks by adaptive execution. Nothing is counted or written before the query runs.
 """
 
 from __future__ import annotations
@@ -12,12 +12,9 @@ from pyspark.sql import functions as F
 
 from clearspan.session import shared_dir
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
-
 
 def materialised(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, so a size check does not compute it twice."""
+    """``df`` computed once and kept in the shared folder, for tables that several parts of a job are computed from."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
@@ -32,11 +29,6 @@ def spread(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(tasks, *keys)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -45,15 +37,11 @@ def lookup_join(
     *,
     how: str = "left",
     null_safe: bool = False,
-    derived: bool = False,
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``dim`` to ``facts`` on equality of ``keys`` (fact column -> dim column).
 
     ``take`` names the dim columns to add (dim column -> output column). With ``how``
-    "left_semi" or "left_anti" nothing is added. ``derived`` says that ``dim`` is costly to
-    compute (it comes from the facts); it is then computed once before its size is checked.
+    "left_semi" or "left_anti" nothing is added.
     """
     keys = {k: k for k in keys} if isinstance(keys, list) else keys
     take = {c: c for c in take} if isinstance(take, list) else take
@@ -61,19 +49,11 @@ def lookup_join(
         *[F.col(d).alias(f"__k{i}") for i, d in enumerate(keys.values())],
         *[F.col(c).alias(f"__v_{name}") for c, name in take.items()],
     )
-    if derived:
-        side = materialised(side)
     cond = F.lit(True)
     for i, fact_key in enumerate(keys):
         left, right = F.col(fact_key), F.col(f"__k{i}")
         cond = cond & (left.eqNullSafe(right) if null_safe else left == right)
-
-    if fits(side, max_rows):
-        joined = facts.join(F.broadcast(side), cond, how)
-    else:
-        salted = facts.withColumn("__salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-        copies = side.withColumn("__side_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = salted.join(copies, cond & (F.col("__salt") == F.col("__side_salt")), how)
+    joined = facts.join(side, cond, how)
     kept = [F.col(f"`{c}`") for c in facts.columns if c not in take.values()]
     if how in ("left_semi", "left_anti"):
         return joined.select(*kept)

@@ -8,11 +8,13 @@ set of compared values. Rows that cannot be told apart by any rule share one mat
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearspan.functions.text import rule_text
-from clearspan.operators.lookup import BROADCAST_ROWS, fits, lookup_join, materialised, spread
+from clearspan.operators.lookup import lookup_join, materialised, spread
 
 # Spellings of "no condition".
 NO_CONDITION = ["", "none", "nan", "null"]
@@ -28,7 +30,6 @@ BLANK_MATTERS = [
 ]
 _NUMBER = r"(-?[0-9]+(?:\.[0-9]+)?)"
 BOUND = "decimal(24,6)"
-MAX_UNROLLED = 8
 
 
 def is_blank(c: Column) -> Column:
@@ -77,7 +78,7 @@ def token_match(condition: Column, value: Column, number: Column | None = None,
     """
     number = value.try_cast("double") if number is None else number
     hit = F.coalesce(F.array_contains(condition["values"], value), F.lit(False))
-    if spans is None or spans > MAX_UNROLLED:
+    if spans is None:
         hit = hit | F.exists(
             condition["spans"], lambda s: F.coalesce(number.between(s["lo"], s["hi"]), F.lit(False))
         )
@@ -139,7 +140,7 @@ def converted_amounts(rows: DataFrame, rates: DataFrame, currency: str, by: list
     keys = [*by, "from_ccy"]
     one_each = rates.groupBy(*keys, "to_ccy").agg(F.max("rate").alias("rate"))
     maps = one_each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("to_ccy", "rate"))).alias("rates_to"))
-    return lookup_join(rows, maps, {**{k: k for k in by}, currency: "from_ccy"}, ["rates_to"], derived=True)
+    return lookup_join(rows, maps, {**{k: k for k in by}, currency: "from_ccy"}, ["rates_to"])
 
 
 def amount_in(amount: Column, own: Column, target: Column, rates_to: Column) -> Column:
@@ -168,8 +169,7 @@ def rule_pairs(
 ) -> DataFrame:
     """Rows with the rules of equal keys valid on the row's day that meet ``conditions``.
 
-    The rules are broadcast only after their count was checked; a larger rule table is
-    joined by shuffle on its keys.
+    Small rule tables are broadcast by Spark, larger ones joined by shuffle on their keys.
     """
     cond = F.col(valid_from) <= F.col(day)
     cond = cond & (F.col(valid_until).isNull() | (F.col(valid_until) >= F.col(day)))
@@ -177,36 +177,39 @@ def rule_pairs(
         cond = cond & (F.col(fact_key) == F.col(rule_key))
     if conditions is not None:
         cond = cond & conditions
-    side = F.broadcast(rules) if fits(rules, BROADCAST_ROWS) else rules
-    return facts.join(side, cond)
+    return facts.join(rules, cond)
 
 
-MAX_THRESHOLDS = 400
+def _segment(value: Column, thresholds: list) -> Column:
+    """How many of the sorted thresholds a value has reached; missing values give -1.
 
+    Two steps over lists of about the square root of their number: the blocks that begin no later, then the
+    thresholds of the last such block. Works for any number of thresholds.
+    """
+    if not thresholds:
+        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(0))
 
-def _segment(value: Column, thresholds: list) -> Column:
-    """Number of sorted thresholds a value has reached, found by halving; missing values give -1."""
+    def listed(points: list) -> Column:
+        return F.array(*[F.struct(F.lit(b).cast(BOUND).alias("bound"), F.lit(strict).alias("strict")) for b, strict in points])
 
-    def part(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        middle = (lo + hi) // 2
-        bound, strict = thresholds[middle]
-        reached = value > F.lit(bound) if strict else value >= F.lit(bound)
-        return F.when(reached, part(middle + 1, hi)).otherwise(part(lo, middle))
+    def reached(points: Column) -> Column:
+        return F.size(F.filter(points, lambda t: (value > t["bound"]) | ((value == t["bound"]) & ~t["strict"])))
 
-    return F.when(value.isNull(), F.lit(-1)).otherwise(part(0, len(thresholds)))
+    width = math.isqrt(len(thresholds)) + 1
+    blocks = [thresholds[k : k + width] for k in range(0, len(thresholds), width)]
+    begun = reached(listed([b[0] for b in blocks]))
+    inside = reached(F.get(F.array(*[listed(b) for b in blocks]), begun - 1))
+    return F.when(value.isNull(), F.lit(-1)).when(begun == 0, F.lit(0)).otherwise((begun - 1) * width + inside)
 
 
-def _thresholds(rules: DataFrame, conditions: list[str]) -> list | None:
-    """Sorted (bound, strict) points where a comparison with any rule changes; None when there are too many."""
+def _thresholds(rules: DataFrame, conditions: list[str]) -> list:
+    """Sorted (bound, strict) points where a comparison with any rule changes; at most two per rule."""
     points = []
     for c in conditions:
         points.append(F.struct(F.col(c)["lo"].alias("bound"), (~F.col(c)["lo_in"]).alias("strict")))
         points.append(F.struct(F.col(c)["hi"].alias("bound"), F.col(c)["hi_in"].alias("strict")))
     found = rules.select(F.explode(F.array(*points)).alias("p")).where("p.bound IS NOT NULL").select("p.*").distinct()
-    rows = found.take(MAX_THRESHOLDS + 1)
-    return None if len(rows) > MAX_THRESHOLDS else sorted((r["bound"], r["strict"]) for r in rows)
+    return sorted((r["bound"], r["strict"]) for r in found.collect())
 
 
 def first_rule(
@@ -234,18 +237,14 @@ def first_rule(
     for bounds, value in numbers.items():
         tested.setdefault(value, []).append(bounds)
     for value, bounds in tested.items():
-        thresholds = _thresholds(table, bounds)
-        if thresholds is None:
-            profile.append(value)
-        else:
-            segmented[value] = f"__seg_{len(segmented)}"
-            facts = facts.withColumn(segmented[value], _segment(F.col(value), thresholds))
+        segmented[value] = f"__seg_{len(segmented)}"
+        facts = facts.withColumn(segmented[value], _segment(F.col(value), _thresholds(table, bounds)))
     profile = list(dict.fromkeys([*profile, *segmented.values()]))
     examples = [F.min(v).alias(v) for v in segmented]
     distinct = facts.groupBy(*profile).agg(*examples) if examples else facts.select(*profile).distinct()
     pairs = rule_pairs(spread(distinct, profile), table, keys, day, conditions, valid_from, valid_until)
     winners = pairs.groupBy(*profile).agg(F.min("__ordinal").alias("__ordinal"))
-    matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True, derived=True)
+    matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True)
     found = lookup_join(matched, rules, {"__ordinal": ordinal}, take)
     return found.drop("__ordinal", *segmented.values())
 
@@ -273,10 +272,7 @@ def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] =
     return parsed, condition, read, {f"r_parsed_{c}": value for c, value in dict(numbers).items()}
 
 
-def rule_currencies(rules: DataFrame, amount: str, currency: str, most: int = 200) -> list[str]:
-    """Currencies of rules with an amount condition; a configuration list."""
+def rule_currencies(rules: DataFrame, amount: str, currency: str) -> list[str]:
+    """Currencies of rules with an amount condition; there are as many as the world has."""
     found = rules.where(~is_blank(F.col(amount)) & ~is_blank(F.col(currency)))
-    names = [r[0] for r in found.select(F.upper(F.trim(currency)).alias("c")).distinct().orderBy("c").take(most + 1)]
-    if len(names) > most:
-        raise ValueError(f"more than {most} rule currencies")
-    return names
+    return sorted(r[0] for r in found.select(F.upper(F.trim(currency)).alias("c")).distinct().collect())

@@ -71,7 +71,7 @@ def _switch(rows: DataFrame, local_files: DataFrame, switches: DataFrame, client
     mine = switches.where((C("customer_code") == client.code) & (C("brand_code") == brand))
     switch = mine.agg(F.min("switch_id").alias("id")).first()["id"] or 0
     listed = local_files.select("content_hash").distinct().withColumn("__local", F.lit(1))
-    rows = lookup_join(rows, listed, ["content_hash"], ["__local"], derived=True)
+    rows = lookup_join(rows, listed, ["content_hash"], ["__local"])
     return rows.withColumn("switch_code", classify.switch_code(C("__local").isNotNull(), F.lit(switch)).cast("int")).drop("__local")
 
 
@@ -95,7 +95,7 @@ def draft_detail(drafts: DataFrame, client: Client, rates, products, types, loca
     rows = _switch(rows, local_files, switches, client, "VISA")
     rows = _report_amount(rows, rates, "VISA", "source_currency_code_alphabetic", C("source_amount"), client)
     rows = _product(rows, products, "VISA", "product_id")
-    rows = lookup_join(rows, terminals, ["card_acceptor_id"], ["count_terminal"], derived=True)
+    rows = lookup_join(rows, terminals, ["card_acceptor_id"], ["count_terminal"])
     micropayment = F.lit(0)
     if client.country == MICROPAYMENT_COUNTRY:
         micropayment = classify.micropayment(
@@ -263,7 +263,7 @@ def apply_costs(report: DataFrame, detail: DataFrame, returned: DataFrame, group
     updated = joins.overlay(report, costs, ["app_id"], dict(zip(aggregates.COST_COLUMNS, ("c0", "c1", "c2", "c3"))))
     plain = detail.drop(*[c for c in aggregates.COST_COLUMNS if c in detail.columns])
     dims = {c: c for c in aggregates.FEE_REPORT_DIMS}
-    final = lookup_join(plain, updated, dims, {c: c for c in aggregates.COST_COLUMNS}, null_safe=True, derived=True)
+    final = lookup_join(plain, updated, dims, {c: c for c in aggregates.COST_COLUMNS}, null_safe=True)
     return updated, final
 
 

@@ -168,7 +168,7 @@ def text_fees(cleaned: DataFrame, calculated: DataFrame, rule_table: DataFrame,
     assigned = assign_text_rules(merged, rule_table, rates, kind, day)
     single = _one_rate(rates, ["rate_date", "from_ccy", "to_ccy"])
     keys = {day: "rate_date", "interchange_fee_currency": "from_ccy", "source_currency_code_alphabetic": "to_ccy"}
-    rated = lookup_join(assigned, single, keys, {"rate": "__rate"}, derived=True)
+    rated = lookup_join(assigned, single, keys, {"rate": "__rate"})
     fx = numbers.fee_rate_to(C("interchange_fee_currency"), C("source_currency_code_alphabetic"), C("__rate"))
     parts = [C(c) for c in ("source_amount", "interchange_fee_variable", "interchange_fee_fixed", "interchange_fee_min", "interchange_fee_cap")]
     out = rated.withColumn("interchange_fee_amount", numbers.fee_clamped(*parts, fx))
@@ -244,7 +244,7 @@ def message_fees(messages: DataFrame, calculated: DataFrame, rule_table: DataFra
     assigned = assign_message_rules(message_evaluation(messages, calculated, currency), rule_table, rates)
     single = _one_rate(rates, ["rate_date", "from_ccy", "to_ccy"])
     rated = assigned.withColumns({"__from": F.upper(F.trim("rate_currency")), "__to": F.upper(F.trim("amount_transaction_currency"))})
-    rated = lookup_join(rated, single, {"txn_date": "rate_date", "__from": "from_ccy", "__to": "to_ccy"}, {"rate": "__rate"}, derived=True)
+    rated = lookup_join(rated, single, {"txn_date": "rate_date", "__from": "from_ccy", "__to": "to_ccy"}, {"rate": "__rate"})
     fx = numbers.fee_rate_to(C("__from"), C("__to"), C("__rate"), blank_is_same=True)
     parts = [C("amount_transaction"), *[C(c).cast("decimal(14,8)") for c in ("rate_variable", "rate_fixed", "rate_min", "rate_cap")]]
     return rated.withColumn("fx_to_trx", fx).withColumn("calculated_value", numbers.fee_clamped_strict(*parts, fx)).drop("__from", "__to", "__rate")

@@ -73,7 +73,7 @@ def text_range_delivery(lines: DataFrame) -> DataFrame:
     typed = {n: F.trim(n).try_cast("bigint") for n in TEXT_RANGE_NUMBERS}
     typed |= {n: F.trim(n) for n in TEXT_RANGE_LAYOUT if n not in TEXT_RANGE_NUMBERS and n not in ("effective_date", "delete_indicator")}
     typed["effective_date"] = dates.parse_any(C("effective_date"), "yyyyMMdd", "yyyy-MM-dd", "ddMMyyyy")
-    rows = lookup_join(sliced.withColumns(typed), newest, ["file_id"], ["ardef_version", "ardef_header_date"], derived=True)
+    rows = lookup_join(sliced.withColumns(typed), newest, ["file_id"], ["ardef_version", "ardef_header_date"])
     return rows.select("file_id", "ardef_version", "ardef_header_date", "lines", *TEXT_RANGE_LAYOUT)
 
 

@@ -101,7 +101,7 @@ def printed_report(month_totals: DataFrame, template: DataFrame, country: DataFr
     fee_columns = [f"{k}_{f}_FEE" for f in aggregates.FEE_FAMILIES for k in ("FIX", "VAR")]
     matched = joins.join_wildcard(base, in_use, TEMPLATE_DIMS, exact, fee_columns)
     fees = aggregates.fee_components(matched, REPORT_DIMS, "TXN_CNT", "TXN_AMT")
-    joined = lookup_join(totals, fees, {d: d for d in REPORT_DIMS}, {a: a for a in FEE_AMOUNTS}, null_safe=True, derived=True)
+    joined = lookup_join(totals, fees, {d: d for d in REPORT_DIMS}, {a: a for a in FEE_AMOUNTS}, null_safe=True)
     joined = joined.withColumns({a: F.coalesce(C(a), F.lit(0).cast("decimal(28,8)")) for a in FEE_AMOUNTS})
     joined = aggregates.fee_totals(joined)
     area = country.groupBy("country_id").agg(F.max(F.upper("alpha2").isin(classify.ECONOMIC_AREA).cast("int")).alias("in_area"))

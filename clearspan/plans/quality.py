@@ -61,7 +61,7 @@ def text_settlement(summaries: DataFrame, types: DataFrame, cycles: DataFrame, r
     wanted = rates.where(C("to_ccy") == client.report_currency)
     keys = {"app_processing_date": "rate_date", "settlement_currency_code_130": "from_code"}
     one_each = wanted.groupBy(*keys.values()).agg(F.max("rate").alias("rate"), F.min("from_ccy").alias("from_ccy"))
-    rows = lookup_join(rows, one_each, keys, {"rate": "__rate", "from_ccy": "__alpha"}, derived=True)
+    rows = lookup_join(rows, one_each, keys, {"rate": "__rate", "from_ccy": "__alpha"})
     alpha = F.coalesce("__alpha", F.lit(client.report_currency))
     rows = rows.withColumns({
         **_labels(client, "VSS", origin), "business_mode": F.when(C("business_mode_130") == "1", "Acquirer").when(C("business_mode_130") == "2", "Issuer").otherwise(""),

@@ -22,7 +22,6 @@ TAGS_BY_FUNCTION = {
     "691": [5, 6, 25, 138, 165, 280],
 }
 FILE_ID_TAG = "0105"
-MOST_CURRENCIES = 1000
 
 
 def text_records(lines: DataFrame, family: str, group: list[str], order: str, size: int) -> DataFrame:
@@ -75,9 +74,7 @@ def typed_messages(values: DataFrame, names: dict[str, str], catalog: list[dict]
     """Business names and declared types; decimals of an amount come from its currency."""
     renamed = values.withColumnsRenamed(names)
     code = F.lpad(F.trim(C("currency_numeric_code").cast("string")), 3, "0")
-    pairs = currency.groupBy(code.alias("k")).agg(F.max("decimals").alias("v")).where("k IS NOT NULL").take(MOST_CURRENCIES + 1)
-    if len(pairs) > MOST_CURRENCIES:
-        raise ValueError("the currency table has more codes than three digits allow")
+    pairs = currency.groupBy(code.alias("k")).agg(F.max("decimals").alias("v")).where("k IS NOT NULL").collect()
     cells = [F.lit(x).cast(t) for r in pairs for x, t in ((r["k"], "string"), (r["v"], "int"))]
     rows = renamed.withColumn("decimals_of", F.create_map(*cells))
     return rows.select(*keep, *typed.message_columns(rows, catalog))

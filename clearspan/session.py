@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,7 +27,9 @@ def build_session(app: str = "clearspan", master: str | None = None, conf: dict
         builder = builder.master(master)
     for key, value in {**RECOMMENDED, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,3 +50,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the library to the workers of a session, once, so that they can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, f"{package.name}/{file.relative_to(package)}")
+    # The driver serves the file to the executors; they need not see its folder.
+    path = Path(tempfile.mkdtemp(prefix="clearspan-")) / f"{package.name}.zip"
+    path.write_bytes(held.getvalue())
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)

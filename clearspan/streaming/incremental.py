@@ -56,8 +56,8 @@ def register_arrivals(arrivals: DataFrame, ledger: DataFrame) -> DataFrame:
     )
     known = ledger.select("file_id", "content_hash").distinct().withColumn("__known", F.lit(1))
     versions = ledger.groupBy("file_id").agg(F.count_if(F.col("status") != "duplicate").alias("__versions"))
-    marked = lookup_join(contents, known, ["file_id", "content_hash"], ["__known"], derived=True)
-    marked = lookup_join(marked, versions, ["file_id"], ["__versions"], derived=True)
+    marked = lookup_join(contents, known, ["file_id", "content_hash"], ["__known"])
+    marked = lookup_join(marked, versions, ["file_id"], ["__versions"])
     fresh = F.when(F.col("__known").isNull(), 1).otherwise(0)
     order = Window.partitionBy("file_id").orderBy("registered_at", "content_hash").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum(fresh).over(order), F.lit(0)) + F.coalesce("__versions", F.lit(0))
@@ -69,15 +69,21 @@ LEDGER_SCHEMA = "file_id string, content_hash string, registered_at timestamp, a
 
 
 def run_ledger(arrivals: DataFrame, ledger_path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the file ledger up to date; each micro-batch owns one partition, so a retry rewrites it."""
+    """Keep the file ledger up to date; each micro-batch of each checkpoint owns one partition, so a retry rewrites it.
+
+    A new checkpoint counts its batches from 0 again, but as another run: it reads what earlier runs registered and
+    overwrites none of it.
+    """
     spark = arrivals.sparkSession
 
     def register(batch: DataFrame, epoch: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if path_exists(spark, ledger_path):
-            ledger = spark.read.schema(f"{LEDGER_SCHEMA}, epoch bigint").parquet(ledger_path).where(F.col("epoch") < epoch)
+            ledger = spark.read.schema(f"{LEDGER_SCHEMA}, run string, epoch bigint").parquet(ledger_path)
+            ledger = ledger.where((F.col("run") != run) | (F.col("epoch") < epoch))
         else:
             ledger = spark.createDataFrame([], LEDGER_SCHEMA)
-        rows = register_arrivals(batch, ledger).withColumn("epoch", F.lit(epoch))
-        write_touched_partitions(rows, ledger_path, ["epoch"])
+        rows = register_arrivals(batch, ledger).withColumn("run", F.lit(run)).withColumn("epoch", F.lit(epoch))
+        write_touched_partitions(rows, ledger_path, ["run", "epoch"])
 
     return run_once(arrivals, checkpoint, register)

@@ -227,8 +227,8 @@ scalar(
 
 @query(
     "assert_required_columns",
-    """SELECT 'code' AS "column", 'null' AS problem, count(*) AS "rows", '' AS example FROM txn WHERE code = ''
-       UNION ALL SELECT 'price', 'not a number', count(*), min(priority) FROM txn WHERE file_no = 0 AND direction = 'IN' HAVING count(*) > 0""",
+    """SELECT 'code' AS "column", 'null' AS problem, count(*) AS "rows", '' AS examples FROM txn WHERE code = ''
+       UNION ALL SELECT 'price', 'not a number', count(*), array_to_string(list_sort(list(DISTINCT priority))[1:5], '|') FROM txn WHERE file_no = 0 AND direction = 'IN' HAVING count(*) > 0""",
     ("txn",),
 )
 def _problems(spark, sf_dir):
@@ -236,7 +236,7 @@ def _problems(spark, sf_dir):
         "record", "nullif(code, '') AS code", "direction", "CASE WHEN file_no = 0 THEN priority WHEN file_no = 1 THEN ' ' ELSE CAST(amount_cents AS STRING) END AS price"
     )
     found = filters.column_problems(rows, ["record", "code"], ["price", "absent"], C("direction") == "IN")
-    return found.select("column", "problem", "rows", F.coalesce(F.get("examples", F.lit(0)), F.lit("")).alias("example"))
+    return found.select("column", "problem", "rows", F.array_join("examples", "|").alias("examples"))
 
 
 @query(

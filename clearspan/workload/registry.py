@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from clearspan import fixtures
+from clearspan.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +27,13 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), more:
 
     def add(fn):
         assert name not in QUERIES, name
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_views(sql, views, more)
         return fn
