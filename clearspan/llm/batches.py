@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in chunks of about so many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 CHUNK_ROWS = 60_000
 
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -49,7 +49,7 @@ def _byte_values() -> np.ndarray:
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd multiplier modulo 2^64, and their inverses."""
     inverse = pow(_MULTIPLIER, -1, 2**64)
@@ -69,8 +69,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hashes of the byte spans [start, end), all at once, from running sums of weighted bytes."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    size = 1 << max(12, int(len(data)).bit_length())
-    powers, inverses = _powers(size)
+    powers, inverses = _powers(max(1 << 21, 1 << int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_byte_values()[data] * powers[: len(data)], out=sums[1:])
     lengths = (ends - starts).astype(np.uint64)

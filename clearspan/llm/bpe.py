@@ -9,6 +9,7 @@ merging step by step.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,9 +24,9 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-#: Pieces up to this many characters are remembered, so many of them per worker process.
+#: Pieces up to this many characters are remembered, twice so many of them at most per worker process.
 CACHED_CHARS, CACHED_PIECES = 48, 250_000
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 400_000
 #: Characters of text, and tokens, that one result batch holds about.
 BATCH_CHARS, BATCH_TOKENS = 4_000_000, 1_000_000
 
@@ -39,6 +40,25 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Pieces(dict):
+    """Encodings of the pieces met lately. When full, the older half is dropped; what is asked for again stays."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.encode(piece)
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
 class Vocabulary:
     """Tokens, merges and added tokens of a byte-level BPE file of the tokenizers library."""
 
@@ -59,8 +79,8 @@ class Vocabulary:
             if whole in self.parts:
                 raise ValueError("two merges make one token")
             self.pair_rank[a, b], self.parts[whole], self.rank[whole] = rank, (a, b), rank
-        self.follows: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, bytes] = {}
+        self.follows: dict[int, bool] = {}
+        self.cache = Pieces(self.encode_piece)
         self.automaton = self._automaton()
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pieces = regex.compile(PATTERN)
@@ -82,6 +102,10 @@ class Vocabulary:
             else:
                 made[token] = len(self.bytes_of[token]) == 1
         found = ahocorasick.Automaton()
+        #: A piece that is the bytes of one such token is that token.
+        self.whole = {data: array("i", [token]).tobytes() for token, data in self.bytes_of.items() if made[token]}
+        if any(bytes([b]) not in self.whole for b in range(256)):
+            raise ValueError("the vocabulary does not hold every byte")
         for token, data in self.bytes_of.items():
             if made[token]:
                 found.add_word(data.decode("latin-1"), (token, len(data)))
@@ -108,41 +132,35 @@ class Vocabulary:
                 return False
 
     def may_follow(self, left: int, right: int) -> bool:
-        known = self.follows.get((left, right))
-        if known is None:
-            if len(self.follows) >= CACHED_PAIRS:
-                self.follows.clear()
-            known = self.follows[left, right] = not self._merges_across(left, right)
+        """Whether two tokens side by side stay as they are."""
+        if len(self.follows) >= CACHED_PAIRS:
+            self.follows.clear()
+        known = self.follows[left << 32 | right] = not self._merges_across(left, right)
         return known
 
     def encode_piece(self, piece: str) -> bytes:
         """Token ids of one piece, as packed 32-bit numbers."""
         data = piece.encode("utf-8")
-        last: list[int] = [-1] * (len(data) + 1)
-        length: list[int] = [0] * (len(data) + 1)
+        if data in self.whole:
+            return self.whole[data]
+        last, length = [-1] * (len(data) + 1), [0] * (len(data) + 1)
+        known, done = self.follows.get, -1
         for end, (token, size) in self.automaton.iter(data.decode("latin-1")):
-            end += 1
-            if last[end] < 0:
-                before = end - size
-                if before == 0 or (last[before] >= 0 and self.may_follow(last[before], token)):
-                    last[end], length[end] = token, size
+            if end == done:
+                continue  # the last token of this prefix is known already
+            # As single bytes are tokens, every shorter prefix has its last token.
+            before = last[end + 1 - size]
+            fits = before < 0 or known(before << 32 | token)
+            if fits is None:
+                fits = self.may_follow(before, token)
+            if fits:
+                last[end + 1], length[end + 1], done = token, size, end
         ids, at = [], len(data)
         while at > 0:
-            if last[at] < 0:
-                raise ValueError("the vocabulary does not hold every byte")
             ids.append(last[at])
             at -= length[at]
-        return np.array(ids[::-1], dtype=np.int32).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.cache.get(piece)
-        if found is None:
-            found = self.encode_piece(piece)
-            if len(piece) <= CACHED_CHARS:
-                if len(self.cache) >= CACHED_PIECES:
-                    self.cache.clear()
-                self.cache[piece] = found
-        return found
+        ids.reverse()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.split_added.split(text) if self.split_added else [text]
@@ -151,7 +169,7 @@ class Vocabulary:
             if part in self.added:
                 out.append(np.int32(self.added[part]).tobytes())
             elif part:
-                out.extend(map(self._piece, self.pieces.findall(part)))
+                out.extend(map(self.cache.__getitem__, self.pieces.findall(part)))
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
