@@ -69,35 +69,38 @@ def join_wildcard(facts: DataFrame, template: DataFrame, dims: dict[str, str], e
 
 def join_bucket(
     facts: DataFrame, buckets: DataFrame, keys: dict[str, str], amount: Column, low: str, high: str, bucket_id: str,
-    name: str, default: int, *, half_open: bool, by: list[str],
+    name: str, default: int, *, half_open: bool,
 ) -> DataFrame:
     """Bucket id of an amount inside [low, high) or [low, high]; the narrowest wins, none gives ``default``.
 
-    ``by`` are the fact columns the amount depends on. Buckets are matched on distinct
-    amounts and looked up back.
+    The buckets of a key become one list, so a row meets one row of buckets and picks its own inside the list:
+    amounts and buckets are never paired. Without ``keys`` there is one list, which goes into the plan.
     """
-    probes = facts.select(*dict.fromkeys([*keys, *by])).distinct().withColumn("__amount", amount)
-    cond = F.col("__amount") >= F.col("__low")
-    cond = cond & ((F.col("__amount") < F.col("__high")) if half_open else (F.col("__amount") <= F.col("__high")))
-    side = buckets.select(
-        *[F.col(b).alias(f"__b{i}") for i, b in enumerate(keys.values())],
-        F.col(low).alias("__low"), F.col(high).alias("__high"), F.col(bucket_id).alias("__id"),
-    )
-    for i, f in enumerate(keys):
-        cond = cond & (F.col(f) == F.col(f"__b{i}"))
-    pairs = probes.join(side, cond)
-    group = list(dict.fromkeys([*keys, *by]))
-    narrowest = Window.partitionBy(*group).orderBy(F.col("__high") - F.col("__low"), "__id")
-    best = pairs.withColumn("__n", F.row_number().over(narrowest)).where("__n = 1")
-    joined = lookup_join(facts, best, {g: g for g in group}, {"__id": name}, null_safe=True)
-    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)).cast("int"))
+    entry = F.struct((F.col(high) - F.col(low)).alias("width"), F.col(bucket_id).alias("id"), F.col(low).alias("lo"), F.col(high).alias("hi"))
+    listed = buckets.where(F.col(low).isNotNull() & F.col(high).isNotNull())
+    if keys:
+        lists = listed.groupBy(*keys.values()).agg(F.collect_list(entry).alias("__buckets"))
+        found = lookup_join(facts, lists, keys, ["__buckets"])
+    else:
+        cells = [F.struct(*[F.lit(v).alias(k) for k, v in r["e"].asDict().items()]) for r in listed.select(entry.alias("e")).collect()]
+        found = facts.withColumn("__buckets", F.array(*cells) if cells else F.lit(None))
+        if not cells:
+            return found.drop("__buckets").withColumn(name, F.lit(default).cast("int"))
+    found = found.withColumn("__amount", amount)
+
+    def holds(b: Column) -> Column:
+        value = F.col("__amount")
+        return (value >= b["lo"]) & ((value < b["hi"]) if half_open else (value <= b["hi"]))
+
+    best = F.array_min(F.filter("__buckets", holds))["id"]
+    return found.withColumn(name, F.coalesce(best, F.lit(default)).cast("int")).drop("__buckets", "__amount")
 
 
 def require_unique(df: DataFrame, keys: list[str], label: str) -> None:
     """Raise when a key repeats."""
-    repeated = df.groupBy(*keys).count().where("count > 1")
-    if not repeated.isEmpty():
-        raise InputError(f"{label}: keys {keys} repeat, e.g. {repeated.first()}")
+    repeated = df.groupBy(*keys).count().where("count > 1").take(1)
+    if repeated:
+        raise InputError(f"{label}: keys {keys} repeat, e.g. {repeated[0]}")
 
 
 def consolidate(base: DataFrame, stages: list[tuple[str, DataFrame]], keys: list[str], check: bool = True) -> DataFrame:
@@ -143,14 +146,25 @@ def overlay(base: DataFrame, delta: DataFrame, keys: list[str], columns: dict[st
 
 
 def classify_names(files: DataFrame, patterns: DataFrame, client: str, name: str, take: dict[str, str], everyone: str = "ALL") -> DataFrame:
-    """First active pattern by priority, of the client or of everyone, found in a file name (any case)."""
-    names = files.select(client, name).distinct()
-    keyed = names.withColumn("__client", F.explode(F.array_distinct(F.array(F.col(client), F.lit(everyone)))))
-    active = patterns.where("is_active = 1")
-    hits = keyed.join(active, (F.col("__client") == F.col("customer_code")) & F.rlike(F.col(name), F.concat(F.lit("(?i)"), F.col("file_format"))))
-    order = Window.partitionBy(client, name).orderBy("priority", "pattern_id")
-    best = hits.withColumn("__n", F.row_number().over(order)).where("__n = 1")
-    return lookup_join(files, best, [client, name], take)
+    """First active pattern by priority, of the client or of everyone, found in a file name (any case).
+
+    The patterns are configuration, a few per client: they become one chain of tests in the plan, each compiled
+    once, and no row is joined.
+    """
+    rows = patterns.where("is_active = 1").orderBy("priority", "pattern_id").select("customer_code", "file_format", *take).collect()
+    kinds = {c: patterns.schema[c].dataType for c in take}
+    found = None
+    for r in rows:
+        whom = F.lit(True) if r["customer_code"] == everyone else F.col(client) == F.lit(r["customer_code"])
+        # A client that is itself called everyone, or null, has the patterns of everyone only.
+        whom = whom & F.col(client).isNotNull()
+        hit = whom & F.col(name).rlike("(?i)" + r["file_format"])
+        value = F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in take])
+        found = F.when(hit, value) if found is None else found.when(hit, value)
+    if found is None:
+        return files.select("*", *[F.lit(None).cast(kinds[c]).alias(out) for c, out in take.items()])
+    matched = files.withColumn("__pattern", found)
+    return matched.select(*files.columns, *[F.col("__pattern")[c].alias(out) for c, out in take.items()])
 
 
 def file_status(incoming: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -197,7 +197,7 @@ def with_size_ticket(detail: DataFrame, tickets: DataFrame, rates: DataFrame) ->
     amount = F.when(same, C("report_amount")).otherwise((C("report_amount") * C("__fx")).cast("decimal(24,6)")).cast("decimal(24,6)")
     rows = rows.withColumn("__ticket_amount", amount)
     rows = joins.join_bucket(
-        rows, tickets, keys, C("__ticket_amount"), "size_ticket_min", "size_ticket_max", "size_ticket_id", "size_ticket", 0, half_open=True, by=["__ticket_amount"]
+        rows, tickets, keys, C("__ticket_amount"), "size_ticket_min", "size_ticket_max", "size_ticket_id", "size_ticket", 0, half_open=True
     )
     return rows.select(*detail.columns)
 

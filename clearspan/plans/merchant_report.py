@@ -73,11 +73,9 @@ def transactions(messages: DataFrame, products: DataFrame, types: DataFrame, cou
         "SUB_SCH_ID": F.when(program.isin("MSI", "CIR"), 2).otherwise(1), "SCH_ID": F.lit(1), "TXN_CNT": F.lit(1).cast("bigint"),
         "TXN_AMT": F.coalesce(numbers.plain_decimal(names("settlement_report_amount", "amount_reconciliation_de_5", "amount_transaction", default="0")), zero),
         "TXN_IRF": F.coalesce(numbers.plain_decimal(names("amounts_transaction_fee_7_pds_146_7", "calculated_value", default="0")), zero),
-        "ARG_CTRY_ID": F.coalesce("ARG_CTRY_ID", F.lit(255)), "__one": F.lit(1),
+        "ARG_CTRY_ID": F.coalesce("ARG_CTRY_ID", F.lit(255)),
     })
-    rows = joins.join_bucket(
-        rows, buckets.withColumn("one", F.lit(1)), {"__one": "one"}, C("TXN_AMT"), "low", "high", "id", "RG_MCT_AMT_ID", 255, half_open=False, by=["TXN_AMT"]
-    )
+    rows = joins.join_bucket(rows, buckets, {}, C("TXN_AMT"), "low", "high", "id", "RG_MCT_AMT_ID", 255, half_open=False)
     return rows.select("SET_DT", *TRANSACTION_DIMS, "PRG_ID", *MEASURES)
 
 

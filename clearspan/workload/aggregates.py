@@ -360,11 +360,11 @@ def _on_us(spark, sf_dir):
 @query(
     "set_difference_keys",
     """SELECT coalesce(n.k, c.k) AS custkey, CASE WHEN n.k IS NULL THEN 'current' WHEN c.k IS NULL THEN 'new' ELSE 'both' END AS side FROM
-       (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 200000) n FULL JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice < 100000) c ON n.k = c.k""",
+       (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 150000) n FULL JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice <= 150000) c ON n.k = c.k""",
 )
 def _differences(spark, sf_dir):
     orders = fixtures.table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey")
-    return sets.key_differences(orders.where("o_totalprice > 200000"), orders.where("o_totalprice < 100000"), ["custkey"])
+    return sets.key_differences(orders.where("o_totalprice > 150000"), orders.where("o_totalprice <= 150000"), ["custkey"])
 
 
 @query("concat_chunks", "SELECT rate_date, from_ccy, rate_ppm FROM fx", ("fx",))

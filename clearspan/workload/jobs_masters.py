@@ -34,7 +34,7 @@ def _fx_enrich(spark, sf_dir):
 
 
 def _write_lines(df, path):
-    df.coalesce(1).write.option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "\u0000").option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
+    df.write.mode("append").option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "\u0000").option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
 
 
 @query(
@@ -60,7 +60,8 @@ def _text_range_master(spark, sf_dir):
     master = None
     for name, part_of in (("new", "effective >= DATE '1995-06-01'"), ("all", "true")):
         folder = scratch_path(spark, "range-file")
-        _write_lines(header("0007", "20240401").unionByName(header("0042", "20240502")).unionByName(rows.where(part_of).select("line")).unionByName(masked), folder)
+        _write_lines(header("0007", "20240401").unionByName(header("0042", "20240502")).unionByName(masked).coalesce(1), folder)
+        _write_lines(rows.where(part_of).select("line"), folder)
         lines = readers.scan_text_lines(spark, folder).select(F.lit(name).alias("file_id"), "line_no", "line")
         if master is None:
             empty = masters.text_range_delivery(lines).where(F.lit(False))

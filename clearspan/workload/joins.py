@@ -257,7 +257,7 @@ def _bucket_sql(high: str, default: int) -> str:
 def _bucket_query(spark, sf_dir, half_open, default):
     out = joins.join_bucket(
         fixtures.txn(spark, sf_dir), size_buckets(spark, sf_dir), {"merchant_nation": "b_nation"}, C("amount_cents"), "b_min", "b_max", "b_id", "bucket",
-        default, half_open=half_open, by=["amount_cents"],
+        default, half_open=half_open,
     )
     return out.select("record", "bucket")
 

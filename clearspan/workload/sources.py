@@ -108,35 +108,39 @@ LINE = "code || CASE WHEN code = '' THEN 'xx' ELSE '' END || 'AB' || lpad(CAST(r
 
 @query(
     "scan_fixed_width_text",
-    f"""SELECT direction, row_number() OVER (PARTITION BY direction ORDER BY record) AS line_no,
+    f"""SELECT direction, record // 5000 AS block, row_number() OVER (PARTITION BY direction, record // 5000 ORDER BY record) AS line_no,
         CASE direction WHEN 'IN' THEN rpad({LINE}, 170, ' ')[1:2] || rpad({LINE}, 170, ' ')[5:] ELSE rpad({LINE}, 168, ' ') END AS line FROM txn""",
     ("txn",),
 )
 def _lines(spark, sf_dir):
+    """One text file per direction and block of records, written by as many tasks as there are files."""
     folder = scratch_path(spark, "text-files")
-    rows = fixtures.txn(spark, sf_dir)
     text = F.expr(f"CASE direction WHEN 'IN' THEN rpad({LINE}, 170, ' ') ELSE rpad({LINE}, 168, ' ') END")
-    for direction in ("IN", "OUT"):
-        one = rows.where(C("direction") == direction).select("record", text.alias("line")).orderBy("record").select("line").coalesce(1)
-        # The CSV writer with one column and no quoting writes Latin-1 text lines.
-        one.write.option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "\u0000").option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(f"{folder}/{direction}")
-    found = readers.scan_fixed_width(spark, f"{folder}/*")
-    return found.select(F.regexp_extract("file", r"/(IN|OUT)/[^/]*$", 1).alias("direction"), "line_no", "line")
+    rows = fixtures.txn(spark, sf_dir).select("direction", F.expr("record DIV 5000").alias("block"), "record", text.alias("line"))
+    ordered = rows.repartition("direction", "block").sortWithinPartitions("direction", "block", "record").select("direction", "block", "line")
+    # The CSV writer with one column and no quoting writes Latin-1 text lines.
+    ordered.write.partitionBy("direction", "block").option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "\u0000").option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(folder)
+    found = readers.scan_fixed_width(spark, f"{folder}/*/*")
+    return found.select(
+        F.regexp_extract("file", r"/direction=(IN|OUT)/", 1).alias("direction"), F.regexp_extract("file", r"/block=(\d+)/", 1).cast("bigint").alias("block"), "line_no", "line"
+    )
 
 
 @query(
     "scan_provenance_from_filename",
-    "SELECT record, CAST(file_no AS VARCHAR) AS source_file_idn FROM txn WHERE direction = 'IN'",
+    "SELECT record, CAST(file_no AS VARCHAR) AS source_file_idn, '691' AS source_function_code FROM txn",
     ("txn",),
 )
 def _provenance(spark, sf_dir):
-    """One dataset per sub-file; the part files carry the folder's name as the file stem does."""
+    """Files named hash_file_class_code.parquet, as the stage before leaves them."""
     folder = scratch_path(spark, "by-class")
-    rows = fixtures.txn(spark, sf_dir).where("direction = 'IN'")
-    rows.select("record", "file_no").write.partitionBy("file_no").parquet(folder)
-    found = spark.read.option("recursiveFileLookup", "true").parquet(folder)
-    name = F.regexp_replace(F.regexp_extract("_metadata.file_path", r"file_no=(\d+)/", 1), r"^(\d+)$", "hash_$1_1644_691.parquet")
-    return found.select("record", readers.file_stem_part(1, name).alias("source_file_idn"))
+    fixtures.txn(spark, sf_dir).select("record", "file_no").write.partitionBy("file_no").parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for n, status in enumerate(store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/file_no=*/*.parquet"))):
+        parent = status.getPath().getParent()
+        store.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(parent, f"h{n}_{parent.getName().split('=')[1]}_1644_691.parquet"))
+    return readers.scan_with_provenance(spark, folder).select("record", "source_file_idn", "source_function_code")
 
 
 def _store_rates(spark, folder, rates, times):
@@ -336,7 +340,7 @@ def _ledger(spark, sf_dir):
     )
     source, ledger, checkpoint = (scratch_path(spark, n) for n in ("arrivals", "ledger", "ledger-bookmark"))
     for part in ("n_chars > 800", "n_chars <= 800"):
-        arrivals.where(part).drop("n_chars").coalesce(1).write.mode("append").parquet(source)
+        arrivals.where(part).drop("n_chars").write.mode("append").parquet(source)
         incremental.run_ledger(incremental.new_files(spark, source, arrivals.drop("n_chars").schema), ledger, checkpoint)
     rows = spark.read.parquet(ledger).where("status <> 'duplicate'")
     return rows.select("file_id", "content_hash", "arrivals", "status")

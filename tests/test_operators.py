@@ -309,8 +309,8 @@ def test_buckets_half_open_and_closed(spark):
     facts = spark.createDataFrame([(1, 10), (2, 20), (3, 5), (4, None)], "id int, amount int").withColumn("k", F.lit(1))
     buckets = spark.createDataFrame([(1, 10, 20, 1), (1, 0, 100, 2)], "bk int, lo int, hi int, bid int").where("bid = 1")
     args = (facts, buckets, {"k": "bk"}, C("amount"), "lo", "hi", "bid", "bucket", 0)
-    assert [r[-1] for r in rows(joins.join_bucket(*args, half_open=True, by=["amount"]).select("id", "bucket"))] == [1, 0, 0, 0]
-    assert [r[-1] for r in rows(joins.join_bucket(*args, half_open=False, by=["amount"]).select("id", "bucket"))] == [1, 1, 0, 0]
+    assert [r[-1] for r in rows(joins.join_bucket(*args, half_open=True).select("id", "bucket"))] == [1, 0, 0, 0]
+    assert [r[-1] for r in rows(joins.join_bucket(*args, half_open=False).select("id", "bucket"))] == [1, 1, 0, 0]
 
 
 def test_rates_are_joined_by_date_so_rows_do_not_multiply(spark):
