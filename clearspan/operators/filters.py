@@ -82,6 +82,28 @@ def by_condition_table(df: DataFrame, conditions: DataFrame, **where: str) -> Da
     return df if predicate is None else df.where(predicate)
 
 
+# Column names that condition texts cite.
+ACTIVITY_CONDITION, FILE_CONDITION = "reconciled_member_activity", "app_hash_file"
+
+
+def by_member_activity(df: DataFrame, conditions: DataFrame, column: str, role: str, **where: str) -> DataFrame:
+    """Rows of one role, issuer or acquirer, if a condition of the client cites the member activity."""
+    cited = any(ACTIVITY_CONDITION in text for text in client_conditions(conditions, **where))
+    return df.where(F.col(column).cast("string") == role) if cited and column in df.columns else df
+
+
+def by_listed_files(
+    df: DataFrame, conditions: DataFrame, files: DataFrame, column: str, day: str, **where: str
+) -> DataFrame:
+    """Rows whose file is among the ``files`` (same two columns) of its day, if a condition of the client cites files.
+
+    A day without listed files keeps no row.
+    """
+    if column not in df.columns or not any(FILE_CONDITION in text for text in client_conditions(conditions, **where)):
+        return df
+    return lookup_join(df, files.select(column, day).distinct(), [column, day], {}, how="left_semi")
+
+
 def summary_detail(level: Column, aggregation: Column, no_data: Column, kind: Column, mode: Column, wanted_mode: str) -> Column:
     """Settlement summary rows at leaf level that carry data."""
     return (

@@ -153,8 +153,8 @@ def scan_with_provenance(spark: SparkSession, path: str, position: int = 1, patt
 
 
 def scan_modified_after(spark: SparkSession, path: str, moment: str, schema: T.StructType) -> DataFrame:
-    """Files written or rewritten after ``moment``."""
-    return spark.read.schema(schema).option("modifiedAfter", moment).parquet(path)
+    """Files written or rewritten after ``moment`` (UTC)."""
+    return spark.read.schema(schema).option("timeZone", "UTC").option("modifiedAfter", moment).parquet(path)
 
 
 def client_config(clients: DataFrame, client: str, default_currency: str = "USD") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
 from clearspan.operators.joins import codes_of_pair
-from clearspan.operators.lookup import lookup_join
+from clearspan.operators.lookup import lookup_join, materialised
 from clearspan.sources.readers import path_exists
 from clearspan.sources.sinks import write_touched_partitions
 
@@ -87,3 +88,52 @@ def run_ledger(arrivals: DataFrame, ledger_path: str, checkpoint: str) -> Stream
         write_touched_partitions(rows, ledger_path, ["run", "epoch"])
 
     return run_once(arrivals, checkpoint, register)
+
+
+# States of a file.
+PENDING, PROCESSING, COMPLETED, FAILED = "PENDING", "PROCESSING", "COMPLETED", "FAILED"
+STATE_SCHEMA = "file_id string, content_hash string, state string, at timestamp, error string, run string, step int"
+
+
+def state_log(spark: SparkSession, path: str) -> DataFrame:
+    """All state changes so far; none if nothing was processed yet."""
+    if path_exists(spark, path):
+        return spark.read.schema(STATE_SCHEMA).parquet(path)
+    return spark.createDataFrame([], STATE_SCHEMA)
+
+
+def file_states(ledger: DataFrame, log: DataFrame) -> DataFrame:
+    """Registered files with ``state, attempts, started_at, ended_at, error`` of their last attempt.
+
+    A file without a state change is pending; one whose run broke off stays in processing.
+    """
+    newest = F.max(F.struct("at", "step", "state", "error"))
+    last = log.groupBy("file_id", "content_hash").agg(
+        newest.alias("last"), F.count_if(F.col("state") == PROCESSING).alias("attempts"), F.max(F.when(F.col("state") == PROCESSING, F.col("at"))).alias("started_at")
+    )
+    known = last.select(
+        "file_id", "content_hash", "attempts", "started_at", F.col("last.state").alias("state"), F.col("last.error").alias("error"),
+        F.when(F.col("last.state") != PROCESSING, F.col("last.at")).alias("ended_at"),
+    )
+    files = ledger.where("status <> 'duplicate'")
+    joined = lookup_join(files, known, ["file_id", "content_hash"], ["state", "attempts", "started_at", "ended_at", "error"])
+    return joined.withColumn("state", F.coalesce("state", F.lit(PENDING))).withColumn("attempts", F.coalesce("attempts", F.lit(0)))
+
+
+def process_files(ledger: DataFrame, states_path: str, run: str, work: Callable[[DataFrame], DataFrame], take: tuple[str, ...] = (PENDING, PROCESSING)) -> None:
+    """Work on the registered files that are in one of the states ``take``, and log how each of them ended.
+
+    ``work`` gets the files and returns ``file_id, content_hash, error``; a null error means that the file is
+    done. A run that is repeated under its name replaces its own log entries only.
+    """
+    spark = ledger.sparkSession
+    earlier = state_log(spark, states_path).where(F.col("run") != run)
+    todo = materialised(file_states(ledger, earlier).where(F.col("state").isin(*take)).select("file_id", "content_hash"))
+
+    def log(rows: DataFrame, step: int) -> None:
+        stamped = rows.withColumn("at", F.lit(dt.datetime.now(dt.UTC).replace(tzinfo=None)).cast("timestamp")).withColumns({"run": F.lit(run), "step": F.lit(step)})
+        write_touched_partitions(stamped.select(*[c.split()[0] for c in STATE_SCHEMA.split(", ")]), states_path, ["run", "step"])
+
+    log(todo.select("file_id", "content_hash", F.lit(PROCESSING).alias("state"), F.lit(None).cast("string").alias("error")), 1)
+    ended = work(todo).select("file_id", "content_hash", F.when(F.col("error").isNull(), COMPLETED).otherwise(FAILED).alias("state"), "error")
+    log(ended, 2)

@@ -130,6 +130,34 @@ def _conditions(spark, sf_dir):
     return filters.by_condition_table(kept, conditions, client="C2", kind="where").select("record", "code", "ccy")
 
 
+MORE_CONDITIONS = [
+    ("C1", "where", "t1.reconciled_member_activity = 'X'"),
+    ("C1", "hash_file_filter", "app_hash_file in (select ...)"),
+    ("C2", "where", "ccy in ('EUR')"),
+]
+
+
+@query(
+    "filter_from_activity_and_files",
+    """SELECT 'C1' AS client, record FROM txn WHERE direction = 'IN' AND file_no = day(processing_date) % 7 AND file_no <> 3
+       UNION ALL SELECT 'C2', record FROM txn WHERE ccy = 'EUR'""",
+    ("txn",),
+)
+def _activity_conditions(spark, sf_dir):
+    """Conditions that cite the member activity and listed files apply for the client that has them only."""
+    conditions = spark.createDataFrame(MORE_CONDITIONS, "client string, kind string, condition string")
+    rows = fixtures.txn(spark, sf_dir).withColumn("activity", F.when(C("direction") == "IN", "I").otherwise("A"))
+    files = rows.select("file_no", "processing_date").where((C("file_no") == F.dayofmonth("processing_date") % 7) & (C("file_no") != 3))
+
+    def of(client):
+        kept = filters.by_condition_table(rows, conditions, client=client, kind="where")
+        kept = filters.by_member_activity(kept, conditions, "activity", "I", client=client, kind="where")
+        kept = filters.by_listed_files(kept, conditions, files, "file_no", "processing_date", client=client, kind="hash_file_filter")
+        return kept.select(F.lit(client).alias("client"), "record")
+
+    return of("C1").union(of("C2"))
+
+
 @query(
     "filter_summary_detail_level",
     """SELECT record FROM txn WHERE file_no <> 1 AND merchant_region <> 0 AND code <> '25' AND merchant_nation IN (1, 2, 3) AND direction = 'IN'""",

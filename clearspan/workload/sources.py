@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 from pyspark.sql import functions as F
 
 from clearspan import fixtures
@@ -344,3 +347,48 @@ def _ledger(spark, sf_dir):
         incremental.run_ledger(incremental.new_files(spark, source, arrivals.drop("n_chars").schema), ledger, checkpoint)
     rows = spark.read.parquet(ledger).where("status <> 'duplicate'")
     return rows.select("file_id", "content_hash", "arrivals", "status")
+
+
+@query(
+    "state_file_life_cycle",
+    """SELECT file_id, content_hash, CASE left(content_hash, 1) WHEN 'f' THEN 'PENDING' WHEN '0' THEN 'FAILED' ELSE 'COMPLETED' END AS state,
+       CASE WHEN left(content_hash, 1) = 'f' THEN CAST(0 AS BIGINT) WHEN left(content_hash, 1) IN ('0', '1') THEN 2 ELSE 1 END AS attempts, CASE WHEN left(content_hash, 1) = '0' THEN 'unreadable' END AS error
+       FROM (SELECT DISTINCT source || lang AS file_id, md5(text) AS content_hash FROM documents)""",
+)
+def _life_cycle(spark, sf_dir):
+    """Files are registered, worked on with two kinds failing, and the failed ones tried again; one kind is not due yet."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    arrivals = docs.select(F.concat("source", "lang").alias("file_id"), F.md5("text").alias("content_hash"), F.timestamp_seconds("doc_id").alias("arrived_at"))
+    ledger = incremental.register_arrivals(arrivals, spark.createDataFrame([], incremental.LEDGER_SCHEMA))
+    states = scratch_path(spark, "file-states")
+
+    def failing(kinds):
+        return lambda files: files.withColumn("error", F.when(F.substring("content_hash", 1, 1).isin(kinds), "unreadable"))
+
+    due = ledger.where("substr(content_hash, 1, 1) <> 'f'")
+    incremental.process_files(due, states, "first", failing(["0", "1"]))
+    incremental.process_files(due, states, "again", failing(["0"]), take=(incremental.FAILED,))
+    found = incremental.file_states(ledger, incremental.state_log(spark, states))
+    return found.select("file_id", "content_hash", "state", "attempts", "error")
+
+
+@query(
+    "scan_rewritten_files",
+    """SELECT CASE from_ccy WHEN 'USD' THEN 'Visa' ELSE 'MasterCard' END AS brand, CAST(sum(rate_ppm + 1) AS BIGINT) AS total, count(*) AS rates FROM fx WHERE from_ccy = 'USD' GROUP BY brand""",
+    ("fx",),
+)
+def _rewritten(spark, sf_dir):
+    """Files written again under the same name after a moment are read again, the others are not."""
+    _, rates = _rates_dataset(spark, sf_dir)
+    folder = scratch_path(spark, "rate-files")
+    rates.write.partitionBy("brand").parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/brand=MasterCard")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest = max(s.getModificationTime() for s in store.listStatus(path))
+    time.sleep(max(0.0, 2.1 - (time.time() - newest / 1000)))
+    moment = dt.datetime.fromtimestamp(newest // 1000 + 1, dt.UTC).strftime("%Y-%m-%dT%H:%M:%S")
+    again = rates.where("brand = 'Visa'").withColumn("rate_ppm", C("rate_ppm") + 1).drop("brand")
+    again.write.mode("overwrite").parquet(f"{folder}/brand=Visa")
+    schema = spark.read.parquet(folder).schema
+    changed = readers.scan_modified_after(spark, folder, moment, schema)
+    return changed.groupBy("brand").agg(F.sum("rate_ppm").alias("total"), F.count("*").alias("rates"))
