@@ -202,14 +202,18 @@ def _segment(value: Column, thresholds: list) -> Column:
     return F.when(value.isNull(), F.lit(-1)).when(begun == 0, F.lit(0)).otherwise((begun - 1) * width + inside)
 
 
-def _thresholds(rules: DataFrame, conditions: list[str]) -> list:
-    """Sorted (bound, strict) points where a comparison with any rule changes; at most two per rule."""
+def _thresholds(rules: DataFrame, tested: dict[str, list[str]]) -> dict[str, list]:
+    """For each value the sorted (bound, strict) points where a comparison with any rule changes; at most two per rule and condition."""
     points = []
-    for c in conditions:
-        points.append(F.struct(F.col(c)["lo"].alias("bound"), (~F.col(c)["lo_in"]).alias("strict")))
-        points.append(F.struct(F.col(c)["hi"].alias("bound"), F.col(c)["hi_in"].alias("strict")))
-    found = rules.select(F.explode(F.array(*points)).alias("p")).where("p.bound IS NOT NULL").select("p.*").distinct()
-    return sorted((r["bound"], r["strict"]) for r in found.collect())
+    for value, conditions in tested.items():
+        for c in conditions:
+            for bound, strict in ((F.col(c)["lo"], ~F.col(c)["lo_in"]), (F.col(c)["hi"], F.col(c)["hi_in"])):
+                points.append(F.struct(F.lit(value).alias("value"), bound.alias("bound"), strict.alias("strict")))
+    found: dict[str, list] = {value: [] for value in tested}
+    if points:
+        for r in rules.select(F.explode(F.array(*points)).alias("p")).where("p.bound IS NOT NULL").select("p.*").distinct().collect():
+            found[r["value"]].append((r["bound"], r["strict"]))
+    return {value: sorted(points) for value, points in found.items()}
 
 
 def first_rule(
@@ -236,9 +240,9 @@ def first_rule(
     profile, segmented, tested = list(dict.fromkeys([*keys, day, *compared])), {}, {}
     for bounds, value in numbers.items():
         tested.setdefault(value, []).append(bounds)
-    for value, bounds in tested.items():
+    for value, thresholds in _thresholds(table, tested).items():
         segmented[value] = f"__seg_{len(segmented)}"
-        facts = facts.withColumn(segmented[value], _segment(F.col(value), _thresholds(table, bounds)))
+        facts = facts.withColumn(segmented[value], _segment(F.col(value), thresholds))
     profile = list(dict.fromkeys([*profile, *segmented.values()]))
     examples = [F.min(v).alias(v) for v in segmented]
     distinct = facts.groupBy(*profile).agg(*examples) if examples else facts.select(*profile).distinct()
