@@ -20,18 +20,18 @@ IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with their texts as bytes; a null text is empty."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with their texts as bytes, about ``size`` of them; a null text is empty."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
-        start, size, held = 0, 0, []
+        start, total, held = 0, 0, []
         for row, value in enumerate(texts):
             data = value.as_py() or b""
-            if held and (size + len(data) > CHUNK_BYTES or len(held) >= CHUNK_ROWS):
+            if held and (total + len(data) > size or len(held) >= CHUNK_ROWS):
                 yield batch.slice(start, row - start), held
-                start, size, held = row, 0, []
+                start, total, held = row, 0, []
             held.append(data)
-            size += len(data)
+            total += len(data)
         if held:
             yield batch.slice(start), held
 

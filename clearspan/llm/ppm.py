@@ -18,75 +18,189 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearspan.llm.batches import chunks, lowered
+from clearspan.llm.batches import CHUNK_BYTES, chunks, lowered
 from clearspan.llm.common import kept_once
 
-#: Context bytes. The trie then has at most 2^24 counts however much text it was trained on, which bounds what
-#: is sent to every worker; a longer context would grow with the corpus.
-ORDER = 2
-NODES = 1 << 24
+#: Context bytes of the longest contexts, and of those that have at most 2^24 nodes for any corpus.
+ORDER, SHORT = 5, 2
+SHORT_NODES = 1 << 8 * (SHORT + 1)
+#: The longer contexts are dealt into slices of about so many nodes by their last three bytes, which all the contexts
+#: of a byte share. A worker holds one slice at a time, so its memory does not grow with the corpus.
+SLICE_NODES = 4_000_000
+#: Codes that a training task holds; above half of them when added up, they are passed on.
+HELD_CODES = 2_000_000
+#: Words are counted in chunks of about so many bytes: the larger, the fewer rows a word has.
+WORD_BYTES = 4_000_000
 #: Bytes that UTF-8 never holds: before the first byte of a text, and its end.
 BEFORE, END = 0xFE, 0xFF
 #: A word's text is never empty, so the empty text stands for the end of a document.
 END_WORD = ""
 
 
+def _last(codes: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes of codes."""
+    return codes & np.uint64((1 << 8 * n) - 1)
+
+
+def _joined(data: np.ndarray, n: int) -> np.ndarray:
+    """Each run of ``n`` bytes as one number, the first byte highest."""
+    if n == 1:
+        return data.astype(np.uint64)
+    size = len(data) - n + 1
+    if n % 2:
+        return (_joined(data, n - 1)[:size] << np.uint64(8)) | data[n - 1 :]
+    half = n // 2
+    part = _joined(data, half)
+    return (part[:size] << np.uint64(8 * half)) | part[half : half + size]
+
+
 def contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte of each text, end included: two context bytes and the byte as one number; and where texts start."""
-    joined = b"".join(bytes([BEFORE, BEFORE]) + t + bytes([END]) for t in texts)
-    data = np.frombuffer(joined, dtype=np.uint8).astype(np.uint32)
-    codes = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
+    """For each byte of each text, end included: its context bytes and the byte as one number; and where texts start."""
+    before = bytes([BEFORE]) * ORDER
+    data = np.frombuffer(b"".join(before + t + bytes([END]) for t in texts), dtype=np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    ends = np.cumsum(sizes + 2)
-    # The two codes that reach over the border of two texts are left out.
-    wanted = np.ones(len(codes), dtype=bool)
-    for border in ends[:-1]:
-        wanted[border - 2 : border] = False
-    return codes[wanted], np.cumsum(sizes) - sizes
-
-
-def log_table(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each byte in each context of two, escapes and exclusions included."""
-    c2 = np.zeros(NODES, dtype=np.float32)
-    c2[codes] = counts
-    c2 = c2.reshape(256, 256, 256)
-    exact = np.zeros((256, 256), dtype=np.float64)
-    np.add.at(exact, ((codes >> 8) & 255, codes & 255), counts)
-    zero = exact.sum(axis=0)
-    table = np.empty((256, 256, 256), dtype=np.float32)
-    d0 = np.count_nonzero(zero)
-    unseen = 1.0 / max(256 - d0, 1)
-
-    def shares(count, excluded):
-        """Probabilities of the bytes of a context, and of the escape, without the excluded ones. Last axis: bytes."""
-        left = np.where(excluded, 0.0, count)
-        different = np.count_nonzero(left, axis=-1)[..., None]
-        whole = left.sum(axis=-1, keepdims=True) + different
-        nothing = whole == 0
-        whole = np.where(nothing, 1.0, whole)
-        return left / whole, np.where(nothing, 1.0, different / whole)
-
-    for one in range(256):  # the nearer context byte; its block has all farther ones
-        c1 = exact[one]
-        p0, escape0 = shares(zero, c1 > 0)
-        lowest = np.where(zero > 0, p0, escape0 * unseen)
-        long = c2[:, one, :].astype(np.float64)
-        seen2 = long > 0
-        p2, escape2 = shares(long, np.zeros((1, 256), dtype=bool))
-        p1, escape1 = shares(np.broadcast_to(c1, (256, 256)), seen2)
-        low = np.where(c1 > 0, p1, escape1 * lowest)
-        chance = np.where(seen2, p2, escape2 * low)
-        # Where all bytes of a context are excluded, float dust and truly impossible bytes stay above 0.
-        table[:, one, :] = np.log10(np.maximum(chance, 1e-30))
-    return table.reshape(-1)
-
-
-def text_scores(texts: list[bytes], table: np.ndarray) -> np.ndarray:
+    # The codes that reach over the border of two texts end in a byte before the second one.
+    return _joined(data, ORDER + 1)[data[ORDER:] != BEFORE], np.cumsum(sizes) - sizes
+
+
+def distinct(codes: np.ndarray) -> np.ndarray:
+    """The codes in order, each once."""
+    codes = np.sort(codes)
+    return codes[np.flatnonzero(np.diff(codes, prepend=codes[:1] ^ np.uint64(1)))]
+
+
+def added_up(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the sums of their counts."""
+    order = np.argsort(codes)
+    codes, counts = codes[order], counts[order]
+    first = np.flatnonzero(np.diff(codes, prepend=codes[:1] ^ np.uint64(1)))
+    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+class Level:
+    """The contexts of one length in order, and the nodes, a byte after a context, with their counts."""
+
+    def __init__(self, nodes: np.ndarray, n: np.ndarray, below: Level | None):
+        held = nodes >> np.uint64(8)
+        first = np.flatnonzero(np.diff(held, prepend=held[:1] ^ np.uint64(1)))
+        total, different = (np.add.reduceat(n, first) if len(first) else n), np.diff(first, append=len(held))
+        self.nodes, self.held = nodes, held[first]
+        # Counts stay exact: the differences below may be small ones of large numbers.
+        self.n, self.total, self.different = n.astype(np.float64), total.astype(np.float64), different.astype(np.float32)
+        if below is not None:
+            length = below.bytes
+            at = np.searchsorted(below.held, _last(self.held, length))
+            gone = below.n[np.searchsorted(below.nodes, _last(nodes, length + 1))]
+            gone = np.add.reduceat(gone, first) if len(first) else gone
+            #: Of the next shorter context without the bytes of this one: counts that lead to an escape, and all.
+            self.escape_below = below.different[at] - self.different
+            self.whole_below = (below.total[at] - gone + self.escape_below).astype(np.float32)
+        self.bytes = 0 if below is None else below.bytes + 1
+
+
+def levels(codes: np.ndarray, counts: np.ndarray, longest: int, below: list[Level]) -> list[Level]:
+    """``below`` (contexts of 0, 1, .. bytes) and the levels up to ``longest``, from distinct codes in order."""
+    grown = list(below)
+    for k in range(len(below), longest + 1):
+        nodes, n = (codes, counts) if k == longest else added_up(_last(codes, k + 1), counts)
+        grown.append(Level(nodes, n, grown[-1] if grown else None))
+    return grown
+
+
+def log_probabilities(trie: list[Level], codes: np.ndarray) -> np.ndarray:
+    """log10 of the probability of the last byte of each code after the bytes before it."""
+    result, left = np.zeros(len(codes)), np.arange(len(codes))
+    # What an escape and all weigh in the context at hand, without the bytes of longer contexts; below 0: it is the longest known.
+    escape, whole = np.full(len(codes), -1.0), np.zeros(len(codes))
+    for level in reversed(trie):
+        if not len(level.held) or not len(left):
+            continue
+        wanted = _last(codes[left], level.bytes + 1)
+        at = np.minimum(np.searchsorted(level.held, wanted >> np.uint64(8)), len(level.held) - 1)
+        known = level.held[at] == wanted >> np.uint64(8)
+        longest = escape[left] < 0
+        all_counts = np.where(longest, level.total[at] + level.different[at], whole[left])
+        node = np.minimum(np.searchsorted(level.nodes, wanted), len(level.nodes) - 1)
+        hit = known & (level.nodes[node] == wanted)
+        result[left[hit]] += np.log10(level.n[node[hit]]) - np.log10(all_counts[hit])
+        missed = known & ~hit
+        leads_on = np.where(longest, level.different[at], escape[left])
+        some = missed & (leads_on > 0)  # else every byte of the context is excluded, and the escape is sure
+        result[left[some]] += np.log10(leads_on[some]) - np.log10(all_counts[some])
+        if level.bytes:
+            escape[left[missed]], whole[left[missed]] = level.escape_below[at[missed]], level.whole_below[at[missed]]
+        left = left[~hit]
+    # Bytes never seen at all share what is left alike.
+    result[left] -= math.log10(max(256 - len(trie[0].nodes), 1))
+    return result
+
+
+def slice_of(context: Column, slices: int) -> Column:
+    """Slice of the last three bytes before a byte."""
+    return F.pmod(context * F.lit(2654435761), F.lit(slices))
+
+
+def _slices_of(codes: np.ndarray, slices: int) -> np.ndarray:
+    return (_last(codes >> np.uint64(8), SHORT + 1) * np.uint64(2654435761)) % np.uint64(slices)
+
+
+def _spread(known: np.ndarray, values: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The value of each code, by a hash table; codes that share a place with another are searched."""
+    bits = max(10, int(len(known)).bit_length() + 2)
+    place = lambda c: (c * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+    keys, held = np.zeros(1 << bits, dtype=np.uint64), np.zeros(1 << bits)
+    at = place(known)
+    keys[at], held[at] = known, values
+    at = place(codes)
+    found, lost = held[at], np.flatnonzero(keys[at] != codes)
+    found[lost] = values[np.searchsorted(known, codes[lost])]
+    return found
+
+
+def text_scores(texts: list[bytes], trie: list[Level], number: int, slices: int) -> np.ndarray:
+    """What the bytes of one slice add to the log10 probability of each text."""
     codes, starts = contexts(texts)
-    return np.add.reduceat(table[codes].astype(np.float64), starts)
+    known = distinct(codes)
+    mine = _slices_of(known, slices) == number
+    logs = np.zeros(len(known))
+    logs[mine] = log_probabilities(trie, known[mine])
+    return np.add.reduceat(_spread(known, logs, codes), starts)
+
+
+def _portions(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in turn, about ``CHUNK_BYTES`` at a time."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        if k > start and size + len(text) > CHUNK_BYTES:
+            yield texts[start:k]
+            start, size = k, 0
+        size += len(text)
+    if start < len(texts):
+        yield texts[start:]
+
+
+class Model:
+    """The trie as broadcast slices; what a worker has loaded of it."""
+
+    _loaded: dict = {}
 
+    def __init__(self, short, slices: list):
+        self.short, self.slices = short, slices
+        self.name = tuple(b._jbroadcast.id() for b in [short, *slices])
 
-_TABLES: dict[int, np.ndarray] = {}
+    def __getstate__(self):
+        return {"short": self.short, "slices": self.slices, "name": self.name}
+
+    def part(self, number: int) -> list[Level]:
+        """The trie as far as one slice needs it."""
+        held = Model._loaded
+        if held.get("name") != self.name:
+            held.clear()
+            held.update(name=self.name, short=levels(*self.short.value, SHORT, []))
+        if held.get("number") != number:
+            held.pop("part", None)
+            held.update(number=number, part=levels(*self.slices[number].value, ORDER, held["short"]))
+        return held["part"]
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -95,35 +209,38 @@ def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
 
 
 def train(docs: DataFrame) -> DataFrame:
-    """Counts of words (``word``) and of byte contexts (``code``) over all rows: ``word, code, n``.
+    """Counts of words (``word``) and of bytes in their longest contexts (``code``) over all rows: ``word, code, n``.
 
     Every task adds up its own part first; ends of documents are counted under the empty word.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes = np.zeros(NODES, dtype=np.uint32)
-        held = 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return added_up(*(np.concatenate(part) for part in zip(*held, strict=True))) if len(held) > 1 else held[0]
 
-        def flushed() -> pa.RecordBatch:
-            codes = np.flatnonzero(nodes)
-            columns = [pa.nulls(len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(nodes[codes].astype(np.int64))]
+        def passed_on() -> pa.RecordBatch:
+            codes, counts = merged()
+            columns = [pa.nulls(len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(counts)]
             return pa.RecordBatch.from_arrays(columns, ["word", "code", "n"])
 
-        for _, texts in chunks(batches):
+        for _, texts in chunks(batches, size=WORD_BYTES):
             texts = lowered(texts)
-            codes, _ = contexts(texts)
-            if held + len(codes) >= 2**32:
-                yield flushed()
-                nodes[:] = 0
-                held = 0
-            np.add.at(nodes, codes, np.uint32(1))
-            held += len(codes)
+            for portion in _portions(texts):
+                held.append(np.unique(contexts(portion)[0], return_counts=True))
+                if sum(len(codes) for codes, _ in held) >= HELD_CODES:
+                    held[:] = [merged()]
+                    if len(held[0][0]) >= HELD_CODES // 2:
+                        yield passed_on()
+                        held.clear()
             words, n = _counted(texts)
-            columns = [pa.array(words, pa.binary()).cast(pa.string()), pa.nulls(len(words), pa.int32()), pa.array(n)]
+            columns = [pa.array(words, pa.binary()).cast(pa.string()), pa.nulls(len(words), pa.int64()), pa.array(n)]
             yield pa.RecordBatch.from_arrays(columns, ["word", "code", "n"])
-        yield flushed()
+        if held:
+            yield passed_on()
 
-    return docs.select("text").mapInArrow(run, "word string, code int, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word string, code long, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
 
 
 def _counted(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -150,7 +267,30 @@ def _occurrences(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarra
     return [*words, b""], packed.astype(np.uint32).view(np.int32), np.append(begins, len(packed))
 
 
-def score_texts(docs: DataFrame, counts: DataFrame) -> DataFrame:
+def model_of(counts: DataFrame, slice_nodes: int = SLICE_NODES) -> Model:
+    """The trie of the counts of ``train``, broadcast in slices of about ``slice_nodes`` nodes.
+
+    The driver holds one slice at a time. The nodes that share three context bytes stay together; there are at most
+    2^24 of them for the two bytes before, so a slice has a bounded size however large the corpus.
+    """
+    context = F.shiftright("code", 8).bitwiseAND(SHORT_NODES - 1).alias("context")
+    nodes = counts.where("code IS NOT NULL").select("code", "n", context)
+    total = nodes.count()
+    slices = max(1, -(-total // slice_nodes))
+    send = counts.sparkSession.sparkContext.broadcast
+
+    def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        table = rows.toArrow()
+        codes, n = table["code"].to_numpy().astype(np.uint64), table["n"].to_numpy()
+        order = np.argsort(codes)
+        return codes[order], n[order]
+
+    short = nodes.groupBy(F.col("code").bitwiseAND(SHORT_NODES - 1).alias("code")).agg(F.sum("n").alias("n"))  # at most 2^24 rows
+    parts = [send(arrays(nodes.where(slice_of(F.col("context"), slices) == k).select("code", "n"))) for k in range(slices)]
+    return Model(send(arrays(short)), parts)
+
+
+def score_texts(docs: DataFrame, counts: DataFrame, slice_nodes: int = SLICE_NODES) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``counts`` comes from ``train``. ``base_score`` adds up log10((c + 1) / (N + V + 1)) over the words and the end of
@@ -161,28 +301,31 @@ def score_texts(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """
     known = counts.where("word IS NOT NULL")
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    trie = counts.where("code IS NOT NULL").select("code", "n").toArrow()  # at most NODES rows
-    shared = docs.sparkSession.sparkContext.broadcast((trie["code"].to_numpy(), trie["n"].to_numpy()))
-    number = shared._jbroadcast.id()
+    model = model_of(counts, slice_nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if number not in _TABLES:
-            _TABLES.clear()
-            _TABLES[number] = log_table(*shared.value)
-        task = TaskContext.get().partitionId()
-        for chunk, (rows, texts) in enumerate(chunks(batches)):
-            texts = lowered(texts)
-            words, packed, begins = _occurrences(texts)
-            lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(packed))
-            offsets = np.zeros(len(words) + 1, dtype=np.int32)
-            offsets[-1] = len(texts)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), rows.column(0))
-            scores = pa.ListArray.from_arrays(pa.array(offsets), pa.array(text_scores(texts, _TABLES[number])))
-            size = len(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([task] * size, pa.int32()), pa.array([chunk] * size, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()), lists, ids, scores],
-                ["task", "chunk", "word", "places", "ids", "scores"],
-            )
+        task, chunk = TaskContext.get().partitionId(), -1
+        for batch in batches:
+            held = [(rows, lowered(texts)) for rows, texts in chunks([batch], size=WORD_BYTES)]
+            scores = [np.zeros(len(texts)) for _, texts in held]
+            for number in range(len(model.slices)):
+                part = model.part(number)
+                for score, (_, texts) in zip(scores, held, strict=True):
+                    score += np.concatenate([text_scores(t, part, number, len(model.slices)) for t in _portions(texts)])
+            for score, (rows, texts) in zip(scores, held, strict=True):
+                chunk += 1
+                words, packed, begins = _occurrences(texts)
+                places = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(packed))
+                # The end of the texts, the last word, carries what belongs to each text once.
+                offsets = np.zeros(len(words) + 1, dtype=np.int32)
+                offsets[-1] = len(texts)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), rows.column(0))
+                once = pa.ListArray.from_arrays(pa.array(offsets), pa.array(score))
+                size = len(words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([task] * size, pa.int32()), pa.array([chunk] * size, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()), places, ids, once],
+                    ["task", "chunk", "word", "places", "ids", "scores"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"task int, chunk int, word string, places array<int>, ids array<{kind}>, scores array<double>"
@@ -207,5 +350,5 @@ def score_texts(docs: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def trained(docs: DataFrame) -> DataFrame:
-    """The counts of ``train``, kept in the shared folder, as scoring reads them three times."""
+    """The counts of ``train``, kept in the shared folder, as scoring reads them several times."""
     return kept_once(train(docs))

@@ -383,18 +383,22 @@ def test_bpe_is_that_of_the_library(spark):
     assert bpe.encode(docs.limit(0), vocabulary_path()).count() == 0
 
 
-def brute_ppm(train_texts, text):
-    """PPM with escape method C and exclusion, symbol by symbol."""
-    counts = [defaultdict(Counter) for _ in range(3)]
+def counted_contexts(train_texts):
+    counts = [defaultdict(Counter) for _ in range(ppm.ORDER + 1)]
     for t in train_texts:
-        data = bytes([0xFE, 0xFE]) + t + b"\xff"
-        for i in range(2, len(data)):
-            for k in range(3):
+        data = bytes([0xFE]) * ppm.ORDER + t + b"\xff"
+        for i in range(ppm.ORDER, len(data)):
+            for k in range(ppm.ORDER + 1):
                 counts[k][data[i - k : i]][data[i]] += 1
-    data, total = bytes([0xFE, 0xFE]) + text + b"\xff", 0.0
-    for i in range(2, len(data)):
+    return counts
+
+
+def brute_ppm(counts, text):
+    """PPM with escape method C and exclusion, symbol by symbol."""
+    data, total = bytes([0xFE]) * ppm.ORDER + text + b"\xff", 0.0
+    for i in range(ppm.ORDER, len(data)):
         excluded, chance, symbol = set(), 1.0, data[i]
-        for k in (2, 1, 0):
+        for k in range(ppm.ORDER, -1, -1):
             seen = {s: n for s, n in counts[k][data[i - k : i]].items() if s not in excluded}
             whole = sum(seen.values()) + len(seen)
             if symbol in seen:
@@ -409,39 +413,43 @@ def brute_ppm(train_texts, text):
     return total
 
 
-def test_language_model_scores_against_brute_force(spark):
+@pytest.mark.parametrize("slice_nodes", [ppm.SLICE_NODES, 500])
+def test_language_model_scores_against_brute_force(spark, slice_nodes):
+    """In one slice and in several."""
     rng = random.Random(10)
     rows = [(i, prose(rng, rng.randrange(1, 40), 30) + rng.choice(["", " É", "\nX-Y"]), "s") for i in range(60)]
     rows += [(60, "", "s"), (61, None, "s"), (62, "never seen ~ \x7f words ÿ", "s"), (63, "w1 " * 70000, "s"), (None, "W1 w2", "s"), (5, rows[5][1], "s")]
     docs = documents(spark, rows)
     training = docs.where(~ppm.held_out(F.col("doc_id")))
-    found = ppm.score_texts(docs, ppm.trained(training)).collect()
+    found = ppm.score_texts(docs, ppm.trained(training), slice_nodes).collect()
     assert len(found) == len(rows)
     texts = {i: (t or "").encode().lower() for i, t, _ in rows}
     learned = [(t or "").encode().lower() for i, t, _ in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
     seen = Counter(w for t in learned for w in [*t.split(), None])
     total, different = sum(seen.values()), len(seen)
+    counts = counted_contexts(learned)
     for r in found:
         words = [*texts[r.doc_id].split(), None]
         base = sum(math.log10((seen[w] + 1) / (total + different + 1)) for w in words)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(seen[w] > 0 for w in words), total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
         if len(words) < 1000:
-            assert r.score == pytest.approx(brute_ppm(learned, texts[r.doc_id]), rel=1e-4, abs=1e-3)
+            assert r.score == pytest.approx(brute_ppm(counts, texts[r.doc_id]), rel=1e-9)
     none = ppm.score_texts(docs.where("doc_id = 62"), ppm.trained(docs.limit(0))).first()
-    assert none.base_score == 0 and none.score == pytest.approx(-math.log10(256) * (len(texts[62]) + 1), rel=1e-4)
+    assert none.base_score == 0 and none.score == pytest.approx(-math.log10(256) * (len(texts[62]) + 1))
     assert ppm.score_texts(docs.limit(0), ppm.trained(docs)).count() == 0
 
 
 def test_probabilities_of_a_context_add_up():
-    texts = [b"abracadabra", b"abrupt ending", b"banana"]
-    codes, _ = ppm.contexts(texts)
     import numpy as np
 
-    different, counts = np.unique(codes, return_counts=True)
-    table = 10 ** ppm.log_table(different, counts).astype(float).reshape(256, 256, 256)
-    for context in ((97, 98), (98, 97), (0, 97), (1, 2), (0xFE, 0xFE)):
-        assert table[context].sum() == pytest.approx(1, abs=1e-4)
+    codes, counts = ppm.added_up(*(lambda c: (c, np.ones(len(c))))(ppm.contexts([b"abracadabra", b"abrupt ending", b"banana"])[0]))
+    short = ppm.levels(*ppm.added_up(ppm._last(codes, 3), counts), ppm.SHORT, [])
+    trie = ppm.levels(codes, counts, ppm.ORDER, short)
+    for context in (b"bracad"[-ppm.ORDER :], b"xxaban"[-ppm.ORDER :], b"zzzzza"[-ppm.ORDER :], b"\xfe" * ppm.ORDER, b"zzzzz"):
+        start = int.from_bytes(context[-ppm.ORDER :], "big") << 8
+        chances = 10 ** ppm.log_probabilities(trie, np.array([start | s for s in range(256)], dtype=np.uint64))
+        assert chances.sum() == pytest.approx(1) and (chances > 0).all()
 
 
 def test_edited_texts_and_their_fingerprints(spark):

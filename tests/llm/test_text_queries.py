@@ -61,3 +61,38 @@ def test_pipeline_stages(spark, tmp_path):
     texts = {r.doc_id: r.text for r in spark.read.parquet(str(SMALL / "documents.parquet")).collect()}
     assert all(r.text == texts[r.doc_id] for r in last)
     assert sorted(r.doc_id for r in entry.queries()["pipeline"](spark, str(SMALL)).collect()) == sorted(r.doc_id for r in last)
+
+
+EDGE = "doc_id long, text string, lang string, source string, n_chars long, score double, size long, kept boolean, ids string, `__row` string"
+
+
+def test_pipeline_stages_on_edge_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, clashing names, labels that are null or missing."""
+    good = " ".join(f"word{i % 97} and" for i in range(300))
+    rows = [
+        (1, good, "en", "a", 5), (1, good, "en", "a", 5), (2, good + " more", None, None, None), (None, good + " of it", "en", "a", 1), (None, None, None, None, None),
+        (3, "", "en", "a", 0), (4, " \n\t", "en", "b", 3), (5, "x", "en", None, 1), (6, "junk### " * 90, "en", "b", 9), (7, " ".join(f"w{i}" for i in range(30_000)), "en", "c", 9),
+        (8, None, "en", "c", 0), (9, "only one line\n" * 200, "en", "c", 1),
+    ]
+    docs = spark.createDataFrame([(*r, 0.5, 1, None, "x", "y") for r in rows], EDGE)
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame([(1, 1), (6, 0), (None, 1), (7, None), (99, 0)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    given = docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, given, folder).write.parquet(path := str(tmp_path / str(k)))
+        given = spark.read.parquet(path)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert given.columns == docs.columns, name
+    left = {r.doc_id for r in given.collect()}
+    assert left <= {1, 7} and 6 not in left
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).count() == 0, name
+
+
+def test_each_filtering_stage_keeps_clean_documents(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k} the" for k in range(60)), "en", "s", 1) for i in range(30)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, docs, folder).count() == 30, name
