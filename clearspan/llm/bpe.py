@@ -25,10 +25,10 @@ PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Pieces up to this many characters are remembered, twice so many of them at most per worker process.
-CACHED_CHARS, CACHED_PIECES = 48, 250_000
-CACHED_PAIRS = 400_000
+CACHED_CHARS, CACHED_PIECES = 48, 200_000
+CACHED_PAIRS = 250_000
 #: Characters of text, and tokens, that one result batch holds about.
-BATCH_CHARS, BATCH_TOKENS = 4_000_000, 1_000_000
+BATCH_CHARS, BATCH_TOKENS = 2_000_000, 1_000_000
 
 NEVER = 1 << 60
 
@@ -214,6 +214,27 @@ def _vocabulary(df: DataFrame, path: str) -> _Shared:
         return _Shared(df.sparkSession.sparkContext.broadcast(file.read()))
 
 
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Keys and texts of a batch (``doc_id, text``), about ``BATCH_CHARS`` characters at a time; a null text is empty."""
+    start, size, held = 0, 0, []
+    texts = batch.column(1)
+    for row in range(len(batch)):
+        held.append(texts[row].as_py() or "")
+        size += len(held[-1])
+        if size >= BATCH_CHARS or row == len(batch) - 1:
+            yield batch.column(0).slice(start, len(held)), held
+            start, size, held = row + 1, 0, []
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)
+_TEXT = T.StructField("text", T.StringType(), False)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: ``doc_id, ids`` (array of int), for the whole text.
 
@@ -223,26 +244,34 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     columns are neither read nor returned.
     """
     shared = _vocabulary(docs, path)
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = loaded(shared)
         for batch in batches:
-            start, size, held = 0, 0, []
-            texts = batch.column(1)
-            for row in range(len(batch)):
-                text = texts[row].as_py() or ""
-                held.append(vocabulary.encode(text))
-                size += len(text)
-                if size >= BATCH_CHARS or row == len(batch) - 1:
-                    yield _listed(batch.column(0).slice(start, len(held)), held)
-                    start, size, held = row + 1, 0, []
+            for keys, texts in _portions(batch):
+                ids = [vocabulary.encode(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([keys, _lists(ids)], ["doc_id", "ids"])
 
-    def _listed(keys: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
-        offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-        return pa.RecordBatch.from_arrays([keys, lists], ["doc_id", "ids"])
+    schema = T.StructType([docs.schema["doc_id"], _IDS])
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids, text``: what ``encode`` and then ``decode`` give, in one pass through the workers.
+
+    Chained, the two would each need a worker process with the vocabulary per task.
+    """
+    shared = _vocabulary(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = loaded(shared)
+        for batch in batches:
+            for keys, texts in _portions(batch):
+                ids = [vocabulary.encode(t) for t in texts]
+                back = [vocabulary.decode(i).decode("utf-8", "replace") for i in ids]
+                yield pa.RecordBatch.from_arrays([keys, _lists(ids), pa.array(back, pa.string())], ["doc_id", "ids", "text"])
 
+    schema = T.StructType([docs.schema["doc_id"], _IDS, _TEXT])
     return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
 
 
@@ -252,7 +281,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     Bytes that are no UTF-8 become U+FFFD; null ids give an empty text; ids outside the vocabulary raise.
     """
     shared = _vocabulary(encoded, path)
-    schema = T.StructType([encoded.schema["doc_id"], encoded.schema["ids"], T.StructField("text", T.StringType(), False)])
+    schema = T.StructType([encoded.schema["doc_id"], encoded.schema["ids"], _TEXT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = loaded(shared)

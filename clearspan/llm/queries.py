@@ -83,8 +83,7 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    both = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select(
         "doc_id",

@@ -40,8 +40,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, text``: the token ids and the text they decode to."""
-    path = vocabulary_path()
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.round_trip(docs, vocabulary_path())
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
 
 

@@ -374,13 +374,14 @@ def test_bpe_is_that_of_the_library(spark):
     docs = documents(spark, [*((i, t, "s") for i, t in enumerate(texts)), (None, "ab", "s"), (0, texts[0], "s")])
     encoded = bpe.encode(docs, vocabulary_path())
     found = bpe.decode(encoded, vocabulary_path()).collect()
+    assert sorted(map(str, found)) == sorted(map(str, bpe.round_trip(docs, vocabulary_path()).collect()))
     assert len(found) == len(texts) + 2
     for r in found:
         text = "ab" if r.doc_id is None else texts[r.doc_id] or ""
         ids = library.encode(text, add_special_tokens=False).ids
         assert list(r.ids) == ids, repr(text)
         assert r.text == library.decode(ids, skip_special_tokens=False) == text
-    assert bpe.encode(docs.limit(0), vocabulary_path()).count() == 0
+    assert bpe.encode(docs.limit(0), vocabulary_path()).count() == bpe.round_trip(docs.limit(0), vocabulary_path()).count() == 0
 
 
 def counted_contexts(train_texts):
