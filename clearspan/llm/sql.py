@@ -42,7 +42,7 @@ WITH {_CRC}, hexed AS (
   SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
 ), summed AS (
   SELECT doc_id, length(h) // 2 + 1 AS size,
-    xor(list_reduce([4294967295::UBIGINT] || list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT),
+    xor(list_reduce([4294967295::UBIGINT] || list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::UBIGINT),
       lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
   FROM hexed, crc_table
 ), placed AS (
@@ -92,9 +92,10 @@ w AS (
   SELECT rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS words
   FROM (SELECT *, row_number() OVER () AS rid FROM documents)
 ), grams AS (
-  SELECT rid, i, words[i:i + 2] AS g FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+  SELECT rid, i, word || ' ' || lead(word) OVER later || ' ' || lead(word, 2) OVER later AS g
+  FROM (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w) WINDOW later AS (PARTITION BY rid ORDER BY i)
 ), repeated AS (
-  SELECT rid, i FROM grams QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
+  SELECT rid, i FROM grams WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
 ), covered AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM repeated, range(3) t(k) GROUP BY rid
 ), base AS (
