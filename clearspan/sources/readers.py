@@ -89,8 +89,14 @@ def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Numbering needs no shuffle of the lines: rows of one split are numbered in reading order
     and shifted by the lines of the file's earlier splits, which is one small row per split.
-    Lines of blanks only are dropped and leave a gap in the numbers.
+    Lines of blanks only are dropped and leave a gap in the numbers. The text is read twice, for the summary of its
+    splits and for the lines.
     """
+    return _numbered_lines(spark, path).select("file", "line_no", "line")
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, line, first_width``, the last being the length of the file's first line that is not blank."""
     raw = (
         spark.read.option("sep", "\u0001")
         .option("quote", "")
@@ -106,32 +112,26 @@ def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
             "line",
         )
     )
-    kept = raw.where(F.trim("line") != "")
-    return _number_in_file(kept, raw)
-
-
-def _number_in_file(kept: DataFrame, raw: DataFrame) -> DataFrame:
+    filled = F.trim("line") != ""
     span = F.greatest(F.max("__id") - F.min("__id") + 1, F.count("line"))
-    splits = raw.groupBy("file", "__block").agg(F.min("__id").alias("__first"), span.alias("__rows"))
-    before = Window.partitionBy("file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-    return (
-        lookup_join(kept, offsets, ["file", "__block"], ["__first", "__offset"])
-        .withColumn("line_no", F.col("__id") - F.col("__first") + F.col("__offset") + 1)
-        .select("file", "line_no", "line")
+    splits = raw.groupBy("file", "__block").agg(
+        F.min("__id").alias("__first"), span.alias("__rows"), F.min_by(F.length("line"), F.when(filled, F.col("__id"))).alias("__width")
+    )
+    along = Window.partitionBy("file").orderBy("__block")
+    offsets = splits.select(
+        "file", "__block", "__first",
+        F.coalesce(F.sum("__rows").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
+        F.first("__width", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("first_width"),
     )
+    placed = lookup_join(raw.where(filled), offsets, ["file", "__block"], ["__first", "__offset", "first_width"])
+    return placed.select("file", (F.col("__id") - F.col("__first") + F.col("__offset") + 1).alias("line_no"), "line", "first_width")
 
 
 def scan_fixed_width(spark: SparkSession, path: str, long_variant: int = 170) -> DataFrame:
     """Fixed-width lines; files whose first line has the long form lose characters 3-4 of every line."""
-    lines = scan_text_lines(spark, path)
-    first = lines.groupBy("file").agg(F.min_by(F.length("line"), "line_no").alias("__width"))
     short = F.concat(F.substring("line", 1, 2), F.expr("substring(line, 5)"))
-    return (
-        lookup_join(lines, first, ["file"], ["__width"])
-        .withColumn("line", F.when(F.col("__width") == long_variant, short).otherwise(F.col("line")))
-        .drop("__width")
-    )
+    line = F.when(F.col("first_width") == long_variant, short).otherwise(F.col("line")).alias("line")
+    return _numbered_lines(spark, path).select("file", "line_no", line)
 
 
 def file_stem_part(position: int, name: Column | None = None) -> Column:

@@ -55,3 +55,20 @@ def test_top_rows_are_cut_before_the_shuffle(spark):
     plan = entry.queries()["topk_by_key"](spark, str(SMALL))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+@needs_tables
+def test_text_is_read_twice_at_most(spark):
+    plan = entry.queries()["scan_fixed_width_text"](spark, str(SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [line") <= 2
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["job_visa_calculate", "job_mc_calculate", "job_quality_visa", "job_quality_mc", "job_transaction_report", "jurisdiction_summary"])
+def test_few_jobs_run_before_a_query_is_returned(spark, name):
+    """Table schemas are known from the first call; what is left are rule and range bounds."""
+    query = entry.queries()[name]
+    query(spark, str(SMALL))
+    spark.sparkContext.setJobGroup(f"before {name}", name)
+    query(spark, str(SMALL))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"before {name}")) <= 5
