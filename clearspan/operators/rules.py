@@ -69,6 +69,14 @@ def most_spans(rules: DataFrame, conditions: list[str]) -> int:
     return found or 0
 
 
+def conditions_in_use(rules: DataFrame, conditions: list[str]) -> dict[str, int]:
+    """Parsed conditions that some rule has, with the most ranges any of them has; one job."""
+    if not conditions:
+        return {}
+    row = rules.agg(*[F.max(F.when(F.col(c).isNotNull(), F.coalesce(F.size(F.col(c)["spans"]), F.lit(0)))).alias(c) for c in conditions]).first()
+    return {c: row[c] for c in conditions if row[c] is not None}
+
+
 def token_match(condition: Column, value: Column, number: Column | None = None, spans: int | None = None) -> Column:
     """Whether a value meets a parsed token condition; ranges compare numerically.
 
@@ -257,17 +265,19 @@ def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] =
     """Rules with parsed conditions (all columns prefixed ``r_``), the condition that joins them, the rule
     columns it reads, and which parsed bounds test which value column.
 
-    ``tokens``, ``numbers`` and ``yes_no`` map rule columns to the value columns they test.
+    ``tokens``, ``numbers`` and ``yes_no`` map rule columns to the value columns they test. Token conditions that no
+    rule has are left out, so that facts need not be told apart by their values.
     """
     parsed = rules.select(*[F.col(f"`{c}`").alias(f"r_{c}") for c in rules.columns])
     for c in tokens:
         parsed = parsed.withColumn(f"r_parsed_{c}", token_condition(F.col(f"r_{c}"), space_word))
     for c in dict(numbers):
         parsed = parsed.withColumn(f"r_parsed_{c}", number_condition(F.col(f"r_{c}").cast("string"), bare_equal))
-    spans = most_spans(parsed, [f"r_parsed_{c}" for c in tokens])
+    used = conditions_in_use(parsed, [f"r_parsed_{c}" for c in tokens])
+    tokens = {c: value for c, value in tokens.items() if f"r_parsed_{c}" in used}
     condition = F.lit(True)
     for c, value in tokens.items():
-        condition = condition & token_match(F.col(f"r_parsed_{c}"), F.col(value), spans=spans)
+        condition = condition & token_match(F.col(f"r_parsed_{c}"), F.col(value), spans=used[f"r_parsed_{c}"])
     for c, value in dict(numbers).items():
         condition = condition & number_match(F.col(f"r_parsed_{c}"), F.col(value))
     for c, value in dict(yes_no).items():
@@ -276,6 +286,11 @@ def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] =
     return parsed, condition, read, {f"r_parsed_{c}": value for c, value in dict(numbers).items()}
 
 
+def tested_values(tokens: dict[str, str], read: list[str]) -> list[str]:
+    """The value columns that the token conditions a ``matcher`` kept compare."""
+    return [value for c, value in tokens.items() if f"r_parsed_{c}" in read]
+
+
 def rule_currencies(rules: DataFrame, amount: str, currency: str) -> list[str]:
     """Currencies of rules with an amount condition; there are as many as the world has."""
     found = rules.where(~is_blank(F.col(amount)) & ~is_blank(F.col(currency)))

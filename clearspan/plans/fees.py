@@ -21,6 +21,7 @@ NOT_CONDITIONS = {
     "v_i_p_full_financial_message_sets", "sender_data", "additional_sender_data", "settlement_service",
     "other_criteria_applies",
 }
+# Rule columns that are compared as numbers, and as present or absent amounts.
 NUMBER_CONDITIONS = {"timeliness", "surcharge_amount", "surcharge_amount_sms"}
 YES_NO_CONDITIONS = {"cashback"}
 # Rule column -> transaction column, and rule columns left out, by record type.
@@ -144,7 +145,9 @@ def assign_text_rules(rows: DataFrame, rule_table: DataFrame, rates: DataFrame,
         table, {c: f"v_{c}" for c in texts}, {c: f"v_{c}" for c in tested if c in NUMBER_CONDITIONS},
         {c: f"v_{c}" for c in tested if c in YES_NO_CONDITIONS}, space_word=True,
     )
-    compared = [v for v in values if v not in bounds.values()]
+    tokens = {c: f"v_{c}" for c in texts}
+    # Only values that some rule tests tell facts apart.
+    compared = rules.tested_values(tokens, read) + [f"v_{c}" for c in tested if c in YES_NO_CONDITIONS]
     if has_amount:
         parsed, more = _split_amounts(parsed, RULE_AMOUNT, RULE_AMOUNT_CURRENCY, targets)
         condition = condition & _amount_match(targets)
@@ -234,7 +237,7 @@ def assign_message_rules(rows: DataFrame, rule_table: DataFrame, rates: DataFram
     take = {f"r_{c}": c for c in ("region_country_code", "rule_id", "rate_currency", "rate_variable", "rate_fixed", "rate_min", "rate_cap", "valid_from", "valid_until")}
     take["r_ordinal"] = "rule"
     matched = rules.first_rule(
-        facts, parsed, {"region_key": "r_region_key", "ird_key": "r_ird_key"}, "txn_date", list(values), "r_ordinal", take, condition, read, bounds, "r_valid_from", "r_valid_until",
+        facts, parsed, {"region_key": "r_region_key", "ird_key": "r_ird_key"}, "txn_date", rules.tested_values(tokens, read), "r_ordinal", take, condition, read, bounds, "r_valid_from", "r_valid_until",
     )
     return matched.withColumn("rule", F.coalesce("rule", F.lit(0))).select(*rows.columns, *take.values())
 
