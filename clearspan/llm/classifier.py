@@ -79,15 +79,19 @@ class Model:
         """Probability of label 1, by adding up the entries of the bins."""
         total = np.full(len(x), self.start)
         for f, table in enumerate(self.tables):
-            total += table[np.searchsorted(self.edges[f], x[:, f], side="right")]
+            total += table[np.searchsorted(self.edges[f], x[:, f], side="left")]
         for (a, b), table in zip(self.pairs, self.pair_tables, strict=True):
-            total += table[np.searchsorted(self.coarse[a], x[:, a], side="right"), np.searchsorted(self.coarse[b], x[:, b], side="right")]
+            total += table[np.searchsorted(self.coarse[a], x[:, a], side="left"), np.searchsorted(self.coarse[b], x[:, b], side="left")]
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
 def _edges(values: np.ndarray, bins: int) -> np.ndarray:
-    """Cut points between values that differ, at about equal numbers of rows."""
-    return np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1], method="lower"))
+    """Cut points, half at equal numbers of rows and half at equal numbers of distinct values.
+
+    A value belongs to the bin that ends at it, so one that most rows share has a bin apart from the rest.
+    """
+    cuts = np.linspace(0, 1, bins // 2 + 1)[:-1]
+    return np.unique([np.quantile(v, cuts, method="lower") for v in (values, np.unique(values))])
 
 
 def _leaf(g, h):
@@ -138,7 +142,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     model.start = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     n = x.shape[1]
     model.edges, model.coarse = [_edges(x[:, f], BINS) for f in range(n)], [_edges(x[:, f], PAIR_BINS) for f in range(n)]
-    bins = [np.searchsorted(model.edges[f], x[:, f], side="right") for f in range(n)]
+    bins = [np.searchsorted(model.edges[f], x[:, f], side="left") for f in range(n)]
     model.tables = [np.zeros(len(e) + 1) for e in model.edges]
     total = np.full(len(y), model.start)
 
@@ -154,7 +158,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
             model.tables[f] += step
             total += step[bins[f]]
 
-    coarse = [np.searchsorted(model.coarse[f], x[:, f], side="right") for f in range(n)]
+    coarse = [np.searchsorted(model.coarse[f], x[:, f], side="left") for f in range(n)]
     shape = {f: len(model.coarse[f]) + 1 for f in range(n)}
 
     def cells(a: int, b: int, values: np.ndarray) -> np.ndarray:
