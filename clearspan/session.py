@@ -65,8 +65,16 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(held, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, f"{package.name}/{file.relative_to(package)}")
-    # The driver serves the file to the executors; they need not see its folder.
-    path = Path(tempfile.mkdtemp(prefix="clearspan-")) / f"{package.name}.zip"
-    path.write_bytes(held.getvalue())
-    context.addPyFile(str(path))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}/{package.name}.zip"
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+        stream.write(bytearray(held.getvalue()))
+        stream.close()
+    else:
+        # Without a shared folder the driver keeps the file and serves it.
+        path = str(Path(tempfile.mkdtemp(prefix="clearspan-")) / f"{package.name}.zip")
+        Path(path).write_bytes(held.getvalue())
+    context.addPyFile(path)
     _SHIPPED.add(context.applicationId)
