@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearspan.llm import bpe, classifier, extraction, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
+from clearspan.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,10 +32,15 @@ def vocabulary_path() -> str:
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     if fn.__name__ in sql.ORACLES:
         ORACLES[fn.__name__] = sql.ORACLES[fn.__name__]
-    return fn
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,12 +6,14 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearspan.llm import bpe, classifier, minhash, mixing, rules
 from clearspan.llm.queries import vocabulary_path
-from clearspan.session import scratch_path
+from clearspan.session import scratch_path, ship
 
 #: No SQL states the classifier, the links or the token ids; the stages are tested against brute force instead.
 ORACLE_SQL = None
@@ -44,12 +46,23 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
 
 
+def _shipped(stage):
+    """The stage, after the library was sent to the workers."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality classifier", quality_classifier),
-    ("quality rules", quality_rules),
-    ("near duplicates", near_duplicates),
-    ("source mixing", source_mixing),
-    ("bpe encoding", bpe_encoding),
+    ("quality classifier", _shipped(quality_classifier)),
+    ("quality rules", _shipped(quality_rules)),
+    ("near duplicates", _shipped(near_duplicates)),
+    ("source mixing", _shipped(source_mixing)),
+    ("bpe encoding", _shipped(bpe_encoding)),
 ]
 
 
