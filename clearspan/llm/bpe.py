@@ -131,6 +131,11 @@ class Vocabulary:
             else:
                 return False
 
+    def forget(self) -> None:
+        """Drop the remembered pieces: a worker process outlives its task."""
+        self.cache.clear()
+        self.cache.older = {}
+
     def may_follow(self, left: int, right: int) -> bool:
         """Whether two tokens side by side stay as they are."""
         if len(self.follows) >= CACHED_PAIRS:
@@ -251,6 +256,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             for keys, texts in _portions(batch):
                 ids = [vocabulary.encode(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([keys, _lists(ids)], ["doc_id", "ids"])
+        vocabulary.forget()
 
     schema = T.StructType([docs.schema["doc_id"], _IDS])
     return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
@@ -270,6 +276,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 ids = [vocabulary.encode(t) for t in texts]
                 back = [vocabulary.decode(i).decode("utf-8", "replace") for i in ids]
                 yield pa.RecordBatch.from_arrays([keys, _lists(ids), pa.array(back, pa.string())], ["doc_id", "ids", "text"])
+        vocabulary.forget()
 
     schema = T.StructType([docs.schema["doc_id"], _IDS, _TEXT])
     return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clearspan.session import shared_dir
+from clearspan.session import shared_dir, ship
 
 #: White space that separates words, inside a character class.
 SPACE = r"\x20\x09-\x0D"
@@ -47,6 +47,16 @@ def kept_once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the library to the workers, and let Arrow batches have fewer rows unless the session says how many: rows are whole texts."""
+    ship(spark)
+    if spark.conf.get(BATCH_ROWS[0], None) is None:
+        spark.conf.set(*BATCH_ROWS)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearspan.llm import bpe, classifier, extraction, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
-from clearspan.session import ship
+from clearspan.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,7 +34,7 @@ def vocabulary_path() -> str:
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearspan.llm import bpe, classifier, minhash, mixing, rules
+from clearspan.llm.common import prepare
 from clearspan.llm.queries import vocabulary_path
-from clearspan.session import scratch_path, ship
+from clearspan.session import scratch_path
 
 #: No SQL states the classifier, the links or the token ids; the stages are tested against brute force instead.
 ORACLE_SQL = None
@@ -46,23 +47,23 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
 
 
-def _shipped(stage):
-    """The stage, after the library was sent to the workers."""
+def _prepared(stage):
+    """The stage, in a session that is ready for it."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        ship(spark)
+        prepare(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage
 
 
 STAGES = [
-    ("quality classifier", _shipped(quality_classifier)),
-    ("quality rules", _shipped(quality_rules)),
-    ("near duplicates", _shipped(near_duplicates)),
-    ("source mixing", _shipped(source_mixing)),
-    ("bpe encoding", _shipped(bpe_encoding)),
+    ("quality classifier", _prepared(quality_classifier)),
+    ("quality rules", _prepared(quality_rules)),
+    ("near duplicates", _prepared(near_duplicates)),
+    ("source mixing", _prepared(source_mixing)),
+    ("bpe encoding", _prepared(bpe_encoding)),
 ]
 
 
