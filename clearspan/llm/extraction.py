@@ -16,6 +16,8 @@ from clearspan.llm import wrappers
 from clearspan.llm.common import kept_once, key_hash
 from clearspan.llm.urls import host_of
 
+#: Parts that the pages of every host are dealt into for the join with its wrapper, which is repeated for each.
+PARTS = 32
 #: Pages of a host that its wrapper is inferred from, chosen by a hash. All pages are extracted with it.
 PAGES_PER_HOST = 6
 
@@ -49,7 +51,11 @@ def extract_pages(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame
     plain = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     hosted = plain.withColumn("host", host_of(F.col("url").cast("string")))
     found = kept_once(host_wrappers(hosted, per_host)).withColumnRenamed("host", "__host")
-    joined = hosted.join(found, F.col("host") == F.col("__host")).select("page_id", "url", "html", "wrapper")
+    part = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.lit(PARTS)).cast("int")
+    copies = found.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    dealt = hosted.withColumn("part", part)
+    joined = dealt.join(copies, (F.col("host") == F.col("__host")) & (F.col("part") == F.col("__part")))
+    joined = joined.select("page_id", "url", "html", "wrapper")
     schema = T.StructType([plain.schema["page_id"], plain.schema["url"], T.StructField("text", T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
