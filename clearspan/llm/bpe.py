@@ -132,8 +132,7 @@ class Vocabulary:
                 return False
 
     def forget(self) -> None:
-        """Drop the remembered pieces: a worker process outlives its task."""
-        self.cache.clear()
+        """Drop the older half of the remembered pieces: a worker process outlives its task."""
         self.cache.older = {}
 
     def may_follow(self, left: int, right: int) -> bool:
