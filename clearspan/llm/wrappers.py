@@ -20,7 +20,7 @@ OPTIONAL, REPEATED = "?", "+"
 LONGEST_GROUP = 16
 
 # Element names by what they mean for the text of a page.
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "xmp", "noembed", "noframes"}
+RAW = {"script", "style", "textarea"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
@@ -209,17 +209,19 @@ def infer(pages: list[str]) -> list:
     return wrapper or []
 
 
-def contexts(stream: list[str]) -> list[tuple[bool, bool, bool]]:
+def contexts(stream: list[str], words: bool = True) -> list[tuple[bool, bool, bool]]:
     """For each token of a page: whether it lies in an article, in a main part, aside of both.
 
-    An element lies aside if its name, role or a word of its class or id says so. An end tag closes the
-    elements that were opened since its start tag.
+    An element lies aside if its name or role says so, or a whole class or id. Outside of articles and main parts
+    one word of its class or id is enough, if ``words`` holds. An end tag closes the elements that were opened since
+    its start tag.
     """
     found: list[tuple[bool, bool, bool]] = []
     stack: list[tuple[str, bool]] = []
     now = (False, False, False)
     for token in stream:
         if token != TEXT:
+            depth = len(stack)
             if token.startswith("/"):
                 names = [n for n, _ in stack]
                 if token[1:] in names:
@@ -228,9 +230,10 @@ def contexts(stream: list[str]) -> list[tuple[bool, bool, bool]]:
                 name, _, marks = token.partition(" ")
                 # Elements that neither part a page nor hold parts would only make the stack deep where they are not closed.
                 if name not in VOID and name not in INLINE and name not in UNCLOSED:
-                    stack.append((name, _lies_aside(name, marks)))
-            names = {n for n, _ in stack}
-            now = ("article" in names, "main" in names, any(aside for _, aside in stack))
+                    stack.append((name, _lies_aside(name, marks, words and not (now[0] or now[1]))))
+            if len(stack) != depth:
+                names = {n for n, _ in stack}
+                now = ("article" in names, "main" in names, any(aside for _, aside in stack))
         found.append(now)
     return found
 
@@ -246,15 +249,20 @@ def learned_labels(wrapper: list, pages: list[str]) -> dict[int, tuple[bool, boo
     return {place: next(iter(kinds)) for place, kinds in seen.items() if len(kinds) == 1 and kinds.total() > 1}
 
 
-def _lies_aside(name: str, marks: str) -> bool:
+def _lies_aside(name: str, marks: str, one_word: bool) -> bool:
+    """Whether an element says that it lies aside; of class and id with a part of one name or only as a whole."""
     if name in ASIDE or name in RAW:
         return True
     for mark in re.split(r" (?=(?:class|id|role)=)", marks) if marks else ():
         key, _, value = mark.partition("=")
-        if key == "role" and value.lower() in ASIDE_ROLES:
-            return True
-        if key != "role" and any(w.lower() in ASIDE_WORDS for w in _WORD.findall(value)):
-            return name not in ("html", "body", "article", "main")
+        if key == "role":
+            if value.lower() in ASIDE_ROLES:
+                return True
+            continue
+        for part in value.split():
+            said = [w.lower() in ASIDE_WORDS for w in _WORD.findall(part)]
+            if said and (any(said) if one_word else all(said)):
+                return name not in ("html", "body", "article", "main")
     return False
 
 

@@ -237,6 +237,18 @@ def test_extraction_finds_the_article_of_every_page(spark):
     assert extraction.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_extraction_cuts_nothing_in_an_article_that_does_not_say_so_as_a_whole(spark):
+    parts = ["section id=related-work", "div class=search-results", "section id=social-history", "math", "svg", "object", "canvas", "noscript", "template"]
+    body = "".join(f"<{p}><p>in {k}</p></{p.split()[0]}>" for k, p in enumerate(parts))
+    gone = "<div class=ad>x</div><div id=comments-3>x</div><textarea>x</textarea><style>x</style>"
+    rows = [
+        (1, "http://a.example/", f"<article>{body}{gone}</article>"), (2, "http://b.example/", "<article><canvas>seen<p>too</article>"),
+        (3, "http://c.example/", "<article><p>seen<script>x</article>"),
+    ]
+    found = {r.page_id: r.text for r in extraction.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {1: "\n".join(f"in {k}" for k in range(len(parts))), 2: "seen\ntoo", 3: "seen"}
+
+
 def test_wrappers_fold_repeats_and_hold_for_their_pages():
     stream = ["ul", "li", "#", "/li", "li", "#", "/li", "li", "#", "/li", "/ul"]
     assert wrappers.fold(stream) == ["ul", ("+", ("li", "#", "/li")), "/ul"]
