@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -10,58 +12,107 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from clearspan.llm import wrappers
-from clearspan.llm.common import kept_once, key_hash
+from clearspan.llm.common import kept_once
 from clearspan.llm.urls import host_of
 
-#: Parts that the pages of every host are dealt into for the join with its wrapper, which is repeated for each.
+#: Parts that the pages of every host are dealt into for the join with its wrappers, which are repeated for each.
 PARTS = 32
-#: Pages of a host that its wrapper is inferred from, chosen by a hash. All pages are extracted with it.
-PAGES_PER_HOST = 6
+#: Wrappers that are aligned in one task; those of a host with more are aligned in rounds.
+TOGETHER = 64
 
 
-def host_wrappers(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
-    """``host, wrapper`` (JSON) from at most ``per_host`` pages of each host."""
-    order = Window.partitionBy("host").orderBy(key_hash(F.col("page_id")), "page_id", "url", F.crc32(F.encode("html", "UTF-8")))
-    chosen = pages.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_host).select("host", "__n", "html")
+def page_streams(pages: DataFrame) -> DataFrame:
+    """``host, key, learned`` for each different folded stream of tags of a host, from all its pages."""
 
-    def infer(group: pd.DataFrame) -> pd.DataFrame:
-        sample = group.sort_values("__n")["html"]
-        return pd.DataFrame({"host": group["host"].iloc[:1], "wrapper": [wrappers.Wrapper.of(list(sample)).dump()]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[tuple[str | None, str], wrappers.Learned] = {}
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                one = wrappers.page_of(html)
+                key = (host, json.dumps(one.nodes, ensure_ascii=False))
+                found[key] = found[key].joined(one) if key in found else one
+            keys = [hashlib.blake2b(nodes.encode(), digest_size=16).hexdigest() for _, nodes in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in found], pa.string()), pa.array(keys, pa.string()), pa.array([json.dumps([x.dump()]) for x in found.values()], pa.string())],
+                ["host", "key", "learned"],
+            )
 
-    return chosen.groupBy("host").applyInPandas(infer, "host string, wrapper string")
+    seen = pages.select("host", "html").mapInArrow(run, "host string, key string, learned string")
+    return _together(seen.withColumn("part", F.pmod(F.xxhash64("learned"), F.lit(PARTS)).cast("int")), ["host", "key", "part"]).drop("part")
 
 
-@lru_cache(maxsize=256)
-def _wrapper(text: str) -> wrappers.Wrapper:
-    return wrappers.Wrapper.load(text)
+def _together(learned: DataFrame, group: list[str]) -> DataFrame:
+    """The wrappers of each group, aligned in the order of their keys; the first key stays."""
 
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["key", "learned"])
+        held = wrappers.together([wrappers.Learned.load(x) for text in rows["learned"] for x in json.loads(text)])
+        return rows.head(1).assign(learned=json.dumps([x.dump() for x in held]))[columns]
 
-def extract_pages(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
-    """One row per page: ``page_id, url, text`` (empty if there is none).
+    columns = [c for c in ("host", "key", "part", "learned") if c in learned.columns]
+    schema = ", ".join(f"{c} {'int' if c == 'part' else 'string'}" for c in columns)
+    return learned.groupBy(*group).applyInPandas(run, schema)
 
-    The text is that of the article without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-    styles and comments; without an article that of the main part, else of the page. Character references are
-    decoded, white space in a block becomes one space, blocks are lines. Null html is empty, pages without a host
-    are one host, repeated rows are extracted each, nulls in ``page_id`` and ``url`` stay. Other columns are
-    neither read nor returned.
+
+def host_wrappers(pages: DataFrame) -> DataFrame:
+    """``host, wrapper``: the wrappers of all pages of each host as a JSON list.
+
+    Pages become the different folded streams of each host where they are read. These are aligned as a tree, at most
+    about ``TOGETHER`` in one task, until no host has more.
     """
+    level = kept_once(_together(page_streams(pages), ["host", "key"]))
+    while True:
+        sizes = level.groupBy(F.col("host").alias("__host")).agg(F.count("*").alias("__n"))
+        if (sizes.agg(F.max("__n")).first()[0] or 0) <= TOGETHER:
+            break
+        dealt = level.join(sizes, F.col("host").eqNullSafe(F.col("__host")))
+        part = F.pmod(F.xxhash64("key"), F.ceil(F.col("__n") / F.lit(TOGETHER))).cast("int")
+        level = kept_once(_together(dealt.select("host", "key", part.alias("part"), "learned"), ["host", "part"]).drop("part"))
+
+    @F.pandas_udf("string")
+    def dumped(learned: pd.Series) -> pd.Series:
+        return learned.map(lambda text: json.dumps([wrappers.Learned.load(x).wrapper().dump() for x in json.loads(text)]))
+
+    return _together(level, ["host"]).select("host", dumped("learned").alias("wrapper"))
+
+
+@lru_cache(maxsize=256)
+def _wrappers(text: str) -> list[wrappers.Wrapper]:
+    return [wrappers.Wrapper.load(x) for x in json.loads(text)]
+
+
+def extracted(pages: DataFrame) -> DataFrame:
+    """``page_id, url, text, matched`` for each page: its main text, and whether a wrapper of its host holds for it."""
     plain = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     hosted = plain.withColumn("host", host_of(F.col("url").cast("string")))
-    found = kept_once(host_wrappers(hosted, per_host)).withColumnRenamed("host", "__host")
+    found = kept_once(host_wrappers(hosted)).withColumnRenamed("host", "__host")
     part = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.lit(PARTS)).cast("int")
     copies = found.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     dealt = hosted.withColumn("part", part)
     joined = dealt.join(copies, (F.col("host") == F.col("__host")) & (F.col("part") == F.col("__part")))
     joined = joined.select("page_id", "url", "html", "wrapper")
-    schema = T.StructType([plain.schema["page_id"], plain.schema["url"], T.StructField("text", T.StringType(), False)])
+    ends = [T.StructField("text", T.StringType(), False), T.StructField("matched", T.BooleanType(), False)]
+    schema = T.StructType([plain.schema["page_id"], plain.schema["url"], *ends])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            html, text = batch.column(2), batch.column(3)
-            out = [_wrapper(text[i].as_py()).extract(html[i].as_py()) for i in range(len(batch))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
+            html, held = batch.column(2), batch.column(3)
+            out = [wrappers.extract(_wrappers(held[i].as_py()), html[i].as_py()) for i in range(len(batch))]
+            told = [pa.array([text for text, _ in out], pa.string()), pa.array([matched for _, matched in out], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *told], ["page_id", "url", "text", "matched"])
 
     return joined.mapInArrow(run, schema)
+
+
+def extract_pages(pages: DataFrame) -> DataFrame:
+    """One row per page: ``page_id, url, text`` (empty if there is none).
+
+    The text is that of the article without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+    styles and comments; without an article that of the main part, else of the page. Character references are
+    decoded, white space in a block becomes one space, blocks are lines. Null html is empty, pages without a host
+    are one host, repeated rows are extracted each, nulls in ``page_id`` and ``url`` stay. Other columns are
+    neither read nor returned.
+    """
+    return extracted(pages).drop("matched")

@@ -200,15 +200,6 @@ def _anchors(x: list, y: list) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def infer(pages: list[str]) -> list:
-    """The wrapper of some pages of a host, in their order."""
-    wrapper: list | None = None
-    for page in pages:
-        folded = fold(tokens(page)[0])
-        wrapper = folded if wrapper is None else align(wrapper, folded)
-    return wrapper or []
-
-
 def contexts(stream: list[str], words: bool = True) -> list[tuple[bool, bool, bool]]:
     """For each token of a page: whether it lies in an article, in a main part, aside of both.
 
@@ -238,17 +229,6 @@ def contexts(stream: list[str], words: bool = True) -> list[tuple[bool, bool, bo
     return found
 
 
-def learned_labels(wrapper: list, pages: list[str]) -> dict[int, tuple[bool, bool, bool]]:
-    """Where the nodes of a wrapper lie, by place: what the pages that reach a node agree on, if they are two or more."""
-    seen: dict[int, Counter] = {}
-    for page in pages:
-        stream = tokens(page)[0]
-        places = match(wrapper, stream)
-        for place, context in set(zip(places or (), contexts(stream), strict=False)):
-            seen.setdefault(place, Counter())[context] += 1
-    return {place: next(iter(kinds)) for place, kinds in seen.items() if len(kinds) == 1 and kinds.total() > 1}
-
-
 def _lies_aside(name: str, marks: str, one_word: bool) -> bool:
     """Whether an element says that it lies aside; of class and id with a part of one name or only as a whole."""
     if name in ASIDE or name in RAW:
@@ -297,52 +277,144 @@ def match(wrapper: list, stream: list[str]) -> list[int] | None:
     return places if run(wrapper, 0, 0) == len(stream) else None
 
 
+def expanded(nodes: list | tuple, twice: int = 2) -> list[str]:
+    """A stream that a wrapper holds for, with all its groups; repeated ones come twice, deeply nested ones once."""
+    out: list[str] = []
+    for node in nodes:
+        if isinstance(node, tuple):
+            out += expanded(node[1], twice - 1) * (2 if node[0] == REPEATED and twice > 0 else 1)
+        else:
+            out.append(node)
+    return out
+
+
+def read(nodes: list) -> list:
+    """Nodes from JSON."""
+    return [(n[0], tuple(read(n[1]))) if isinstance(n, list) else n for n in nodes]
+
+
+#: By place: where the texts that reach the node lie, None if pages differ.
+Facts = dict
+
+
+def page_of(page: str) -> Learned:
+    """What one page tells: its folded stream and where its nodes lie."""
+    stream, _ = tokens(page)
+    nodes = fold(stream)
+    places = match(nodes, stream)
+    if places is None:  # the groups taken in turn do not give the page back
+        nodes, places = stream, list(range(len(stream)))
+    facts: Facts = {}
+    for place, context in zip(places, contexts(stream), strict=True):
+        facts[place] = context if facts.get(place, context) == context else None
+    return Learned(nodes, facts, 1)
+
+
+def both(x: Facts, y: Facts) -> Facts:
+    """The facts of the pages of both."""
+    out = dict(x)
+    for place, fact in y.items():
+        out[place] = fact if out.get(place, fact) == fact else None
+    return out
+
+
+def moved(facts: Facts, nodes: list, into: list) -> Facts | None:
+    """The facts of a wrapper by the places of one made from it; None if that does not hold for what the first holds for."""
+    if nodes == into:
+        return facts
+    stream = expanded(nodes)
+    old, new = match(nodes, stream), match(into, stream)
+    if old is None or new is None:
+        return None
+    out: Facts = {}
+    for a, b in dict.fromkeys(zip(old, new, strict=True)):
+        if a in facts:
+            out = both(out, {b: facts[a]})
+    return out
+
+
+class Learned:
+    """A wrapper with the facts of all pages that it was made from, and their number."""
+
+    def __init__(self, nodes: list, facts: Facts, pages: int):
+        self.nodes, self.facts, self.pages = nodes, facts, pages
+
+    def joined(self, other: Learned) -> Learned | None:
+        """A wrapper for the pages of both; None if aligning them gives none."""
+        if self.nodes == other.nodes or match(self.nodes, expanded(other.nodes)) is not None:
+            nodes = self.nodes
+        else:
+            nodes = align(self.nodes, other.nodes)
+        mine, theirs = moved(self.facts, self.nodes, nodes), moved(other.facts, other.nodes, nodes)
+        return None if mine is None or theirs is None else Learned(nodes, both(mine, theirs), self.pages + other.pages)
+
+    def dump(self) -> list:
+        return [self.nodes, list(self.facts.items()), self.pages]
+
+    @classmethod
+    def load(cls, held: list) -> Learned:
+        nodes, facts, pages = held
+        return cls(read(nodes), {place: context and tuple(context) for place, context in facts}, pages)
+
+    def wrapper(self) -> Wrapper:
+        return Wrapper(self.nodes, {place: context for place, context in self.facts.items() if context and self.pages > 1})
+
+
+def together(learned: list[Learned]) -> list[Learned]:
+    """As few wrappers as aligning gives, each with all pages of those it was made from; that of most pages first."""
+    out: list[Learned] = []
+    for one in learned:
+        for k, other in enumerate(out):
+            if (joined := other.joined(one)) is not None:
+                out[k] = joined
+                break
+        else:
+            out.append(one)
+    return sorted(out, key=lambda x: -x.pages)
+
+
 class Wrapper:
-    """A wrapper with what its sample pages say of where its nodes lie."""
+    """A wrapper with what the pages it was made from say of where its nodes lie."""
 
     def __init__(self, nodes: list, labels: dict[int, tuple[bool, bool, bool]]):
         self.nodes, self.labels = nodes, labels
 
-    @classmethod
-    def of(cls, pages: list[str]) -> Wrapper:
-        nodes = infer(pages)
-        return cls(nodes, learned_labels(nodes, pages))
-
     def dump(self) -> str:
         return json.dumps([self.nodes, list(self.labels.items())], ensure_ascii=False)
 
     @classmethod
     def load(cls, text: str) -> Wrapper:
-        def read(nodes):
-            return [(n[0], tuple(read(n[1]))) if isinstance(n, list) else n for n in nodes]
-
         nodes, labels = json.loads(text)
         return cls(read(nodes), {place: tuple(context) for place, context in labels})
 
-    def extract(self, page: str) -> str:
-        """The main text of a page, one line per block.
 
-        A text lies where its node in the wrapper lies, which also holds if the page itself is broken. Where the
-        sample does not tell, or the wrapper does not hold for the page, the tags of the page tell.
-        """
-        stream, texts = tokens(page)
-        told = contexts(stream)
-        places = match(self.nodes, stream)
+def extract(held: list[Wrapper], page: str) -> tuple[str, bool]:
+    """The main text of a page, one line per block, and whether one of the wrappers holds for it.
+
+    A text lies where its node in the first wrapper that holds lies, which also holds if the page itself is broken.
+    Where the pages do not tell, or no wrapper holds, the tags of the page tell.
+    """
+    stream, texts = tokens(page)
+    told = contexts(stream)
+    places, labels = None, {}
+    for wrapper in held:
+        places, labels = match(wrapper.nodes, stream), wrapper.labels
         if places is not None:
-            told = [self.labels.get(p, own) for p, own in zip(places, told, strict=True)]
-        slots = [i for i, token in enumerate(stream) if token == TEXT]
-        # The narrowest part that the page has: article, main part, or all.
-        part = next((k for k in (0, 1) if any(told[i][k] and not told[i][2] for i in slots)), None)
-        blocks, held = [], []
-        for i, token in enumerate(stream):
-            if token == TEXT:
-                if not told[i][2] and (part is None or told[i][part]):
-                    held.append(texts[i])
-            elif token == "br":
-                held.append(" ")
-            elif token.lstrip("/").partition(" ")[0] not in INLINE:
-                blocks.append(held)
-                held = []
-        blocks.append(held)
-        lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-        return "\n".join(line for line in lines if line)
+            told = [labels.get(p, own) for p, own in zip(places, told, strict=True)]
+            break
+    slots = [i for i, token in enumerate(stream) if token == TEXT]
+    # The narrowest part that the page has: article, main part, or all.
+    part = next((k for k in (0, 1) if any(told[i][k] and not told[i][2] for i in slots)), None)
+    blocks, held_texts = [], []
+    for i, token in enumerate(stream):
+        if token == TEXT:
+            if not told[i][2] and (part is None or told[i][part]):
+                held_texts.append(texts[i])
+        elif token == "br":
+            held_texts.append(" ")
+        elif token.lstrip("/").partition(" ")[0] not in INLINE:
+            blocks.append(held_texts)
+            held_texts = []
+    blocks.append(held_texts)
+    lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
+    return "\n".join(line for line in lines if line), places is not None

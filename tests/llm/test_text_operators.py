@@ -237,6 +237,18 @@ def test_extraction_finds_the_article_of_every_page(spark):
     assert extraction.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_every_page_of_a_host_takes_part_in_its_wrappers(spark):
+    """Templates and optional blocks that one page of many has, and more different streams than one task aligns."""
+    rng = random.Random(12)
+    rows = [(u, h) for u, h, _ in pages_of(rng, "a.example", 60)]
+    rows += [("http://a.example/rare", "<body><table><tr><td>rare</td></tr></table><dl><dt>x<dd>y</dl></body>")]
+    rows += [("http://a.example/o", rows[0][1].replace("<article>", "<section><h6>only here</h6></section><article>"))]
+    rows += [("http://b.example/", "<div>" + "".join(f"<{rng.choice(['p', 'h2', 'pre'])}>{k}" for k in range(6)) + "</div>") for _ in range(200)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    found = extraction.extracted(pages).collect()
+    assert len(found) == len(rows) and not [r.page_id for r in found if not r.matched]
+
+
 def test_extraction_cuts_nothing_in_an_article_that_does_not_say_so_as_a_whole(spark):
     parts = ["section id=related-work", "div class=search-results", "section id=social-history", "math", "svg", "object", "canvas", "noscript", "template"]
     body = "".join(f"<{p}><p>in {k}</p></{p.split()[0]}>" for k, p in enumerate(parts))
