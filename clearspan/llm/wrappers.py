@@ -7,12 +7,14 @@ with one page after the other: what only one of them has becomes an optional gro
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from bisect import bisect_left
 from collections import Counter
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 TEXT = "#"
 OPTIONAL, REPEATED = "?", "+"
@@ -293,20 +295,70 @@ def read(nodes: list) -> list:
     return [(n[0], tuple(read(n[1]))) if isinstance(n, list) else n for n in nodes]
 
 
-#: By place: where the texts that reach the node lie, None if pages differ.
-Facts = dict
+#: Different pages that must have a node before its texts are told to be of the template or not.
+TOLD_BY = 3
+
+
+def lines_of(stream: list[str], texts: list[str]) -> list[tuple[list[int], str]]:
+    """The blocks of a page that have text: the places of their texts in the stream, and the text in one line."""
+    found, held, slots = [], [], []
+
+    def close() -> None:
+        line = " ".join(html.unescape("".join(held)).split())
+        if line:
+            found.append((slots[:], line))
+        held.clear()
+        slots.clear()
+
+    for i, token in enumerate(stream):
+        if token == TEXT:
+            held.append(texts[i])
+            slots.append(i)
+        elif token == "br":
+            held.append(" ")
+        elif token.lstrip("/").partition(" ")[0] not in INLINE:
+            close()
+    close()
+    return found
+
+
+def mark(text: str) -> str:
+    """What stands for a text where texts are compared."""
+    return hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
+
+
+class Fact(NamedTuple):
+    """What pages tell of a text slot."""
+
+    #: Where it lies, None if pages differ.
+    context: tuple[bool, bool, bool] | None
+    #: Marks of the least pages with it, ``TOLD_BY`` of them at most; pages alike in all lines count once.
+    pages: tuple[str, ...]
+    #: Marks of the lines that begin in it on each of its pages.
+    lines: frozenset[str]
+
+
+#: By place.
+Facts = dict[int, Fact]
 
 
 def page_of(page: str) -> Learned:
-    """What one page tells: its folded stream and where its nodes lie."""
-    stream, _ = tokens(page)
+    """What one page tells: its folded stream, where its texts lie and what they are."""
+    stream, texts = tokens(page)
     nodes = fold(stream)
     places = match(nodes, stream)
     if places is None:  # the groups taken in turn do not give the page back
         nodes, places = stream, list(range(len(stream)))
+    lines = [(slots[0], line) for slots, line in lines_of(stream, texts)]
+    pages = (mark("\n".join(line for _, line in lines)),)
+    began: dict[int, set[str]] = {}
+    for i, line in lines:
+        began.setdefault(places[i], set()).add(mark(line))
     facts: Facts = {}
-    for place, context in zip(places, contexts(stream), strict=True):
-        facts[place] = context if facts.get(place, context) == context else None
+    for place, context, token in zip(places, contexts(stream, words=False), stream, strict=True):
+        if token == TEXT:
+            same = place not in facts or facts[place].context == context
+            facts[place] = Fact(context if same else None, pages, frozenset(began.get(place, ())))
     return Learned(nodes, facts, 1)
 
 
@@ -314,7 +366,11 @@ def both(x: Facts, y: Facts) -> Facts:
     """The facts of the pages of both."""
     out = dict(x)
     for place, fact in y.items():
-        out[place] = fact if out.get(place, fact) == fact else None
+        if place in out:
+            context, pages, lines = out[place]
+            pages = tuple(sorted({*pages, *fact.pages})[:TOLD_BY])
+            fact = Fact(context if context == fact.context else None, pages, lines & fact.lines)
+        out[place] = fact
     return out
 
 
@@ -329,7 +385,7 @@ def moved(facts: Facts, nodes: list, into: list) -> Facts | None:
     out: Facts = {}
     for a, b in dict.fromkeys(zip(old, new, strict=True)):
         if a in facts:
-            out = both(out, {b: facts[a]})
+            out = both(out, {b: facts[a]})  # slots that become one
     return out
 
 
@@ -349,15 +405,17 @@ class Learned:
         return None if mine is None or theirs is None else Learned(nodes, both(mine, theirs), self.pages + other.pages)
 
     def dump(self) -> list:
-        return [self.nodes, list(self.facts.items()), self.pages]
+        return [self.nodes, [[place, f.context, f.pages, sorted(f.lines)] for place, f in self.facts.items()], self.pages]
 
     @classmethod
     def load(cls, held: list) -> Learned:
         nodes, facts, pages = held
-        return cls(read(nodes), {place: context and tuple(context) for place, context in facts}, pages)
+        told = {place: Fact(context and tuple(context), tuple(marks), frozenset(lines)) for place, context, marks, lines in facts}
+        return cls(read(nodes), told, pages)
 
     def wrapper(self) -> Wrapper:
-        return Wrapper(self.nodes, {place: context for place, context in self.facts.items() if context and self.pages > 1})
+        told = {place: f for place, f in self.facts.items() if len(f.pages) >= TOLD_BY}
+        return Wrapper(self.nodes, {place: (*(f.context or (None,) * 3), *sorted(f.lines)) for place, f in told.items()})
 
 
 def together(learned: list[Learned]) -> list[Learned]:
@@ -374,9 +432,13 @@ def together(learned: list[Learned]) -> list[Learned]:
 
 
 class Wrapper:
-    """A wrapper with what the pages it was made from say of where its nodes lie."""
+    """A wrapper with what the pages it was made from say of its slots, by place.
+
+    A label has where the slot lies (None if pages differ) and then the marks of the lines that every page has there:
+    they are the template's.
+    """
 
-    def __init__(self, nodes: list, labels: dict[int, tuple[bool, bool, bool]]):
+    def __init__(self, nodes: list, labels: dict[int, tuple]):
         self.nodes, self.labels = nodes, labels
 
     def dump(self) -> str:
@@ -391,30 +453,30 @@ class Wrapper:
 def extract(held: list[Wrapper], page: str) -> tuple[str, bool]:
     """The main text of a page, one line per block, and whether one of the wrappers holds for it.
 
-    A text lies where its node in the first wrapper that holds lies, which also holds if the page itself is broken.
-    Where the pages do not tell, or no wrapper holds, the tags of the page tell.
+    In the slots of the first wrapper that holds, lines that all pages have are the template's and left out, others are
+    content unless their elements say otherwise by name, role or a whole class or id. Where too few pages tell, or no
+    wrapper holds, single words of class and id tell as well. If nothing is left, the template's lines stay.
     """
     stream, texts = tokens(page)
-    told = contexts(stream)
-    places, labels = None, {}
+    told, labels = contexts(stream), {}
+    places = None
     for wrapper in held:
-        places, labels = match(wrapper.nodes, stream), wrapper.labels
+        places = match(wrapper.nodes, stream)
         if places is not None:
-            told = [labels.get(p, own) for p, own in zip(places, told, strict=True)]
+            labels = {i: wrapper.labels[p] for i, p in enumerate(places) if stream[i] == TEXT and p in wrapper.labels}
+            plain = contexts(stream, words=False)
+            for i, label in labels.items():
+                told[i] = plain[i] if label[0] is None else label[:3]
             break
-    slots = [i for i, token in enumerate(stream) if token == TEXT]
-    # The narrowest part that the page has: article, main part, or all.
-    part = next((k for k in (0, 1) if any(told[i][k] and not told[i][2] for i in slots)), None)
-    blocks, held_texts = [], []
-    for i, token in enumerate(stream):
-        if token == TEXT:
-            if not told[i][2] and (part is None or told[i][part]):
-                held_texts.append(texts[i])
-        elif token == "br":
-            held_texts.append(" ")
-        elif token.lstrip("/").partition(" ")[0] not in INLINE:
-            blocks.append(held_texts)
-            held_texts = []
-    blocks.append(held_texts)
-    lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-    return "\n".join(line for line in lines if line), places is not None
+    every = lines_of(stream, texts)
+    varying = [line for line in every if not (label := labels.get(line[0][0])) or mark(line[1]) not in label[3:]]
+    for lines in (varying, every):
+        slots = [i for places_of, _ in lines for i in places_of]
+        # The narrowest part that the page has: article, main part, or all.
+        part = next((k for k in (0, 1) if any(told[i][k] and not told[i][2] for i in slots)), None)
+        kept = {i for i in slots if not told[i][2] and (part is None or told[i][part])}
+        if kept:
+            break
+    shown = {i for places_of, _ in lines for i in places_of} & kept
+    only = [texts[i] if i in shown else "" for i in range(len(stream))]
+    return "\n".join(line for _, line in lines_of(stream, only)), places is not None

@@ -237,6 +237,23 @@ def test_extraction_finds_the_article_of_every_page(spark):
     assert extraction.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_texts_that_all_pages_of_a_host_have_are_its_template(spark):
+    """Under neutral names, in an article, among its paragraphs, and on pages without one; a line that varies is kept whole."""
+    rows = []
+    for i in range(8):
+        body = "".join(f"<p>body {i} {k}</p>" for k in range(2 + i % 3))
+        rows.append((i, "http://a.example/", f'<article><div class="x7">Our house</div>{body}<p>Read <b>{i}</b> on</p><p>All rights</p></article>'))
+        rows.append((10 + i, "http://b.example/", f'<div class="q"><i>Same</i> here</div><div class="r">body {i}</div><div class="left-sidebar-wide">more {i}</div>'))
+        rows.append((20 + i, "http://c.example/", "<div>alike</div>"))
+    rows += [(30 + i, "http://d.example/", f"<div>alike</div><p>{i}") for i in range(2)]
+    found = {r.page_id: r.text for r in extraction.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert found[i] == "\n".join([*(f"body {i} {k}" for k in range(2 + i % 3)), f"Read {i} on"])
+        assert found[10 + i] == f"body {i}\nmore {i}"
+        assert found[20 + i] == "alike"  # one page, repeated
+    assert found[30] == "alike\n0" and found[31] == "alike\n1"  # too few to tell
+
+
 def test_every_page_of_a_host_takes_part_in_its_wrappers(spark):
     """Templates and optional blocks that one page of many has, and more different streams than one task aligns."""
     rng = random.Random(12)
