@@ -25,8 +25,10 @@ from clearspan.llm.common import kept_once
 ORDER, SHORT = 5, 2
 SHORT_NODES = 1 << 8 * (SHORT + 1)
 #: The longer contexts are dealt into slices of about so many nodes by their last three bytes, which all the contexts
-#: of a byte share. A worker holds one slice at a time, so its memory does not grow with the corpus.
+#: of a byte share. A task holds one slice, and the codes of all chunks pass by it.
 SLICE_NODES = 4_000_000
+#: Different codes and words are looked up for about so many bytes of text together.
+LOOKUP_BYTES = 24_000_000
 #: Codes that a training task holds; above half of them when added up, they are passed on.
 HELD_CODES = 2_000_000
 #: Words are counted in chunks of about so many bytes: the larger, the fewer rows a word has.
@@ -135,12 +137,8 @@ def log_probabilities(trie: list[Level], codes: np.ndarray) -> np.ndarray:
     return result
 
 
-def slice_of(context: Column, slices: int) -> Column:
-    """Slice of the last three bytes before a byte."""
-    return F.pmod(context * F.lit(2654435761), F.lit(slices))
-
-
 def _slices_of(codes: np.ndarray, slices: int) -> np.ndarray:
+    """Slices of codes, by the last three bytes before a byte."""
     return (_last(codes >> np.uint64(8), SHORT + 1) * np.uint64(2654435761)) % np.uint64(slices)
 
 
@@ -157,16 +155,6 @@ def _spread(known: np.ndarray, values: np.ndarray, codes: np.ndarray) -> np.ndar
     return found
 
 
-def text_scores(texts: list[bytes], trie: list[Level], number: int, slices: int) -> np.ndarray:
-    """What the bytes of one slice add to the log10 probability of each text."""
-    codes, starts = contexts(texts)
-    known = distinct(codes)
-    mine = _slices_of(known, slices) == number
-    logs = np.zeros(len(known))
-    logs[mine] = log_probabilities(trie, known[mine])
-    return np.add.reduceat(_spread(known, logs, codes), starts)
-
-
 def _portions(texts: list[bytes]) -> Iterator[list[bytes]]:
     """The texts in turn, about ``CHUNK_BYTES`` at a time."""
     start = size = 0
@@ -179,30 +167,6 @@ def _portions(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield texts[start:]
 
 
-class Model:
-    """The trie as broadcast slices; what a worker has loaded of it."""
-
-    _loaded: dict = {}
-
-    def __init__(self, short, slices: list):
-        self.short, self.slices = short, slices
-        self.name = tuple(b._jbroadcast.id() for b in [short, *slices])
-
-    def __getstate__(self):
-        return {"short": self.short, "slices": self.slices, "name": self.name}
-
-    def part(self, number: int) -> list[Level]:
-        """The trie as far as one slice needs it."""
-        held = Model._loaded
-        if held.get("name") != self.name:
-            held.clear()
-            held.update(name=self.name, short=levels(*self.short.value, SHORT, []))
-        if held.get("number") != number:
-            held.pop("part", None)
-            held.update(number=number, part=levels(*self.slices[number].value, ORDER, held["short"]))
-        return held["part"]
-
-
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
     """Whether the CRC-32 of the id's text is ``fold`` modulo ``folds``; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -251,100 +215,285 @@ def _counted(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return list(words), n
 
 
-def _occurrences(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words with the end as the last one; the texts each is in, as ``text number << 16 | count``; and where each begins."""
-    parts = [t.split() for t in texts]
-    codes, words = pd.factorize(np.array([w for p in parts for w in p], dtype=object))
-    owner = np.repeat(np.arange(len(texts), dtype=np.int64), [len(p) for p in parts])
-    pairs, n = np.unique((codes.astype(np.int64) << 16) | owner, return_counts=True)
-    while len(large := np.flatnonzero(n > 0xFFFF)):  # a count of more than 16 bits becomes several
-        pairs, n = np.concatenate([pairs, pairs[large]]), np.concatenate([n, n[large] - 0xFFFF])
-        n[large] = 0xFFFF
-        order = np.argsort(pairs, kind="stable")
-        pairs, n = pairs[order], n[order]
-    packed = np.concatenate([((pairs & 0xFFFF) << 16) | n, (np.arange(len(texts)) << 16) | 1])
-    begins = np.searchsorted(pairs >> 16, np.arange(len(words) + 1))
-    return [*words, b""], packed.astype(np.uint32).view(np.int32), np.append(begins, len(packed))
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in order as compressed bytes."""
+    return _planes(np.diff(numbers.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(data, np.uint64), dtype=np.uint64)
+
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of eight bytes, compressed: the first bytes of all, the second ones, and so on."""
+    return _squeezed(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes())
 
-def model_of(counts: DataFrame, slice_nodes: int = SLICE_NODES) -> Model:
-    """The trie of the counts of ``train``, broadcast in slices of about ``slice_nodes`` nodes.
 
-    The driver holds one slice at a time. The nodes that share three context bytes stay together; there are at most
-    2^24 of them for the two bytes before, so a slice has a bounded size however large the corpus.
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(_unsqueezed(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "big") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def _unsqueezed(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "big")
+    return pa.Codec("zstd").decompress(data[8:], size, asbytes=True) if size else b""
+
+
+#: Rows of a chunk, and of a slice, in the order in which they are needed.
+CODES, WORDS, TEXTS = 0, 1, 2
+SHORT_PART, NODES_PART, CODES_PART = 0, 1, 2
+
+
+def chunked(docs: DataFrame, slices: int) -> DataFrame:
+    """The texts in chunks of about ``LOOKUP_BYTES``: ``chunk, kind, slice, data, ids``.
+
+    A chunk has a row with its different codes for each slice, one with its different words in order, and its texts in
+    rows of about ``CHUNK_BYTES``, packed.
     """
-    context = F.shiftright("code", 8).bitwiseAND(SHORT_NODES - 1).alias("context")
-    nodes = counts.where("code IS NOT NULL").select("code", "n", context)
-    total = nodes.count()
-    slices = max(1, -(-total // slice_nodes))
-    send = counts.sparkSession.sparkContext.broadcast
-
-    def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        table = rows.toArrow()
-        codes, n = table["code"].to_numpy().astype(np.uint64), table["n"].to_numpy()
-        order = np.argsort(codes)
-        return codes[order], n[order]
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    short = nodes.groupBy(F.col("code").bitwiseAND(SHORT_NODES - 1).alias("code")).agg(F.sum("n").alias("n"))  # at most 2^24 rows
-    parts = [send(arrays(nodes.where(slice_of(F.col("context"), slices) == k).select("code", "n"))) for k in range(slices)]
-    return Model(send(arrays(short)), parts)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+        codes: list[np.ndarray] = []
+        words: set[bytes] = set()
+
+        def row(what: int, number: int, data: bytes, ids: pa.Array) -> pa.RecordBatch:
+            listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            columns = [pa.array([chunk], pa.int64()), pa.array([what], pa.int32()), pa.array([number], pa.int32()), pa.array([data], pa.binary()), listed]
+            return pa.RecordBatch.from_arrays(columns, ["chunk", "kind", "slice", "data", "ids"])
+
+        def passed_on(none: pa.Array) -> Iterator[pa.RecordBatch]:
+            known = distinct(np.concatenate(codes))
+            owner = _slices_of(known, slices)
+            for number in range(slices):
+                if len(mine := known[owner == number]):
+                    yield row(CODES, number, packed(mine), none)
+            yield row(WORDS, 0, _squeezed(b" ".join(sorted(words))), none)
+
+        none = None
+        for rows, texts in chunks(batches):
+            texts = lowered(texts)
+            codes.append(distinct(contexts(texts)[0]))
+            if len(codes) > 4:
+                codes[:] = [distinct(np.concatenate(codes))]
+            words.update(w for t in texts for w in t.split())
+            none = rows.column(0).slice(0, 0)
+            lengths = np.array([len(t) for t in texts], dtype=np.int64).tobytes()
+            yield row(TEXTS, 0, _squeezed(lengths + b"".join(texts)), rows.column(0))
+            size += sum(len(t) for t in texts)
+            if size >= LOOKUP_BYTES:
+                yield from passed_on(none)
+                chunk, size = chunk + 1, 0
+                codes.clear()
+                words.clear()
+        if codes:
+            yield from passed_on(none)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"chunk long, kind int, slice int, data binary, ids array<{kind}>")
+
+
+def packed_nodes(nodes: DataFrame, slices: int, part: int) -> DataFrame:
+    """``slice, part, chunk, data, more`` from ``code, n``: nodes of each slice, packed as far as they are read together.
+
+    All nodes go to slice 0 where ``slices`` is 1.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            codes, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(codes)
+            codes, counts = codes[order], counts[order]
+            owner = _slices_of(codes, slices)
+            for number in range(slices):
+                mine = owner == number
+                if mine.any():
+                    columns = [[number], [part], [0], [packed(codes[mine])], [_planes(counts[mine].astype(np.int64))]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                        ["slice", "part", "chunk", "data", "more"],
+                    )
+            held.clear()
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy().astype(np.uint64), batch.column(1).to_numpy()))
+            if sum(len(codes) for codes, _ in held) >= HELD_CODES:
+                yield from passed_on()
+        if held:
+            yield from passed_on()
+
+    return nodes.select("code", "n").mapInArrow(run, "slice int, part int, chunk long, data binary, more binary")
+
+
+def code_logs(counts: DataFrame, wanted: DataFrame, slices: int) -> DataFrame:
+    """``chunk, data, more``: the packed codes of ``wanted`` (``slice, chunk, data``) and the log10 of their probabilities.
+
+    The nodes are dealt to their slices with the codes that meet them, and scored there. The nodes of short contexts,
+    at most 2^24 for any corpus, go to every slice.
+    """
+    nodes = counts.where("code IS NOT NULL").select("code", "n")
+    short = nodes.groupBy(F.col("code").bitwiseAND(SHORT_NODES - 1).alias("code")).agg(F.sum("n").alias("n"))
+    everywhere = packed_nodes(short, 1, SHORT_PART).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    codes = wanted.select("slice", F.lit(CODES_PART).alias("part"), "chunk", "data", F.lit(None).cast("binary").alias("more"))
+    met = packed_nodes(nodes, slices, NODES_PART).unionByName(everywhere).unionByName(codes)
+    dealt = met.repartitionById(slices, F.col("slice")).sortWithinPartitions("part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {SHORT_PART: [], NODES_PART: []}
+        trie: list[Level] | None = None
+        for batch in batches:
+            for i, part in enumerate(batch.column(1).to_pylist()):
+                data = batch.column(3)[i].as_py()
+                if part != CODES_PART:
+                    parts[part].append((unpacked(data), _numbers(batch.column(4)[i].as_py(), np.int64)))
+                    continue
+                if trie is None:
+                    nothing = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+                    low, high = (added_up(*(np.concatenate(x) for x in zip(nothing, *parts[k], strict=True))) for k in (SHORT_PART, NODES_PART))
+                    parts.clear()
+                    trie = levels(*high, ORDER, levels(*low, SHORT, []))
+                logs = log_probabilities(trie, unpacked(data))
+                columns = [batch.column(2).slice(i, 1), batch.column(3).slice(i, 1), pa.array([_planes(logs)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "data", "more"])
+
+    return dealt.mapInArrow(run, "chunk long, data binary, more binary")
+
+
+def word_counts(known: DataFrame, lists: DataFrame) -> DataFrame:
+    """``chunk, data, more``: which words of the packed lists the training texts have, by place, and how often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, chunk in enumerate(batch.column(0).to_pylist()):
+                words = _unsqueezed(batch.column(1)[i].as_py()).split()
+                columns = [pa.array([chunk] * len(words), pa.int64()), pa.array(range(len(words)), pa.int32()), pa.array(words, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "at", "word"])
+
+    listed = lists.select("chunk", "data").mapInArrow(run, "chunk long, at int, word string")
+    counted = known.select(F.col("word").alias("__word"), F.col("n").alias("c"))
+    found = listed.join(counted, F.col("word") == F.col("__word")).select("chunk", "at", "c")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            chunk, at, c = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((at, chunk))
+            chunk, at, c = chunk[order], at[order], c[order]
+            cuts = np.flatnonzero(np.diff(chunk, prepend=chunk[:1] - 1))
+            for i, j in zip(cuts, [*cuts[1:], len(chunk)], strict=True):
+                columns = [pa.array([chunk[i]], pa.int64()), pa.array([packed(at[i:j])], pa.binary()), pa.array([_planes(c[i:j])], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "data", "more"])
+            held.clear()
+
+        rows = 0
+        for batch in batches:
+            held.append([column.to_numpy() for column in batch.columns])
+            rows += len(batch)
+            if rows >= HELD_CODES:
+                yield from passed_on()
+                rows = 0
+        if rows:
+            yield from passed_on()
+
+    return found.mapInArrow(pack, "chunk long, data binary, more binary")
+
+
+class Lookup:
+    """Logs of the codes of a chunk and counts of its words, filled before its texts come."""
+
+    def __init__(self):
+        self.codes: list[np.ndarray] = [np.zeros(0, dtype=np.uint64)]
+        self.logs: list[np.ndarray] = [np.zeros(0)]
+        self.at: list[np.ndarray] = [np.zeros(0, dtype=np.uint64)]
+        self.c: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
+        self.words: list[bytes] = []
+        self.ready = False
+
+    def fill(self) -> None:
+        if self.ready:
+            return
+        codes, logs = np.concatenate(self.codes), np.concatenate(self.logs)
+        order = np.argsort(codes)
+        self.known, self.values = codes[order], logs[order]
+        counts = np.zeros(len(self.words), dtype=np.int64)
+        counts[np.concatenate(self.at).astype(np.int64)] = np.concatenate(self.c)
+        self.counts = dict(zip(self.words, counts.tolist(), strict=True))
+        self.ready = True
+
+    def scores(self, texts: list[bytes], ends: int) -> tuple[np.ndarray, ...]:
+        """For each text: words and end, those known, log10 of their counts and one, log10 of its probability."""
+        self.fill()
+        codes, starts = contexts(texts)
+        score = np.add.reduceat(_spread(self.known, self.values, codes), starts)
+        counts = np.array([n for t in texts for n in (*map(self.counts.__getitem__, t.split()), ends)], dtype=np.int64)
+        sizes = np.array([len(t.split()) + 1 for t in texts], dtype=np.int64)
+        first = np.cumsum(sizes) - sizes
+        logs = np.add.reduceat(np.log10(counts + 1.0), first)
+        return sizes, np.add.reduceat((counts > 0).astype(np.int64), first), logs, score
 
 
 def score_texts(docs: DataFrame, counts: DataFrame, slice_nodes: int = SLICE_NODES) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``counts`` comes from ``train``. ``base_score`` adds up log10((c + 1) / (N + V + 1)) over the words and the end of
-    the text, ``score`` is the log10 probability of the lower-cased text, end included, under the trie. Words
-    meet their counts in a join; the counts are never in one place. A null or empty text has its end
-    only. Repeated rows are scored each; a null ``doc_id`` stays null. Other columns are neither read
+    the text, ``score`` is the log10 probability of the lower-cased text, end included, under the trie. Neither
+    words nor nodes are ever in one place: the different codes and words of each chunk of texts are sent to the slices
+    of about ``slice_nodes`` nodes and to the counts, and what is found there meets the texts again. A null or empty
+    text has its end only. Repeated rows are scored each; a null ``doc_id`` stays null. Other columns are neither read
     nor returned. Without training text every byte has the same probability.
     """
     known = counts.where("word IS NOT NULL")
-    total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    model = model_of(counts, slice_nodes)
+    ended = F.coalesce(F.sum(F.when(F.col("word") == END_WORD, F.col("n"))), F.lit(0)).alias("ends")
+    total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), ended).first()
+    ends = total["ends"]
+    # At least as many slices as tasks run at once.
+    slices = max(-(-counts.where("code IS NOT NULL").count() // slice_nodes), docs.sparkSession.sparkContext.defaultParallelism)
+    parts = kept_once(chunked(docs, slices))
+    ids = parts.schema["ids"].dataType.simpleString()
+
+    def as_rows(rows: DataFrame, kind: int) -> DataFrame:
+        types = {"data": "binary", "more": "binary", "ids": ids}
+        filled = [F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in types.items()]
+        return rows.select("chunk", F.lit(kind).alias("kind"), *filled)
+
+    lists, texts = parts.where(F.col("kind") == WORDS).select("chunk", "data"), parts.where(F.col("kind") == TEXTS).select("chunk", "data", "ids")
+    logs = code_logs(counts, parts.where(F.col("kind") == CODES), slices)
+    back = as_rows(logs, CODES).union(as_rows(lists, WORDS)).union(as_rows(word_counts(known, lists), WORDS)).union(as_rows(texts, TEXTS))
+    met = back.repartition("chunk").sortWithinPartitions("chunk", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, chunk = TaskContext.get().partitionId(), -1
+        at_hand, lookup = None, Lookup()
         for batch in batches:
-            held = [(rows, lowered(texts)) for rows, texts in chunks([batch], size=WORD_BYTES)]
-            scores = [np.zeros(len(texts)) for _, texts in held]
-            for number in range(len(model.slices)):
-                part = model.part(number)
-                for score, (_, texts) in zip(scores, held, strict=True):
-                    score += np.concatenate([text_scores(t, part, number, len(model.slices)) for t in _portions(texts)])
-            for score, (rows, texts) in zip(scores, held, strict=True):
-                chunk += 1
-                words, packed, begins = _occurrences(texts)
-                places = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(packed))
-                # The end of the texts, the last word, carries what belongs to each text once.
-                offsets = np.zeros(len(words) + 1, dtype=np.int32)
-                offsets[-1] = len(texts)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), rows.column(0))
-                once = pa.ListArray.from_arrays(pa.array(offsets), pa.array(score))
-                size = len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([task] * size, pa.int32()), pa.array([chunk] * size, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()), places, ids, once],
-                    ["task", "chunk", "word", "places", "ids", "scores"],
-                )
+            for i, (chunk, kind) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if chunk != at_hand:
+                    at_hand, lookup = chunk, Lookup()
+                data, more = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+                if kind == CODES:
+                    lookup.codes.append(unpacked(data))
+                    lookup.logs.append(_numbers(more, np.float64))
+                elif kind == WORDS and more is None:
+                    lookup.words = _unsqueezed(data).split()
+                elif kind == WORDS:
+                    lookup.at.append(unpacked(data))
+                    lookup.c.append(_numbers(more, np.int64))
+                else:
+                    doc_ids = batch.column(4).slice(i, 1).flatten()
+                    data = _unsqueezed(data)
+                    sizes = np.frombuffer(data[: 8 * len(doc_ids)], dtype=np.int64)
+                    stops = 8 * len(doc_ids) + np.cumsum(sizes)
+                    found = lookup.scores([data[e - n : e] for e, n in zip(stops.tolist(), sizes.tolist(), strict=True)], ends)
+                    yield pa.RecordBatch.from_arrays([doc_ids, *(pa.array(x) for x in found)], ["doc_id", "n_tokens", "n_known", "__logs", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"task int, chunk int, word string, places array<int>, ids array<{kind}>, scores array<double>"
-    found = docs.select("doc_id", "text").mapInArrow(run, schema)
-    joined = found.join(known.select(F.col("word").alias("__word"), F.col("n").alias("__n")), F.col("word") == F.col("__word"), "left")
-    places = joined.select("task", "chunk", "ids", "scores", F.coalesce("__n", F.lit(0)).alias("c"), F.explode("places").alias("place"))
-    text, times = F.shiftrightunsigned("place", 16), F.col("place").bitwiseAND(0xFFFF).cast("bigint")
-    rows = places.select(
-        "task", "chunk", text.alias("text"), times.alias("times"), "c", F.get("ids", text).alias("doc_id"), F.get("scores", text).alias("score")
-    )
-    summed = rows.groupBy("task", "chunk", "text").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("times").alias("n_tokens"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("__logs"),
-        F.max("score").alias("score"),
-    )
+    scored = met.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, __logs double, score double")
     base = F.col("__logs") - F.col("n_tokens") * F.lit(math.log10(total["n"] + total["v"] + 1))
-    return summed.select(
+    return scored.select(
         "doc_id", "n_tokens", "n_known", F.lit(total["n"]).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score"
     )
 

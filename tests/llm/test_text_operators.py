@@ -482,6 +482,24 @@ def test_language_model_scores_against_brute_force(spark, slice_nodes):
     assert ppm.score_texts(docs.limit(0), ppm.trained(docs)).count() == 0
 
 
+def test_the_trie_never_passes_through_the_driver(spark, monkeypatch):
+    rng = random.Random(13)
+    docs = documents(spark, [(i, prose(rng, 40, 30), "s") for i in range(30)])
+    counts = ppm.trained(docs)
+    want = counted_contexts([r.text.encode() for r in docs.collect()])
+
+    def refused(*_):
+        raise AssertionError("the driver has the nodes")
+
+    monkeypatch.setattr(type(docs), "toArrow", refused)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refused)
+    monkeypatch.setattr(ppm, "LOOKUP_BYTES", 1)
+    found = {r.doc_id: r.score for r in ppm.score_texts(docs, counts, 100).collect()}
+    assert len(found) == 30
+    for r in docs.collect():
+        assert found[r.doc_id] == pytest.approx(brute_ppm(want, r.text.encode()), rel=1e-9)
+
+
 def test_probabilities_of_a_context_add_up():
     import numpy as np
 
