@@ -550,3 +550,19 @@ def test_fingerprints_tell_order(spark):
     both = prints.alias("x").join(prints.where("doc_id = 1").alias("y"))
     like = {r.doc_id: r.n for r in both.select("x.doc_id", ordered_minhash.likeness(F.col("x.fingerprint"), F.col("y.fingerprint")).alias("n")).collect()}
     assert like[1] == 1 and like[4] > 0.7 and like[4] > like[3] > like[2]
+
+
+def test_an_inserted_character_changes_few_kmers(spark):
+    """In text without white space, in long words, and in texts of one or two words."""
+    rng = random.Random(14)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(2000))
+    code = " ".join("".join(rng.choice("abcdef0123456789+/") for _ in range(300)) for _ in range(5))
+    pairs = [(chinese, "\u4e2d" + chinese), (code, "x" + code), ("international conference", "international conferences"), ("unbelievable", "unbelievably")]
+    pairs += [("\U0001f600" * 3 + chinese, chinese)]
+    prints = ordered_minhash.fingerprints(documents(spark, [(2 * k + j, t, "s") for k, pair in enumerate(pairs) for j, t in enumerate(pair)]))
+    both = prints.alias("x").join(prints.alias("y"), F.expr("x.doc_id + 1 = y.doc_id AND x.doc_id % 2 = 0"))
+    like = {r.doc_id // 2: r.n for r in both.select("x.doc_id", ordered_minhash.likeness(F.col("x.fingerprint"), F.col("y.fingerprint")).alias("n")).collect()}
+    assert min(like[0], like[1], like[4]) > 0.9
+    assert 0.4 < like[2] and 0.2 < like[3] < 1
+    runs = spark.range(1).select(ordered_minhash.runs_of(F.lit("a " * 100 + "b" * 15 + "cde f")).alias("r")).first().r
+    assert runs == [*"a" * 100, "b" * 15 + "c", "b" * 14 + "cd", "b" * 13 + "cde", "f"]
