@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspan.llm import bpe, classifier, extraction, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
+from clearspan.llm import bpe, classifier, extraction, fptree, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
 from clearspan.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fptree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

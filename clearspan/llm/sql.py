@@ -145,3 +145,31 @@ p AS MATERIALIZED (SELECT {', '.join(f'vote_{n}' for n in names)}, count(*)::DOU
 
 
 ORACLES["op3_quality_rules"] = _rules()
+
+
+ORACLES["op11_ranked_search"] = r"""
+WITH occurrences AS (
+  SELECT d.rowid AS d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents) d
+), sizes AS (
+  SELECT d, doc_id, count(*)::BIGINT AS n FROM occurrences GROUP BY d, doc_id
+), whole AS (
+  SELECT count(*)::BIGINT AS texts, sum(n)::BIGINT AS terms FROM sizes
+), items AS (
+  SELECT DISTINCT i, item_id, term FROM (
+    SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark))
+), counts AS (
+  SELECT d, term, count(*)::BIGINT AS tf FROM occurrences WHERE term IN (SELECT term FROM items) GROUP BY d, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT texts FROM whole) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts GROUP BY term
+), parts AS (
+  SELECT c.d, c.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * texts) // whole.terms))) AS part
+  FROM counts c JOIN sizes USING (d) JOIN weights w ON w.term = c.term, whole
+), scores AS (
+  SELECT i, item_id, d, sum(part)::BIGINT AS score FROM items JOIN parts USING (term) GROUP BY i, item_id, d HAVING sum(part) > 0
+)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores JOIN sizes USING (d)
+QUALIFY rank <= 10
+"""
