@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspan.llm import bpe, classifier, extraction, fptree, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
+from clearspan.llm import bpe, classifier, conversations, extraction, fptree, langid, minhash, mixing, ordered_minhash, ppm, rules, sharding, sql, urls
 from clearspan.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fptree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict_languages(docs, langid.train(docs.where(~langid.held_out(F.col("doc_id")))))

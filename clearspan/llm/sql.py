@@ -173,3 +173,76 @@ SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NU
 FROM scores JOIN sizes USING (d)
 QUALIFY rank <= 10
 """
+
+
+def _edit(value: str, initial: str, cost: str) -> str:
+    """A weight ``ccccccccc:audit`` with an edit put before it; the smaller text is the lighter weight."""
+    return f"lpad((substr({value}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || ':{initial}' || substr({value}, 11)"
+
+
+def _kept(initial: str, value: str) -> str:
+    return f"CASE WHEN NOT must_go AND initial = '{initial}' THEN {_edit(value, 'K', 'more')} END"
+
+
+def _given(value: str) -> str:
+    return f"CASE WHEN NOT must_go THEN {_edit(value, 'R', '2 + more')} END"
+
+
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE {_CRC}, hexed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    lower(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')))) AS h
+  FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, (xor(list_reduce([4294967295::UBIGINT] || list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::UBIGINT),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 20)::INTEGER AS kind
+  FROM hexed, crc_table
+), turns AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(text), role) AS i FROM turns
+), ordered AS (
+  SELECT *, coalesce(conv_id::VARCHAR, 'null') AS c, count(*) OVER (PARTITION BY conv_id) AS n, substr(role, 1, 1) AS initial,
+    NOT regexp_matches(text, '[^ 	-
+]') AS blank, NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS open,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    coalesce(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM numbered
+), marked AS (
+  SELECT c, i, n, initial, role, text, blank OR seen AS must_go, open::INTEGER AS more FROM ordered
+), suffixes AS (
+  SELECT c, max(n) AS i, '000000000:' AS v0, '000000004:II' AS v1, '000000002:I' AS v2, '000000000:' AS v3 FROM marked GROUP BY c
+  UNION ALL
+  SELECT c, i, least(b0, {_edit("b2", "I", "2")}, {_edit("b3", "II", "4")}), least(b1, {_edit("b2", "I", "2")}, {_edit("b3", "II", "4")}),
+    least(b2, {_edit("b3", "I", "2")}), least(b3, {_edit("b2", "I", "2")})
+  FROM (
+    SELECT s.c, s.i - 1 AS i, least({_edit("v0", "D", "3")}, {_kept("s", "v1")}, {_kept("u", "v2")}, {_given("v2")}) AS b0,
+      least({_edit("v1", "D", "3")}, {_kept("u", "v2")}, {_given("v2")}) AS b1, least({_edit("v2", "D", "3")}, {_kept("a", "v3")}, {_given("v3")}) AS b2,
+      least({_edit("v3", "D", "3")}, {_kept("u", "v2")}, {_given("v2")}) AS b3
+    FROM suffixes s JOIN marked m ON s.c = m.c AND s.i = m.i
+  )
+), lightest AS (
+  SELECT c, substr(v0, 1, 9)::BIGINT AS cost, substr(v0, 11) AS audit FROM suffixes WHERE i = 0
+), applied AS (
+  SELECT c, audit, 1 AS k, 1 AS i, '' AS last, '' AS out FROM lightest
+  UNION ALL
+  SELECT c, audit, k + 1, CASE edit WHEN 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN last ELSE substr(to_role, 1, 1) END,
+    CASE edit WHEN 'D' THEN out ELSE out || chr(10) || to_role || ':' || CASE edit WHEN 'I' THEN '' ELSE text END END
+  FROM (
+    SELECT a.*, substr(audit, k, 1) AS edit, m.text, CASE substr(audit, k, 1) WHEN 'K' THEN m.role ELSE CASE last WHEN 'u' THEN 'assistant' ELSE 'user' END END AS to_role
+    FROM applied a LEFT JOIN marked m ON a.c = m.c AND a.i = m.i WHERE k <= length(audit)
+  )
+), counted AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (NOT blank AND seen) AS duplicate, count(*) FILTER (NOT blank AND NOT seen AND open) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM ordered GROUP BY c
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(l.audit, '') AS audit,
+  sha256(substr(coalesce(out, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, 'null') AS c FROM conversations) o
+LEFT JOIN counted USING (c) LEFT JOIN lightest l ON l.c = o.c LEFT JOIN applied a ON a.c = o.c AND a.k > length(a.audit)
+"""
