@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -47,6 +47,13 @@ def kept_once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def kept_and_counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+    """``df`` kept as by ``kept_once``, and aggregates of its rows that are gathered while it is written."""
+    seen = Observation()
+    kept = kept_once(df.observe(seen, *[c.alias(n) for n, c in counts.items()]))
+    return kept, seen.get
+
+
 BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 

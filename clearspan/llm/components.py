@@ -5,40 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearspan.llm.common import kept_once
+from clearspan.llm.common import kept_and_counted
 
 
-def _towards_least(edges: DataFrame) -> DataFrame:
-    """Each larger neighbour of a node is linked to the least node around it."""
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "__a")
-    joined = both.where("b > a").join(least, F.col("a") == F.col("__a"))
-    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-
+def _closer(edges: DataFrame) -> DataFrame:
+    """One round over edges from larger to smaller nodes: ``a, b, changed``; no edge is changed if all components are stars.
 
-def _smaller_together(edges: DataFrame) -> DataFrame:
-    """The smaller neighbours of a node, and the node, are linked to the least of them. Edges go from larger to smaller."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "__a")
-    joined = edges.join(least, F.col("a") == F.col("__a"))
-    pairs = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-    return pairs.union(least.select(F.col("__a").alias("a"), F.col("m").alias("b"))).distinct()
+    First the larger neighbours of a node go to the least node around it, then the smaller neighbours of a
+    node, and the node, to the least of them.
+    """
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    around = both.groupBy(F.col("a").alias("__a")).agg(F.min("b").alias("m"))
+    least = F.least("b", "m")
+    moved = edges.join(around, F.col("b") == F.col("__a")).select("a", least.alias("b"), (least < F.col("b")).cast("int").alias("changed"))
+    below = moved.groupBy(F.col("a").alias("__a")).agg(F.min("b").alias("m"), F.max("changed").alias("__changed"))
+    others = moved.join(below, F.col("a") == F.col("__a")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"), F.lit(1).alias("changed"))
+    return others.union(below.select(F.col("__a").alias("a"), F.col("m").alias("b"), F.col("__changed").alias("changed")))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, component`` for every node that has a link; the component is its smallest node.
+def stars(links: DataFrame) -> DataFrame:
+    """``node, component`` for every node with a link but the smallest of its component, which is the component.
 
-    ``links`` has two whole-number columns. Links of a node to itself and null ends are left out. Rounds end when the
-    links no longer change, which takes about the square of the logarithm of the nodes at most.
+    ``links`` has two columns of one type and is read several times. Links of a node to itself and null ends are left
+    out. Rounds end when no edge changes, which takes about the square of the logarithm of the nodes at most; the
+    changes are counted while a round is written.
     """
     x, y = links.columns[:2]
     ends = links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    edges = kept_once(ends.where("a <> b").distinct())
-    mark = None
-    while True:
-        row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (row["n"], row["h"]) == mark or not row["n"]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
-        mark = (row["n"], row["h"])
-        edges = kept_once(_smaller_together(_towards_least(edges)))
+    edges, changed = ends.where("a <> b"), True
+    while changed:
+        edges, seen = kept_and_counted(_closer(edges), changed=F.sum("changed"))
+        edges, changed = edges.select("a", "b"), seen["changed"]
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``node, component`` for every node that has a link; the component is its smallest node."""
+    found = stars(links)
+    return found.union(found.select(F.col("component").alias("node"), "component").distinct())

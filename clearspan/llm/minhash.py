@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from clearspan.llm.batches import Words, chunks, lowered, mixed, windows
-from clearspan.llm.common import kept_once
-from clearspan.llm.components import components
+from clearspan.llm.common import SPACE, kept_and_counted, kept_once, text_of
+from clearspan.llm.components import stars
 
 SHINGLE = 5
 PERMUTATIONS, BAND_ROWS = 64, 4
@@ -34,8 +34,9 @@ SKETCH_DIFFERENT = 56
 #: Bits of a parity sketch: each shingle flips one.
 PARITY_BITS = 2048
 
-#: Nodes from here on are classes of rows without ids.
-UNNUMBERED = 1 << 62
+#: Members of a bucket that meet those of another part of it in one task, and the step between size classes: a link's
+#: sets differ in size by a third at most.
+BUCKET_ROWS, SIZE_STEP = 512, 1.34
 
 _RANDOM = np.random.default_rng(7)
 _FACTORS = _RANDOM.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,67 +107,58 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<i8")
 
 
-def with_parities(texts: DataFrame) -> DataFrame:
-    """``node, parity`` of texts (``node, text``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, held in chunks(batches):
-            found = parities(shingle_sets(lowered(held)))
-            yield pa.RecordBatch.from_arrays([rows.column(0), _lists(found, np.ones(len(found), dtype=bool))], ["node", "parity"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, parity array<long>").distinct()
-
-
 def _lists(values: np.ndarray, present: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(present * values.shape[1])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
 
 
+def _row_key() -> Column:
+    """Tells rows by id and text; rows alike in both have one key."""
+    return F.unhex(F.md5(F.encode(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text_of()), "UTF-8")))
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, set_key, n_shingles, bands, sketch`` per row; equal keys mean equal sets."""
-    schema = T.StructType(
-        [docs.schema["doc_id"], *T._parse_datatype_string("set_key binary, n_shingles long, bands array<long>, sketch array<long>").fields]
-    )
+    """``doc_id, row_key, node, n_shingles, bands, sketch, parity`` per row; null nodes for rows without shingles.
+
+    Rows with the same set of shingles have the same node, 64 bits of a digest of the set: one class.
+    """
+    fields = "row_key binary, node long, n_shingles long, bands array<long>, sketch array<long>, parity array<long>"
+    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(fields).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in chunks(batches):
             grams, counts = shingles(lowered(texts))
             values = signatures(grams, counts)
             ends = np.cumsum(counts)
-            keys, sizes = [], []
-            for e, n in zip(ends, counts, strict=True):
-                distinct = np.unique(grams[e - n : e])
-                keys.append(hashlib.blake2b(distinct.tobytes(), digest_size=16).digest())
-                sizes.append(len(distinct))
+            sets = [np.unique(grams[e - n : e]) for e, n in zip(ends, counts, strict=True)]
+            nodes = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
             present = counts > 0
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), _lists(band_keys(values), present), _lists(sketches(values), present)],
-                ["doc_id", "set_key", "n_shingles", "bands", "sketch"],
-            )
+            lists = [_lists(x, present) for x in (band_keys(values), sketches(values), parities([s for s in sets if len(s)]))]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(nodes, pa.int64()), sizes, *lists], schema.names)
 
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", _row_key().alias("row_key"), docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, common, all``: sizes of intersection and union of the full shingle sets of each pair of nodes."""
-    left = texts.select(F.col("node").alias("__a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("__b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, F.col("a") == F.col("__a")).join(right, F.col("b") == F.col("__b"))
+def compared(pairs: DataFrame) -> DataFrame:
+    """Sizes of intersection and union (``common, all``) of the full shingle sets of ``text_a`` and ``text_b``, instead of the texts."""
+    kept = [c for c in pairs.columns if c not in ("text_a", "text_b")]
+    schema = T.StructType([*[pairs.schema[c] for c in kept], *T._parse_datatype_string("common long, all long").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, first in chunks(batches, "text_a"):
-            a, b, second = (rows.column(c).to_pylist() for c in ("a", "b", "text_b"))
-            other = list(dict.fromkeys((t or "").encode() for t in second))
+            second = rows.column("text_b").to_pylist()
+            other = list(dict.fromkeys(t.encode() for t in second))
             known = dict(zip(other, shingle_sets(lowered(other)), strict=True))
             common, union = [], []
             for one, text in zip(shingle_sets(lowered(first)), second, strict=True):
-                two = known[(text or "").encode()]
+                two = known[text.encode()]
                 same = len(np.intersect1d(one, two, assume_unique=True))
                 common.append(same)
                 union.append(len(one) + len(two) - same)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(common, pa.int64()), pa.array(union, pa.int64())], ["a", "b", "common", "all"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), pa.array(common, pa.int64()), pa.array(union, pa.int64())], schema.names)
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, common long, all long").distinct()
+    return pairs.mapInArrow(run, schema)
 
 
 def _different(x: str, y: str) -> Column:
@@ -187,151 +179,154 @@ def _parity_differs(x: str, y: str) -> Column:
     return total
 
 
-def _unnumbered() -> Column:
-    """The node of a class whose rows all lack an id, told by its set; after all numbers."""
-    return F.shiftrightunsigned(F.xxhash64("set_key"), 2) + F.lit(UNNUMBERED)
-
-
 def _is_link() -> Column:
     return F.col("common") * 100 >= F.col("all") * PER_CENT
 
 
-def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``signed`` with their class node, and the links between class nodes (``a, b``)."""
-    # Kept: the signatures are the costly part, and narrow.
-    rows = kept_once(signed(docs))
-    node = F.coalesce(F.min("doc_id").cast("bigint"), _unnumbered())
-    classes = rows.where("n_shingles > 0").groupBy("set_key").agg(
-        node.alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
-    )
-    classes = kept_once(classes)
+def _placed(classes: DataFrame) -> DataFrame:
+    """``node, places``: the buckets (32 at most) that a class shares with others, and the centre of each.
+
+    The centre of a bucket is its member with the most company over all its buckets: the most typical text.
+    """
     placed = classes.select("node", F.explode("bands").alias("bucket"))
     shared = placed.groupBy(F.col("bucket").alias("__bucket")).agg(F.count("*").alias("size")).where("size > 1")
-    members = kept_once(placed.join(shared, F.col("bucket") == F.col("__bucket")).select("bucket", "node", "size"))
-
-    # The centre of a bucket is its member with the most company over all its buckets: the most typical text.
+    members = placed.join(shared, F.col("bucket") == F.col("__bucket")).select("bucket", "node", "size")
     company = members.groupBy(F.col("node").alias("__node")).agg(F.sum("size").alias("company"))
-    ranked = members.join(company, F.col("node") == F.col("__node"))
-    best = F.max(F.struct(F.col("company"), (-F.col("node")).alias("back")))
-    centres = ranked.groupBy(F.col("bucket").alias("__bucket")).agg((-best["back"]).alias("centre"))
-    members = kept_once(members.join(centres, F.col("bucket") == F.col("__bucket")).select("bucket", "node", "centre"))
-
-    wanted = members.select(F.col("node").alias("__node")).distinct()
-    named = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text")).where("node IS NOT NULL")
-    unnamed = docs.where("doc_id IS NULL").select("doc_id", "text")
-    texts = named
-    if rows.where("doc_id IS NULL AND n_shingles > 0").limit(1).count():
-        found = signed_texts(unnamed)
-        texts = named.unionByName(found)
-    texts = kept_once(texts.join(wanted, F.col("node") == F.col("__node"), "left_semi"))
-
-    spokes = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    near = kept_once(compared(spokes, texts))
-    links = near.where(_is_link()).select("a", "b")
-
-    grouped = components(links)
-    likeness = F.when(F.col("node") == F.col("centre"), F.lit(1.0)).otherwise(F.col("common") / F.col("all"))
-    told = members.join(grouped.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").select(
-        "bucket", "node", "centre", F.coalesce("component", "node").alias("component")
+    ranked = members.join(company, F.col("node") == F.col("__node")).select("bucket", "node", "company")
+    centres = ranked.groupBy(F.col("bucket").alias("__bucket")).agg(F.max(F.struct("company", "node"))["node"].alias("centre"))
+    told = ranked.join(centres, F.col("bucket") == F.col("__bucket"))
+    return told.groupBy("node").agg(F.collect_list(F.struct("bucket", "centre")).alias("places"))
+
+
+def _with_texts(places: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, places, text`` with the text of one row of the class; of rows alike in id and text one is read."""
+    keys = classes.select(F.col("node").alias("__node"), F.col("row_key").alias("__key"))
+    wanted = places.join(keys, F.col("node") == F.col("__node")).select("node", "places", "__key")
+    texts = docs.select(_row_key().alias("row_key"), text_of().alias("text"))
+    one = Window.partitionBy("row_key").orderBy("node")
+    found = texts.join(wanted, F.col("row_key") == F.col("__key")).withColumn("__n", F.row_number().over(one))
+    return found.where("__n = 1").select("node", "places", "text")
+
+
+def _open_members(near: DataFrame, groups: DataFrame, held: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets that the links found so far leave in several components, without their centres.
+
+    ``bucket, members, node, component, likeness`` (to the centre, which has met everyone in the bucket), and from the
+    class ``n, sketch, parity``.
+    """
+    met = near.join(groups.withColumnRenamed("node", "__node"), F.col("a") == F.col("__node"), "left")
+    met = met.groupBy("a").agg(
+        F.first(F.coalesce("component", "a")).alias("component"),
+        F.map_from_entries(F.collect_list(F.struct("b", F.col("common") / F.col("all")))).alias("likeness"),
     )
-    told = told.join(near, (F.col("node") == F.col("a")) & (F.col("centre") == F.col("b")), "left").select(
-        "bucket", "node", "centre", "component", likeness.alias("likeness")
+    told = held.select("node", F.explode("places").alias("place")).where("node <> place.centre")
+    told = told.join(met, F.col("node") == F.col("a")).select(
+        F.col("place.bucket").alias("bucket"), "node", "component", F.col("likeness")[F.col("place.centre")].alias("likeness")
     )
-    told = kept_once(told)
-    split = told.groupBy(F.col("bucket").alias("__bucket")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    # The centre has met everyone in the bucket already.
-    open_ = told.join(split, F.col("bucket") == F.col("__bucket"), "left_semi").where("node <> centre")
-    open_ = open_.join(classes.select(F.col("node").alias("__node"), "n", "sketch"), F.col("node") == F.col("__node")).drop("__node", "centre")
-    ends = open_.select(F.col("node").alias("__node")).distinct()
-    parity = with_parities(texts.join(ends, F.col("node") == F.col("__node"), "left_semi")).withColumnRenamed("node", "__node")
-    open_ = kept_once(open_.join(parity, F.col("node") == F.col("__node")).drop("__node"))
-    x, y = (open_.select(*[F.col(c).alias(f"{c}_{side}") for c in open_.columns]) for side in "xy")
+    split = told.groupBy(F.col("bucket").alias("__bucket")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
+    open_ = told.join(split.where("lo < hi"), F.col("bucket") == F.col("__bucket")).drop("__bucket", "lo", "hi")
+    facts = classes.select(F.col("node").alias("__node"), F.col("n_shingles").alias("n"), "sketch", "parity")
+    return open_.join(facts, F.col("node") == F.col("__node")).drop("__node")
+
+
+def _across(open_: DataFrame) -> DataFrame:
+    """``a, b, component_a, component_b``: pairs of different components in a bucket that may be links.
+
+    Buckets are split by size class, as sizes of linked sets differ by a third at most, and large ones are dealt over salts.
+    """
+    salts = F.ceil(F.col("members") / BUCKET_ROWS).cast("int")
+    size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))).cast("int")
+    keyed = open_.withColumns({"size_class": size_class, "salts": salts})
+    x = keyed.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+    y = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    y = y.withColumn("size_class", F.explode(F.array(*[F.col("size_class") + k for k in (-1, 0, 1)])))
+    x, y = (side.select(*[F.col(c).alias(f"{c}_{name}") for c in side.columns if c not in ("members", "salts")]) for side, name in ((x, "x"), (y, "y")))
     # Distance 1 - likeness is a metric: the distances of a link's ends to any third text differ by 0.25 at most.
     # A link's sets differ in at most a seventh of their shingles, and their parity sketches in no more bits.
     may_link = (
         (F.col("bucket_x") == F.col("bucket_y"))
+        & (F.col("size_class_x") == F.col("size_class_y"))
+        & (F.col("salt_x") == F.col("salt_y"))
         & (F.col("component_x") < F.col("component_y"))
         & (F.abs(F.col("likeness_x") - F.col("likeness_y")) <= 1 - PER_CENT / 100 + 1e-9)
         & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * PER_CENT)
         & (_different("sketch_x", "sketch_y") <= SKETCH_DIFFERENT)
         & ((100 + PER_CENT) * _parity_differs("parity_x", "parity_y") <= (100 - PER_CENT) * (F.col("n_x") + F.col("n_y")))
     )
-    more = x.join(y, may_link).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
-    found = kept_once(compared(more, texts).where(_is_link()).select("a", "b"))
-    return rows.join(classes.select(F.col("set_key").alias("__key"), "node"), F.col("set_key") == F.col("__key"), "left").drop("__key"), links.union(found)
-
-
-def signed_texts(docs: DataFrame) -> DataFrame:
-    """``node, text`` of rows without an id, with the node that their class has."""
-    schema = "set_key binary, text string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in chunks(batches):
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in shingle_sets(lowered(texts))]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())], ["set_key", "text"])
-
-    keyed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
-    return keyed.select(_unnumbered().alias("node"), "text").distinct()
+    names = [F.col(f"{c}_{side}").alias(alias) for c, side, alias in (("node", "x", "a"), ("node", "y", "b"), ("component", "x", "component_a"), ("component", "y", "component_b"))]
+    return x.join(y, may_link).select(*names).distinct()
 
 
 def grouped_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``signed`` with ``found``: the smallest node that links lead to; null without number and shingles."""
-    rows, links = linked(docs)
-    grouped = components(links).withColumnRenamed("node", "__node")
-    joined = rows.join(grouped, F.col("node") == F.col("__node"), "left")
-    return joined.select("doc_id", "set_key", "n_shingles", F.coalesce("component", "node", F.col("doc_id").cast("bigint")).alias("found"))
+    """``doc_id, row_key, n_shingles, component`` per row; the component is the least node that links of sets lead to."""
+    # Kept: the signatures are the costly part, and narrow.
+    rows = kept_once(signed(docs))
+    first = Window.partitionBy("node").orderBy(F.asc_nulls_last("doc_id"), "row_key")
+    classes = kept_once(rows.where("node IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "doc_id"))
+    held = kept_once(_with_texts(_placed(classes), classes, docs))
+    texts = held.select(F.col("node").alias("__node"), F.col("text").alias("__text"))
+
+    spokes = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.explode(F.array_distinct("places.centre")).alias("b")).where("a <> b")
+    spokes = spokes.join(texts, F.col("b") == F.col("__node")).select("a", "b", "text_a", F.col("__text").alias("text_b"))
+    near = kept_once(compared(spokes))
+    groups = stars(near.where(_is_link()).select("a", "b"))
+    told = rows.select("doc_id", "row_key", "n_shingles", "node").join(groups.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
+    told = told.select("doc_id", "row_key", "n_shingles", F.coalesce("component", "node").alias("component"))
+
+    open_, seen = kept_and_counted(_open_members(near, groups, held, classes), rows=F.count("*"))
+    if seen["rows"]:
+        pairs = _across(open_).join(texts, F.col("a") == F.col("__node")).drop("__node").withColumnRenamed("__text", "text_a")
+        pairs = pairs.join(texts, F.col("b") == F.col("__node")).drop("__node").withColumnRenamed("__text", "text_b")
+        more, seen = kept_and_counted(compared(pairs).where(_is_link()).select("component_a", "component_b"), rows=F.count("*"))
+        if seen["rows"]:
+            told = _renamed(told, stars(more))
+    return told
+
+
+def _renamed(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with their component replaced by the one that ``groups`` puts it in."""
+    further = groups.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
+    joined = rows.join(further, F.col("component") == F.col("__node"), "left")
+    return joined.withColumn("component", F.coalesce("__component", "component")).drop("__node", "__component")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     Documents are linked if their sets of 5-word shingles have a Jaccard similarity of 0.75 or more, and
-    ``component_id`` is the smallest ``doc_id`` that links lead to. Null texts and texts without words have no
-    shingles and no links. Rows with the same ``doc_id`` are one document with the links of all. Rows
-    without ``doc_id`` take part; their ``component_id`` is null if no numbered document is reached. ``kept``
-    holds if ``doc_id`` and ``component_id`` are the same, null included. Other columns are neither
-    read nor returned.
+    ``component_id`` is the smallest ``doc_id`` that links lead to. Ids may be numbers or texts. Null and empty texts and
+    texts without words have no shingles and no links. Rows with the same ``doc_id`` are one document with the
+    links of all. Rows without ``doc_id`` take part; their ``component_id`` is null if no numbered document is reached.
+    ``kept`` holds if ``doc_id`` and ``component_id`` are the same, null included. Texts of any length are taken whole.
+    An empty table gives no rows. Other columns are neither read nor returned.
     """
-    rows = grouped_rows(docs)
-    component = F.when(F.col("found") < UNNUMBERED, F.col("found")).cast(docs.schema["doc_id"].dataType)
-    result = rows.select("doc_id", "n_shingles", component.alias("component_id"))
+    rows = kept_once(grouped_rows(docs))
+    known = rows.where("doc_id IS NOT NULL AND component IS NOT NULL")
+    spread = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    spread, seen = kept_and_counted(spread, rows=F.count("*"))
+    if seen["rows"]:
+        # Ids with several unlike texts join the components of all of them.
+        same = kept_once(known.join(spread, F.col("doc_id") == F.col("__id")).select("component", "lo").distinct())
+        rows = _renamed(rows, stars(same))
+    ids = rows.where("component IS NOT NULL").groupBy(F.col("component").alias("__component")).agg(F.min("doc_id").alias("component_id"))
+    result = rows.join(ids, F.col("component") == F.col("__component"), "left")
+    component = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    result = result.select("doc_id", "n_shingles", component.alias("component_id"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates, with all its columns: that of the smallest ``doc_id``.
 
-    Rows with the same ``doc_id`` are one document. Of rows alike in ``doc_id`` the one with the smallest text by its
-    digest stays. Rows without ``doc_id`` give way to numbered ones; of a group of them the one with the smallest
-    digest stays, and those without words all stay.
+    Groups are of texts: unlike texts of one ``doc_id`` both stay. Rows without ``doc_id`` give way to numbered
+    ones; among rows alike in ``doc_id`` the digest of the text decides, and of rows alike in both one stays. Rows
+    without words are like nothing and all stay. An empty table gives no rows.
     """
-    rows = kept_once(grouped_rows(docs))
+    rows = grouped_rows(docs)
+    first = Window.partitionBy("component").orderBy(F.asc_nulls_last("doc_id"), "row_key")
+    heads = rows.where("component IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").select(F.col("row_key").alias("__head"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    packed = docs.select(whole, F.col("doc_id").cast("bigint").alias("__id"), F.md5(F.encode(F.col("text").cast("string"), "UTF-8")).alias("__digest"))
-    ids = rows.where("doc_id = found").select(F.col("doc_id").cast("bigint").alias("__kept")).distinct()
-    first = Window.partitionBy("__id").orderBy("__digest")
-    chosen = packed.join(ids, F.col("__id") == F.col("__kept")).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    chosen = chosen.select("__row.*")
-    if not rows.where("doc_id IS NULL").limit(1).count():
-        return chosen
-    # Only rows without an id need their set again, to find the group that they are in.
-    lone = packed.where("__id IS NULL").withColumn("text", F.col("__row.text").cast("string"))
-    keyed = with_set_keys(lone)
-    heads = rows.where("doc_id IS NULL AND n_shingles > 0").groupBy("found").agg(F.min("set_key").alias("__head")).where(F.col("found") >= UNNUMBERED)
-    best = Window.partitionBy("set_key").orderBy("__digest")
-    found = keyed.where("n_shingles > 0").join(heads, F.col("set_key") == F.col("__head")).withColumn("__n", F.row_number().over(best)).where("__n = 1")
-    return chosen.union(found.select("__row.*")).union(keyed.where("n_shingles = 0").select("__row.*"))
-
-
-def with_set_keys(df: DataFrame) -> DataFrame:
-    """Columns ``__row, __digest, set_key, n_shingles`` for rows with a ``text``."""
-    schema = T.StructType([df.schema["__row"], df.schema["__digest"], *T._parse_datatype_string("set_key binary, n_shingles long").fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in chunks(batches):
-            sets = shingle_sets(lowered(texts))
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            sizes = [len(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([rows.column("__row"), rows.column("__digest"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], ["__row", "__digest", "set_key", "n_shingles"])
-
-    return df.select("__row", "__digest", "text").mapInArrow(run, schema)
+    packed = docs.select(whole, _row_key().alias("__key"), text_of().rlike(f"[^{SPACE}]").alias("__words"))
+    one = Window.partitionBy("__key").orderBy("__head")
+    chosen = packed.where("__words").join(heads, F.col("__key") == F.col("__head")).withColumn("__n", F.row_number().over(one)).where("__n = 1")
+    return chosen.select("__row.*").union(packed.where("NOT __words").select("__row.*"))

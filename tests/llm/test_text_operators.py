@@ -107,6 +107,38 @@ def test_dedup_keeps_one_row_of_each_group(spark, copies):
     assert sum(r.component_id in named for r in groups) == 1 and sum(r.kept for r in groups) == 3
 
 
+def test_unlike_texts_of_one_id_join_their_groups(spark):
+    rng = random.Random(6)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    rows = [(3, a, "s"), (5, a, "s"), (5, b, "s"), (9, b, "s"), (9, c, "s"), (11, c + " z", "s"), (12, prose(rng, 40), "s"), (13, "", "s"), (13, "", "s")]
+    found = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (5, 3), (5, 3), (9, 3), (9, 3), (11, 3), (12, 12), (13, 13), (13, 13)]
+    kept = minhash.deduplicated(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, a), (5, b), (9, c), (12, rows[6][1]), (13, ""), (13, "")])
+
+
+def test_near_duplicates_with_textual_ids_and_empty_tables(spark):
+    rng = random.Random(7)
+    a = prose(rng, 50)
+    docs = spark.createDataFrame([("d1", a), ("d0", a + " x"), ("c", prose(rng, 50)), (None, a)], "doc_id string, text string")
+    found = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert found == {("d1", "d0", False), ("d0", "d0", True), ("c", "c", True), (None, "d0", False)}
+    assert minhash.near_duplicates(docs.limit(0)).count() == 0 and minhash.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_salts_and_size_classes_lose_no_link(spark, monkeypatch):
+    """Many texts that share buckets and are alike below the limit, with links between them that miss the centre."""
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", 3)
+    rng = random.Random(8)
+    base = prose(rng, 150, 10**6).split()
+    rows = []
+    for g in range(14):
+        one = " ".join(w if rng.random() > 0.06 else f"g{g}x{k}" for k, w in enumerate(base))
+        rows += [(10 * g + k, edited(rng, one, k), "s") for k in range(4)]
+    found = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_groups(rows)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     found = components.components(spark.createDataFrame(links, "x long, y long"))
