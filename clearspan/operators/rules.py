@@ -1,20 +1,15 @@
-"""Fee rules: reading rule text once, matching transactions, first rule wins.
+"""Reading the text of fee rules into arrays and bounds, and testing values against one parsed condition.
 
-Rule text is parsed on the rule table (small) into arrays and bounds. Matching then needs
-only comparisons, so Catalyst compiles it: an equi-join on the rule's key columns with the
-date range and the parsed conditions as join condition, and the lowest ordinal per distinct
-set of compared values. Rows that cannot be told apart by any rule share one match.
+Matching transactions with whole rule tables is the work of ``rule_index``.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearspan.functions.text import rule_text
-from clearspan.operators.lookup import lookup_join, materialised, spread
+from clearspan.operators.lookup import lookup_join
 
 # Spellings of "no condition".
 NO_CONDITION = ["", "none", "nan", "null"]
@@ -62,21 +57,6 @@ def token_condition(c: Column, space_word: bool = False) -> Column:
     return F.when(~is_blank(c), parsed)
 
 
-def most_spans(rules: DataFrame, conditions: list[str]) -> int:
-    """Largest number of ranges in any of the parsed conditions."""
-    sizes = [F.coalesce(F.size(F.col(c)["spans"]), F.lit(0)) for c in conditions]
-    found = rules.agg(F.max(F.greatest(*sizes, F.lit(0), F.lit(0)))).first()[0]
-    return found or 0
-
-
-def conditions_in_use(rules: DataFrame, conditions: list[str]) -> dict[str, int]:
-    """Parsed conditions that some rule has, with the most ranges any of them has; one job."""
-    if not conditions:
-        return {}
-    row = rules.agg(*[F.max(F.when(F.col(c).isNotNull(), F.coalesce(F.size(F.col(c)["spans"]), F.lit(0)))).alias(c) for c in conditions]).first()
-    return {c: row[c] for c in conditions if row[c] is not None}
-
-
 def token_match(condition: Column, value: Column, number: Column | None = None, spans: int | None = None) -> Column:
     """Whether a value meets a parsed token condition; ranges compare numerically.
 
@@ -169,129 +149,3 @@ def needed_rules(rules: DataFrame, facts: DataFrame, keys: dict[str, str], day:
         "__days", lambda d: (d >= F.col(valid_from)) & (d <= F.coalesce(F.col(valid_until), d))
     )
     return rules.join(spans, cond & valid, "left_semi")
-
-
-def rule_pairs(
-    facts: DataFrame, rules: DataFrame, keys: dict[str, str], day: str, conditions: Column | None = None,
-    valid_from="valid_from", valid_until="valid_until",
-) -> DataFrame:
-    """Rows with the rules of equal keys valid on the row's day that meet ``conditions``.
-
-    Small rule tables are broadcast by Spark, larger ones joined by shuffle on their keys.
-    """
-    cond = F.col(valid_from) <= F.col(day)
-    cond = cond & (F.col(valid_until).isNull() | (F.col(valid_until) >= F.col(day)))
-    for fact_key, rule_key in keys.items():
-        cond = cond & (F.col(fact_key) == F.col(rule_key))
-    if conditions is not None:
-        cond = cond & conditions
-    return facts.join(rules, cond)
-
-
-def _segment(value: Column, thresholds: list) -> Column:
-    """How many of the sorted thresholds a value has reached; missing values give -1.
-
-    Two steps over lists of about the square root of their number: the blocks that begin no later, then the
-    thresholds of the last such block. Works for any number of thresholds.
-    """
-    if not thresholds:
-        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(0))
-
-    def listed(points: list) -> Column:
-        return F.array(*[F.struct(F.lit(b).cast(BOUND).alias("bound"), F.lit(strict).alias("strict")) for b, strict in points])
-
-    def reached(points: Column) -> Column:
-        return F.size(F.filter(points, lambda t: (value > t["bound"]) | ((value == t["bound"]) & ~t["strict"])))
-
-    width = math.isqrt(len(thresholds)) + 1
-    blocks = [thresholds[k : k + width] for k in range(0, len(thresholds), width)]
-    begun = reached(listed([b[0] for b in blocks]))
-    inside = reached(F.get(F.array(*[listed(b) for b in blocks]), begun - 1))
-    return F.when(value.isNull(), F.lit(-1)).when(begun == 0, F.lit(0)).otherwise((begun - 1) * width + inside)
-
-
-def _thresholds(rules: DataFrame, tested: dict[str, list[str]]) -> dict[str, list]:
-    """For each value the sorted (bound, strict) points where a comparison with any rule changes; at most two per rule and condition."""
-    points = []
-    for value, conditions in tested.items():
-        for c in conditions:
-            for bound, strict in ((F.col(c)["lo"], ~F.col(c)["lo_in"]), (F.col(c)["hi"], F.col(c)["hi_in"])):
-                points.append(F.struct(F.lit(value).alias("value"), bound.alias("bound"), strict.alias("strict")))
-    found: dict[str, list] = {value: [] for value in tested}
-    if points:
-        for r in rules.select(F.explode(F.array(*points)).alias("p")).where("p.bound IS NOT NULL").select("p.*").distinct().collect():
-            found[r["value"]].append((r["bound"], r["strict"]))
-    return {value: sorted(points) for value, points in found.items()}
-
-
-def first_rule(
-    facts: DataFrame, rules: DataFrame, keys: dict[str, str], day: str, compared: list[str], ordinal: str,
-    take: dict[str, str], conditions: Column | None = None, condition_columns: list[str] = (), numbers: dict[str, str] = (),
-    valid_from="valid_from", valid_until="valid_until",
-) -> DataFrame:
-    """Attach the matching rule with the lowest ordinal; rows without a match get nulls.
-
-    ``compared`` are the fact columns the conditions compare by value, ``numbers`` maps parsed
-    bounds of rules to the fact columns inside them, and ``condition_columns`` are all rule
-    columns the conditions read. Three exact reductions keep the matching small:
-
-    - rules that agree on every condition count once, with their lowest ordinal;
-    - a number matters only by the segment between rule bounds it falls into, so the facts
-      shrink to distinct (keys, day, compared values, segments) before any rule is tried: their
-      count follows the rules and the calendar, not the facts;
-    - the winners are looked up back by these few columns.
-    """
-    numbers = dict(numbers)
-    alike = [*keys.values(), valid_from, valid_until, *condition_columns]
-    table = materialised(rules.groupBy(*dict.fromkeys(alike)).agg(F.min(ordinal).alias("__ordinal")))
-
-    profile, segmented, tested = list(dict.fromkeys([*keys, day, *compared])), {}, {}
-    for bounds, value in numbers.items():
-        tested.setdefault(value, []).append(bounds)
-    for value, thresholds in _thresholds(table, tested).items():
-        segmented[value] = f"__seg_{len(segmented)}"
-        facts = facts.withColumn(segmented[value], _segment(F.col(value), thresholds))
-    profile = list(dict.fromkeys([*profile, *segmented.values()]))
-    examples = [F.min(v).alias(v) for v in segmented]
-    distinct = facts.groupBy(*profile).agg(*examples) if examples else facts.select(*profile).distinct()
-    pairs = rule_pairs(spread(distinct, profile), table, keys, day, conditions, valid_from, valid_until)
-    winners = pairs.groupBy(*profile).agg(F.min("__ordinal").alias("__ordinal"))
-    matched = lookup_join(facts, winners, {c: c for c in profile}, ["__ordinal"], null_safe=True)
-    found = lookup_join(matched, rules, {"__ordinal": ordinal}, take)
-    return found.drop("__ordinal", *segmented.values())
-
-
-def matcher(rules: DataFrame, tokens: dict[str, str], numbers: dict[str, str] = (), yes_no: dict[str, str] = (), space_word: bool = False, bare_equal: bool = True):
-    """Rules with parsed conditions (all columns prefixed ``r_``), the condition that joins them, the rule
-    columns it reads, and which parsed bounds test which value column.
-
-    ``tokens``, ``numbers`` and ``yes_no`` map rule columns to the value columns they test. Token conditions that no
-    rule has are left out, so that facts need not be told apart by their values.
-    """
-    parsed = rules.select(*[F.col(f"`{c}`").alias(f"r_{c}") for c in rules.columns])
-    for c in tokens:
-        parsed = parsed.withColumn(f"r_parsed_{c}", token_condition(F.col(f"r_{c}"), space_word))
-    for c in dict(numbers):
-        parsed = parsed.withColumn(f"r_parsed_{c}", number_condition(F.col(f"r_{c}").cast("string"), bare_equal))
-    used = conditions_in_use(parsed, [f"r_parsed_{c}" for c in tokens])
-    tokens = {c: value for c, value in tokens.items() if f"r_parsed_{c}" in used}
-    condition = F.lit(True)
-    for c, value in tokens.items():
-        condition = condition & token_match(F.col(f"r_parsed_{c}"), F.col(value), spans=used[f"r_parsed_{c}"])
-    for c, value in dict(numbers).items():
-        condition = condition & number_match(F.col(f"r_parsed_{c}"), F.col(value))
-    for c, value in dict(yes_no).items():
-        condition = condition & yes_no_match(F.col(f"r_{c}"), F.col(value))
-    read = [f"r_parsed_{c}" for c in [*tokens, *dict(numbers)]] + [f"r_{c}" for c in dict(yes_no)]
-    return parsed, condition, read, {f"r_parsed_{c}": value for c, value in dict(numbers).items()}
-
-
-def tested_values(tokens: dict[str, str], read: list[str]) -> list[str]:
-    """The value columns that the token conditions a ``matcher`` kept compare."""
-    return [value for c, value in tokens.items() if f"r_parsed_{c}" in read]
-
-
-def rule_currencies(rules: DataFrame, amount: str, currency: str) -> list[str]:
-    """Currencies of rules with an amount condition; there are as many as the world has."""
-    found = rules.where(~is_blank(F.col(amount)) & ~is_blank(F.col(currency)))
-    return sorted(r[0] for r in found.select(F.upper(F.trim(currency)).alias("c")).distinct().collect())

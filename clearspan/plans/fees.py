@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clearspan.functions import classify, numbers, text
-from clearspan.operators import joins, rules
+from clearspan.operators import joins, rule_index, rules
 from clearspan.operators.columns import optional
 from clearspan.operators.lookup import lookup_join
-from clearspan.sources.sinks import numbered
 
 C = F.col
 
@@ -81,38 +81,7 @@ MESSAGE_CONDITIONS = {
 RULE_AMOUNT, RULE_AMOUNT_CURRENCY = "source_amount", "source_currency_code_alphabetic"
 
 
-def _amounts_by_currency(rows: DataFrame, rates: DataFrame, amount: str, currency: str, targets: list[str], by: list[str]) -> DataFrame:
-    """One converted amount column per currency used in rule conditions."""
-    if not targets:
-        return rows
-    rows = rules.converted_amounts(rows, rates, currency, by)
-    new = {f"amount_in_{t.lower()}": rules.amount_in(C(amount), C(currency), F.lit(t), C("rates_to")) for t in targets}
-    return rows.withColumns(new).drop("rates_to")
-
-
-def _split_amounts(parsed: DataFrame, amount: str, currency: str, targets: list[str], own: str | None = None, bare_equal: bool = True):
-    """Amount condition as one column of bounds per rule currency, and which value each one tests.
-
-    Conditions without a known currency test the column ``own``, or nothing.
-    """
-    condition = rules.number_condition(C(f"r_{amount}").cast("string"), bare_equal)
-    code = F.upper(F.trim(f"r_{currency}"))
-    bounds = {}
-    for t in targets:
-        parsed = parsed.withColumn(f"r_bounds_{t.lower()}", F.when(code == t, condition))
-        bounds[f"r_bounds_{t.lower()}"] = f"amount_in_{t.lower()}"
-    if own:
-        other = code.isNull() | ~code.isin(targets) if targets else F.lit(True)
-        parsed = parsed.withColumn("r_bounds_own", F.when(other, condition))
-        bounds["r_bounds_own"] = own
-    return parsed, bounds
-
-
-def _amount_match(targets: list[str], own: str | None = None):
-    match = F.lit(True)
-    for t in targets:
-        match = match & rules.number_match(C(f"r_bounds_{t.lower()}"), C(f"amount_in_{t.lower()}"))
-    return match & rules.number_match(C("r_bounds_own"), C(own)) if own else match
+TEXT_RULE_RESULT = ["rule_id", "fee_descriptor", "fee_currency", "fee_variable", "fee_fixed", "fee_min", "fee_cap"]
 
 
 def _one_rate(rates: DataFrame, keys: list[str]) -> DataFrame:
@@ -126,36 +95,31 @@ def assign_text_rules(rows: DataFrame, rule_table: DataFrame, rates: DataFrame,
     """
     renames = {k: v for k, v in RULE_COLUMNS[kind].items() if k in rule_table.columns}
     table = rule_table.drop(*RULES_LEFT_OUT[kind]).withColumnsRenamed(renames)
-    table = numbered(table, ["region_country_code", C("rule_id").cast("bigint"), "valid_from", "fee_descriptor"], "ordinal")
-    tested = [c for c in table.columns if c not in NOT_CONDITIONS | {"ordinal", RULE_AMOUNT} and c in rows.columns]
-    texts = [c for c in tested if c not in NUMBER_CONDITIONS | YES_NO_CONDITIONS]
-    values = {}
-    for c in texts:
-        value = C(f"`{c}`").cast("string")
-        values[f"v_{c}"] = F.coalesce(value, F.lit("")) if c in rules.BLANK_MATTERS else text.or_blank_word(value, when_empty=True)
-    for c in tested:
-        if c in NUMBER_CONDITIONS | YES_NO_CONDITIONS:
-            values[f"v_{c}"] = C(f"`{c}`").cast(rules.BOUND)
-
-    by_date = rates.withColumnRenamed("rate_date", day)
-    has_amount = {RULE_AMOUNT, RULE_AMOUNT_CURRENCY} <= set(table.columns)
-    targets = rules.rule_currencies(table, RULE_AMOUNT, RULE_AMOUNT_CURRENCY) if has_amount else []
-    facts = _amounts_by_currency(rows, by_date, RULE_AMOUNT, RULE_AMOUNT_CURRENCY, targets, [day]).withColumns(values)
-    parsed, condition, read, bounds = rules.matcher(
-        table, {c: f"v_{c}" for c in texts}, {c: f"v_{c}" for c in tested if c in NUMBER_CONDITIONS},
-        {c: f"v_{c}" for c in tested if c in YES_NO_CONDITIONS}, space_word=True,
-    )
-    tokens = {c: f"v_{c}" for c in texts}
-    # Only values that some rule tests tell facts apart.
-    compared = rules.tested_values(tokens, read) + [f"v_{c}" for c in tested if c in YES_NO_CONDITIONS]
-    if has_amount:
-        parsed, more = _split_amounts(parsed, RULE_AMOUNT, RULE_AMOUNT_CURRENCY, targets)
-        condition = condition & _amount_match(targets)
-        read, bounds = [*read, *more], {**bounds, **more}
-    take = {f"r_{c}": f"interchange_{c}" for c in ("rule_id", "fee_descriptor", "fee_currency", "fee_variable", "fee_fixed", "fee_min", "fee_cap")}
-    matched = rules.first_rule(
-        facts, parsed, {"jurisdiction_assigned": "r_region_country_code"}, day, compared, "r_ordinal", take, condition, read, bounds, "r_valid_from", "r_valid_until",
-    )
+    tested = [c for c in table.columns if c not in NOT_CONDITIONS | {RULE_AMOUNT} and c in rows.columns]
+    tokens, bounds, values, parsed = {}, {}, {}, {}
+    for n, c in enumerate(tested):
+        cell, value = C(f"`{c}`"), C(f"`{c}`").cast("string")
+        if c in NUMBER_CONDITIONS:
+            bounds[f"p{n}"], values[f"v{n}"], parsed[f"p{n}"] = f"v{n}", cell.cast(rules.BOUND), rules.number_condition(value)
+            continue
+        tokens[f"p{n}"] = f"v{n}"
+        if c in YES_NO_CONDITIONS:
+            values[f"v{n}"], parsed[f"p{n}"] = rule_index.amount_class(cell.cast(rules.BOUND)), rule_index.yes_no_condition(cell)
+        else:
+            values[f"v{n}"] = F.coalesce(value, F.lit("")) if c in rules.BLANK_MATTERS else text.or_blank_word(value, when_empty=True)
+            parsed[f"p{n}"] = rules.token_condition(cell, space_word=True)
+    bounds["days"], values["v_day"], parsed["days"] = "v_day", rule_index.days(C(day)), rule_index.validity(C("valid_from"), C("valid_until"))
+
+    facts, amounts = rows, None
+    if {RULE_AMOUNT, RULE_AMOUNT_CURRENCY} <= set(table.columns):
+        facts = rules.converted_amounts(rows, rates.withColumnRenamed("rate_date", day), RULE_AMOUNT_CURRENCY, [day])
+        parsed["amounts"] = rules.number_condition(C(RULE_AMOUNT).cast("string"))
+        amounts = rule_index.Amounts("amounts", RULE_AMOUNT_CURRENCY, RULE_AMOUNT, RULE_AMOUNT_CURRENCY, "rates_to")
+    conditions = rule_index.Conditions({"jurisdiction_assigned": "region_country_code"}, tokens, bounds, amounts)
+    order = [C("rule_id").cast("bigint"), "valid_from", "fee_descriptor"]
+    index = rule_index.build_index(table.withColumns(parsed), conditions, order, [C(c) for c in TEXT_RULE_RESULT])
+    take = {c: f"interchange_{c}" for c in TEXT_RULE_RESULT}
+    matched = rule_index.first_rule(facts.withColumns(values), index, take)
     unmatched = C("interchange_rule_id").isNull()
     zero = F.lit(0).cast("decimal(14,8)")
     filled = {"interchange_rule_id": F.coalesce(C("interchange_rule_id").cast("int"), F.lit(-1))}
@@ -215,31 +179,33 @@ def message_evaluation(messages: DataFrame, calculated: DataFrame, currency: Dat
 
 
 def assign_message_rules(rows: DataFrame, rule_table: DataFrame, rates: DataFrame) -> DataFrame:
-    """First matching rule of messages by (region, rule id); unmatched rows get rule 0."""
+    """First matching rule of messages by (region, rule id); unmatched rows get rule 0.
+
+    ``rule`` is the place of the rule among those of its region.
+    """
     table = rule_table.withColumns({
         "region_key": F.upper(F.trim("region_country_code")), "ird_key": F.upper(F.trim("ird")),
         "valid_from": F.to_date("valid_from"), "valid_until": F.to_date("valid_until"),
     })
-    table = numbered(table, ["region_key", C("rule_id").cast("bigint"), "ird_key", "valid_from"], "ordinal")
-    tokens = {c: f"v_{v}" for c, v in MESSAGE_CONDITIONS.items() if c in table.columns}
-    values = {f"v_{v}": text.rule_text(C(v)) for v in MESSAGE_CONDITIONS.values()}
-    has_amount = "amount_transaction" in table.columns
-    targets = rules.rule_currencies(table, "amount_transaction", "amount_transaction_currency") if has_amount else []
-    facts = _amounts_by_currency(
-        rows, rates.withColumnRenamed("rate_date", "txn_date"), "amount_transaction", "amount_transaction_currency", targets, ["txn_date"]
-    ).withColumns({**values, "region_key": F.upper(F.trim("jurisdiction")), "ird_key": F.upper(F.trim("ird"))})
-    parsed, condition, read, bounds = rules.matcher(table, tokens, bare_equal=False)
-    if has_amount:
-        facts = facts.withColumn("own_amount", C("amount_transaction").cast(rules.BOUND))
-        parsed, more = _split_amounts(parsed, "amount_transaction", "amount_transaction_currency", targets, "own_amount", bare_equal=False)
-        condition = condition & _amount_match(targets, "own_amount")
-        read, bounds = [*read, *more], {**bounds, **more}
-    take = {f"r_{c}": c for c in ("region_country_code", "rule_id", "rate_currency", "rate_variable", "rate_fixed", "rate_min", "rate_cap", "valid_from", "valid_until")}
-    take["r_ordinal"] = "rule"
-    matched = rules.first_rule(
-        facts, parsed, {"region_key": "r_region_key", "ird_key": "r_ird_key"}, "txn_date", rules.tested_values(tokens, read), "r_ordinal", take, condition, read, bounds, "r_valid_from", "r_valid_until",
+    order = [C("rule_id").cast("bigint"), "ird_key", "valid_from"]
+    table = table.withColumn("rule", F.row_number().over(Window.partitionBy("region_key").orderBy(*order)))
+    facts = rows.withColumns({"region_key": F.upper(F.trim("jurisdiction")), "ird_key": F.upper(F.trim("ird"))})
+    tested = {c: v for c, v in MESSAGE_CONDITIONS.items() if c in table.columns}
+    parsed = {f"parsed_{c}": rules.token_condition(C(c)) for c in tested} | {"days": rule_index.validity(C("valid_from"), C("valid_until"))}
+    values = {f"v_{v}": text.rule_text(C(v)) for v in tested.values()} | {"v_day": rule_index.days(C("txn_date"))}
+    amounts = None
+    if "amount_transaction" in table.columns:
+        facts = rules.converted_amounts(facts, rates.withColumnRenamed("rate_date", "txn_date"), "amount_transaction_currency", ["txn_date"])
+        values["own_amount"] = C("amount_transaction").cast(rules.BOUND)
+        parsed["amounts"] = rules.number_condition(C("amount_transaction").cast("string"), bare_equal=False)
+        amounts = rule_index.Amounts("amounts", "amount_transaction_currency", "amount_transaction", "amount_transaction_currency", "rates_to", "own_amount")
+    conditions = rule_index.Conditions(
+        {"region_key": "region_key", "ird_key": "ird_key"}, {f"parsed_{c}": f"v_{v}" for c, v in tested.items()}, {"days": "v_day"}, amounts
     )
-    return matched.withColumn("rule", F.coalesce("rule", F.lit(0))).select(*rows.columns, *take.values())
+    names = ["region_country_code", "rule_id", "rate_currency", "rate_variable", "rate_fixed", "rate_min", "rate_cap", "valid_from", "valid_until", "rule"]
+    index = rule_index.build_index(table.withColumns(parsed), conditions, order, [C(c) for c in names])
+    matched = rule_index.first_rule(facts.withColumns(values), index, {c: c for c in names})
+    return matched.withColumn("rule", F.coalesce("rule", F.lit(0))).select(*rows.columns, *names)
 
 
 def message_fees(messages: DataFrame, calculated: DataFrame, rule_table: DataFrame, currency: DataFrame, rates: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from clearspan import fixtures
 from clearspan.functions.message import decode_messages
-from clearspan.operators import rules
 from clearspan.plans import fees, mc_calculate, visa_calculate
 from clearspan.plans.visa_calculate import Client
 from clearspan.workload.joins import RULE_MATCH, fx_rates
@@ -282,34 +282,43 @@ def _mc_fee(spark, sf_dir):
     FIRST_RULE_SQL,
 )
 def _first_match(spark, sf_dir):
-    """Rule text read in Arrow batches, a second way to the first rule that checks the compiled one.
+    """The first rule by a loop over rule text in numpy, a second way that checks the index.
 
-    Only candidates of equal nation inside the rule's validity reach the function; it reads
-    each distinct pair of condition and code of a batch once.
+    Transactions are reduced to what the loop compares. Each part of a nation's distinct transactions meets the nation's
+    rules, one rule after the other over all of them at once.
     """
-
-    def one(condition: str, code: str) -> bool:
-        wanted, negate = condition.removeprefix("NOT:"), condition.startswith("NOT:")
-        hits = [
-            code.isdigit() and int(t.split("-")[0]) <= int(code) <= int(t.split("-")[1]) if "-" in t else t == code
-            for t in wanted.split(",")
-        ]
-        return not condition or any(hits) != negate
-
-    @F.pandas_udf("boolean")
-    def token_fits(conditions: pd.Series, codes: pd.Series) -> pd.Series:
-        pairs = pd.DataFrame({"condition": conditions, "code": codes})
-        distinct = pairs.drop_duplicates()
-        distinct = distinct.assign(fits=[one(a, b) for a, b in zip(distinct["condition"], distinct["code"])])
-        return pairs.merge(distinct, on=["condition", "code"], how="left")["fits"]
-
-    rows = fixtures.txn(spark, sf_dir)
-    floor = C("amount_min_cents").isNull() | (C("amount_cents") >= C("amount_min_cents"))
-    alike = ["nation", "code_cond", "amount_min_cents", "valid_from", "valid_until"]
-    table = fixtures.rules(spark, sf_dir).groupBy(*alike).agg(F.min("rule_id").alias("rule_id"))
-    pairs = rules.rule_pairs(rows, table, {"merchant_nation": "nation"}, "purchase_date", floor)
-    firsts = pairs.where(token_fits("code_cond", "code")).groupBy("record").agg(F.min("rule_id").alias("rule_id"))
-    return rows.select("record").join(firsts, "record", "left").select("record", F.coalesce("rule_id", F.lit(-1)).alias("rule_id"))
+    parts = 16
+    rows = fixtures.txn(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("code", "amount_cents", "purchase_date"), F.lit(parts)).cast("int"))
+    compared = ["merchant_nation", "part", "code", "amount_cents", "purchase_date"]
+    table = fixtures.rules(spark, sf_dir).select("nation", "rule_id", "code_cond", "amount_min_cents", "valid_from", "valid_until")
+    table = table.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def meets(condition: str, codes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        wanted, negate = condition.removeprefix("NOT:").split(","), condition.startswith("NOT:")
+        hits = np.isin(codes, wanted)
+        for lo, hi in (t.split("-") for t in wanted if "-" in t):
+            hits |= (numbers >= int(lo)) & (numbers <= int(hi))
+        return hits != negate if condition else np.ones(len(codes), dtype=bool)
+
+    def firsts(facts: pd.DataFrame, rules: pd.DataFrame) -> pd.DataFrame:
+        codes, days, cents = facts["code"].to_numpy(str), facts["purchase_date"].to_numpy("datetime64[D]"), facts["amount_cents"].to_numpy()
+        numbers = pd.to_numeric(facts["code"], errors="coerce").to_numpy(float)
+        found, left = np.full(len(facts), -1), np.ones(len(facts), dtype=bool)
+        for r in rules.sort_values("rule_id").itertuples():
+            hit = left & (days >= np.datetime64(r.valid_from)) & meets(r.code_cond, codes, numbers)
+            if not pd.isna(r.valid_until):
+                hit &= days <= np.datetime64(r.valid_until)
+            if not pd.isna(r.amount_min_cents):
+                hit &= cents >= r.amount_min_cents
+            found[hit] = r.rule_id
+            left &= ~hit
+        return facts.assign(rule_id=found)
+
+    distinct = rows.select(*compared).distinct()
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in distinct.schema) + ", rule_id bigint"
+    found = distinct.groupBy("merchant_nation", "part").cogroup(table.groupBy("nation", "part")).applyInPandas(firsts, schema)
+    matched = rows.join(found, compared, "left")
+    return matched.select("record", F.coalesce("rule_id", F.lit(-1)).cast("bigint").alias("rule_id"))
 
 
 # Elements 3, 4, 24, 48 and 49 present; every other message ends inside element 48.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clearspan import fixtures
 from clearspan.functions import classify, text
-from clearspan.operators import filters, joins, ranges, rules, versions
+from clearspan.operators import filters, joins, ranges, rule_index, rules, versions
 from clearspan.operators.lookup import lookup_join
 from clearspan.session import scratch_path
 from clearspan.sources import sinks
@@ -105,15 +105,17 @@ def parsed_rules(spark, sf_dir):
     raw = fixtures.rules(spark, sf_dir)
     parsed = raw.withColumn("code_parsed", rules.token_condition(C("code_cond")))
     floor = F.concat(F.lit(">="), C("amount_min_cents").cast("string"))
-    return parsed.withColumn("amount_parsed", rules.number_condition(floor))
+    return parsed.withColumns({"amount_parsed": rules.number_condition(floor), "days": rule_index.validity(C("valid_from"), C("valid_until"))})
 
 
-RULE_CONDITIONS = ["nation", "valid_from", "valid_until", "code_parsed", "amount_parsed"]
+#: Conditions of the rule fixture on transactions with ``cents`` and ``day``.
+CONDITIONS = rule_index.Conditions({"merchant_nation": "nation"}, {"code_parsed": "code"}, {"amount_parsed": "cents", "days": "day"})
+RULE_CONDITIONS = ["nation", "valid_from", "valid_until", "days", "code_parsed", "amount_parsed"]
 
 
-def rule_conditions(spans: int):
-    """Conditions on ``code`` and on ``cents``, the amount in the type of rule bounds."""
-    return rules.number_match(C("amount_parsed"), C("cents")) & rules.token_match(C("code_parsed"), C("code"), spans=spans)
+def rule_facts(spark, sf_dir):
+    """Transactions with the amount and the day in the type of rule bounds."""
+    return fixtures.txn(spark, sf_dir).withColumns({"cents": C("amount_cents").cast(rules.BOUND), "day": rule_index.days(C("purchase_date"))})
 
 
 @query(
@@ -124,9 +126,8 @@ def rule_conditions(spans: int):
 def _rule_join(spark, sf_dir):
     # Rules that agree on all conditions match the same rows, so they are joined as one.
     alike = parsed_rules(spark, sf_dir).groupBy(*RULE_CONDITIONS).agg(F.count("*").alias("n"), F.sum("rule_id").alias("ids"))
-    spans = rules.most_spans(alike, ["code_parsed"])
-    rows = fixtures.txn(spark, sf_dir).withColumn("cents", C("amount_cents").cast(rules.BOUND))
-    pairs = rules.rule_pairs(rows, alike, {"merchant_nation": "nation"}, "purchase_date", rule_conditions(spans))
+    index = rule_index.build_index(alike, CONDITIONS, ["valid_from"], [C("n"), C("ids")])
+    pairs = rule_index.all_rules(rule_facts(spark, sf_dir), index, {"n": "n", "ids": "ids"})
     return pairs.groupBy("merchant_nation", "code").agg(F.sum("n").alias("pairs"), F.sum("ids").alias("id_sum"))
 
 

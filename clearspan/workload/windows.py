@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from clearspan import fixtures
 from clearspan.functions.dates import timestamp_text
-from clearspan.operators import ranges, records, rules, versions
+from clearspan.operators import ranges, records, rule_index, versions
 from clearspan.sources.sinks import numbered
-from clearspan.workload.joins import RULE_MATCH, best_first, parsed_rules, rule_conditions
+from clearspan.workload.joins import CONDITIONS, RULE_MATCH, best_first, parsed_rules, rule_facts
 from clearspan.workload.registry import query
 
 C = F.col
@@ -42,13 +42,9 @@ def _best(spark, sf_dir):
 
 
 def matched_rules(spark, sf_dir):
-    parsed = parsed_rules(spark, sf_dir)
-    conditions = rule_conditions(rules.most_spans(parsed, ["code_parsed"]))
-    rows = fixtures.txn(spark, sf_dir).withColumn("cents", C("amount_cents").cast(rules.BOUND))
-    return rules.first_rule(
-        rows, parsed, {"merchant_nation": "nation"}, "purchase_date", ["code"], "rule_id", {c: c for c in ("rule_id", "var_bp", "fix_cents", "min_cents", "cap_cents")},
-        conditions, ["code_parsed", "amount_parsed"], {"amount_parsed": "cents"},
-    )
+    names = ["rule_id", "var_bp", "fix_cents", "min_cents", "cap_cents"]
+    index = rule_index.build_index(parsed_rules(spark, sf_dir), CONDITIONS, ["rule_id"], [C(c) for c in names])
+    return rule_index.first_rule(rule_facts(spark, sf_dir), index, {c: c for c in names})
 
 
 FIRST_RULE_SQL = f"""firsts AS (SELECT t.record, min(r.rule_id) AS rule_id FROM txn t JOIN rules r ON {RULE_MATCH} GROUP BY t.record)"""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearspan.functions import text
-from clearspan.operators import aggregates, chunked, columns, filters, joins, ranges, records, rules, sets, versions
+from clearspan.operators import aggregates, chunked, columns, filters, joins, ranges, records, rule_index, rules, sets, versions
 from clearspan.operators.lookup import lookup_join
 from clearspan.operators.ranges import best_range, range_pairs
 from clearspan.session import scratch_path
@@ -82,8 +82,9 @@ def test_segments_of_a_thousand_bounds(spark):
 
     bounds = sorted({(Decimal(i * 7 % 1009), bool(i % 2)) for i in range(1000)})
     values = [Decimal(v) / 2 for v in range(-3, 2050, 17)]
-    df = spark.createDataFrame([(v,) for v in [*values, None]], "v decimal(24,6)")
-    got = {r["v"]: r["s"] for r in df.select("v", rules._segment(C("v"), bounds).alias("s")).collect()}
+    blocks = [bounds[k : k + 33] for k in range(0, len(bounds), 33)]
+    df = spark.createDataFrame([(v, blocks) for v in [*values, None]], f"v decimal(24,6), blocks array<array<struct<bound:{rules.BOUND},strict:boolean>>>")
+    got = {r["v"]: r["s"] for r in df.select("v", rule_index.segment(C("v"), C("blocks")).alias("s")).collect()}
     assert got.pop(None) == -1
     assert {k: got[k] for k in got} == {v.quantize(Decimal("0.000001")): sum(v > b or (v == b and not strict) for b, strict in bounds) for v in values}
 
@@ -91,7 +92,6 @@ def test_segments_of_a_thousand_bounds(spark):
 def test_ranges_in_many_spans_of_a_rule(spark):
     text = ",".join(f"{10 * i:04d}-{10 * i + 3:04d}" for i in range(40))
     table = spark.createDataFrame([(1, text)], "id int, cond string").withColumn("parsed", rules.token_condition(C("cond")))
-    assert rules.most_spans(table, ["parsed"]) == 40
     values = spark.createDataFrame([(f"{v:04d}",) for v in range(0, 420, 3)], "v string")
     hits = values.crossJoin(table).where(rules.token_match(C("parsed"), C("v"), spans=40)).collect()
     assert sorted(int(r["v"]) for r in hits) == [v for v in range(0, 400, 3) if v % 10 <= 3]
@@ -214,16 +214,72 @@ def test_first_rule_against_a_loop_over_rule_text(spark):
         (i, rng.choice("AB"), rng.choice(["05", "06", "07", "15", "25", "XX", "BLANK"]), rng.choice([None, 9, 10, 11, 25, 30, 40, 50, 51]), dt.date(2024, 1, 1) + dt.timedelta(days=rng.randint(0, 60)))
         for i in range(400)
     ]
-    raw = spark.createDataFrame(table, "rule_id int, rule_key string, code string, amount string, valid_from date, valid_until date")
-    parsed, condition, read, bounds = rules.matcher(raw, {"code": "v_code"}, {"amount": "v_amount"})
-    df = spark.createDataFrame(facts, "id int, key string, code string, amount int, day date").withColumns({"v_code": C("code"), "v_amount": C("amount").cast(rules.BOUND)})
-    got = rules.first_rule(df, parsed, {"key": "r_rule_key"}, "day", ["v_code"], "r_rule_id", {"r_rule_id": "winner"}, condition, read, bounds, "r_valid_from", "r_valid_until")
-    expected = {f[0]: next((r[0] for r in table if slow_match(r, f[1], f[2], f[3], f[4])), None) for f in facts}
-    assert {r["id"]: r["winner"] for r in got.collect()} == expected
+    raw = spark.createDataFrame(table, RULES)
+    df = rule_rows(spark, facts)
+    index = text_index(raw)
+    first = rule_index.first_rule(df, index, {"rule_id": "winner"})
+    expected = {f[0]: [r[0] for r in table if slow_match(r, f[1], f[2], f[3], f[4])] for f in facts}
+    assert {r["id"]: r["winner"] for r in first.collect()} == {i: next(iter(ids), None) for i, ids in expected.items()}
+    every = rule_index.all_rules(df, index, {"rule_id": "rule"})
+    assert sorted((r["id"], r["rule"]) for r in every.collect()) == sorted((i, r) for i, ids in expected.items() for r in ids)
+
+
+RULES = "rule_id int, rule_key string, code string, amount string, valid_from date, valid_until date"
+
+
+def text_index(raw):
+    parsed = raw.withColumns({
+        "p_code": rules.token_condition(C("code")), "p_amount": rules.number_condition(C("amount")), "p_days": rule_index.validity(C("valid_from"), C("valid_until")),
+    })
+    conditions = rule_index.Conditions({"key": "rule_key"}, {"p_code": "code"}, {"p_amount": "v_amount", "p_days": "v_day"})
+    return rule_index.build_index(parsed, conditions, ["rule_id"], [C("rule_id")])
+
+
+def rule_rows(spark, facts):
+    df = spark.createDataFrame(facts, "id int, key string, code string, amount int, day date")
+    return df.withColumns({"v_amount": C("amount").cast(rules.BOUND), "v_day": rule_index.days(C("day"))})
+
+
+def test_ten_thousand_rules_of_one_key(spark):
+    """As many codes, bounds and days as rules; the plan does not grow with them."""
+    rng = random.Random(12)
+    day = dt.date(2024, 1, 1)
+    table = [
+        (i, "A" if i % 3 else "B", rng.choice([f"c{i},c{i + 1}", f"NOT:c{i % 50}", f"{i}-{i + 30}", None]), rng.choice([f">={i}", f"<{i}", f"between {i} and {i + 100}", None]),
+         day + dt.timedelta(days=i % 500), rng.choice([None, day + dt.timedelta(days=i % 500 + 20)]))
+        for i in range(10_000)
+    ]
+    facts = [(k, rng.choice("AB"), rng.choice([f"c{rng.randrange(10_000)}", str(rng.randrange(10_000)), None]), rng.choice([None, rng.randrange(10_000)]), day + dt.timedelta(days=rng.randrange(-5, 530))) for k in range(150)]
+    index = text_index(spark.createDataFrame(table, RULES))
+    found = rule_index.first_rule(rule_rows(spark, facts), index, {"rule_id": "winner"})
+    small = rule_index.first_rule(rule_rows(spark, facts), text_index(spark.createDataFrame(table[:5], RULES)), {"rule_id": "winner"})
+    sizes = [len(df._jdf.queryExecution().optimizedPlan().toString()) for df in (found, small)]
+    assert abs(sizes[0] - sizes[1]) < 0.1 * sizes[1]
+    expected = {f[0]: next((r[0] for r in table if slow_match(r, f[1], f[2] or "", f[3], f[4])), None) for f in facts}
+    assert {r["id"]: r["winner"] for r in found.collect()} == expected
+
+
+def test_amount_conditions_by_currency_and_yes_no(spark):
+    table = [(1, "A", ">100", "EUR", "NO"), (2, "A", "<=50", "usd ", None), (3, "A", "5", None, "YES"), (4, "B", None, "EUR", None), (5, "A", ">=0", "JPY", None), (None, None, None, None, None)]
+    parsed = spark.createDataFrame(table, "rule_id int, rule_key string, limits string, currency string, cash string").withColumns({
+        "p": rules.number_condition(C("limits")), "yn": rule_index.yes_no_condition(C("cash")),
+    })
+    facts = [(1, "A", 200, "EUR", 0, {"USD": 2.0}), (2, "A", 20, "USD", None, {"EUR": 0.5}), (3, "A", 5, "GBP", 9, {}), (4, "B", None, None, None, None), (5, "C", 1, "EUR", 0, {}), (6, "A", 5, "EUR", -1, None)]
+    df = spark.createDataFrame(facts, "id int, key string, amount int, ccy string, cash int, rates_to map<string,double>").withColumns({
+        "own": C("amount").cast(rules.BOUND), "cash_class": rule_index.amount_class(C("cash")),
+    })
+    got = {}
+    for own in ("own", None):
+        amounts = rule_index.Amounts("p", "currency", "amount", "ccy", "rates_to", own)
+        index = rule_index.build_index(parsed, rule_index.Conditions({"key": "rule_key"}, {"yn": "cash_class"}, {}, amounts), ["rule_id"], [C("rule_id")])
+        for r in rule_index.all_rules(df, index, {"rule_id": "rule"}).collect():
+            got.setdefault((own, r["id"]), []).append(r["rule"])
+    # Rule 3 has no currency: it tests the plain amount, or nothing where there is none.
+    assert got == {("own", 1): [1], ("own", 2): [2], ("own", 3): [3], ("own", 4): [4], (None, 1): [1], (None, 2): [2], (None, 3): [3], (None, 4): [4]}
 
 
 def test_needed_rules(spark):
-    raw = spark.createDataFrame(random_rules(random.Random(3), 40), "rule_id int, rule_key string, code string, amount string, valid_from date, valid_until date")
+    raw = spark.createDataFrame(random_rules(random.Random(3), 40), RULES)
     facts = spark.createDataFrame([("A", dt.date(2024, 1, 20)), ("A", dt.date(2024, 1, 20))], "key string, day date")
     got = {r["rule_id"] for r in rules.needed_rules(raw, facts, {"key": "rule_key"}, "day").collect()}
     day = dt.date(2024, 1, 20)
