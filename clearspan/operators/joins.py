@@ -145,28 +145,6 @@ def overlay(base: DataFrame, delta: DataFrame, keys: list[str], columns: dict[st
     return joined.drop(*take.values())
 
 
-def classify_names(files: DataFrame, patterns: DataFrame, client: str, name: str, take: dict[str, str], everyone: str = "ALL") -> DataFrame:
-    """First active pattern by priority, of the client or of everyone, found in a file name (any case).
-
-    The patterns are configuration, a few per client: they become one chain of tests in the plan, each compiled
-    once, and no row is joined.
-    """
-    rows = patterns.where("is_active = 1").orderBy("priority", "pattern_id").select("customer_code", "file_format", *take).collect()
-    kinds = {c: patterns.schema[c].dataType for c in take}
-    found = None
-    for r in rows:
-        whom = F.lit(True) if r["customer_code"] == everyone else F.col(client) == F.lit(r["customer_code"])
-        # A client that is itself called everyone, or null, has the patterns of everyone only.
-        whom = whom & F.col(client).isNotNull()
-        hit = whom & F.col(name).rlike("(?i)" + r["file_format"])
-        value = F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in take])
-        found = F.when(hit, value) if found is None else found.when(hit, value)
-    if found is None:
-        return files.select("*", *[F.lit(None).cast(kinds[c]).alias(out) for c, out in take.items()])
-    matched = files.withColumn("__pattern", found)
-    return matched.select(*files.columns, *[F.col("__pattern")[c].alias(out) for c, out in take.items()])
-
-
 def file_status(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
     """new, duplicate or new version, by file id and content hash."""
     known = ledger.groupBy("file_id").agg(F.max_by("content_hash", "registered_at").alias("known_hash"))

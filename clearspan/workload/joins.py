@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clearspan import fixtures
 from clearspan.functions import classify, text
-from clearspan.operators import filters, joins, ranges, rule_index, rules, versions
+from clearspan.operators import filters, joins, patterns, ranges, rule_index, rules, versions
 from clearspan.operators.lookup import lookup_join
 from clearspan.session import scratch_path
 from clearspan.sources import sinks
@@ -399,8 +399,8 @@ PATTERNS = [
 )
 def _patterns(spark, sf_dir):
     files = fixtures.table(spark, sf_dir, "part").select("p_partkey", C("p_brand").alias("client"), F.upper("p_name").alias("name"))
-    patterns = spark.createDataFrame(PATTERNS, "pattern_id int, customer_code string, priority int, file_format string, is_active int, kind string")
-    return joins.classify_names(files, patterns, "client", "name", {"kind": "file_type"}).select("p_partkey", "file_type")
+    table = spark.createDataFrame(PATTERNS, "pattern_id int, customer_code string, priority int, file_format string, is_active int, kind string")
+    return patterns.classify_names(files, table, "client", "name", {"kind": "file_type"}).select("p_partkey", "file_type")
 
 
 @query(
