@@ -1,5 +1,8 @@
 """Registered queries against their oracles on the smallest tables, and checks of their plans."""
 
+import shutil
+import subprocess
+import sys
 from decimal import Decimal
 from pathlib import Path
 
@@ -30,6 +33,22 @@ def test_every_query_has_an_oracle():
     assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
+def test_the_library_works_without_the_text_operators(tmp_path):
+    """A copy without their folders lists all other queries, with or without the pipeline's file."""
+    root = Path(entry.__file__).resolve().parent
+    shutil.copytree(root / "clearspan", tmp_path / "clearspan", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    program = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert not any(n.startswith('op') for n in q) and 'pipeline' not in q; print(len(q), len(o))"
+    for _ in range(2):
+        told = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+        from clearspan.workload import registry
+
+        entry.queries()
+        assert told.stdout.split() == [str(len(registry.QUERIES))] * 2, told.stderr
+        if (root / "corpus_pipeline.py").exists():
+            shutil.copy(root / "corpus_pipeline.py", tmp_path)
+
+
 @needs_tables
 @pytest.mark.parametrize("name", SAMPLE)
 def test_query_matches_oracle(spark, name):
