@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Length of each fixed data element.
 FIXED_LENGTH = {
@@ -21,70 +21,104 @@ LENGTH_DIGITS = {
 DIGIT_ELEMENTS = {2, 3, 4, 5, 6, 9, 10, 12, 14, 23, 24, 25, 26, 30, 37, 38, 49, 50, 51, 71, 73, 93, 94, 95, 100}
 BINARY_ELEMENTS = {55}
 
-OUTPUT = "mti string, function_code string, parse_ok boolean, elements map<string,string>"
-
-
-class _Reader:
-    """Sequential reads from a payload; ``take`` gives None past the end."""
-
-    def __init__(self, data: bytes, ebcdic: bool):
-        self.data, self.at, self.ebcdic = data, 0, ebcdic
-
-    def take(self, count: int) -> bytes | None:
-        piece = self.data[self.at : self.at + count]
-        self.at += count
-        return piece if len(piece) == count else None
-
-    def digits(self, raw: bytes) -> str:
-        if not self.ebcdic:
-            return raw.decode("latin1").strip()
-        return "".join(chr(b - 0xC0) if 0xF0 <= b <= 0xF9 else "?" for b in raw)
-
-    def text(self, raw: bytes) -> str:
-        return raw.decode("cp500" if self.ebcdic else "ascii", errors="replace")
-
-
-def decode_payload(payload: bytes | None, ebcdic: bool) -> tuple[str | None, bool, dict[str, str]]:
-    """Class, whether the head is complete, and element texts; stops at the first element cut short."""
-    reader = _Reader(payload or b"", ebcdic)
-    mti, bitmap = reader.take(4), reader.take(8)
-    if bitmap and bitmap[0] & 0x80:
-        second = reader.take(8)
-        bitmap = bitmap + second if second else None
-    if mti is None or bitmap is None:
-        return None, False, {}
-    elements: dict[str, str] = {}
-    width, bits = 8 * len(bitmap), int.from_bytes(bitmap, "big")
-    for number in (n for n in range(2, width + 1) if bits >> (width - n) & 1):
-        length = FIXED_LENGTH.get(number)
-        if number in LENGTH_DIGITS:
-            head = reader.take(LENGTH_DIGITS[number])
-            stated = reader.digits(head) if head else ""
-            length = int(stated) if stated.isdigit() else None
-        raw = reader.take(length) if length is not None else None
-        if raw is None:
-            break
-        if number in BINARY_ELEMENTS:
-            value = raw.hex()
-        else:
-            value = reader.digits(raw) if number in DIGIT_ELEMENTS else reader.text(raw)
-        elements[f"de_{number}"] = value
-    return reader.digits(mti), True, elements
+#: Bits of the shorter bitmap; its first bit says that a second one follows.
+BITS = 64
+# White space around digits.
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+_BYTES = bytes(range(256)).decode("latin1")
+_OUT = "array<struct<key:string,value:string>>"
+
+
+def _translated(latin: Column, to: str) -> Column:
+    """Text with one character per byte, each replaced by that of ``to``; what stays is left out, as nothing may become 0."""
+    changed = [(a, b) for a, b in zip(_BYTES, to, strict=True) if a != b]
+    return F.translate(latin, "".join(a for a, _ in changed), "".join(b for _, b in changed)) if changed else latin
+
+
+def _digits(latin: Column, ebcdic: bool) -> Column:
+    if ebcdic:
+        return _translated(latin, "".join(chr(b - 0xC0) if 0xF0 <= b <= 0xF9 else "?" for b in range(256)))
+    return latin
+
+
+def _text(latin: Column, ebcdic: bool) -> Column:
+    if ebcdic:
+        return _translated(latin, bytes(range(256)).decode("cp500"))
+    unreadable = _translated(latin, bytes(range(256)).decode("ascii", errors="replace"))
+    return F.when(F.octet_length(latin) > F.length(latin), unreadable).otherwise(latin)
+
+
+def _trimmed(digits: Column, ebcdic: bool) -> Column:
+    return digits if ebcdic else F.btrim(digits, F.lit(BLANKS))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _by_number(values: dict[int, int]) -> Column:
+    return F.array(*[F.lit(values.get(n)).cast("int") for n in range(2 * BITS + 1)])
+
+
+def _head_length(payload: Column) -> Column:
+    """Bytes of class and bitmap; a second bitmap follows if the first bit is set."""
+    second = (F.length(payload) > 4) & (F.hex(F.substring(payload, 5, 1)) >= "80")
+    return F.when(second, F.lit(20)).otherwise(F.lit(12))
+
+
+def message_class(payload: Column, ebcdic: bool) -> Column:
+    """The class of a message whose head is complete, else null."""
+    first = _digits(F.decode(F.substring(payload, 1, 4), "ISO-8859-1"), ebcdic)
+    return F.when(F.length(payload) >= _head_length(payload), _trimmed(first, ebcdic))
+
+
+def decoded_payload(payload: Column, ebcdic: bool) -> Column:
+    """Struct of class, whether the head is complete, and element texts (key, value) up to the first that is cut short.
+
+    The bits of the bitmap are split at its ones, and the runs of zeros between them are folded in order, with the number of
+    the element and its place in the payload as state. Numbers and texts are cut from views of the payload that
+    have one character per byte.
+    """
+    latin = F.decode(payload, "ISO-8859-1")
+    bits = lambda start: F.lpad(F.conv(F.hex(F.substring(payload, start, 8)), 16, 2), BITS, "0")
+    head = _head_length(payload)
+    whole = payload.isNotNull() & (F.length(payload) >= head)
+    runs = F.split(F.when(head == 20, F.concat(F.substring(bits(5), 2, BITS), bits(13))).otherwise(F.substring(bits(5), 2, BITS)), "1")
+    views = F.struct(payload.alias("raw"), F.length(payload).alias("size"), _digits(latin, ebcdic).alias("digits"), _text(latin, ebcdic).alias("text"))
+    fixed, stated = _by_number(FIXED_LENGTH), _by_number(LENGTH_DIGITS)
+
+    def element(view: Column, state: Column, run: Column) -> Column:
+        """The state after the next element; once an element is cut short the others are left."""
+        n, at, out = state["n"] + F.length(run) + 1, state["at"], state["out"]
+
+        # Where the value begins, and its length, which stands before it for elements with length digits.
+        width = F.get(stated, n)
+        told = _trimmed(F.substr(view["digits"], at + 1, width), ebcdic)
+        length = F.when(width.isNull(), F.get(fixed, n)).when((at + width <= view["size"]) & told.rlike("^[0-9]+$"), told.try_cast("int"))
+        place = F.struct((at + F.coalesce(width, F.lit(0))).alias("start"), length.alias("length"))
+
+        def taken(p: Column) -> Column:
+            start, length = p["start"], p["length"]
+            digits = _trimmed(F.substr(view["digits"], start + 1, length), ebcdic)
+            value = F.when(n.isin(*DIGIT_ELEMENTS), digits).when(n.isin(*BINARY_ELEMENTS), F.lower(F.hex(F.substr(view["raw"], start + 1, length))))
+            item = F.struct(F.concat(F.lit("de_"), n.cast("string")).alias("key"), value.otherwise(F.substr(view["text"], start + 1, length)).alias("value"))
+            after = F.struct(n.alias("n"), (start + length).alias("at"), F.lit(True).alias("going"), F.concat(out, F.array(item)).alias("out"))
+            ended = F.struct(n.alias("n"), at.alias("at"), F.lit(False).alias("going"), out.alias("out"))
+            return F.when(start + length <= view["size"], after).otherwise(ended)
+
+        return F.when(state["going"], _let(place, taken)).otherwise(state)
+
+    begun = F.struct(F.lit(1).alias("n"), head.alias("at"), F.lit(True).alias("going"), F.array().cast(_OUT).alias("out"))
+    found = _let(views, lambda view: F.aggregate(F.slice(runs, 1, F.size(runs) - 1), begun, lambda state, run: element(view, state, run), lambda state: state["out"]))
+    return F.struct(
+        message_class(payload, ebcdic).alias("mti"),
+        whole.alias("parse_ok"), F.map_from_entries(F.when(whole, found).otherwise(F.array().cast(_OUT))).alias("elements"),
+    )
 
 
 def decode_messages(df: DataFrame, payload: str, ebcdic: bool, keep: list[str]) -> DataFrame:
-    """Decode a table of payload rows in Arrow batches; class 1644 shows its function code."""
-    kept = df.select(*keep, payload)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*keep).schema)
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [decode_payload(p, ebcdic) for p in batch[payload]]
-            out = batch[keep].copy()
-            out["mti"] = [mti for mti, _, _ in rows]
-            out["function_code"] = [e.get("de_24") if mti == "1644" else None for mti, _, e in rows]
-            out["parse_ok"] = [ok for _, ok, _ in rows]
-            out["elements"] = [e for _, _, e in rows]
-            yield out
-
-    return kept.mapInPandas(decode, f"{schema}, {OUTPUT}")
+    """Decode a table of payload rows; class 1644 shows its function code."""
+    rows = df.select(*keep, decoded_payload(F.col(payload), ebcdic).alias("__decoded"))
+    code = F.when(F.col("__decoded.mti") == "1644", F.col("__decoded.elements")["de_24"])
+    return rows.select(*keep, F.col("__decoded.mti").alias("mti"), code.alias("function_code"), F.col("__decoded.parse_ok").alias("parse_ok"), F.col("__decoded.elements").alias("elements"))

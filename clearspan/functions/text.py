@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from clearspan.functions.tagged import parse_tagged
 
 # Authorization-code endings that mark an invalid code.
 INVALID_CODE_ENDINGS = [" ", "0000", "00000", "0000n", "0000p", "0000y"]
@@ -132,15 +128,75 @@ def consecutive_fields(c: Column, widths: dict[str, int]) -> list[Column]:
     return cut
 
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def tagged_values(containers: pd.Series) -> pd.Series:
-    """Tag -> value over a row's containers; where a tag repeats, the later container wins."""
-    return containers.map(lambda blobs: {k: v for blob in blobs for k, v in parse_tagged(blob).items()})
+_ITEMS = "array<struct<key:string,value:string>>"
+
+
+def _scanned(blob: Column, state: Column, steps: Column) -> Column:
+    """The state ``at, going, items`` after so many heads of items; ``at`` is the place to go on from.
+
+    An item that is not complete is skipped one character at a time.
+    """
+
+    def step(s: Column, _: Column) -> Column:
+        def at_head(start: Column) -> Column:
+            value = start + 7
+            end = value + F.substr(blob, start + 4, F.lit(3)).try_cast("int")
+            item = F.struct(F.substr(blob, start, F.lit(4)).alias("key"), F.substr(blob, value, end - value).alias("value"))
+            taken = F.struct(end.alias("at"), F.lit(True).alias("going"), F.concat(s["items"], F.array(item)).alias("items"))
+            skipped = F.struct((start + 1).alias("at"), F.lit(True).alias("going"), s["items"].alias("items"))
+            ended = F.struct(s["at"].alias("at"), F.lit(False).alias("going"), s["items"].alias("items"))
+            return F.when(start < s["at"], ended).when(end <= F.length(blob) + 1, taken).otherwise(skipped)
+
+        found = F.regexp_instr(F.substr(blob, s["at"], F.length(blob)), F.lit("[0-9]{7}"))
+        return F.when(s["going"], F.get(F.transform(F.array(s["at"] + found - 1), at_head), F.lit(0))).otherwise(s)
+
+    return F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), state, step)
+
+
+def _sound_starts(blob: Column) -> Column:
+    """Places of the heads if items follow each other without anything between them, and the place after the last."""
+
+    def step(starts: Column, _: Column) -> Column:
+        last = F.element_at(starts, -1)
+        return F.when(last <= F.length(blob), F.concat(starts, F.array(last + 7 + F.coalesce(F.substr(blob, last + 4, F.lit(3)).try_cast("int"), F.lit(0))))).otherwise(starts)
+
+    return F.aggregate(F.sequence(F.lit(0), F.call_function("div", F.length(blob), F.lit(7)).cast("int")), F.array(F.lit(1)), step)
+
+
+def tagged_items(blob: Column) -> Column:
+    """The items (key, value) of tag(4) length(3) value runs in order; repeated tags stay.
+
+    Items that follow each other are cut in one go. Only damaged text is searched, first with a step for every seven
+    characters and then, if that does not reach the end, with one per character.
+    """
+    text = F.coalesce(blob, F.lit(""))
+
+    def damaged() -> Column:
+        start = F.struct(F.lit(1).alias("at"), F.lit(True).alias("going"), F.array().cast(_ITEMS).alias("items"))
+        tried = F.array(_scanned(text, start, F.call_function("div", F.length(text), F.lit(7)).cast("int") + 1))
+        done = F.transform(tried, lambda s: _scanned(text, s, F.when(s["going"], F.length(text)).otherwise(F.lit(0))))
+        return F.get(done, F.lit(0))["items"]
+
+    def cut(starts: Column) -> Column:
+        heads = F.slice(starts, 1, F.size(starts) - 1)
+        sound = (F.element_at(starts, -1) == F.length(text) + 1) & F.forall(heads, lambda at: F.substr(text, at, F.lit(7)).rlike("^[0-9]{7}$"))
+        items = F.transform(heads, lambda at, k: F.struct(F.substr(text, at, F.lit(4)).alias("key"), F.substr(text, at + 7, F.get(starts, k + 1) - at - 7).alias("value")))
+        return F.when(sound, items).otherwise(damaged())
+
+    found = F.get(F.transform(F.array(_sound_starts(text)), cut), F.lit(0))
+    return F.when(text == "", F.array().cast(_ITEMS)).otherwise(found)
 
 
 def tagged_from_containers(*containers: Column) -> Column:
-    """Values of tag(4) length(3) value runs in several containers, by tag."""
-    return tagged_values(F.array(*containers))
+    """Values of tag(4) length(3) value runs in several containers, by tag; where a tag repeats, the later item wins."""
+    items = F.flatten(F.transform(F.array(*containers), tagged_items))
+
+    def last_ones(all_items: Column) -> Column:
+        keys = F.transform(all_items, lambda x: x["key"])
+        last = F.filter(all_items, lambda x, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), x["key"]))
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), all_items).otherwise(last)
+
+    return F.map_from_entries(F.get(F.transform(F.array(items), last_ones), F.lit(0)))
 
 
 def overpunch_amount(c: Column, decimals: int, signed: bool = False) -> Column:

@@ -143,9 +143,9 @@ DRAFT_CATALOG = [
 )
 def _record_stages(spark, sf_dir):
     lines = fixtures.table(spark, sf_dir, "events").selectExpr("CAST(user_id % 8 AS INT) AS file_no", "event_id AS line_no", f"{DRAFT_LINE} AS line", "'OUT' AS file_type")
-    assembled = stages.text_records(lines, "draft", ["file_no"], "line_no", 1000)
+    assembled = stages.text_records(lines, ["draft"], ["file_no"], "line_no", 1000)
     dated = assembled.withColumn("file_date", F.lit("2024-02-01").cast("date"))
-    return stages.typed_text_records(dated, DRAFT_LAYOUT, DRAFT_CATALOG, "file_date", ["file_no", "record_start"])
+    return stages.typed_text_records(dated, {"draft": DRAFT_LAYOUT}, DRAFT_CATALOG, "file_date", ["file_no", "record_start"])
 
 
 # Messages: 697 and 695 of class 1644 open and close blocks; other events are class 1240 transactions.
@@ -171,7 +171,7 @@ def _message_stages(spark, sf_dir):
     payloads = events.select("file_no", "msg_no", F.concat(F.encode("cls", "US-ASCII"), F.unhex(F.lit(BITMAP)), F.encode("body", "US-ASCII")).alias("payload"))
     blocks = stages.decoded_blocks(payloads, False, ["file_no"], "msg_no", 1000)
     keep = ["file_no", "msg_no", "file_idn", "file_dt"]
-    values = stages.message_values(blocks, "1240", {"de_3": {}, "de_4": {}, "de_49": {}}, {158: {"pds_158_1": 2, "pds_158_2": 2}, 165: {"pds_165_1": 1, "pds_165_2": 2}}, keep)
+    values = stages.message_values(blocks, ["1240"], {"de_3": {}, "de_4": {}, "de_49": {}}, {158: {"pds_158_1": 2, "pds_158_2": 2}, 165: {"pds_165_1": 1, "pds_165_2": 2}}, keep)
     names = {
         "de_3": "processing", "de_4": "amount_transaction_de_4", "de_49": "currency_code_transaction_de_49", "pds_158_1": "business_activity_1", "pds_158_2": "business_activity_2", "pds_165_1": "settlement_indicator_1_pds_165_1", "msg_no": "ref_id",
     }

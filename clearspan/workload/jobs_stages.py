@@ -38,18 +38,14 @@ def _record_pipeline(spark, sf_dir):
     """All five line families of the incoming files: records assembled, cut and typed."""
     lines = fixtures.table(spark, sf_dir, "events").selectExpr("CAST(user_id % 8 AS INT) AS file_no", "event_id AS line_no", f"{FAMILY_LINE} AS line", "'IN' AS file_type")
     catalog = [{"name": "first_line", "type": "int"}, {"name": "second_line", "type": "int"}]
-    done = []
+    layouts = {}
     for family in records.LINE_FAMILIES:
         first, second = ("22200", "22210") if family == "message" else ("0", "1")
-        layout = [{"source": s, "name": n, "position": 5, "length": 12} for s, n in ((first, "first_line"), (second, "second_line"))]
-        assembled = stages.text_records(lines, family, ["file_no"], "line_no", 1000).withColumn("file_date", F.lit("2024-02-01").cast("date"))
-        kind = records.settlement_report_type(C("`0`")) if family == "settlement" else F.lit(None).cast("string")
-        kept = assembled.withColumns({"family": F.lit(family), "report_type": kind})
-        done.append(stages.typed_text_records(kept, layout, catalog, "file_date", ["family", "file_no", "record_start", "report_type"]))
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        layouts[family] = [{"source": s, "name": n, "position": 5, "length": 12} for s, n in ((first, "first_line"), (second, "second_line"))]
+    assembled = stages.text_records(lines, list(layouts), ["file_no"], "line_no", 1000)
+    kind = F.when(C("family") == "settlement", records.settlement_report_type(C("`0`")))
+    dated = assembled.withColumns({"file_date": F.lit("2024-02-01").cast("date"), "report_type": kind})
+    return stages.typed_text_records(dated, layouts, catalog, "file_date", ["family", "file_no", "record_start", "report_type"])
 
 
 # Events other than block ends are messages of every class and function.
@@ -84,15 +80,9 @@ def _message_pipeline(spark, sf_dir):
         {"name": "currency_code_transaction_de_49", "type": "int32"},
     ]
     plain = blocks.where(~F.coalesce(C("function_code"), F.lit("")).isin(records.HEADER, records.TRAILER))
-    done = []
-    for message_class in stages.CONTAINERS:
-        values = stages.message_values(
-            plain, message_class, {"de_4": {}, "de_49": {}}, {165: {"pds_165_1": 1, "pds_165_2": 2}, 300: {}}, ["msg_no", "mti", "function_code", "file_idn"]
-        )
-        done.append(stages.typed_messages(values, names, catalog, currencies(spark), ["ref_id", "mti", "function_code", "file_idn"]))
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
+    keep = ["msg_no", "mti", "function_code", "file_idn"]
+    values = stages.message_values(plain, list(stages.CONTAINERS), {"de_4": {}, "de_49": {}}, {165: {"pds_165_1": 1, "pds_165_2": 2}, 300: {}}, keep)
+    out = stages.typed_messages(values, names, catalog, currencies(spark), ["ref_id", "mti", "function_code", "file_idn"])
     return out.drop("currency_code_transaction_de_49")
 
 

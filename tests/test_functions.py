@@ -1,16 +1,15 @@
 """Scalar functions on hand-made edge values."""
 
 import datetime as dt
+import random
+import re
 from decimal import Decimal
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clearspan.functions import classify, dates, numbers, text
-from clearspan.functions.message import decode_payload
-from clearspan.functions.tagged import parse_tagged
+from clearspan.functions.message import BINARY_ELEMENTS, DIGIT_ELEMENTS, FIXED_LENGTH, LENGTH_DIGITS, decode_messages
 
 C = F.col
 
@@ -122,10 +121,98 @@ def scan_tags(blob):
     return found
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.one_of(st.text("01x ", max_size=5), st.tuples(st.integers(0, 300), st.text("ab01", max_size=6)).map(lambda t: f"{t[0]:04d}{len(t[1]):03d}{t[1]}")), max_size=6).map("".join))
-def test_tag_scan_agrees_with_trying_every_position(blob):
-    assert parse_tagged(blob) == scan_tags(blob)
+def random_tags(rng):
+    parts = []
+    for _ in range(rng.randrange(7)):
+        value = "".join(rng.choice("ab01é") for _ in range(rng.randrange(7)))
+        parts.append(rng.choice(["".join(rng.choice("01x ") for _ in range(rng.randrange(9))), f"{rng.randrange(6):04d}{len(value):03d}{value}", "0165099short"]))
+    return "".join(parts)
+
+
+def test_tag_scan_agrees_with_trying_every_position(spark):
+    rng = random.Random(3)
+    blobs = [random_tags(rng) for _ in range(1500)] + ["", "0" * 300, "1" * 60, "00010000002000"]
+    assert values(spark, text.tagged_from_containers(C("a")), *blobs) == [scan_tags(b) for b in blobs]
+    pairs = [(rng.choice([None, *blobs[:50]]), rng.choice([None, *blobs[50:100]])) for _ in range(300)]
+    got = values(spark, text.tagged_from_containers(C("a"), C("b")), *pairs, types="a string, b string")
+    assert got == [{**scan_tags(x or ""), **scan_tags(y or "")} for x, y in pairs]
+    plan = spark.range(1).select(text.tagged_from_containers(F.lit("0001001a")).alias("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def slow_decode(payload, ebcdic):
+    """A payload read byte by byte."""
+    data, at = payload or b"", 0
+
+    def take(count):
+        nonlocal at
+        piece, at = data[at : at + count], at + count
+        return piece if len(piece) == count else None
+
+    def digits(raw):
+        return "".join(chr(b - 0xC0) if 0xF0 <= b <= 0xF9 else "?" for b in raw) if ebcdic else raw.decode("latin1").strip()
+
+    mti, bitmap = take(4), take(8)
+    if bitmap and bitmap[0] & 0x80:
+        second = take(8)
+        bitmap = bitmap + second if second else None
+    if mti is None or bitmap is None:
+        return None, False, {}
+    elements, width, bits = {}, 8 * len(bitmap), int.from_bytes(bitmap, "big")
+    for number in (n for n in range(2, width + 1) if bits >> (width - n) & 1):
+        length = FIXED_LENGTH.get(number)
+        if number in LENGTH_DIGITS:
+            head = take(LENGTH_DIGITS[number])
+            stated = digits(head) if head else ""
+            length = int(stated) if re.fullmatch("[0-9]+", stated) else None
+        raw = take(length) if length is not None else None
+        if raw is None:
+            break
+        if number in BINARY_ELEMENTS:
+            value = raw.hex()
+        else:
+            value = digits(raw) if number in DIGIT_ELEMENTS else raw.decode("cp500" if ebcdic else "ascii", errors="replace")
+        elements[f"de_{number}"] = value
+    return digits(mti), True, elements
+
+
+def random_payload(rng, ebcdic):
+    known = sorted({*FIXED_LENGTH, *LENGTH_DIGITS})
+    wanted = sorted(rng.sample(known, rng.randrange(12)) + ([rng.randrange(2, 129)] if rng.random() < 0.2 else []))
+    bits = sum(1 << (128 - n) for n in set(wanted))
+    two = any(n > 64 for n in wanted)
+    bitmap = (bits | (1 << 127 if two else 0)).to_bytes(16, "big")[: 16 if two else 8]
+    code = "cp500" if ebcdic else "ascii"
+
+    def value(length, number):
+        if number in DIGIT_ELEMENTS and rng.random() < 0.8:
+            return "".join(rng.choice("0123456789") for _ in range(length)).encode(code)
+        return bytes(rng.randrange(256) for _ in range(length))
+
+    body = b""
+    for n in wanted:
+        if n in LENGTH_DIGITS:
+            length = rng.randrange(12)
+            body += rng.choice([f"{length:0{LENGTH_DIGITS[n]}d}"] * 9 + [" " * LENGTH_DIGITS[n]]).encode(code)
+            body += value(length, n)
+        elif n in FIXED_LENGTH:
+            body += value(FIXED_LENGTH[n], n)
+    whole = "1644".encode(code) + bitmap + body
+    return whole[: rng.choice([len(whole)] * 4 + [rng.randrange(len(whole) + 1)])]
+
+
+def decoded(spark, payloads, ebcdic):
+    df = spark.createDataFrame([(i, bytearray(p) if p is not None else None) for i, p in enumerate(payloads)], "id int, payload binary")
+    rows = decode_messages(df, "payload", ebcdic, ["id"]).orderBy("id")
+    assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
+    return [(r["mti"], r["parse_ok"], r["elements"]) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("ebcdic", [False, True])
+def test_messages_agree_with_reading_byte_by_byte(spark, ebcdic):
+    rng = random.Random(5)
+    payloads = [None, b"", *(random_payload(rng, ebcdic) for _ in range(800))]
+    assert decoded(spark, payloads, ebcdic) == [slow_decode(p, ebcdic) for p in payloads]
 
 
 def message(ebcdic=False):
@@ -136,16 +223,15 @@ def message(ebcdic=False):
 
 
 @pytest.mark.parametrize("ebcdic", [False, True])
-def test_message_with_two_bitmaps(ebcdic):
-    mti, ok, elements = decode_payload(message(ebcdic), ebcdic)
+def test_message_with_two_bitmaps(spark, ebcdic):
+    ((mti, ok, elements),) = decoded(spark, [message(ebcdic)], ebcdic)
     assert (mti, ok) == ("1644", True)
     assert elements["de_3"] == "123456" and elements["de_24"] == "697" and elements["de_48"] == "hello"
     assert elements["de_94"] == "42"
 
 
-def test_message_cut_short_keeps_what_is_whole():
+def test_message_cut_short_keeps_what_is_whole(spark):
     whole = message()
-    assert decode_payload(whole[:10], False) == (None, False, {})
-    _, ok, elements = decode_payload(whole[:45], False)
+    head, (_, ok, elements), nothing = decoded(spark, [whole[:10], whole[:45], None], False)
+    assert head == nothing == (None, False, {})
     assert ok and "de_48" not in elements and elements["de_24"] == "697"
-    assert decode_payload(None, False) == (None, False, {})
