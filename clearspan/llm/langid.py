@@ -188,10 +188,10 @@ def sampled(docs: DataFrame, max_texts: int) -> DataFrame:
     """
     usable = docs.select(F.col("lang").cast("string").alias("lang"), F.col("doc_id"), docs["text"].cast("string").alias("text"))
     usable = usable.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # One row per language.
+    # Broadcast: one row per language. Joined by shuffle, all texts would be dealt by language first.
     share = usable.groupBy("lang").agg(F.least(F.lit(2.0) * max_texts / F.count("*"), F.lit(1.0)).alias("share"))
     pick = key_hash(F.col("doc_id"), 13)
-    chosen = usable.withColumn("pick", pick).join(share.withColumnRenamed("lang", "__lang"), F.col("lang") == F.col("__lang"))
+    chosen = usable.withColumn("pick", pick).join(F.broadcast(share.withColumnRenamed("lang", "__lang")), F.col("lang") == F.col("__lang"))
     chosen = chosen.where(F.col("pick") < F.col("share") * HASH_RANGE).select("lang", "pick", "text")
     best = Window.partitionBy("lang").orderBy("pick", F.xxhash64("text"), "text")
     return chosen.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= max_texts).drop("__n")
