@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clearspan.operators.chunked import next_after
 from clearspan.operators.lookup import lookup_join
+from clearspan.sources.readers import path_exists
+from clearspan.sources.sinks import write_touched_partitions
 
 
 def close_versions(df: DataFrame, keys: list[str], start: str, name: str, unit: str = "second") -> DataFrame:
@@ -45,7 +49,32 @@ def merge_versions(master: DataFrame, incoming: DataFrame, keys: list[str], effe
     """
     fresh = unseen_lines(incoming, master, line).withColumn(until, F.lit(None).cast("date"))
     both = master.unionByName(fresh, allowMissingColumns=True)
-    starts = both.select(*keys, effective).where(F.col(effective).isNotNull()).distinct()
+    # Only keys that get a new version have new neighbours.
+    touched = fresh.select(*[F.col(k).alias(f"__touched_{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{i}")) for i, k in enumerate(keys)])
+    starts = both.select(*keys, effective).where(F.col(effective).isNotNull()).distinct().join(touched, same, "left_semi")
     linked = next_after(starts, keys, effective, "__next", F.year(effective).cast("bigint"))
     joined = lookup_join(both, linked, [*keys, effective], ["__next"], null_safe=True)
     return joined.withColumn(until, F.least(F.col(until), F.date_sub("__next", 1))).drop("__next")
+
+
+#: Partitions of a stored master.
+PARTS = 64
+
+
+def merge_into_store(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], effective: str, until: str, line: str, parts: int = PARTS) -> None:
+    """A delivery merged into the master at ``path``, which is partitioned by a hash of its keys (``part``).
+
+    Only partitions that the delivery has keys in are read and written; the others are not touched. The first delivery
+    fixes the number of partitions, which must stay the same.
+    """
+    dealt = incoming.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+    touched = sorted(r["part"] for r in dealt.select("part").distinct().collect())
+    if not touched:
+        return
+    if path_exists(spark, path):
+        schema = dealt.withColumn(until, F.lit(None).cast("date")).schema
+        master = spark.read.schema(schema).parquet(path).where(F.col("part").isin(touched))
+    else:
+        master = dealt.withColumn(until, F.lit(None).cast("date")).where(F.lit(False))
+    write_touched_partitions(merge_versions(master, dealt, keys, effective, until, line), path, ["part"])

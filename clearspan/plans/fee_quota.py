@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clearspan.functions import classify, numbers
@@ -202,11 +202,16 @@ def with_size_ticket(detail: DataFrame, tickets: DataFrame, rates: DataFrame) ->
     return rows.select(*detail.columns)
 
 
+def fee_report(detail: DataFrame) -> DataFrame:
+    """The grouped report of a detail with size tickets, with a dense ``app_id``."""
+    report = aggregates.fee_report(detail, aggregates.FEE_REPORT_DIMS, "report_amount", "legacy_product_id")
+    return sinks.numbered(report, aggregates.FEE_REPORT_DIMS, "app_id")
+
+
 def generate(details: list[DataFrame], tickets: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Detail with size tickets, and the grouped report with a dense ``app_id``."""
     detail = with_size_ticket(sets.union_by_name(details), tickets, rates)
-    report = aggregates.fee_report(detail, aggregates.FEE_REPORT_DIMS, "report_amount", "legacy_product_id")
-    return detail, sinks.numbered(report, aggregates.FEE_REPORT_DIMS, "app_id")
+    return detail, fee_report(detail)
 
 
 def export(report: DataFrame, country: DataFrame, funding: DataFrame, execution: str, month: str, client: Client) -> DataFrame:
@@ -236,15 +241,16 @@ def export(report: DataFrame, country: DataFrame, funding: DataFrame, execution:
 def store_generated(spark: SparkSession, root: str, client: Client, month: str, details: list[DataFrame], tickets, rates, country, funding, execution: str) -> DataFrame:
     """Write detail, report, export and run summary; the stored report feeds the export."""
     base = month_root(root, client.code, month, "state")
-    detail, report = generate(details, tickets, rates)
-    sinks.write_dataset(detail, f"{base}/detail", rows_per_file=1_000_000)
-    sinks.write_dataset(report, f"{base}/report")
-    stored = spark.read.parquet(f"{base}/report")
-    out = export(stored, country, funding, execution, month, client)
+    detail = with_size_ticket(sets.union_by_name(details), tickets, rates)
+    # Counted while they are written; the report is made from the detail as it is stored.
+    rows = sinks.write_counted(detail, f"{base}/detail", rows_per_file=1_000_000)["rows"]
+    stored = spark.read.schema(detail.schema).parquet(f"{base}/detail")
+    report = fee_report(stored)
+    groups = sinks.write_counted(report, f"{base}/report")["rows"]
+    out = export(spark.read.schema(report.schema).parquet(f"{base}/report"), country, funding, execution, month, client)
     out.orderBy("app_id").write.mode("overwrite").option("header", True).csv(f"{base}/export")
     sinks.write_run_summary(
-        spark, f"{base}/summary", client_code=client.code, report_month=month, execution_id=execution, number_of_groups=stored.count(),
-        number_of_inserted_rows=spark.read.parquet(f"{base}/detail").count(),
+        spark, f"{base}/summary", client_code=client.code, report_month=month, execution_id=execution, number_of_groups=groups, number_of_inserted_rows=rows
     )
     return out
 
@@ -253,29 +259,39 @@ RETURNED_SCHEMA = "app_id bigint, txn_cnt decimal(18,0), txn_sfc decimal(24,6),
 SUMMARY_SCHEMA = "client_code string, report_month string, execution_id string, number_of_groups bigint, number_of_inserted_rows bigint"
 
 
-def apply_costs(report: DataFrame, detail: DataFrame, returned: DataFrame, groups: int, detail_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Returned costs laid over the report and carried to every detail row; counts must agree."""
-    aggregates.check_totals(returned.count(), groups, "returned cost file")
+def with_costs(report: DataFrame, returned: DataFrame) -> DataFrame:
+    """Returned costs laid over the report."""
     costs = returned.select(
         "app_id", C("txn_sfc").alias("c0"), numbers.unit_cost(C("txn_sfc"), C("txn_cnt")).alias("c1"), C("est_sch_fee_amt").alias("c2"),
         numbers.unit_cost(C("est_sch_fee_amt"), C("txn_cnt")).alias("c3"),
     )
-    updated = joins.overlay(report, costs, ["app_id"], dict(zip(aggregates.COST_COLUMNS, ("c0", "c1", "c2", "c3"))))
+    return joins.overlay(report, costs, ["app_id"], dict(zip(aggregates.COST_COLUMNS, ("c0", "c1", "c2", "c3"))))
+
+
+def carried_costs(detail: DataFrame, updated: DataFrame) -> DataFrame:
+    """Costs of the report carried to every detail row."""
     plain = detail.drop(*[c for c in aggregates.COST_COLUMNS if c in detail.columns])
     dims = {c: c for c in aggregates.FEE_REPORT_DIMS}
-    final = lookup_join(plain, updated, dims, {c: c for c in aggregates.COST_COLUMNS}, null_safe=True)
-    return updated, final
+    return lookup_join(plain, updated, dims, {c: c for c in aggregates.COST_COLUMNS}, null_safe=True)
 
 
 def store_returned(spark: SparkSession, root: str, client: Client, month: str, returned_path: str) -> None:
-    """Read the returned cost file, update report and detail, and check the run's control totals."""
+    """Read the returned cost file, update report and detail, and check the run's control totals.
+
+    Totals are counted while the tables are written; a table whose total is wrong does not take its place.
+    """
     base, final_base = (month_root(root, client.code, month, s) for s in ("state", "final"))
     summary = sinks.read_run_summary(spark, f"{base}/summary", SUMMARY_SCHEMA).first()
-    returned = readers.scan_returned_costs(spark, returned_path, RETURNED_SCHEMA)
-    updated, final = apply_costs(
-        spark.read.parquet(f"{base}/report"), spark.read.parquet(f"{base}/detail"), returned, summary["number_of_groups"], summary["number_of_inserted_rows"]
+    came = Observation()
+    returned = readers.scan_returned_costs(spark, returned_path, RETURNED_SCHEMA).observe(came, F.count("*").alias("rows"))
+    updated = with_costs(spark.read.parquet(f"{base}/report"), returned)
+
+    def groups_agree(totals: dict) -> None:
+        aggregates.check_totals(came.get["rows"], summary["number_of_groups"], "returned cost file")
+        aggregates.check_totals(totals["rows"], summary["number_of_groups"], "updated report")
+
+    sinks.write_counted(updated, f"{final_base}/report", groups_agree)
+    final = carried_costs(spark.read.parquet(f"{base}/detail"), spark.read.parquet(f"{final_base}/report"))
+    sinks.write_counted(
+        final, f"{final_base}/detail", lambda totals: aggregates.check_totals(totals["rows"], summary["number_of_inserted_rows"], "updated detail"), rows_per_file=1_000_000
     )
-    sinks.write_dataset(updated, f"{final_base}/report")
-    sinks.write_dataset(final, f"{final_base}/detail", rows_per_file=1_000_000)
-    aggregates.check_totals(spark.read.parquet(f"{final_base}/report").count(), summary["number_of_groups"], "updated report")
-    aggregates.check_totals(spark.read.parquet(f"{final_base}/detail").count(), summary["number_of_inserted_rows"], "updated detail")

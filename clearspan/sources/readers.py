@@ -97,20 +97,12 @@ def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file, line_no, line, first_width``, the last being the length of the file's first line that is not blank."""
-    raw = (
-        spark.read.option("sep", "\u0001")
-        .option("quote", "")
-        .option("encoding", "ISO-8859-1")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .schema("line string")
-        .csv(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("__block"),
-            F.monotonically_increasing_id().alias("__id"),
-            "line",
-        )
+    # The text source hands the bytes of a line on as they are, whatever they are.
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__id"),
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
     )
     filled = F.trim("line") != ""
     span = F.greatest(F.max("__id") - F.min("__id") + 1, F.count("line"))
@@ -157,6 +149,14 @@ def scan_modified_after(spark: SparkSession, path: str, moment: str, schema: T.S
     return spark.read.schema(schema).option("timeZone", "UTC").option("modifiedAfter", moment).parquet(path)
 
 
+def file_snapshot(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """``path, modified, length`` of the files below a folder; their content is not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(folder).select("path", F.col("modificationTime").alias("modified"), "length")
+
+
 def client_config(clients: DataFrame, client: str, default_currency: str = "USD") -> DataFrame:
     """One configuration row: flags as booleans, account prefix lists as arrays, default currency filled."""
     flags = [c for c in clients.columns if c.endswith("_flag")]

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clearspan.functions import numbers
 from clearspan.session import shared_dir
-from clearspan.sources.readers import path_exists
+from clearspan.sources import commits
 
 
 def write_touched_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -109,33 +110,66 @@ def read_run_summary(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def publish_version(df: DataFrame, root: str, stamp: str) -> str:
+def publish_version(df: DataFrame, root: str, stamp: str, after: int | None = None) -> str:
     """Publish a reference table as a new version; the replaced one goes to ``history``.
 
-    Readers follow ``current_version``: the newest version folder that was written whole.
+    The rows are written first, and become the current version by one commit that fails if another publisher was faster
+    than this one, counted from ``after`` (by default the last commit now). History is written after the commit; what a
+    crash left out there is made up by the next publish. Readers follow ``current_version`` and are whole at any time.
     """
     spark = df.sparkSession
-    current = current_version(spark, root)
-    if current:
-        old = spark.read.parquet(current).withColumn("snapshot_ts", F.lit(stamp))
-        old.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_ts").parquet(
-            f"{root}/history"
-        )
-    target = f"{root}/versions/{stamp}"
+    log = f"{root}/_commits"
+    number, entry = commits.latest(spark, log)
+    number = number if after is None else after
+    if entry and entry["stamp"] == stamp:
+        raise commits.ConflictError(f"{root}: version {stamp} is published")
+    target = f"{root}/versions/{stamp}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(target)
+    try:
+        commits.commit(spark, log, number, {"path": target, "stamp": stamp, "replaced": entry["path"] if entry else None})
+    except commits.ConflictError:
+        commits.remove(spark, target)
+        raise
+    keep_history(spark, root)
     return target
 
 
+def keep_history(spark: SparkSession, root: str) -> None:
+    """Rows of replaced versions under the stamp of the version that replaced them, for all commits that lack them."""
+    done, _ = commits.latest(spark, f"{root}/_history")
+    for number, entry in commits.entries(spark, f"{root}/_commits", after=done):
+        if entry["replaced"]:
+            spark.read.parquet(entry["replaced"]).write.mode("overwrite").parquet(f"{root}/history/snapshot_ts={entry['stamp']}")
+        commits.commit(spark, f"{root}/_history", number - 1, {"stamp": entry["stamp"]})
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
-    folder = f"{root}/versions"
-    if not path_exists(spark, folder):
-        return None
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = [
-        s.getPath().toString() for s in fs.listStatus(path) if path_exists(spark, f"{s.getPath().toString()}/_SUCCESS")
-    ]
-    return max(done) if done else None
+    _, entry = commits.latest(spark, f"{root}/_commits")
+    return entry["path"] if entry else None
+
+
+def write_counted(df: DataFrame, path: str, check: Callable[[dict], None] | None = None, rows_per_file: int | None = None, **counts: Column) -> dict:
+    """Replace a dataset and return aggregates of its rows that are gathered while it is written.
+
+    With ``check`` the rows are written aside and take the place of the dataset only if the totals pass; otherwise the
+    dataset stays as it is.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(name) for name, c in (counts or {"rows": F.count("*")}).items()])
+    if check is None:
+        write_dataset(observed, path, rows_per_file)
+        return seen.get
+    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    write_dataset(observed, aside, rows_per_file)
+    try:
+        check(seen.get)
+    except Exception:
+        commits.remove(spark, aside)
+        raise
+    commits.remove(spark, path)
+    commits.move(spark, aside, path)
+    return seen.get
 
 
 def numbered(df: DataFrame, order_by: Iterable[str | Column], name: str, start: int = 1) -> DataFrame:

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 from clearspan.operators.joins import codes_of_pair
 from clearspan.operators.lookup import lookup_join, materialised
-from clearspan.sources.readers import path_exists
+from clearspan.sources import commits
+from clearspan.sources.readers import file_snapshot, path_exists
 from clearspan.sources.sinks import write_touched_partitions
 
 
@@ -69,25 +73,94 @@ def register_arrivals(arrivals: DataFrame, ledger: DataFrame) -> DataFrame:
 LEDGER_SCHEMA = "file_id string, content_hash string, registered_at timestamp, arrivals bigint, status string"
 
 
+#: How long a file that does not arrive again stays in the streaming state.
+KEEP_DAYS = 400
+
+
+def _combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Arrivals of one content in one task as one row, before the shuffle."""
+    for batch in batches:
+        yield batch.groupby(["file_id", "content_hash"], as_index=False).agg(registered_at=("arrived_at", "min"), arrivals=("arrived_at", "size")).assign(known=False)
+
+
+def _registered(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Ledger rows of one file's arrivals; the state has the contents registered so far."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    contents = set(state.get[0]) if state.exists else set()
+    arrived: dict[str, list] = {}
+    for batch in batches:
+        contents.update(batch.loc[batch["known"], "content_hash"])
+        for row in batch[~batch["known"]].itertuples():
+            held = arrived.setdefault(row.content_hash, [row.registered_at, 0])
+            held[0], held[1] = min(held[0], row.registered_at), held[1] + row.arrivals
+    rows, versions, earlier = [], len(contents), set(contents)
+    for content, (at, count) in sorted(arrived.items(), key=lambda x: (x[1][0], x[0])):
+        status = "duplicate" if content in earlier else "new version" if versions else "new"
+        versions += content not in earlier
+        contents.add(content)
+        rows.append((key[0], content, at, count, status))
+    state.update((sorted(contents),))
+    state.setTimeoutDuration(KEEP_DAYS * 86_400_000)
+    if rows:
+        yield pd.DataFrame(rows, columns=["file_id", "content_hash", "registered_at", "arrivals", "status"])
+
+
 def run_ledger(arrivals: DataFrame, ledger_path: str, checkpoint: str) -> StreamingQuery:
     """Keep the file ledger up to date; each micro-batch of each checkpoint owns one partition, so a retry rewrites it.
 
-    A new checkpoint counts its batches from 0 again, but as another run: it reads what earlier runs registered and
-    overwrites none of it.
+    The contents of each file are keyed streaming state: a batch reads its own arrivals, and of the ledger only what was
+    written since the batch before. A new checkpoint starts with all of the ledger, overwrites none of it and counts its
+    batches from 0 again, as another run. A file that does not arrive for ``KEEP_DAYS`` leaves the state.
     """
     spark = arrivals.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    written = spark.readStream.schema(f"{LEDGER_SCHEMA}, run string, epoch bigint").parquet(ledger_path)
+    shape = "file_id string, content_hash string, registered_at timestamp, arrivals bigint, known boolean"
+    known = written.select("file_id", "content_hash", "registered_at", F.lit(0).cast("bigint").alias("arrivals"), F.lit(True).alias("known"))
+    arrived = arrivals.select("file_id", "content_hash", "arrived_at").mapInPandas(_combined, shape)
+    rows = known.union(arrived).groupBy("file_id").applyInPandasWithState(
+        _registered, LEDGER_SCHEMA, "contents array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
 
     def register(batch: DataFrame, epoch: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if path_exists(spark, ledger_path):
-            ledger = spark.read.schema(f"{LEDGER_SCHEMA}, run string, epoch bigint").parquet(ledger_path)
-            ledger = ledger.where((F.col("run") != run) | (F.col("epoch") < epoch))
-        else:
-            ledger = spark.createDataFrame([], LEDGER_SCHEMA)
-        rows = register_arrivals(batch, ledger).withColumn("run", F.lit(run)).withColumn("epoch", F.lit(epoch))
-        write_touched_partitions(rows, ledger_path, ["run", "epoch"])
-
-    return run_once(arrivals, checkpoint, register)
+        write_touched_partitions(batch.withColumn("run", F.lit(run)).withColumn("epoch", F.lit(epoch)), ledger_path, ["run", "epoch"])
+
+    # With a timeout by the clock Spark would otherwise follow up with batches without data, one after the other.
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return run_once(rows, checkpoint, register)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def run_new_and_changed(
+    spark: SparkSession, folder: str, schema: T.StructType, bookmark: str, work: Callable[[DataFrame, int], None], file_format: str = "parquet"
+) -> int:
+    """Work on the files that are new or were rewritten since the last good run; returns how many there were.
+
+    The bookmark is a committed snapshot of all files by path, time and length. It moves on only after ``work`` returns,
+    so a run that fails is repeated whole; of two runs at once one fails at its commit. ``work`` gets the rows and the number
+    of the run, which is the same again after a failure.
+    """
+    log = f"{bookmark}/_commits"
+    number, entry = commits.latest(spark, log)
+    path = f"{bookmark}/snapshots/{uuid.uuid4().hex}"
+    file_snapshot(spark, folder).write.parquet(path)
+    now = spark.read.parquet(path)
+    fresh = now if entry is None else now.join(spark.read.parquet(entry["path"]), ["path", "modified", "length"], "left_anti")
+    paths = sorted(r["path"] for r in fresh.select("path").toLocalIterator())
+    if not paths:
+        commits.remove(spark, path)
+        return 0
+    work(spark.read.format(file_format).schema(schema).option("basePath", folder).load(paths), number + 1)
+    commits.commit(spark, log, number, {"path": path})
+    return len(paths)
 
 
 # States of a file.

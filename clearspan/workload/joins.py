@@ -428,14 +428,11 @@ MASTER_SELECT = "SELECT k.range_id, k.table_key, k.effective_date, CAST(n.next_d
 
 
 def _deliver(spark, deliveries):
-    """The master after several deliveries; it is stored after each, as the job does."""
-    master = deliveries[0].where(F.lit(False)).withColumn("valid_until", F.lit(None).cast("date"))
+    """The master after several deliveries; each rewrites only the partitions that it has keys in."""
+    path = scratch_path(spark, "range-master")
     for delivery in deliveries:
-        path = scratch_path(spark, "range-master")
-        merged = versions.merge_versions(master, delivery, ["table_key"], "effective_date", "valid_until", "lines")
-        sinks.write_dataset(merged, path)
-        master = spark.read.parquet(path)
-    return master.select("range_id", "table_key", "effective_date", "valid_until")
+        versions.merge_into_store(spark, path, delivery, ["table_key"], "effective_date", "valid_until", "lines")
+    return spark.read.parquet(path).select("range_id", "table_key", "effective_date", "valid_until")
 
 
 @query("join_successor_version", MASTER_SELECT, ("acct_range",), MASTER_SQL)

@@ -157,17 +157,18 @@ def _store_rates(spark, folder, rates, times):
     ("fx",),
 )
 def _incremental(spark, sf_dir):
-    """Two deliveries, each taken once; a third run finds nothing new."""
+    """Two deliveries, each taken once; a third run finds nothing new, and a file that is written again replaces its rows."""
     _, rates = _rates_dataset(spark, sf_dir)
-    source, target, checkpoint = (scratch_path(spark, n) for n in ("rate-files", "rate-copy", "rate-bookmark"))
+    source, target, bookmark = (scratch_path(spark, n) for n in ("rate-files", "rate-copy", "rate-bookmark"))
+    first = rates.where("brand = 'Visa'").withColumn("rate_ppm", C("rate_ppm") + 1)
 
-    def store(batch, epoch):
-        sinks.write_touched_partitions(batch.withColumn("epoch", F.lit(epoch)), target, ["epoch"])
+    def store(batch, run):
+        sinks.write_touched_partitions(batch, target, ["brand"])
 
-    for part in ("brand = 'Visa'", "brand = 'MasterCard'", None):
-        if part:
-            rates.where(part).write.mode("append").parquet(source)
-        incremental.run_once(incremental.new_files(spark, source, rates.schema), checkpoint, store)
+    for mode, delivery in (("append", first), ("append", rates.where("brand = 'MasterCard'")), (None, None), ("overwrite", rates.where("brand = 'Visa'"))):
+        if mode:
+            delivery.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("brand").parquet(source)
+        incremental.run_new_and_changed(spark, source, rates.schema, bookmark, store)
     return spark.read.parquet(target).groupBy("brand").agg(F.count("*").alias("rates"))
 
 
