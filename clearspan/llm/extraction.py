@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clearspan.llm import wrappers
-from clearspan.llm.common import kept_once
+from clearspan.llm.common import kept_once, partitions
 from clearspan.llm.urls import host_of
 
-#: Parts that the pages of every host are dealt into for the join with its wrappers, which are repeated for each.
-PARTS = 32
 #: Wrappers that are aligned in one task; those of a host with more are aligned in rounds.
 TOGETHER = 64
 
@@ -40,7 +38,9 @@ def page_streams(pages: DataFrame) -> DataFrame:
             )
 
     seen = pages.select("host", "html").mapInArrow(run, "host string, key string, learned string")
-    return _together(seen.withColumn("part", F.pmod(F.xxhash64("learned"), F.lit(PARTS)).cast("int")), ["host", "key", "part"]).drop("part")
+    # A stream that a third of all pages have is dealt over all tasks first.
+    part = F.pmod(F.xxhash64("learned"), F.lit(partitions(pages.sparkSession))).cast("int")
+    return _together(seen.withColumn("part", part), ["host", "key", "part"]).drop("part")
 
 
 def _together(learned: DataFrame, group: list[str]) -> DataFrame:
@@ -88,11 +88,8 @@ def extracted(pages: DataFrame) -> DataFrame:
     plain = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     hosted = plain.withColumn("host", host_of(F.col("url").cast("string")))
     found = kept_once(host_wrappers(hosted)).withColumnRenamed("host", "__host")
-    part = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.lit(PARTS)).cast("int")
-    copies = found.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    dealt = hosted.withColumn("part", part)
-    joined = dealt.join(copies, (F.col("host") == F.col("__host")) & (F.col("part") == F.col("__part")))
-    joined = joined.select("page_id", "url", "html", "wrapper")
+    # One row per host; adaptive execution splits the pages of a host that has many.
+    joined = hosted.join(found, F.col("host") == F.col("__host")).select("page_id", "url", "html", "wrapper")
     ends = [T.StructField("text", T.StringType(), False), T.StructField("matched", T.BooleanType(), False)]
     schema = T.StructType([plain.schema["page_id"], plain.schema["url"], *ends])
 
@@ -110,9 +107,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """One row per page: ``page_id, url, text`` (empty if there is none).
 
     The text is that of the article without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-    styles and comments; without an article that of the main part, else of the page. Character references are
-    decoded, white space in a block becomes one space, blocks are lines. Null html is empty, pages without a host
-    are one host, repeated rows are extracted each, nulls in ``page_id`` and ``url`` stay. Other columns are
+    styles and comments; without an article that of the main part, else of the page. Which of several article elements is
+    the main one is decided by the host's wrappers. Lines that all pages of a host have in a block that holds nothing else
+    are left out. Character references are decoded, white space in a block becomes one space, blocks are lines.
+    Null and empty html give empty text, pages without a host are one host, repeated rows are extracted each, nulls in
+    ``page_id`` and ``url`` stay. Pages of any length are read whole; an empty table gives no rows. Other columns are
     neither read nor returned.
     """
     return extracted(pages).drop("matched")

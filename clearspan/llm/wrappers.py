@@ -98,27 +98,35 @@ def tokens(page: str) -> tuple[list[str], list[str]]:
         texts.append("")
 
 
+_REPEATS = {width: re.compile(f"(.{{{width}}})\\1+", re.DOTALL) for width in range(1, LONGEST_GROUP + 1)}
+
+
 def fold(nodes: list) -> list:
-    """Adjacent equal groups become one repeated group, short ones first."""
-    changed = True
-    while changed:
-        changed = False
-        for width in range(1, min(LONGEST_GROUP, len(nodes) // 2) + 1):
-            out, i = [], 0
-            while i < len(nodes):
-                group = nodes[i : i + width]
-                j = i + width
-                while nodes[j : j + width] == group and len(group) == width:
-                    j += width
-                if j > i + width and not (width == 1 and isinstance(group[0], tuple) and group[0][0] == OPTIONAL):
-                    only = width == 1 and isinstance(group[0], tuple)
-                    out.append(group[0] if only else (REPEATED, tuple(group)))
-                    i, changed = j, True
-                else:
-                    out.append(nodes[i])
-                    i += 1
-            nodes = out
-    return nodes
+    """Adjacent equal groups become one repeated group, short ones first.
+
+    Each different node is one character, so that repeats are found by back references.
+    """
+    numbers: dict = {}
+    text = "".join(chr(numbers.setdefault(n, len(numbers))) for n in nodes)
+    known = list(numbers)
+
+    def folded(found: re.Match) -> str:
+        group = found.group(1)
+        if len(group) == 1 and isinstance(known[ord(group)], tuple):
+            return found.group(0) if known[ord(group)][0] == OPTIONAL else group
+        node = (REPEATED, tuple(known[ord(c)] for c in group))
+        if node not in numbers:
+            numbers[node] = len(known)
+            known.append(node)
+        return chr(numbers[node])
+
+    before = None
+    while before != text:
+        before = text
+        for width, repeats in _REPEATS.items():
+            if 2 * width <= len(text):
+                text = repeats.sub(folded, text)
+    return [known[ord(c)] for c in text]
 
 
 def _absorb(nodes: list, groups: list[tuple]) -> list:
@@ -202,31 +210,48 @@ def _anchors(x: list, y: list) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def contexts(stream: list[str], words: bool = True) -> list[tuple[bool, bool, bool]]:
-    """For each token of a page: whether it lies in an article, in a main part, aside of both.
+class Place(NamedTuple):
+    """Where a token of a page lies."""
 
-    An element lies aside if its name or role says so, or a whole class or id. Outside of articles and main parts
-    one word of its class or id is enough, if ``words`` holds. An end tag closes the elements that were opened since
-    its start tag.
-    """
-    found: list[tuple[bool, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []
-    now = (False, False, False)
+    article: bool
+    main: bool
+    #: Aside of both, told by names, roles or a whole class or id; and also by single words outside of articles and main parts.
+    aside: bool
+    aside_by_word: bool
+    #: The open elements that hold parts, and how many of them lead to the innermost article.
+    path: tuple[str, ...]
+    depth: int
+
+    @property
+    def article_path(self) -> tuple[str, ...]:
+        return self.path[: self.depth]
+
+
+_NOWHERE = Place(False, False, False, False, (), 0)
+
+
+def contexts(stream: list[str]) -> list[Place]:
+    """For each token of a page where it lies. An end tag closes the elements that were opened since its start tag."""
+    found: list[Place] = []
+    stack: list[tuple[str, str, bool, bool]] = []
+    now = _NOWHERE
     for token in stream:
         if token != TEXT:
             depth = len(stack)
-            if token.startswith("/"):
-                names = [n for n, _ in stack]
-                if token[1:] in names:
-                    del stack[len(names) - 1 - names[::-1].index(token[1:]) :]
+            if token[0] == "/":
+                if any(entry[0] == token[1:] for entry in stack):
+                    while stack.pop()[0] != token[1:]:
+                        pass
             else:
                 name, _, marks = token.partition(" ")
                 # Elements that neither part a page nor hold parts would only make the stack deep where they are not closed.
                 if name not in VOID and name not in INLINE and name not in UNCLOSED:
-                    stack.append((name, _lies_aside(name, marks, words and not (now[0] or now[1]))))
+                    whole = _lies_aside(name, marks, False)
+                    stack.append((name, token, whole, whole or _lies_aside(name, marks, not (now.article or now.main))))
             if len(stack) != depth:
-                names = {n for n, _ in stack}
-                now = ("article" in names, "main" in names, any(aside for _, aside in stack))
+                names = [entry[0] for entry in stack]
+                inner = len(names) - names[::-1].index("article") if "article" in names else 0
+                now = Place(inner > 0, "main" in names, any(e[2] for e in stack), any(e[3] for e in stack), tuple(e[1] for e in stack), inner)
         found.append(now)
     return found
 
@@ -299,14 +324,23 @@ def read(nodes: list) -> list:
 TOLD_BY = 3
 
 
-def lines_of(stream: list[str], texts: list[str]) -> list[tuple[list[int], str]]:
-    """The blocks of a page that have text: the places of their texts in the stream, and the text in one line."""
-    found, held, slots = [], [], []
+class Line(NamedTuple):
+    """A block with text: the places of its texts in the stream, its text in one line, and the block that it stands in."""
+
+    slots: list[int]
+    text: str
+    block: str
+
+
+def lines_of(stream: list[str], texts: list[str]) -> list[Line]:
+    """The blocks of a page that have text, in order."""
+    found, held, slots, block = [], [], [], ""
 
     def close() -> None:
-        line = " ".join(html.unescape("".join(held)).split())
+        text = "".join(held)
+        line = " ".join((html.unescape(text) if "&" in text else text).split())
         if line:
-            found.append((slots[:], line))
+            found.append(Line(slots[:], line, block))
         held.clear()
         slots.clear()
 
@@ -316,9 +350,14 @@ def lines_of(stream: list[str], texts: list[str]) -> list[tuple[list[int], str]]
             slots.append(i)
         elif token == "br":
             held.append(" ")
-        elif token.lstrip("/").partition(" ")[0] not in INLINE:
-            close()
-    close()
+        else:
+            name = token.lstrip("/").partition(" ")[0]
+            if name not in INLINE:
+                if held:
+                    close()
+                block = "" if token[0] == "/" else token
+    if held:
+        close()
     return found
 
 
@@ -349,17 +388,22 @@ def page_of(page: str) -> Learned:
     places = match(nodes, stream)
     if places is None:  # the groups taken in turn do not give the page back
         nodes, places = stream, list(range(len(stream)))
-    lines = [(slots[0], line) for slots, line in lines_of(stream, texts)]
-    pages = (mark("\n".join(line for _, line in lines)),)
+    lines, lies = lines_of(stream, texts), contexts(stream)
+    pages = (mark("\n".join(line.text for line in lines)),)
     began: dict[int, set[str]] = {}
-    for i, line in lines:
-        began.setdefault(places[i], set()).add(mark(line))
+    articles: Counter = Counter()
+    for line in lines:
+        first = line.slots[0]
+        began.setdefault(places[first], set()).add(mark(line.text))
+        if lies[first].article and not lies[first].aside:
+            articles[" > ".join(lies[first].article_path)] += len(line.text)
     facts: Facts = {}
-    for place, context, token in zip(places, contexts(stream, words=False), stream, strict=True):
+    for place, lie, token in zip(places, lies, stream, strict=True):
         if token == TEXT:
+            context = lie[:3]
             same = place not in facts or facts[place].context == context
             facts[place] = Fact(context if same else None, pages, frozenset(began.get(place, ())))
-    return Learned(nodes, facts, 1)
+    return Learned(nodes, facts, 1, articles)
 
 
 def both(x: Facts, y: Facts) -> Facts:
@@ -390,10 +434,10 @@ def moved(facts: Facts, nodes: list, into: list) -> Facts | None:
 
 
 class Learned:
-    """A wrapper with the facts of all pages that it was made from, and their number."""
+    """A wrapper with the facts of all pages that it was made from, their number, and the characters by article path."""
 
-    def __init__(self, nodes: list, facts: Facts, pages: int):
-        self.nodes, self.facts, self.pages = nodes, facts, pages
+    def __init__(self, nodes: list, facts: Facts, pages: int, articles: dict[str, int] | None = None):
+        self.nodes, self.facts, self.pages, self.articles = nodes, facts, pages, Counter(articles or {})
 
     def joined(self, other: Learned) -> Learned | None:
         """A wrapper for the pages of both; None if aligning them gives none."""
@@ -402,20 +446,23 @@ class Learned:
         else:
             nodes = align(self.nodes, other.nodes)
         mine, theirs = moved(self.facts, self.nodes, nodes), moved(other.facts, other.nodes, nodes)
-        return None if mine is None or theirs is None else Learned(nodes, both(mine, theirs), self.pages + other.pages)
+        if mine is None or theirs is None:
+            return None
+        return Learned(nodes, both(mine, theirs), self.pages + other.pages, self.articles + other.articles)
 
     def dump(self) -> list:
-        return [self.nodes, [[place, f.context, f.pages, sorted(f.lines)] for place, f in self.facts.items()], self.pages]
+        return [self.nodes, [[place, f.context, f.pages, sorted(f.lines)] for place, f in self.facts.items()], self.pages, self.articles]
 
     @classmethod
     def load(cls, held: list) -> Learned:
-        nodes, facts, pages = held
+        nodes, facts, pages, articles = held
         told = {place: Fact(context and tuple(context), tuple(marks), frozenset(lines)) for place, context, marks, lines in facts}
-        return cls(read(nodes), told, pages)
+        return cls(read(nodes), told, pages, articles)
 
     def wrapper(self) -> Wrapper:
         told = {place: f for place, f in self.facts.items() if len(f.pages) >= TOLD_BY}
-        return Wrapper(self.nodes, {place: (*(f.context or (None,) * 3), *sorted(f.lines)) for place, f in told.items()})
+        main = min(self.articles, key=lambda path: (-self.articles[path], path), default=None)
+        return Wrapper(self.nodes, {place: (*(f.context or (None,) * 3), *sorted(f.lines)) for place, f in told.items()}, main)
 
 
 def together(learned: list[Learned]) -> list[Learned]:
@@ -432,51 +479,77 @@ def together(learned: list[Learned]) -> list[Learned]:
 
 
 class Wrapper:
-    """A wrapper with what the pages it was made from say of its slots, by place.
+    """A wrapper with what the pages it was made from say of its slots, by place, and of their articles.
 
-    A label has where the slot lies (None if pages differ) and then the marks of the lines that every page has there:
-    they are the template's.
+    A label has where the slot lies (None if pages differ) and then the marks of the lines that every page has there.
+    ``main`` is the path of the article elements that hold most of the text of all pages.
     """
 
-    def __init__(self, nodes: list, labels: dict[int, tuple]):
-        self.nodes, self.labels = nodes, labels
+    def __init__(self, nodes: list, labels: dict[int, tuple], main: str | None = None):
+        self.nodes, self.labels, self.main = nodes, labels, main
 
     def dump(self) -> str:
-        return json.dumps([self.nodes, list(self.labels.items())], ensure_ascii=False)
+        return json.dumps([self.nodes, list(self.labels.items()), self.main], ensure_ascii=False)
 
     @classmethod
     def load(cls, text: str) -> Wrapper:
-        nodes, labels = json.loads(text)
-        return cls(read(nodes), {place: tuple(context) for place, context in labels})
+        nodes, labels, main = json.loads(text)
+        return cls(read(nodes), {place: tuple(context) for place, context in labels}, main)
+
+
+def _main_article(lines: list[Line], lies: list[Place], told: list[bool], main: str | None) -> tuple[str, ...] | None:
+    """The path of the article elements that hold the main text: the wrapper's, or those with most of the page's text."""
+    sizes: Counter = Counter()
+    for line in lines:
+        first = line.slots[0]
+        if lies[first].article and not told[first]:
+            sizes[lies[first].article_path] += len(line.text)
+    for path in sizes:
+        if " > ".join(path) == main:
+            return path
+    return min(sizes, key=lambda path: (-sizes[path], path), default=None)
 
 
 def extract(held: list[Wrapper], page: str) -> tuple[str, bool]:
     """The main text of a page, one line per block, and whether one of the wrappers holds for it.
 
-    In the slots of the first wrapper that holds, lines that all pages have are the template's and left out, others are
-    content unless their elements say otherwise by name, role or a whole class or id. Where too few pages tell, or no
-    wrapper holds, single words of class and id tell as well. If nothing is left, the template's lines stay.
+    The first wrapper that holds tells which article elements are the main ones, of whatever name, and which lines are the
+    template's: lines that all its pages have in a slot, unless the page has other lines in blocks of the same kind
+    beside them. Other lines are content unless their elements say otherwise by name, role or a whole class or id. Where
+    too few pages tell, or no wrapper holds, single words of class and id tell as well, and the article elements with
+    most text are the main ones. If nothing is left, the template's lines stay.
     """
     stream, texts = tokens(page)
-    told, labels = contexts(stream), {}
+    lies, labels, main = contexts(stream), {}, None
+    told = [lie.aside_by_word for lie in lies]
     places = None
     for wrapper in held:
         places = match(wrapper.nodes, stream)
         if places is not None:
+            main = wrapper.main
             labels = {i: wrapper.labels[p] for i, p in enumerate(places) if stream[i] == TEXT and p in wrapper.labels}
-            plain = contexts(stream, words=False)
             for i, label in labels.items():
-                told[i] = plain[i] if label[0] is None else label[:3]
+                told[i] = lies[i].aside if label[2] is None else label[2]
             break
     every = lines_of(stream, texts)
-    varying = [line for line in every if not (label := labels.get(line[0][0])) or mark(line[1]) not in label[3:]]
-    for lines in (varying, every):
-        slots = [i for places_of, _ in lines for i in places_of]
-        # The narrowest part that the page has: article, main part, or all.
-        part = next((k for k in (0, 1) if any(told[i][k] and not told[i][2] for i in slots)), None)
-        kept = {i for i in slots if not told[i][2] and (part is None or told[i][part])}
+    kinds = [(lies[line.slots[0]].path, line.block) for line in every]
+    fixed = [bool(label := labels.get(line.slots[0])) and mark(line.text) in label[3:] for line in every]
+    vary = {kind for kind, same in zip(kinds, fixed, strict=True) if not same}
+    content = [line for line, kind, same in zip(every, kinds, fixed, strict=True) if not same or kind in vary]
+    for lines in (content, every):
+        article = _main_article(lines, lies, told, main)
+        slots = [i for line in lines for i in line.slots if not told[i]]
+        if article is not None:
+            kept = {i for i in slots if lies[i].article_path == article}
+        else:
+            inside = [i for i in slots if lies[i].main]
+            kept = set(inside or slots)
         if kept:
             break
-    shown = {i for places_of, _ in lines for i in places_of} & kept
+    if all(i in kept for line in lines for i in line.slots):
+        return "\n".join(line.text for line in lines), places is not None
+    if not any(0 < sum(i in kept for i in line.slots) < len(line.slots) for line in lines):
+        return "\n".join(line.text for line in lines if line.slots[0] in kept), places is not None
+    shown = {i for line in lines for i in line.slots} & kept
     only = [texts[i] if i in shown else "" for i in range(len(stream))]
-    return "\n".join(line for _, line in lines_of(stream, only)), places is not None
+    return "\n".join(line.text for line in lines_of(stream, only)), places is not None

@@ -272,7 +272,7 @@ def test_extraction_finds_the_article_of_every_page(spark):
 
 
 def test_texts_that_all_pages_of_a_host_have_are_its_template(spark):
-    """Under neutral names, in an article, among its paragraphs, and on pages without one; a line that varies is kept whole."""
+    """Under neutral names, in an article, and on pages without one; a line that varies is kept whole, and so are its like."""
     rows = []
     for i in range(8):
         body = "".join(f"<p>body {i} {k}</p>" for k in range(2 + i % 3))
@@ -282,12 +282,56 @@ def test_texts_that_all_pages_of_a_host_have_are_its_template(spark):
     rows += [(30 + i, "http://d.example/", f"<div>alike</div><p>{i}") for i in range(2)]
     found = {r.page_id: r.text for r in extraction.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(8):
-        assert found[i] == "\n".join([*(f"body {i} {k}" for k in range(2 + i % 3)), f"Read {i} on"])
+        assert found[i] == "\n".join([*(f"body {i} {k}" for k in range(2 + i % 3)), f"Read {i} on", "All rights"])
         assert found[10 + i] == f"body {i}\nmore {i}"
         assert found[20 + i] == "alike"  # one page, repeated
     assert found[30] == "alike\n0" and found[31] == "alike\n1"  # too few to tell
 
 
+def test_wrappers_decide_the_main_article_and_keep_its_lines(spark):
+    """Lines that every article has between its paragraphs stay; what readers add under neutral names goes, also where it is longer."""
+    rows, want = [], {}
+    for i in range(9):
+        body = [f"paragraph {i} {k} with some more words in it" for k in range(3)]
+        text = ["Introduction", *body, "To be continued."]
+        remark = f"remark {i} " + "so much to say " * (40 if i == 4 else 1)
+        html = "<body><article>" + "".join(f"<p>{t}</p>" for t in text) + f"</article><div class=u3><article class=x9><p>{remark}</p></article></div><div class=z2>Seen everywhere</div></body>"
+        rows.append((i, "http://a.example/", html))
+        want[i] = "\n".join(text)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: (r.text, r.matched) for r in extraction.extracted(pages).collect()}
+    assert found == {i: (t, True) for i, t in want.items()}
+    # Without its wrapper the page with the long remark is read otherwise.
+    assert wrappers.extract([], rows[4][2])[0] != want[4]
+
+
+def test_folding_is_that_of_trying_every_group():
+    rng = random.Random(13)
+
+    def slow(nodes):
+        changed = True
+        while changed:
+            changed = False
+            for width in range(1, min(wrappers.LONGEST_GROUP, len(nodes) // 2) + 1):
+                out, i = [], 0
+                while i < len(nodes):
+                    group, j = nodes[i : i + width], i + width
+                    while nodes[j : j + width] == group and len(group) == width:
+                        j += width
+                    if j > i + width:
+                        out.append(group[0] if width == 1 and isinstance(group[0], tuple) else ("+", tuple(group)))
+                        i, changed = j, True
+                    else:
+                        out.append(nodes[i])
+                        i += 1
+                nodes = out
+        return nodes
+
+    for _ in range(300):
+        stream = [rng.choice("abc") for _ in range(rng.randrange(40))]
+        assert wrappers.fold(stream) == slow(stream)
+
+
 def test_every_page_of_a_host_takes_part_in_its_wrappers(spark):
     """Templates and optional blocks that one page of many has, and more different streams than one task aligns."""
     rng = random.Random(12)
