@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from clearspan.llm.batches import Words, chunks, windows
 from clearspan.llm.common import key_hash
@@ -199,13 +200,17 @@ def with_features(docs: DataFrame, keep: list[str]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Model:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold, chosen by a hash of the id.
 
-    Ids or labels that are null are not learned from; of several labels of one id the highest counts.
+    Ids or labels that are null are not learned from; of several labels of one id the highest counts, of several texts
+    the one with the least hash.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("__quality"))
     chosen = chosen.orderBy(key_hash(F.col("__id")), "__id").limit(max_rows)
     # Broadcast: at most max_rows rows of two numbers.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
+    # One row per id, however often it is repeated.
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    rows = rows.withColumn("__n", F.row_number().over(one)).where("__n = 1")
     found = with_features(rows.select("doc_id", "text", "__quality"), ["doc_id", "__quality"]).orderBy("doc_id", "x").toArrow()
     y = found["__quality"].to_numpy().astype(np.float64)
     x = np.array(found["x"].to_pylist(), dtype=np.float64).reshape(len(y), len(FEATURES))
