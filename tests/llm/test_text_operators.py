@@ -667,17 +667,17 @@ def brute_fingerprint(text):
         runs += [word] if len(word) <= 8 else [word[i : i + 8] for i in range(len(word) - 7)]
     if not runs:
         return "0" * 256
-    seen, circle = Counter(), []
+    mask, seen, circle = (1 << 28) - 1, Counter(), []
     for at in range(max(len(runs) - 1, 1)):
         kmer = tuple(runs[at : at + 2])
-        circle.append((spark_hash(Long(spark_hash(*kmer)), seen[kmer]), at))
+        circle.append(spark_hash(Long(spark_hash(*kmer) & ~mask), seen[kmer]) & ~mask | at)
         seen[kmer] += 1
     circle.sort()
     out = []
     for point in range(-(1 << 63), 1 << 63, 1 << 59):
-        turned = [c for c in circle if c[0] >= point] + [c for c in circle if c[0] < point]
-        two = sorted((turned * 2)[:2], key=lambda c: c[1])
-        out.append(f"{spark_hash(Long(two[0][0]), Long(two[1][0])) % (1 << 64):016x}"[-8:].upper())
+        turned = [c for c in circle if c >= point] + [c for c in circle if c < point]
+        one, two = sorted((turned * 2)[:2], key=lambda c: c & mask)
+        out.append(f"{spark_hash(Long(one & ~mask), Long(two & ~mask)) % (1 << 64):016x}"[-8:].upper())
     return "".join(out)
 
 
