@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -77,15 +78,25 @@ def client_conditions(conditions: DataFrame, **where: str) -> list[str]:
     return sorted(r[0] for r in conditions.where("condition IS NOT NULL").select("condition").distinct().collect())
 
 
-def by_condition_table(df: DataFrame, conditions: DataFrame, **where: str) -> DataFrame:
-    predicate = condition_column(client_conditions(conditions, **where), df.columns)
-    return df if predicate is None else df.where(predicate)
-
-
 # Column names that condition texts cite.
 ACTIVITY_CONDITION, FILE_CONDITION = "reconciled_member_activity", "app_hash_file"
 
 
+def by_condition_table(df: DataFrame, conditions: DataFrame, strict: bool = False, **where: str) -> DataFrame:
+    """Rows that meet the conditions of one client.
+
+    A condition of a form that no filter reads does not filter: it is reported by a warning or, if ``strict``, raised.
+    """
+    texts = client_conditions(conditions, **where)
+    unread = [t for t in texts if t.strip() and not (_IN_CONDITION.search(t) or ACTIVITY_CONDITION in t or FILE_CONDITION in t)]
+    if unread and strict:
+        raise InputError(f"conditions of an unknown form: {unread[:5]}")
+    if unread:
+        warnings.warn(f"conditions of an unknown form do not filter: {unread[:5]}", stacklevel=2)
+    predicate = condition_column(texts, df.columns)
+    return df if predicate is None else df.where(predicate)
+
+
 def by_member_activity(df: DataFrame, conditions: DataFrame, column: str, role: str, **where: str) -> DataFrame:
     """Rows of one role, issuer or acquirer, if a condition of the client cites the member activity."""
     cited = any(ACTIVITY_CONDITION in text for text in client_conditions(conditions, **where))

@@ -176,11 +176,12 @@ def numbered(df: DataFrame, order_by: Iterable[str | Column], name: str, start:
     """Dense row numbers over a total order, without sorting everything in one task.
 
     Rows are range-partitioned and kept by a reliable checkpoint, so that counting the
-    partitions and numbering them see the same rows; only one offset per partition is small.
+    partitions and numbering them see the same rows; only one offset per partition is small. They are kept before
+    that, too: the sample that the ranges are made from would otherwise compute them a second time.
     """
     order_by = list(order_by)
     shared_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order_by).withColumn("__part", F.spark_partition_id()).checkpoint()
+    ranged = df.checkpoint().repartitionByRange(*order_by).withColumn("__part", F.spark_partition_id()).checkpoint()
     counts = ranged.groupBy("__part").count()
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))

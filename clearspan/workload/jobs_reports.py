@@ -116,8 +116,8 @@ SINGLE_MESSAGES = {
 @query(
     "job_transaction_report_messages",
     f"""SELECT record AS row_id, CASE WHEN code IN ('05', '25') THEN 'PUR' WHEN code = '06' THEN 'CRD' WHEN code = '07' THEN 'CSH' ELSE 'OTH' END AS transaction_group_code,
-        CAST(CASE WHEN code = '25' THEN -1 ELSE 1 END * CASE WHEN file_no = 0 THEN CAST(CAST({FEE} + CASE WHEN merchant_region = 0 THEN 1 ELSE 0 END AS DECIMAL(28,4)) * {RATE_SQL.replace('f.', 'u.')} AS DECIMAL(24,6)) ELSE {_times(MONEY)} END AS DECIMAL(24,6)) AS transaction_amount
-        FROM txn t LEFT JOIN fx f ON f.rate_date = t.processing_date AND f.from_ccy = t.ccy LEFT JOIN fx u ON u.rate_date = t.processing_date AND u.from_ccy = 'USD' WHERE file_no <> 6""",
+        CAST(CASE WHEN code = '25' THEN -1 ELSE 1 END * CASE WHEN file_no = 0 THEN CAST(CAST({FEE} + CASE WHEN merchant_region = 0 THEN 1 ELSE 0 END AS DECIMAL(28,4)) * {RATE_SQL} AS DECIMAL(24,6)) ELSE {_times(MONEY)} END AS DECIMAL(24,6)) AS transaction_amount
+        FROM txn t LEFT JOIN fx f ON f.rate_date = t.processing_date AND f.from_ccy = CASE WHEN file_no = 0 THEN 'USD' ELSE t.ccy END WHERE file_no <> 6""",
     ("txn", "fx"),
 )
 def _single_message_report(spark, sf_dir):

@@ -70,6 +70,16 @@ def test_more_conditions_than_any_limit(spark):
     assert len(filters.client_conditions(table, client="c")) == 1200
 
 
+def test_conditions_of_an_unknown_form_are_reported(spark):
+    table = spark.createDataFrame([("c", "a IN ('1')"), ("c", "a > 3"), ("d", "app_hash_file in files"), ("d", None)], "client string, condition string")
+    df = spark.createDataFrame([("1",), ("2",)], "a string")
+    with pytest.warns(UserWarning, match="a > 3"):
+        assert filters.by_condition_table(df, table, client="c").count() == 1
+    with pytest.raises(filters.InputError, match="a > 3"):
+        filters.by_condition_table(df, table, strict=True, client="c")
+    assert filters.by_condition_table(df, table, strict=True, client="d").count() == 2
+
+
 def test_problems_have_five_examples(spark):
     df = spark.createDataFrame([(f"x{i % 9}", None if i % 2 else "a") for i in range(90)], "n string, a string")
     found = {r["column"]: r for r in filters.column_problems(df, ["a"], ["n"]).collect()}

@@ -1,5 +1,6 @@
 """Registered queries against their oracles on the smallest tables, and checks of their plans."""
 
+import re
 import shutil
 import subprocess
 import sys
@@ -83,7 +84,7 @@ def test_text_is_read_twice_at_most(spark):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", ["job_visa_calculate", "job_mc_calculate", "job_quality_visa", "job_quality_mc", "job_transaction_report", "jurisdiction_summary"])
+@pytest.mark.parametrize("name", ["job_visa_calculate", "job_mc_calculate", "job_visa_fee", "job_mc_fee", "job_quality_visa", "job_quality_mc", "job_transaction_report", "jurisdiction_summary"])
 def test_few_jobs_run_before_a_query_is_returned(spark, name):
     """Table schemas are known from the first call; what is left are rule and range bounds."""
     query = entry.queries()[name]
@@ -91,3 +92,13 @@ def test_few_jobs_run_before_a_query_is_returned(spark, name):
     spark.sparkContext.setJobGroup(f"before {name}", name)
     query(spark, str(SMALL))
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"before {name}")) <= 5
+
+
+@needs_tables
+@pytest.mark.parametrize(("name", "orders", "exchanges"), [("job_quality_visa", 3, 12), ("job_quality_mc", 3, 8), ("job_record_pipeline_visa", 0, 4), ("job_message_pipeline_mc", 0, 7)])
+def test_sources_are_read_once(spark, name, orders, exchanges):
+    """Both sources of a quality report are made from orders, and so are its rates."""
+    plan = entry.queries()[name](spark, str(SMALL))._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("orders.parquet") == orders
+    assert len(re.findall(r"\bExchange\b", plan)) <= exchanges
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
