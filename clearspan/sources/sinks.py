@@ -37,6 +37,23 @@ def write_dataset(df: DataFrame, path: str, rows_per_file: int | None = None) ->
     writer.parquet(path)
 
 
+def write_by_volume(df: DataFrame, path: str, bytes_per_file: int = 128 << 20) -> None:
+    """Replace a dataset; the file count follows the volume, as measured when the rows are dealt for writing."""
+    spark = df.sparkSession
+    settings = {
+        "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(bytes_per_file),
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df.hint("rebalance").write.mode("overwrite").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def write_small_report(df: DataFrame, path: str) -> None:
     """One file, for aggregated reports."""
     df.coalesce(1).write.mode("overwrite").parquet(path)

@@ -109,6 +109,17 @@ def test_totals_are_counted_while_a_table_is_written(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3 and len([p for p in tmp_path.iterdir() if p.name.startswith("t")]) == 1
 
 
+def test_files_follow_the_volume(spark, tmp_path):
+    rows = spark.range(300_000).select("id", F.md5(C("id").cast("string")).alias("text"))
+    count = {}
+    for name, part, size in (("small", rows.limit(100), 4 << 20), ("large", rows, 4 << 20), ("one", rows, 1 << 30)):
+        sinks.write_by_volume(part, str(tmp_path / name), size)
+        count[name] = len(list((tmp_path / name).glob("*.parquet")))
+    assert count["small"] == 1 and 3 <= count["large"] <= 8 and count["one"] == 1
+    assert spark.read.parquet(str(tmp_path / "large")).count() == 300_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("64MB", "67108864b")
+
+
 def test_late_version_rewrites_one_partition(spark, tmp_path):
     path = str(tmp_path / "master")
     schema = "key string, effective date, lines string"
