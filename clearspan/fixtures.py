@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-#: Schema of each table file as its footer gave it, so that a table is not opened once more for every reference to it.
-_SCHEMAS: dict[str, T.StructType] = {}
+#: Schema of each table as its footer gave it, so that a table is not opened once more for every reference to it.
+_SCHEMAS: dict[str, tuple[int, T.StructType]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A base table; its schema is read again when the file or folder has changed."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    changed = target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getModificationTime()
+    if path not in _SCHEMAS or _SCHEMAS[path][0] != changed:
+        _SCHEMAS[path] = (changed, spark.read.parquet(path).schema)
+    return spark.read.schema(_SCHEMAS[path][1]).parquet(path)
 
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from clearspan import fixtures
 from clearspan.operators import versions
 from clearspan.sources import commits, readers, sinks
 from clearspan.streaming import incremental
@@ -146,3 +147,10 @@ def test_lines_keep_every_byte(spark, tmp_path):
     got = {(r["line_no"], r["line"]) for r in readers.scan_text_lines(spark, str(tmp_path)).collect()}
     assert {line for _, line in got} == {b.decode("latin1") for b in lines if b.strip()}
     assert [line for _, line in sorted(got)] == [b.decode("latin1") for b in lines if b.strip()]
+
+
+def test_a_table_that_is_written_again_has_its_new_columns(spark, tmp_path):
+    for k, column in enumerate(("a", "b")):
+        spark.range(2).withColumnRenamed("id", column).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+        os.utime(tmp_path / "t.parquet", (1000 + k, 1000 + k))
+        assert fixtures.table(spark, str(tmp_path), "t").columns == [column]
