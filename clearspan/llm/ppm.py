@@ -9,10 +9,11 @@ longer one are excluded.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -209,10 +210,11 @@ def train(docs: DataFrame) -> DataFrame:
 
 def _counted(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """Distinct words and their counts, with the ends of the texts as the empty word."""
-    codes, words = pd.factorize(np.array([*(w for t in texts for w in t.split()), b""], dtype=object))
-    n = np.bincount(codes, minlength=len(words)).astype(np.int64)
-    n[codes[-1]] = len(texts)
-    return list(words), n
+    counts: Counter = Counter()
+    for text in texts:
+        counts.update(text.split())
+    words = [*counts, b""]
+    return words, np.fromiter([*counts.values(), len(texts)], dtype=np.int64, count=len(words))
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -280,7 +282,8 @@ def chunked(docs: DataFrame, slices: int) -> DataFrame:
             codes.append(distinct(contexts(texts)[0]))
             if len(codes) > 4:
                 codes[:] = [distinct(np.concatenate(codes))]
-            words.update(w for t in texts for w in t.split())
+            for text in texts:
+                words.update(text.split())
             none = rows.column(0).slice(0, 0)
             lengths = np.array([len(t) for t in texts], dtype=np.int64).tobytes()
             yield row(TEXTS, 0, _squeezed(lengths + b"".join(texts)), rows.column(0))
@@ -431,8 +434,12 @@ class Lookup:
         self.fill()
         codes, starts = contexts(texts)
         score = np.add.reduceat(_spread(self.known, self.values, codes), starts)
-        counts = np.array([n for t in texts for n in (*map(self.counts.__getitem__, t.split()), ends)], dtype=np.int64)
-        sizes = np.array([len(t.split()) + 1 for t in texts], dtype=np.int64)
+        words = [t.split() for t in texts]
+        sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        counts = np.full(int(sizes.sum()), ends, dtype=np.int64)
+        inside = np.ones(len(counts), dtype=bool)
+        inside[np.cumsum(sizes) - 1] = False
+        counts[inside] = np.fromiter(map(self.counts.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=len(counts) - len(texts))
         first = np.cumsum(sizes) - sizes
         logs = np.add.reduceat(np.log10(counts + 1.0), first)
         return sizes, np.add.reduceat((counts > 0).astype(np.int64), first), logs, score
