@@ -264,7 +264,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, text``: what ``encode`` and then ``decode`` give, in one pass through the workers.
 
-    Chained, the two would each need a worker process with the vocabulary per task.
+    Chained, the two would each need a worker process with the vocabulary per task. Null and empty texts have no ids, texts
+    of any length are encoded whole, repeated rows each; an empty table gives no rows.
     """
     shared = _vocabulary(docs, path)
 

@@ -222,7 +222,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
     Null and empty texts are scored like any other, from features that are 0. Repeated rows are scored
     each; a null ``doc_id`` stays null and is not held out. Nothing but the text enters a score, and other columns
-    are neither read nor returned.
+    are neither read nor returned. Texts of any length are scored whole; an empty table gives no rows.
     """
     schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType(), False)])
 

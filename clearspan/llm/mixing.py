@@ -73,7 +73,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedu
     ``(words, position)``, position being the training time from 0 to 1; ``taken`` is the sum of their words.
     Every source is passed over in the order of a hash until its target is reached, so only its last
     occurrence can be cut short. Rows with equal ``doc_id`` and size lie side by side, in any order; a null
-    ``source`` is a source; empty texts have an empty list. Other columns are neither read nor returned.
+    ``source`` is a source; empty texts have an empty list, texts of any length are counted whole, and an empty table gives
+    no rows. Other columns are neither read nor returned.
     """
     # Kept: words are counted once, and every later step works on three narrow columns.
     sized = kept_once(docs.select("doc_id", F.col("source"), word_count(text_of()).alias("size"), *keep))

@@ -454,6 +454,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, slice_nodes: int = SLICE_NOD
     of about ``slice_nodes`` nodes and to the counts, and what is found there meets the texts again. A null or empty
     text has its end only. Repeated rows are scored each; a null ``doc_id`` stays null. Other columns are neither read
     nor returned. Without training text every byte has the same probability.
+    Texts of any length are scored whole; an empty table gives no rows.
     """
     known = counts.where("word IS NOT NULL")
     ended = F.coalesce(F.sum(F.when(F.col("word") == END_WORD, F.col("n"))), F.lit(0)).alias("ends")

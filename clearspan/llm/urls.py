@@ -77,7 +77,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
     the rule's. Without a rule ``rule`` is null and the verdict is ``default``. A null URL, or one
     without ``://``, has an empty host and path and fits no rule. Repeated rows are judged each; a
     null ``page_id`` stays null. Other columns of ``pages`` are neither read nor returned. Rules
-    with an empty host or a null path fit nothing; without rules all URLs get the default.
+    with an empty host or a null path fit nothing; without rules all URLs get the default. URLs of any length are
+    taken whole; an empty table gives no rows.
     """
     urls = pages.select("page_id", F.col("url").cast("string").alias("url"))
     parsed = urls.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))

@@ -699,3 +699,15 @@ def test_rows_without_ids_are_dealt_over_buckets(spark):
         cut = len(text) // 3
         want[i, hashlib.sha256((text[: len(text) - cut] + ordered[(k + 1) % len(ordered)][1][:cut]).encode()).hexdigest()] += 1
     assert Counter((r.doc_id, r.edited_sha256) for r in found) == want
+
+
+def test_sizes_of_very_long_texts_and_empty_tables(spark):
+    long = "word " * 400_000
+    docs = documents(spark, [(1, long, "s"), (2, "a b", "s"), (3, None, None)])
+    placed = {r.doc_id: r for r in sharding.place(docs, [1.0] * 8).collect()}
+    assert (placed[1].size, placed[1].text_crc32) == (len(long) + 1, zlib.crc32(long.encode()))
+    assert {r.doc_id: r.size for r in mixing.mix(docs).collect()} == {1: 400_000, 2: 2, 3: 0}
+    model = classifier.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    assert {r.doc_id for r in classifier.score_documents(docs, model).collect()} == {1, 2, 3}
+    nothing = docs.limit(0)
+    assert sharding.place(nothing, [1.0] * 8).count() == mixing.mix(nothing).count() == classifier.score_documents(nothing, model).count() == 0

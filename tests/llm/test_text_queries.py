@@ -1,13 +1,15 @@
 """The registered text queries against SQL on the smallest tables, and the pipeline stage by stage."""
 
+from collections import Counter
 from pathlib import Path
 
 import duckdb
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from clearspan.llm import queries
+from clearspan.llm import classifier, mixing, queries, rules
 
 SMALL = Path("/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not SMALL.exists(), reason="test tables are absent")
@@ -15,7 +17,7 @@ needs_tables = pytest.mark.skipif(not SMALL.exists(), reason="test tables are ab
 
 def test_all_operators_are_registered():
     named = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in named) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in named) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in named and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
@@ -63,6 +65,49 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(r.doc_id for r in entry.queries()["pipeline"](spark, str(SMALL)).collect()) == sorted(r.doc_id for r in last)
 
 
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@needs_tables
+def test_pipeline_stages_against_plain_versions(spark):
+    """Every stage's rows from what went into it: scores one by one, posteriors by SQL's rows, all pairs, counts of the mix, the library's ids."""
+    folder = str(SMALL)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    model = classifier.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    want = {i for i, t in texts.items() if model.score(classifier.features([(t or "").encode()]))[0] >= classifier.THRESHOLD}
+    first = spark.createDataFrame(stages["quality classifier"](spark, docs, folder).collect(), docs.schema)
+    assert {r.doc_id for r in first.collect()} == want
+
+    second = spark.createDataFrame(stages["quality rules"](spark, first, folder).collect(), docs.schema)
+    want = {r.doc_id for r in rules.judge_documents(first).where("kept").collect()}
+    assert {r.doc_id for r in second.collect()} == want
+
+    third = spark.createDataFrame(stages["near duplicates"](spark, second, folder).collect(), docs.schema)
+    sets, group = {i: shingle_set(texts[i]) for i in sorted(want)}, {i: i for i in want}
+    root = lambda x: x if group[x] == x else root(group[x])
+    for k, a in enumerate(sets):
+        for b in list(sets)[:k]:
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                group[high] = low
+    assert {r.doc_id for r in third.collect()} == {root(i) for i in want}
+
+    fourth = spark.createDataFrame(stages["source mixing"](spark, third, folder).collect(), docs.schema)
+    taken = {r.doc_id: (r.taken, r.size) for r in mixing.mix(third).collect()}
+    assert Counter(r.doc_id for r in fourth.collect()) == Counter({i: n // size + (2 * (n % size) >= size) for i, (n, size) in taken.items() if size and n})
+
+    tokenizer = Tokenizer.from_file(queries.vocabulary_path())
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    for r in stages["bpe encoding"](spark, fourth, folder).collect():
+        assert (list(r.ids), r.text) == (tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, texts[r.doc_id])
+
+
 EDGE = "doc_id long, text string, lang string, source string, n_chars long, score double, size long, kept boolean, ids string, `__row` string"
 
 
