@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality, near duplicates, mixture and encoding.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns of
-``documents``. Between stages the rows are written as Parquet and read again.
+``documents``, further ones included. Between stages the rows are written as Parquet and read again. An empty table
+stays empty in every stage.
 """
 
 from __future__ import annotations
@@ -21,28 +22,40 @@ ORACLE_SQL = None
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labels, does not reject."""
+    """Documents that the classifier, trained on the labels, does not reject.
+
+    Rows are judged each: repeated ones alike, null and empty texts by features that are 0. Ids may be null or repeated.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classifier.accepted(docs, classifier.train(docs, labels))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are good by the votes of the rules."""
+    """Documents that pass the base rules and are good by the votes of the rules.
+
+    Rows are judged each; null and empty texts have no words and go.
+    """
     return rules.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: the one of the smallest id, null last, ties by the digest of the text.
+
+    Of rows alike in id and text one stays; unlike texts of one id are told apart; rows without words all stay.
+    """
     return minhash.deduplicated(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
+    """Documents as often as the mix takes them, in training order.
+
+    A null source is a source; rows without words are never taken; rows alike in id, source and text are taken in any order.
+    """
     return mixing.mixed_documents(docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, text``: the token ids and the text they decode to."""
+    """``doc_id, n_tokens, ids, text``: the token ids and the text they decode to, row by row; a null text is empty."""
     both = bpe.round_trip(docs, vocabulary_path())
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
 
