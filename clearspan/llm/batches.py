@@ -49,13 +49,22 @@ def _byte_values() -> np.ndarray:
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
+#: Powers of the multiplier are products of one of so many small ones and one of a multiple of it, so that a worker, which
+#: outlives its task, keeps no table as long as the longest text.
+_STEP = 2048
+
+
 @lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd multiplier modulo 2^64, and their inverses."""
-    inverse = pow(_MULTIPLIER, -1, 2**64)
-    powers, inverses = np.full(n, _MULTIPLIER, dtype=np.uint64), np.full(n, inverse, dtype=np.uint64)
-    powers[0] = inverses[0] = 1
-    return np.cumprod(powers, dtype=np.uint64), np.cumprod(inverses, dtype=np.uint64)
+def _powers(steps: int) -> tuple[np.ndarray, ...]:
+    """Powers of an odd multiplier modulo 2^64: the first ``_STEP`` and those of ``steps`` multiples of it, then of its inverse."""
+
+    def powers(base: int, n: int) -> np.ndarray:
+        table = np.full(n, base % 2**64, dtype=np.uint64)
+        table[0] = 1
+        return np.cumprod(table, dtype=np.uint64)
+
+    bases = _MULTIPLIER, pow(_MULTIPLIER, -1, 2**64)
+    return tuple(powers(x, n) for base in bases for x, n in ((base, _STEP), (pow(base, _STEP, 2**64), steps)))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -69,11 +78,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hashes of the byte spans [start, end), all at once, from running sums of weighted bytes."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    powers, inverses = _powers(max(1 << 21, 1 << int(len(data)).bit_length()))
+    low, high, inverse_low, inverse_high = _powers(max(1 << 10, 1 << (len(data) // _STEP).bit_length()))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_values()[data] * powers[: len(data)], out=sums[1:])
+    weighted = _byte_values()[data]
+    whole = len(data) // _STEP * _STEP
+    body = weighted[:whole].reshape(-1, _STEP)
+    body *= low
+    body *= high[: len(body), None]
+    weighted[whole:] *= low[: len(data) - whole] * high[whole // _STEP]
+    np.cumsum(weighted, out=sums[1:])
+    inverses = inverse_low[starts % _STEP] * inverse_high[starts // _STEP]
     lengths = (ends - starts).astype(np.uint64)
-    return mixed((sums[ends] - sums[starts]) * inverses[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
+    return mixed((sums[ends] - sums[starts]) * inverses + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
 class Words:

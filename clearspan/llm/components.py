@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearspan.llm.common import kept_and_counted
+from clearspan.llm.common import in_fewer_parts, kept_and_counted
 
 
 def _closer(edges: DataFrame) -> DataFrame:
@@ -23,19 +23,21 @@ def _closer(edges: DataFrame) -> DataFrame:
     return others.union(below.select(F.col("__a").alias("a"), F.col("m").alias("b"), F.col("__changed").alias("changed")))
 
 
-def stars(links: DataFrame) -> DataFrame:
+def stars(links: DataFrame, rows: int | None = None) -> DataFrame:
     """``node, component`` for every node with a link but the smallest of its component, which is the component.
 
     ``links`` has two columns of one type and is read several times. Links of a node to itself and null ends are left
     out. Rounds end when no edge changes, which takes about the square of the logarithm of the nodes at most; the
-    changes are counted while a round is written.
+    changes are counted while a round is written. ``rows``, if known, says how many links there are at most, and a round
+    never has more edges than the one before: both bound the parts that a round is written in.
     """
     x, y = links.columns[:2]
     ends = links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).where(F.col(x).isNotNull() & F.col(y).isNotNull())
     edges, changed = ends.where("a <> b"), True
     while changed:
-        edges, seen = kept_and_counted(_closer(edges), changed=F.sum("changed"))
-        edges, changed = edges.select("a", "b"), seen["changed"]
+        closer = _closer(edges) if rows is None else in_fewer_parts(_closer(edges), rows)
+        edges, seen = kept_and_counted(closer, changed=F.sum("changed"), rows=F.count("*"))
+        edges, changed, rows = edges.select("a", "b"), seen["changed"], seen["rows"]
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 

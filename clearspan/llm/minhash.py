@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from clearspan.llm.batches import Words, chunks, lowered, mixed, windows
-from clearspan.llm.common import SPACE, kept_and_counted, kept_once, text_of
+from clearspan.llm.common import SPACE, in_fewer_parts, kept_and_counted, kept_once, text_of
 from clearspan.llm.components import stars
 
 SHINGLE = 5
@@ -257,30 +257,35 @@ def _across(open_: DataFrame) -> DataFrame:
     return x.join(y, may_link).select(*names).distinct()
 
 
-def grouped_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, row_key, n_shingles, component`` per row; the component is the least node that links of sets lead to."""
+def grouped_rows(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``doc_id, row_key, n_shingles, component`` per row, and how many have a component: the least node that links of sets lead to."""
     # Kept: the signatures are the costly part, and narrow.
-    rows = kept_once(signed(docs))
+    rows, seen = kept_and_counted(signed(docs), worded=F.count("node"))
+    worded = seen["worded"]
     first = Window.partitionBy("node").orderBy(F.asc_nulls_last("doc_id"), "row_key")
-    classes = kept_once(rows.where("node IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "doc_id"))
-    held = kept_once(_with_texts(_placed(classes), classes, docs))
+    classes = rows.where("node IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "doc_id")
+    classes = kept_once(in_fewer_parts(classes, worded))
+    centres = F.array_distinct("places.centre")
+    held = in_fewer_parts(_with_texts(_placed(classes), classes, docs), worded)
+    held, seen = kept_and_counted(held, centres=F.sum(F.size(centres)), places=F.sum(F.size("places")))
+    met, places = seen["centres"] or 0, seen["places"] or 0
     texts = held.select(F.col("node").alias("__node"), F.col("text").alias("__text"))
 
-    spokes = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.explode(F.array_distinct("places.centre")).alias("b")).where("a <> b")
+    spokes = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.explode(centres).alias("b")).where("a <> b")
     spokes = spokes.join(texts, F.col("b") == F.col("__node")).select("a", "b", "text_a", F.col("__text").alias("text_b"))
-    near = kept_once(compared(spokes))
-    groups = stars(near.where(_is_link()).select("a", "b"))
+    near, seen = kept_and_counted(compared(in_fewer_parts(spokes, met)), links=F.count(F.when(_is_link(), 1)))
+    groups = stars(near.where(_is_link()).select("a", "b"), seen["links"])
     told = rows.select("doc_id", "row_key", "n_shingles", "node").join(groups.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
     told = told.select("doc_id", "row_key", "n_shingles", F.coalesce("component", "node").alias("component"))
 
-    open_, seen = kept_and_counted(_open_members(near, groups, held, classes), rows=F.count("*"))
+    open_, seen = kept_and_counted(in_fewer_parts(_open_members(near, groups, held, classes), worded + places), rows=F.count("*"))
     if seen["rows"]:
         pairs = _across(open_).join(texts, F.col("a") == F.col("__node")).drop("__node").withColumnRenamed("__text", "text_a")
         pairs = pairs.join(texts, F.col("b") == F.col("__node")).drop("__node").withColumnRenamed("__text", "text_b")
         more, seen = kept_and_counted(compared(pairs).where(_is_link()).select("component_a", "component_b"), rows=F.count("*"))
         if seen["rows"]:
-            told = _renamed(told, stars(more))
-    return told
+            told = _renamed(told, stars(more, seen["rows"]))
+    return told, worded
 
 
 def _renamed(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -300,7 +305,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``kept`` holds if ``doc_id`` and ``component_id`` are the same, null included. Texts of any length are taken whole.
     An empty table gives no rows. Other columns are neither read nor returned.
     """
-    rows = kept_once(grouped_rows(docs))
+    rows, _ = grouped_rows(docs)
+    rows = kept_once(rows)
     known = rows.where("doc_id IS NOT NULL AND component IS NOT NULL")
     spread = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     spread, seen = kept_and_counted(spread, rows=F.count("*"))
@@ -322,11 +328,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     ones; among rows alike in ``doc_id`` the digest of the text decides, and of rows alike in both one stays. Rows
     without words are like nothing and all stay. An empty table gives no rows.
     """
-    rows = grouped_rows(docs)
+    rows, worded = grouped_rows(docs)
     first = Window.partitionBy("component").orderBy(F.asc_nulls_last("doc_id"), "row_key")
     heads = rows.where("component IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").select(F.col("row_key").alias("__head"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     packed = docs.select(whole, _row_key().alias("__key"), text_of().rlike(f"[^{SPACE}]").alias("__words"))
     one = Window.partitionBy("__key").orderBy("__head")
     chosen = packed.where("__words").join(heads, F.col("__key") == F.col("__head")).withColumn("__n", F.row_number().over(one)).where("__n = 1")
-    return chosen.select("__row.*").union(packed.where("NOT __words").select("__row.*"))
+    return in_fewer_parts(chosen, worded).select("__row.*").union(packed.where("NOT __words").select("__row.*"))

@@ -5,14 +5,16 @@ import html as html_module
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from clearspan.llm import bpe, classifier, components, extraction, minhash, mixing, ordered_minhash, ppm, rules, sharding, urls, wrappers
+from clearspan.llm import batches, bpe, classifier, common, components, extraction, minhash, mixing, ordered_minhash, ppm, rules, sharding, urls, wrappers
 from clearspan.llm.queries import URL_RULES, vocabulary_path
 
 DOCS = "doc_id long, text string, lang string, source string, node long, bucket string, `__row` int"
@@ -119,6 +121,47 @@ def test_unlike_texts_of_one_id_join_their_groups(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, a), (5, b), (9, c), (12, rows[6][1]), (13, ""), (13, "")])
 
 
+def test_near_duplicates_of_a_small_table_are_kept_in_few_parts(spark, copies, monkeypatch):
+    keep, parts = common.kept_once, []
+
+    def counted(df):
+        kept = keep(df)
+        parts.append(kept.rdd.getNumPartitions())
+        return kept
+
+    monkeypatch.setattr(common, "kept_once", counted)
+    monkeypatch.setattr(minhash, "kept_once", counted)
+    docs, names = documents(spark, copies), ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    expected = sorted(r["doc_id"] for r in minhash.deduplicated(docs).collect())
+    parts.clear()
+    try:
+        for name, value in zip(names, ("40", "false"), strict=True):
+            spark.conf.set(name, value)
+        assert sorted(r["doc_id"] for r in minhash.deduplicated(docs).collect()) == expected
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # How many links there are across components is not known before they are found.
+    few = spark.sparkContext.defaultParallelism
+    assert len(parts) > 6 and sum(n > few for n in parts) <= 1
+
+
+def test_hashes_of_long_texts_leave_no_long_tables():
+    data = np.frombuffer(random.Random(5).randbytes(3_000_001), dtype=np.uint8)
+    starts = np.array([0, 2047, 2048, 2_999_990, 3_000_001])
+    ends = np.array([5, 2050, 2048, 3_000_001, 3_000_001])
+    tracemalloc.start()
+    try:
+        found = batches.span_hashes(data, starts, ends)
+        assert tracemalloc.get_traced_memory()[0] < 1_000_000
+    finally:
+        tracemalloc.stop()
+    sums = [sum(int(batches._byte_values()[b]) * pow(batches._MULTIPLIER, k, 2**64) for k, b in enumerate(data[s:e])) for s, e in zip(starts, ends, strict=True)]
+    plain = np.array([(x + (int(e) - int(s)) * 0xD6E8FEB86659FD93) % 2**64 for x, s, e in zip(sums, starts, ends, strict=True)], dtype=np.uint64)
+    assert (found == batches.mixed(plain)).all()
+
+
 def test_near_duplicates_with_textual_ids_and_empty_tables(spark):
     rng = random.Random(7)
     a = prose(rng, 50)
