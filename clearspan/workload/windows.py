@@ -36,7 +36,7 @@ def _latest(spark, sf_dir):
 def _best(spark, sf_dir):
     rows = ranges.best_range(
         fixtures.txn(spark, sf_dir), fixtures.acct_range(spark, sf_dir), ["acct9", "purchase_date"], C("acct9"), "low_key", "high_key",
-        best_first(), {"range_id": "range_id", "product": "product"}, also=C("effective_date") <= C("purchase_date"),
+        best_first(), {"range_id": "range_id", "product": "product"}, since=("effective_date", "purchase_date"),
     )
     return rows.select("record", "range_id", "product")
 
