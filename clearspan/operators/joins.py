@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from clearspan.operators.filters import InputError
 from clearspan.operators.lookup import lookup_join
+from clearspan.operators.stabbing import best_of_each
 
 WILDCARD = 255
 
@@ -73,20 +74,23 @@ def join_bucket(
 ) -> DataFrame:
     """Bucket id of an amount inside [low, high) or [low, high]; the narrowest wins, none gives ``default``.
 
-    The buckets of a key become one list, so a row meets one row of buckets and picks its own inside the list:
-    amounts and buckets are never paired. Without ``keys`` there is one list, which goes into the plan.
+    The different amounts of a key find their bucket as points find ranges: amounts and buckets are never paired.
+    Without ``keys`` there is one list, which goes into the plan.
     """
     entry = F.struct((F.col(high) - F.col(low)).alias("width"), F.col(bucket_id).alias("id"), F.col(low).alias("lo"), F.col(high).alias("hi"))
     listed = buckets.where(F.col(low).isNotNull() & F.col(high).isNotNull())
     if keys:
-        lists = listed.groupBy(*keys.values()).agg(F.collect_list(entry).alias("__buckets"))
-        found = lookup_join(facts, lists, keys, ["__buckets"])
-    else:
-        cells = [F.struct(*[F.lit(v).alias(k) for k, v in r["e"].asDict().items()]) for r in listed.select(entry.alias("e")).collect()]
-        found = facts.withColumn("__buckets", F.array(*cells) if cells else F.lit(None))
-        if not cells:
-            return found.drop("__buckets").withColumn(name, F.lit(default).cast("int"))
-    found = found.withColumn("__amount", amount)
+        placed = facts.withColumn("__amount", amount)
+        side = listed.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(keys.values())], entry.alias("__entry")).select("*", "__entry.*")
+        points = placed.select(*keys, "__amount").distinct()
+        equal = {k: f"__b{i}" for i, k in enumerate(keys)}
+        best = best_of_each(points, side, [*keys, "__amount"], "__amount", "lo", "hi", [F.col("__entry")], ["id"], equal=equal, half_open=half_open)
+        found = lookup_join(placed, best, [*keys, "__amount"], {"id": "__id"})
+        return found.withColumn(name, F.coalesce("__id", F.lit(default)).cast("int")).drop("__id", "__amount")
+    cells = [F.struct(*[F.lit(v).alias(k) for k, v in r["e"].asDict().items()]) for r in listed.select(entry.alias("e")).collect()]
+    if not cells:
+        return facts.withColumn(name, F.lit(default).cast("int"))
+    found = facts.withColumn("__buckets", F.array(*cells)).withColumn("__amount", amount)
 
     def holds(b: Column) -> Column:
         value = F.col("__amount")

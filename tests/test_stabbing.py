@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from clearspan.operators import ranges, stabbing
+from clearspan.operators import joins, ranges, stabbing
 
 C = F.col
 
@@ -56,3 +56,20 @@ def test_all_points_in_all_ranges(spark):
     facts = spark.range(n).selectExpr(f"{n - 1} - id % 7 AS x", "id AS on")
     out = ranges.best_range(facts, table, ["x", "on"], C("x"), "low", "high", order(), {"rid": "found"}, since=("day", "on"))
     assert out.count() == n and out.where("found = least(x, on)").count() == n
+
+
+@pytest.mark.parametrize("half_open", [True, False])
+def test_narrowest_bucket_of_a_key_against_a_loop(spark, half_open):
+    rng = random.Random(6)
+    buckets = [(rng.choice("AB"), lo := rng.randint(0, 200), lo + rng.choice([0, 1, 30, 90]), i) for i in range(120)] + [(None, 0, 999, 500), ("A", None, 9, 501), ("A", 3, None, 502)]
+    facts = [(i, rng.choice(["A", "B", "C", None]), rng.choice([None, *range(-2, 300)])) for i in range(400)]
+    table, rows = spark.createDataFrame(buckets, "bk string, lo long, hi long, bid int"), spark.createDataFrame(facts, "id int, k string, amount long")
+    out = joins.join_bucket(rows, table, {"k": "bk"}, C("amount"), "lo", "hi", "bid", "bucket", -7, half_open=half_open)
+
+    def narrowest(k, a):
+        held = [(hi - lo, i) for b, lo, hi, i in buckets if None not in (k, a, b, lo, hi) and b == k and lo <= a and (a < hi if half_open else a <= hi)]
+        return min(held)[1] if held else -7
+
+    assert {r["id"]: r["bucket"] for r in out.collect()} == {i: narrowest(k, a) for i, k, a in facts}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
