@@ -285,33 +285,48 @@ def _first_match(spark, sf_dir):
     """The first rule by a loop over rule text in numpy, a second way that checks the index.
 
     Transactions are reduced to what the loop compares. Each part of a nation's distinct transactions meets the nation's
-    rules, one rule after the other over all of them at once.
+    rules: for every code and every span of days in which the same rules hold, the least rule up to each amount floor.
     """
     parts = 16
-    rows = fixtures.txn(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("code", "amount_cents", "purchase_date"), F.lit(parts)).cast("int"))
+    rows = fixtures.txn(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("purchase_date"), F.lit(parts)).cast("int"))
     compared = ["merchant_nation", "part", "code", "amount_cents", "purchase_date"]
-    table = fixtures.rules(spark, sf_dir).select("nation", "rule_id", "code_cond", "amount_min_cents", "valid_from", "valid_until")
+    conditions = ["nation", "code_cond", "amount_min_cents", "valid_from", "valid_until"]
+    # Of rules that agree on all conditions the first is the only one that can be a first match.
+    table = fixtures.rules(spark, sf_dir).groupBy(*conditions).agg(F.min("rule_id").alias("rule_id"))
     table = table.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    def meets(condition: str, codes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    def meets(condition: str, code: str, number: float) -> bool:
         wanted, negate = condition.removeprefix("NOT:").split(","), condition.startswith("NOT:")
-        hits = np.isin(codes, wanted)
-        for lo, hi in (t.split("-") for t in wanted if "-" in t):
-            hits |= (numbers >= int(lo)) & (numbers <= int(hi))
-        return hits != negate if condition else np.ones(len(codes), dtype=bool)
+        hit = code in wanted or any(int(lo) <= number <= int(hi) for lo, hi in (t.split("-") for t in wanted if "-" in t))
+        return hit != negate if condition else True
 
     def firsts(facts: pd.DataFrame, rules: pd.DataFrame) -> pd.DataFrame:
         codes, days, cents = facts["code"].to_numpy(str), facts["purchase_date"].to_numpy("datetime64[D]"), facts["amount_cents"].to_numpy()
-        numbers = pd.to_numeric(facts["code"], errors="coerce").to_numpy(float)
-        found, left = np.full(len(facts), -1), np.ones(len(facts), dtype=bool)
-        for r in rules.sort_values("rule_id").itertuples():
-            hit = left & (days >= np.datetime64(r.valid_from)) & meets(r.code_cond, codes, numbers)
-            if not pd.isna(r.valid_until):
-                hit &= days <= np.datetime64(r.valid_until)
-            if not pd.isna(r.amount_min_cents):
-                hit &= cents >= r.amount_min_cents
-            found[hit] = r.rule_id
-            left &= ~hit
+        found = np.full(len(facts), -1)
+        rules = rules[rules["valid_from"].notna()]
+        begins, ends = rules["valid_from"].to_numpy("datetime64[D]"), rules["valid_until"].to_numpy("datetime64[D]")
+        ids, floors = rules["rule_id"].to_numpy(), rules["amount_min_cents"].to_numpy(float, na_value=-np.inf)
+        # By floor, then id: the least id so far is the first rule that an amount above the floor meets.
+        order = np.lexsort((ids, floors))
+        begins, ids, floors = begins[order], ids[order], floors[order]
+        ends = np.where(np.isnat(ends), np.datetime64("9999-12-31"), ends)[order]
+        texts, text = np.unique(rules["code_cond"].to_numpy(str)[order], return_inverse=True)
+        changes = np.unique(np.concatenate([begins, ends + 1]))
+        span = np.searchsorted(changes, days, side="right")
+        known = ~np.isnat(days)
+        for code in np.unique(codes):
+            number = pd.to_numeric(code, errors="coerce")
+            held = np.array([meets(t, code, number) for t in texts], dtype=bool)[text] if len(texts) else np.zeros(0, dtype=bool)
+            of_code = np.flatnonzero((codes == code) & known)
+            of_code = of_code[np.argsort(span[of_code], kind="stable")]
+            begin, end, rule, floor = begins[held], ends[held], ids[held], floors[held]
+            for some in np.split(of_code, np.flatnonzero(np.diff(span[of_code])) + 1):
+                if not len(some):
+                    continue
+                valid = (begin <= days[some[0]]) & (end >= days[some[0]])
+                least = np.minimum.accumulate(np.concatenate([[np.iinfo(np.int64).max], rule[valid]]))
+                first = least[np.searchsorted(floor[valid], cents[some], side="right")]
+                found[some] = np.where(first == np.iinfo(np.int64).max, -1, first)
         return facts.assign(rule_id=found)
 
     distinct = rows.select(*compared).distinct()

@@ -73,3 +73,23 @@ def test_narrowest_bucket_of_a_key_against_a_loop(spark, half_open):
     assert {r["id"]: r["bucket"] for r in out.collect()} == {i: narrowest(k, a) for i, k, a in facts}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+def test_rule_loop_with_odd_rows_against_the_index(spark, tmp_path):
+    """Missing sizes, amounts and dates, repeated rows; rules that agree reach the loop once."""
+    import __spark_entry__ as entry
+
+    rng = random.Random(8)
+    spark.createDataFrame([(i, f"n{i}", i % 5) for i in range(25)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(i, i % 25) for i in range(20)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    parts = [(i, rng.choice([None, *range(1, 51)]), "B") for i in range(3000)]
+    spark.createDataFrame(parts + parts[:50], "p_partkey long, p_size int, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    orders = [(i, i % 20, rng.choice([None, rng.random() * 90000, 2000.0]), rng.choice([None, f"199{rng.randint(4, 9)}-0{rng.randint(1, 9)}-11"]), "1") for i in range(600)]
+    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate string, o_orderpriority string"
+    spark.createDataFrame(orders + orders[:30], schema).withColumn("o_orderdate", C("o_orderdate").cast("timestamp")).write.parquet(f"{tmp_path}/orders.parquet")
+    loop, index = (entry.queries()[n](spark, str(tmp_path)) for n in ("udf_first_match_rules", "window_first_rule"))
+    missing = {i for i, _, price, day, _ in orders if price is None or day is None}
+    found = sorted(tuple(r) for r in loop.collect() if r[0] not in missing)
+    assert len({r for _, r in found}) > 30
+    assert found == sorted((r["record"], r["rule_id"] or -1) for r in index.collect() if r["record"] not in missing)
+    assert "min(rule_id" in loop._jdf.queryExecution().optimizedPlan().toString()
