@@ -122,7 +122,7 @@ def _segments(n: int, intervals: list[tuple], free: np.ndarray) -> dict:
         columns.append(_bitmap(np.concatenate([free[None, start : start + width], holds]))[:, 0])
     size = isqrt(len(points)) + 1
     blocks = [[{"bound": b, "strict": s} for b, s in points[k : k + size]] for k in range(0, len(points), size)]
-    return {"blocks": blocks, "at": np.stack(columns, axis=1).tolist()}
+    return {"blocks": blocks, "at": [*np.stack(columns, axis=1)]}
 
 
 def _token_index(n: int, cells: list[dict | None]) -> dict:
@@ -185,15 +185,23 @@ def build_index(rules: DataFrame, conditions: Conditions, order: list, payload:
     shape, tokens, numbers, n_keys = to_arrow_schema(schema), len(conditions.tokens), len(conditions.numbers), len(keys)
 
     def one(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["__place"])
-        n = len(rows)
-        row = {f"__ix_k{i}": rows[0][f"__ix_k{i}"] for i in range(n_keys)}
-        row |= {"__ix_every": _bitmap(np.ones(n, dtype=bool)).tolist(), "__ix_payload": [r["payload"] for r in rows]}
-        row |= {f"__ix_t{i}": _token_index(n, [r[f"__ix_t{i}"] for r in rows]) for i in range(tokens)}
-        row |= {f"__ix_n{i}": _number_index(n, [r[f"__ix_n{i}"] for r in rows]) for i in range(numbers)}
+        # One column at a time becomes Python objects; the payload stays as it is.
+        table = table.take(np.argsort(table["__place"].to_numpy(), kind="stable"))
+        n = len(table)
+
+        def column(name: str, index: Callable) -> pa.Array:
+            return pa.array([index(table[name].to_pylist())], shape.field(name).type)
+
+        payload = table["payload"].combine_chunks()
+        out = {f"__ix_k{i}": table[f"__ix_k{i}"].slice(0, 1) for i in range(n_keys)}
+        out["__ix_every"] = pa.array([_bitmap(np.ones(n, dtype=bool)).tolist()], shape.field("__ix_every").type)
+        out["__ix_payload"] = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), payload).cast(shape.field("__ix_payload").type)
+        out |= {f"__ix_t{i}": column(f"__ix_t{i}", lambda cells: _token_index(n, cells)) for i in range(tokens)}
+        out |= {f"__ix_n{i}": column(f"__ix_n{i}", lambda cells: _number_index(n, cells)) for i in range(numbers)}
         if amounts:
-            row["__ix_amounts"] = _amounts_index(n, [r["bounds"] for r in rows], [r["currency"] for r in rows])
-        return pa.Table.from_pylist([row], shape)
+            found = _amounts_index(n, table["bounds"].to_pylist(), table["currency"].to_pylist())
+            out["__ix_amounts"] = pa.array([found], shape.field("__ix_amounts").type)
+        return pa.table([out[f.name] for f in shape], schema=shape)
 
     spark = rules.sparkSession
     path = scratch_path(spark, "rule-index")
@@ -312,21 +320,42 @@ def _all(words: Column) -> Column:
     return F.flatten(F.transform(words, of))
 
 
-def _found(facts: DataFrame, index: RuleIndex, value: Callable[[Column], Column]) -> DataFrame:
-    """``facts`` with ``__found``: ``value`` of the bitmap of rules that each row meets, computed once per profile."""
+def _told(index: RuleIndex) -> DataFrame:
+    """The listed values and bounds of the index, without bitmaps and payload: every row of the facts meets them."""
+    cond = index.conditions
+    parts = [C(f"__ix_k{i}") for i in range(len(cond.keys))]
+    parts += [F.struct(C(f"__ix_t{i}.names"), C(f"__ix_t{i}.blocks")).alias(f"__ix_t{i}") for i in range(len(cond.tokens))]
+    parts += [F.struct(C(f"__ix_n{i}.blocks")).alias(f"__ix_n{i}") for i in range(len(cond.numbers))]
+    if cond.amounts:
+        parts.append(F.transform("__ix_amounts", lambda e: F.struct(e["currency"].alias("currency"), e["blocks"].alias("blocks"))).alias("__ix_amounts"))
+    return index.rows.select(*parts)
+
+
+def _found(facts: DataFrame, index: RuleIndex, value: Callable[[Column], Column], of_met: Callable[[DataFrame], DataFrame] = lambda met: met) -> DataFrame:
+    """``facts`` with ``__found``: ``value`` of the bitmap of rules that each row meets, computed once per profile.
+
+    ``of_met`` may replace ``__found`` of the profiles before the facts look them up."""
     keys = list(index.conditions.keys)
     meets = reduce(lambda a, b: a & b, [C(f) == C(f"__ix_k{i}") for i, f in enumerate(keys)])
-    shaped = facts.join(index.rows, meets, "left").withColumn("__profile", _profile(index))
+    shaped = facts.join(_told(index), meets, "left").withColumn("__profile", _profile(index))
     shaped = shaped.select(*[C(f"`{c}`") for c in facts.columns], "__profile")
     profiles = shaped.select("__profile").distinct()
     same = reduce(lambda a, b: a & b, [C(f"__profile.__ix_k{i}") == C(f"__ix_k{i}") for i in range(len(keys))])
-    met = profiles.join(index.rows, same).select("__profile", value(_words(index)).alias("__found"))
+    met = of_met(profiles.join(index.rows, same).select("__profile", value(_words(index)).alias("__found")))
     return lookup_join(shaped, met, ["__profile"], ["__found"]).drop("__profile")
 
 
 def first_rule(facts: DataFrame, index: RuleIndex, take: dict[str, str]) -> DataFrame:
     """``facts`` with fields of the payload (field -> new column) of the first rule each row meets, or nulls."""
-    found = _found(facts, index, lambda words: F.get(C("__ix_payload"), _first(words)))
+    keys = [f"__ix_k{i}" for i in range(len(index.conditions.keys))]
+    # The payload of all rules of a key is wide: a profile meets the bitmaps alone, and the one rule that it found.
+    payloads = index.rows.select(*[C(k).alias(f"__p{k}") for k in keys], F.posexplode("__ix_payload").alias("__place", "__payload"))
+
+    def with_payload(met: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [C(f"__profile.{k}") == C(f"__p{k}") for k in keys], C("__found") == C("__place"))
+        return met.join(payloads, same).select("__profile", C("__payload").alias("__found"))
+
+    found = _found(facts, index, _first, with_payload)
     return found.select(*[C(f"`{c}`") for c in facts.columns], *[C("__found")[c].alias(name) for c, name in take.items()])
 
 

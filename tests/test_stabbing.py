@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from clearspan.operators import joins, ranges, stabbing
+from clearspan.operators import joins, ranges, rule_index, rules, stabbing
 
 C = F.col
 
@@ -93,3 +93,16 @@ def test_rule_loop_with_odd_rows_against_the_index(spark, tmp_path):
     assert len({r for _, r in found}) > 30
     assert found == sorted((r["record"], r["rule_id"] or -1) for r in index.collect() if r["record"] not in missing)
     assert "min(rule_id" in loop._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_facts_do_not_meet_bitmaps_or_payloads(spark):
+    """Rows of the facts meet listed values and bounds; the payload of a key's rules is looked up for the one that was found."""
+    n = 3000
+    table = spark.range(n).selectExpr("id AS rule_id", "'A' AS rule_key", f"'>=' || (id * 7 % {n}) AS limits", "repeat('x', 500) AS note")
+    index = rule_index.build_index(table.withColumn("p", rules.number_condition(C("limits"))), rule_index.Conditions({"key": "rule_key"}, {}, {"p": "v"}), ["rule_id"], [C("rule_id"), C("note")])
+    facts = spark.range(50).selectExpr("id", "'A' AS key", "CAST(id * 61 - 1 AS DECIMAL(24,6)) AS v")
+    assert "'at'" not in str(rule_index._told(index).schema) and "'bits'" not in str(rule_index._told(index).schema)
+    out = rule_index.first_rule(facts, index, {"rule_id": "found", "note": "note"})
+    rows = {r["id"]: (r["found"], r["note"]) for r in out.collect()}
+    first = lambda v: next((k for k in range(n) if k * 7 % n <= v), None)
+    assert rows == {i: (f := first(i * 61 - 1), None if f is None else "x" * 500) for i in range(50)}
